@@ -1 +1,8 @@
 """Cohort-scale curve analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions travel to the workers by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
