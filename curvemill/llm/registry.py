@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from curvemill.llm import mixing, url_filter
+from curvemill.llm import mixing, simhash, url_filter
 
 
 def queries() -> dict:
     return {
         "op3_weighted_fair_mix": mixing.op3_weighted_fair_mix,
+        "op4_simhash_pigeonhole": simhash.op4_simhash_pigeonhole,
         "op7_redirect_equivalence": url_filter.op7_redirect_equivalence,
     }
 
