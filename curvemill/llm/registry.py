@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from curvemill.llm import mixing, simhash, url_filter
+from curvemill.llm import audio, mixing, pii, simhash, url_filter
 
 
 def queries() -> dict:
     return {
+        "op2_audio_features": audio.op2_audio_features,
         "op3_weighted_fair_mix": mixing.op3_weighted_fair_mix,
         "op4_simhash_pigeonhole": simhash.op4_simhash_pigeonhole,
+        "op6_information_sanitiser": pii.op6_information_sanitiser,
         "op7_redirect_equivalence": url_filter.op7_redirect_equivalence,
     }
 
