@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curvemill.llm import audio, bpe, mixing, pii, simhash, url_filter, wavelet
+from curvemill.llm import attribution, audio, bpe, mixing, pii, simhash, url_filter, wavelet
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op4_simhash_pigeonhole": simhash.op4_simhash_pigeonhole,
         "op6_information_sanitiser": pii.op6_information_sanitiser,
         "op7_redirect_equivalence": url_filter.op7_redirect_equivalence,
+        "op8_offset_attribution": attribution.op8_offset_attribution,
         "op9_wavelet_shards": wavelet.op9_wavelet_shards,
         "op10_recursive_bpe": bpe.op10_recursive_bpe,
     }
