@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from curvemill.llm import attribution, audio, bpe, mixing, pii, simhash, url_filter, wavelet
+from curvemill.llm import attribution, audio, bpe, mixing, pii, quality, simhash, url_filter, wavelet
 
 
 def queries() -> dict:
     return {
+        "op1_likelihood_ratio": quality.op1_likelihood_ratio,
         "op2_audio_features": audio.op2_audio_features,
         "op3_weighted_fair_mix": mixing.op3_weighted_fair_mix,
         "op4_simhash_pigeonhole": simhash.op4_simhash_pigeonhole,
