@@ -43,10 +43,15 @@ def _buckets() -> Column:
     return F.concat("_qr_1", "_qr_2")
 
 
+def _bucket(gram: Column) -> Column:
+    """The top bits of a hash."""
+    return F.shiftrightunsigned(gram, 65 - BUCKETS.bit_length()).cast("int")
+
+
 def bucket_counts(docs: DataFrame) -> DataFrame:
     """(bucket, n) over all n-grams of docs."""
     grams = _hashed(docs.select("text")).select(F.explode(_buckets()).alias("g"))
-    return grams.groupBy(F.pmod("g", F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    return grams.groupBy(_bucket(F.col("g")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -57,7 +62,7 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def weights(docs: DataFrame, labels: DataFrame) -> list[float]:
-    """log(target / raw) of every bucket: two lists of BUCKETS counts, whatever the input."""
+    """log(target / raw) of every bucket, from two lists of BUCKETS counts whatever the input."""
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for counts, of in ((raw, docs), (target, trusted(docs.select("doc_id", "text"), labels))):
         for r in bucket_counts(of).collect():
@@ -69,27 +74,34 @@ def weights(docs: DataFrame, labels: DataFrame) -> list[float]:
 
 
 def _score(values: list[float]) -> Column:
-    table = F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")")
-    grams = _buckets()
-    total = F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(table, F.pmod(g, F.lit(BUCKETS)).cast("int")))
-    return F.when(F.size(grams) > 0, total / F.size(grams))
+    table = F.lit(values)
+    n = F.size("_qr_1") + F.size("_qr_2")
+    total = sum((F.aggregate(c, F.lit(0.0), lambda s, g: s + F.get(table, _bucket(g))) for c in ("_qr_1", "_qr_2")), F.lit(0.0))
+    return F.when(n > 0, total / n)
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with value evaluated once: as the argument of a lambda over a list of one."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _covered(h8: Column) -> Column:
     """Words in windows whose hash occurs again; h8 has the hash of each 8-word window."""
-    n = F.size(h8)
-    placed = F.array_sort(F.zip_with(h8, F.sequence(F.lit(0), n - 1), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    placed = F.array_sort(F.zip_with(h8, F.sequence(F.lit(0), F.size(h8) - 1), lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     none = F.array(F.lit(None).cast("struct<h:bigint,i:int>"))
-    before = F.concat(none, F.slice(placed, F.lit(1), n - 1))
-    after = F.concat(F.slice(placed, F.lit(2), n - 1), none)
-    twice = F.zip_with(
-        F.zip_with(placed, before, lambda c, b: F.struct(c["i"].alias("i"), c["h"].alias("h"), (c["h"] == b["h"]).alias("b"))),
-        after,
-        lambda c, a: F.when(F.coalesce(c["b"], F.lit(False)) | F.coalesce(c["h"] == a["h"], F.lit(False)), c["i"]),
-    )
-    places = F.array_sort(F.array_compact(twice))
-    steps = F.zip_with(places, F.concat(F.slice(places, F.lit(2), F.size(places)), F.array(F.lit(2147483647))), lambda a, b: F.least(b - a, F.lit(8)))
-    return F.aggregate(steps, F.lit(0), lambda s, x: s + x)
+
+    def repeated(sorted_places: Column) -> Column:
+        n = F.size(sorted_places)
+        # Each place with its neighbour on the right: equal hashes mark both.
+        pairs = F.zip_with(sorted_places, F.concat(F.slice(sorted_places, F.lit(2), n), none), lambda c, a: F.struct(c["i"].alias("i"), F.when(c["h"] == a["h"], a["i"]).alias("j")))
+        twice = F.filter(pairs, lambda p: p["j"].isNotNull())
+        return F.array_sort(F.array_distinct(F.concat(F.transform(twice, lambda p: p["i"]), F.transform(twice, lambda p: p["j"]))))
+
+    def words(places: Column) -> Column:
+        steps = F.zip_with(places, F.concat(F.slice(places, F.lit(2), F.size(places)), F.array(F.lit(2147483647))), lambda a, b: F.least(b - a, F.lit(8)))
+        return F.aggregate(steps, F.lit(0), lambda s, x: s + x)
+
+    return _let(_let(placed, repeated), words)
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
