@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curvemill.llm import attribution, audio, bpe, mixing, pii, quality, simhash, url_filter, wavelet
+from curvemill.llm import attribution, audio, bpe, lines, mixing, pii, quality, simhash, url_filter, wavelet
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_audio_features": audio.op2_audio_features,
         "op3_weighted_fair_mix": mixing.op3_weighted_fair_mix,
         "op4_simhash_pigeonhole": simhash.op4_simhash_pigeonhole,
+        "op5_deletion_neighbourhood": lines.op5_deletion_neighbourhood,
         "op6_information_sanitiser": pii.op6_information_sanitiser,
         "op7_redirect_equivalence": url_filter.op7_redirect_equivalence,
         "op8_offset_attribution": attribution.op8_offset_attribution,
@@ -20,4 +21,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op5_deletion_neighbourhood": lines.OP5_SQL,
+    }
