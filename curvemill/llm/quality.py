@@ -74,7 +74,7 @@ def weights(docs: DataFrame, labels: DataFrame) -> list[float]:
 
 
 def _score(values: list[float]) -> Column:
-    table = F.lit(values)
+    table = F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")  # folded to one literal
     n = F.size("_qr_1") + F.size("_qr_2")
     total = sum((F.aggregate(c, F.lit(0.0), lambda s, g: s + F.get(table, _bucket(g))) for c in ("_qr_1", "_qr_2")), F.lit(0.0))
     return F.when(n > 0, total / n)
@@ -132,6 +132,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.withColumn("kept", kept).drop("_qr_w", "_qr_1", "_qr_2", "_qr_4", "_qr_8", "_qr_l")
 
 
+def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with their own columns whatever their names."""
+    packed = docs.select("doc_id", "text", F.struct("*").alias("_qr_row"))
+    return quality_rules(packed, labels).where("kept").select("_qr_row.*")
+
+
 def op1_likelihood_ratio(spark, sf_dir: str) -> DataFrame:
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]

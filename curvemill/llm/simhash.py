@@ -237,20 +237,33 @@ def _with_components(own: DataFrame) -> DataFrame:
     return own.join(table, "fp")
 
 
+#: More keys than this on the small side of a join with the documents are shuffled, not broadcast (about 30 bytes each).
+BROADCAST_KEYS = 500_000
+
+
 def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
-    """The documents without near-copies: of each component, the row with the least doc_id stays whole.
+    """The documents without near-copies: of each component, one row with the least doc_id stays.
 
-    Of rows that also share that id, the one with the least text hash stays.
+    Of rows that also share that id, the one with the least hash of all columns stays. What leaves is looked up by key;
+    texts move only if very many keys leave.
     """
     columns = docs.columns
-    keyed = docs.select(fingerprint(F.col("text"), shingle).alias("_sh_fp"), F.xxhash64(*[F.col(c).cast("string") for c in columns]).alias("_sh_row"), "doc_id")
-    own = written(keyed.withColumnRenamed("_sh_fp", "fp"), "simhash-docs")
-    found = _with_components(own)
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_row")).alias("k"))
-    kept = first.select(F.coalesce(F.col("k.doc_id").cast("string"), F.lit("")).alias("_sh_id"), F.col("k._sh_row").alias("_sh_row"))
-    rows = docs.withColumns({"_sh_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_sh_row": F.xxhash64(*[F.col(c).cast("string") for c in columns])})
+    mine = {"_sh_id": F.coalesce(F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.lit("n")), "_sh_row": F.xxhash64(*[F.col(c).cast("string") for c in columns])}
+    keyed = docs.withColumns(mine)
+    own = written(keyed.select("doc_id", "_sh_id", "_sh_row", fingerprint(F.col("text"), shingle).alias("fp")), "simhash-docs")
+    found = _with_components(own).select("component_id", "doc_id", "_sh_id", "_sh_row", "fp")
+    # The component of a null id has no other id: its fingerprint tells it from other such components.
+    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("of")]
+    found = found.select(*group, "doc_id", "_sh_id", "_sh_row")
+    first = found.groupBy("component_id", "of").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_row", "_sh_id")).alias("k"))
+    kept = first.select(F.col("k._sh_id").alias("_sh_id"), F.col("k._sh_row").alias("_sh_row"), F.lit(True).alias("stays"))
+    keys = found.groupBy("_sh_id", "_sh_row").agg(F.count(F.lit(1)).alias("n")).join(kept, ["_sh_id", "_sh_row"], "left")
+    odd = written(keys.where("stays is null or n > 1"), "simhash-leaving")
+    few = F.broadcast if odd.count() <= BROADCAST_KEYS else lambda x: x
+    alone = keyed.join(few(odd.select("_sh_id", "_sh_row")), ["_sh_id", "_sh_row"], "left_anti").select(*columns)
     one = Window.partitionBy("_sh_id", "_sh_row").orderBy("_sh_id")
-    return rows.join(kept, ["_sh_id", "_sh_row"], "left_semi").withColumn("_sh_n", F.row_number().over(one)).where("_sh_n = 1").select(*columns)
+    equal = keyed.join(few(odd.where("stays").select("_sh_id", "_sh_row")), ["_sh_id", "_sh_row"], "left_semi")
+    return alone.unionByName(equal.withColumn("_sh_n", F.row_number().over(one)).where("_sh_n = 1").select(*columns))
 
 
 def op4_simhash_pigeonhole(spark, sf_dir: str) -> DataFrame:
