@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ WINDOW, SUPPORT, GENERALISE, REMOVE = 8, 2, 0.8, 0.95
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Distinct terms that a task counts before it hands them on.
 FLUSH = 200_000
+#: Bits of the filter that tells the tasks which terms to count; what passes it by chance is dropped by a join.
+ASKED_BITS = 1 << 24
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -120,22 +123,45 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(columns, ["doc_id", "base", "near", "base_sha256", "text_hash", *[f"n_{k}" for k in counts]])
 
 
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial document counts of all terms."""
-    seen: Counter = Counter()
+def _term_counter(asked: np.ndarray):
+    """Partial document counts of the terms whose bit is set in ``asked``."""
 
-    def rows():
-        return pa.record_batch([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-    for batch in batches:
-        for value in batch.column(0):
-            if text := value.as_py():
-                seen.update(set(_TERM.findall(text.lower())))
-                if len(seen) > FLUSH:
-                    yield rows()
-                    seen.clear()
-    if seen:
-        yield rows()
+        seen: Counter = Counter()
+        wanted: dict[str, bool] = {}
+
+        def rows():
+            return pa.record_batch([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], ["term", "n"])
+
+        for batch in batches:
+            for value in batch.column(0):
+                if text := value.as_py():
+                    terms = set(_TERM.findall(text.lower()))
+                    for t in terms.difference(wanted):
+                        bit = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42) % ASKED_BITS
+                        wanted[t] = bool(asked[bit >> 3] >> (bit & 7) & 1)
+                    seen.update(t for t in terms if wanted[t])
+                    if len(seen) > FLUSH:
+                        yield rows()
+                        seen.clear()
+                    if len(wanted) > FLUSH:
+                        wanted.clear()
+        if seen:
+            yield rows()
+
+    return run
+
+
+def _asked_bits(terms: DataFrame) -> np.ndarray:
+    """A bitmap of ASKED_BITS over the terms' hashes: its size doesn't depend on their number."""
+    bits = terms.select(F.pmod(F.xxhash64("term"), F.lit(ASKED_BITS)).alias("b"))
+    words = bits.groupBy(F.expr("b div 32").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(b, 32) as int)))").alias("w"))
+    out = np.zeros(ASKED_BITS // 32, "<u4")
+    for r in words.toLocalIterator():
+        out[r["at"]] = r["w"]
+    return out.view(np.uint8)
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -152,7 +178,8 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     pairs = written(pairs.where(F.col("texts") >= SUPPORT), "pii-pairs")
     holders = near.select("row_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     asked = pairs.select("term").distinct()
-    terms = docs.select("text").mapInArrow(_terms, "term string, n long").join(asked, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
+    counter = _term_counter(_asked_bits(asked))
+    terms = docs.select("text").mapInArrow(counter, "term string, n long").join(asked, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
     n_t = F.greatest(F.coalesce("n_t", "n_et"), "n_et")
     ratio = F.log(n_docs * F.col("n_et") / (F.col("n_e") * n_t)) / F.log(n_docs / F.col("n_e"))
     scored = pairs.join(holders, "entity").join(terms, "term", "left").where(F.col("n_e") < n_docs).withColumn("disclosure", ratio)
