@@ -82,7 +82,7 @@ def onset_walk(a: Column, *, default: int = 8) -> Column:
             above = F.transform(x, lambda v: (v > limit).cast("int"))
             three = F.zip_with(F.zip_with(above, F.slice(above, F.lit(2), F.size(x)), lambda p, q: p + q), F.slice(above, F.lit(3), F.size(x)), lambda p, q: p + q)
             at = A.first_index(F.transform(three, lambda n, i: F.when(i >= 8, n)), lambda n: n == 3)
-            return F.coalesce(F.greatest(at - 1, F.lit(3)), F.lit(default))
+            return F.when(at.isNotNull(), F.greatest(at - 1, F.lit(3))).otherwise(default)
 
         span = 0.05 * (F.array_max(x) - F.array_min(x))
         return A.let(A.mean(base) + F.greatest(4 * A.std_pop(base), span, F.lit(5e-4)), run)
