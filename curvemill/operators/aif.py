@@ -135,3 +135,20 @@ def washout_flag(curves: DataFrame) -> DataFrame:
     peak = F.array_max("values")
     ratio = F.when((n >= 12) & (peak > 0), A.median(tail) / peak)
     return curves.withColumns({"tail_ratio": ratio, "flagged": F.coalesce(ratio >= 0.6, F.lit(False))})
+
+
+def spike_veto(curves: DataFrame) -> DataFrame:
+    """vetoed: less than 2.5 frames wide at half height, or an apex over 1.5 times the smoothed one."""
+    metrics = curve_metrics(curves, dt=1.0)
+    apex, smooth = F.array_max("values"), F.array_max(A.smooth3(F.col("values")))
+    return metrics.withColumn("vetoed", F.coalesce((F.col("fwhm_frames") < 2.5) | (apex > 1.5 * smooth), F.lit(False)))
+
+
+def vesselness(curves: DataFrame, *, by: list[str], baseline: int = 5, percent: float = 0.85) -> DataFrame:
+    """Early maximum over late maximum (a 20th of the peak at least); 0 unless the peak is in the top share of its group."""
+    c = A.let(A.mean(A.span(F.col("values"), 0, baseline)), lambda m: F.transform("values", lambda v: v - m))
+    half = F.floor(F.size("values") / 2).cast("int")
+    found = curves.withColumn("_c", c).withColumns({"_e": F.array_max(F.slice("_c", F.lit(1), half)), "_l": F.array_max(F.slice("_c", half + 1, F.size("_c"))), "_p": F.array_max("_c")})
+    limit = found.groupBy(*by).agg(F.percentile("_p", F.lit(percent)).alias("_limit"))
+    score = F.when((F.col("_p") > F.col("_limit")) & (F.col("_p") > 0), F.col("_e") / F.greatest("_l", 0.05 * F.col("_p"))).otherwise(0.0)
+    return found.join(limit, by).withColumn("vesselness", score).drop("_c", "_e", "_l", "_p", "_limit")

@@ -84,3 +84,15 @@ def vfa_spgr(curves: DataFrame, *, flip_deg: float, tr_s: float, r1: float = 4.0
 def acquisition(option: Column, sidecar: Column, default: Column) -> Column:
     """An acquisition parameter: the option, else the sidecar's value, else the default."""
     return F.coalesce(option, sidecar, default)
+
+
+def saturation_report(curves: DataFrame, *, by: list[str], flip_deg: float, tr_s: float, baseline: int = 5) -> DataFrame:
+    """ceiling (median of 1 / f0), and over the foreground the share of peaks above it and their median and 95th percentile."""
+    cos = math.cos(math.radians(flip_deg))
+    e10 = F.exp(-tr_s * 1000 / F.col("t1_ms"))
+    found = curves.withColumns({"_c": (1 - cos * e10) / (1 - e10), "_s0": A.median(A.finite_values(A.span(F.col("signal"), 0, baseline)))})
+    found = found.withColumn("_peak", F.array_max("signal") / F.when(F.col("_s0") > 0, F.col("_s0")))
+    limits = found.groupBy(*by).agg(F.percentile("_c", F.lit(0.5)).alias("ceiling"), F.percentile(F.when(F.col("_s0") > 0, F.col("_s0")), F.lit(0.5)).alias("_mid"))
+    front = found.join(limits, by).where(F.col("_s0") > 0.25 * F.col("_mid"))
+    p = F.percentile("_peak", F.array(F.lit(0.5), F.lit(0.95)))
+    return front.groupBy(*by, "ceiling").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("_peak") > F.col("ceiling")).cast("double")).alias("share_over"), p.alias("p")).select(*by, "ceiling", "n", "share_over", F.get("p", F.lit(0)).alias("peak_p50"), F.get("p", F.lit(1)).alias("peak_p95"))

@@ -94,3 +94,10 @@ def micro_scalars(df: DataFrame) -> DataFrame:
     fa2 = F.col("fa") * F.col("fa")
     ufa2 = fa2 + F.col("kfa") * F.col("kfa") * (1 - fa2)
     return df.withColumns({"ufa": F.sqrt(F.least(F.greatest(ufa2, F.lit(0.0)), F.lit(1.0))), "tortuosity": F.col("d_par") / F.when(F.col("d_perp") != 0, F.col("d_perp"))})
+
+
+def connectome_groups(edges: DataFrame, groups: DataFrame, *, skip: DataFrame) -> DataFrame:
+    """Edges between anatomical groups; labels in ``skip`` are left out. ``groups`` is (label, name)."""
+    kept = groups.join(skip, "label", "left_anti")
+    named = edges.join(kept.select(F.col("label").alias("src_label"), F.col("name").alias("a")), "src_label").join(kept.select(F.col("label").alias("dst_label"), F.col("name").alias("b")), "dst_label")
+    return named.groupBy(F.least("a", "b").alias("src_group"), F.greatest("a", "b").alias("dst_group")).agg(F.sum("n").alias("n"))

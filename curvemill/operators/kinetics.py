@@ -60,6 +60,14 @@ def patlak(curves: DataFrame, input_row: DataFrame, *, keys: list[str], window:
     return stats.select(*keys, "n", F.when(ok, F.col("slope") * 6000).alias("ki"), F.when(ok, F.col("intercept") * 100).alias("vb"), F.when(ok, F.sqrt(sse / F.when(F.col("sxx") > 0, F.col("sxx")) / dof) * 6000).alias("sd_ki"))
 
 
+def patlak_window(curves: DataFrame, input_row: DataFrame, *, keys: list[str], start: int, stop: int) -> DataFrame:
+    """ki and vb of every curve by least squares over the frames [start, stop), the same for all."""
+    coords = F.broadcast(patlak_coordinates(long_input(input_row)).where(F.col("frame").between(start, stop - 1)))
+    points = to_long(curves, *keys).join(coords, "frame").select(*keys, "x", A.finite(F.col("value") / F.when(F.col("c_a") != 0, F.col("c_a"))).alias("y"))
+    fits = points.groupBy(*keys).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("cut"))
+    return fits.select(*keys, (F.col("slope") * 6000).alias("ki"), (F.col("cut") * 100).alias("vb"))
+
+
 def patlak_predict(fits: DataFrame, input_row: DataFrame) -> DataFrame:
     """fits with ``predicted``: ki/6000 times the running integral of c_a plus vb/100 times c_a."""
     w = Window.partitionBy("curve").orderBy("frame")

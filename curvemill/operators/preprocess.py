@@ -128,3 +128,59 @@ def align_lengths(*columns: str) -> dict[str, Column]:
     """The named arrays cut to their common length, for withColumns."""
     n = F.least(*[F.size(c) for c in columns]) if len(columns) > 1 else F.size(columns[0])
     return {c: F.slice(c, F.lit(1), n) for c in columns}
+
+
+def crop_to_onset(curves: DataFrame, input_row: DataFrame, *, share: float = 0.05) -> DataFrame:
+    """Curves from one frame before the input curve first exceeds a share of its maximum, if that lies within the curve."""
+    row = input_row.select("c_a", F.array_max("c_a").alias("top"))
+    start = row.select(F.greatest(A.first_index(F.col("c_a"), lambda v: v > share * F.col("top")) - 1, F.lit(0)).alias("i0"), F.size("c_a").alias("n")).first()
+    i0 = start["i0"] if start and start["i0"] and 0 < start["i0"] < start["n"] - 5 else 0
+    return curves.withColumn("values", F.slice("values", F.lit(i0 + 1), F.size("values")))
+
+
+def detrend_tail(long: DataFrame, *, keys: list[str], tail: float = 0.30) -> DataFrame:
+    """(keys, frame, t, value) less the slope of its last frames times t."""
+    w = Window.partitionBy(*keys)
+    marked = long.withColumn("_late", F.col("frame") >= F.floor((F.max("frame").over(w) + 1) * (1 - tail)))
+    slope = marked.where("_late").groupBy(*keys).agg(F.regr_slope("value", "t").alias("_slope"))
+    return marked.join(slope, keys).withColumn("value", F.col("value") - F.coalesce("_slope", F.lit(0.0)) * F.col("t")).drop("_late", "_slope")
+
+
+def detect_boluses(a: Column, *, share: float = 0.2, most: int = 2) -> Column:
+    """Frames of the highest maxima of at least a share of the top, apart by a twentieth of the curve (2 at least), in order."""
+
+    def of(x: Column) -> Column:
+        radius, top = F.greatest(F.lit(2), F.floor(F.size(x) / 20).cast("int")), F.array_max(x)
+        high = A.let(top, lambda t: F.filter(local_maxima(x), lambda p: p["height"] >= share * t))
+        ranked = F.array_sort(high, lambda p, q: F.when(p["height"] > q["height"], -1).when(p["height"] < q["height"], 1).otherwise(p["frame"] - q["frame"]))
+        kept = F.aggregate(ranked, F.array().cast("array<int>"), lambda s, p: F.when(F.forall(s, lambda k: F.abs(k - p["frame"]) >= radius) & (F.size(s) < most), F.concat(s, F.array(p["frame"]))).otherwise(s))
+        return F.array_sort(kept)
+
+    return A.let(a, of)
+
+
+def trailing_artifacts(input_curve: Column, mean_curve: Column, *, most: int = 3) -> Column:
+    """How many frames at the end to drop: those where either curve falls 4 robust deviations and by half below its tail."""
+
+    def low(x: Column) -> Column:
+        tail = F.slice(x, F.floor(F.size(x) / 2).cast("int") + 1, F.size(x) - 3 - F.floor(F.size(x) / 2).cast("int"))
+
+        def of(mid: Column) -> Column:
+            mad = A.median(F.transform(tail, lambda v: F.abs(v - mid)))
+            return A.let(F.least(mid - 4 * 1.4826 * mad, 0.5 * mid), lambda limit: F.transform(x, lambda v: v < limit))
+
+        return A.let(A.median(tail), of)
+
+    both = F.zip_with(low(input_curve), low(mean_curve), lambda p, q: p | q)
+
+    def count(bad: Column) -> Column:
+        n = F.size(bad)
+        run = F.lit(0)
+        for k in range(most, 0, -1):
+            all_bad = F.lit(True)
+            for j in range(1, k + 1):
+                all_bad = all_bad & F.coalesce(F.get(bad, n - j), F.lit(False))
+            run = F.when((run == 0) & all_bad, k).otherwise(run)
+        return F.when(n >= 20, run).otherwise(0)
+
+    return A.let(both, count)
