@@ -19,6 +19,7 @@ import base64
 import os
 import tempfile
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-BATCH_CHARS, REMEMBER, WORDS_A_QUERY = 1_500_000, 250_000, 20_000
-MEMORY = "300MB"
+BATCH_CHARS, REMEMBER, WORDS_A_QUERY = 1_500_000, 300_000, 20_000
+MEMORY = "250MB"
 
 #: Token-position rows are (word << 32 | position, token); positions of a word stay 0, 1, 2, ... as tokens are contracted.
 _SHORT = """
@@ -108,6 +109,16 @@ class Engine:
         self.numbers: dict[str, int] = {}
         self._forget()
 
+    @classmethod
+    def of_worker(cls, ranks_file: str, pattern: str) -> Engine:
+        """The worker's engine: on the library's module, so that it outlives the task in a worker that is used again."""
+        import duckdb
+
+        kept = duckdb.__dict__.setdefault("_curvemill_engines", {})
+        if (ranks_file, pattern) not in kept:
+            kept[ranks_file, pattern] = cls(ranks_file, pattern)
+        return kept[ranks_file, pattern]
+
     def _forget(self) -> None:
         self.numbers.clear()
         self.db.execute("create or replace table vocab(w integer, ids integer[])")
@@ -130,9 +141,9 @@ class Engine:
         self._learn(list(set().union(*words).difference(self.numbers)))
         of = self.numbers.__getitem__
         lengths = np.array([len(x) for x in words], np.int64)
-        rows = pa.table({"doc": np.repeat(np.arange(len(texts), dtype=np.int32), lengths), "seq": np.arange(lengths.sum(), dtype=np.int64), "w": np.fromiter((n for x in words for n in map(of, x)), np.int32, int(lengths.sum()))})
+        rows = pa.table({"doc": np.repeat(np.arange(len(texts), dtype=np.int32), lengths), "seq": np.arange(lengths.sum(), dtype=np.int64), "w": np.fromiter(map(of, chain.from_iterable(words)), np.int32, int(lengths.sum()))})
         self.db.register("given", rows)
-        found = self.db.execute("select doc, flatten(list(ids order by seq)) as ids from given join vocab using (w) group by doc order by doc").to_arrow_table()
+        found = self.db.sql("select doc, flatten(list(ids order by seq)) as ids from given join vocab using (w) group by doc order by doc").to_arrow_table()
         self.db.unregister("given")
         ids = found.column("ids").combine_chunks().cast(pa.list_(pa.int32()))
         sizes = np.zeros(len(texts), np.int64)
@@ -169,7 +180,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, *, text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = None
         for batch in batches:
-            engine = engine or Engine(ranks_file, pattern)
+            engine = engine or Engine.of_worker(ranks_file, pattern)
             column = batch.schema.get_field_index("_bpe_text")
             lengths = np.array([len(x) if x else 1 for x in batch.column(column).to_pylist()])
             for part in _by_size(batch, lengths, BATCH_CHARS):
@@ -187,7 +198,7 @@ def decode(tokens: DataFrame, ranks_file: str, pattern: str, *, ids: str = "ids"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         engine = None
         for batch in batches:
-            engine = engine or Engine(ranks_file, pattern)
+            engine = engine or Engine.of_worker(ranks_file, pattern)
             column = batch.schema.get_field_index("_bpe_ids")
             lengths = np.diff(batch.column(column).offsets.to_numpy()) * 3 + 1
             for part in _by_size(batch, lengths, BATCH_CHARS):
