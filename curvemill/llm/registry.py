@@ -23,4 +23,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_deletion_neighbourhood": lines.OP5_SQL,
+        "op7_redirect_equivalence": url_filter.OP7_SQL,
     }

@@ -132,3 +132,32 @@ def rules_frame(spark, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFra
 def op7_redirect_equivalence(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return judge(pages, rules_frame(spark)).select("page_id", "host", "path", "rule", "verdict", "alias_of")
+
+
+OP7_SQL = r"""
+with recursive rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+tags as (select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s[^>]*>')) as tag from pages where url is not null),
+said as (
+    select url, tag, lower(regexp_extract(tag, '(?is)[\s"'']rel\s*=\s*["'']?([^"''\s>]*)', 1)) as rel, lower(regexp_extract(tag, '(?is)[\s"'']http-equiv\s*=\s*["'']?([^"''\s>]*)', 1)) as equiv,
+    regexp_replace(regexp_extract(tag, '(?is)[\s"'']href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '^["'']|["'']$', '', 'g') as href,
+    regexp_replace(regexp_extract(tag, '(?is)[\s"'']content\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), '^["'']|["'']$', '', 'g') as content from tags
+),
+raw as (select url, replace(trim(case when rel = 'canonical' then href when equiv = 'refresh' then regexp_replace(regexp_extract(content, '(?is)url\s*=\s*(.*)$', 1), '^["'']|["'']$', '', 'g') end), '&amp;', '&') as t from said),
+based as (select url, t, regexp_extract(url, '(?s)^.*?://[^/?#]*') as host_part, regexp_extract(url, '(?s)^.*?://[^/?#]*(?:/(?:[^?#]*/)?)?') as folder from raw where t <> ''),
+links as (
+    select url, case when regexp_matches(t, '(?i)^https?://') then t when starts_with(t, '//') then 'http:' || t when starts_with(t, '/') then host_part || t
+    when regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') or starts_with(t, '#') then null else folder || case when ends_with(folder, '/') then '' else '/' end || t end as target from based
+),
+urls as (select distinct u from (select url as u from pages union all select url from links union all select target from links) where u is not null),
+cut as (select u, case when contains(u, '://') then substr(u, strpos(u, '://') + 3) else '' end as rest from urls),
+split as (select u, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) as tail from cut),
+known as (select u, host, regexp_extract(tail, '^[^?#]*') as path, case when host <> '' then host || case when regexp_extract(tail, '^[^?#]*') = '' then '/' else regexp_extract(tail, '^[^?#]*') end || regexp_extract(tail, '^[^?#]*(\?[^#]*)?', 1) end as node from split),
+ruled as (select k.*, (select arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict), length(r.host || r.path)) from rules r where (k.host = r.host or ends_with(k.host, '.' || r.host)) and starts_with(k.path, r.path)) as hit from known k),
+edges as (select a.node as a, b.node as b from links l join known a on a.u = l.url join known b on b.u = l.target where a.node <> b.node),
+both_ways as (select a, b from edges union select b, a from edges),
+reach as (select a as node, a as root from both_ways union select e.b, r.root from reach r join both_ways e on e.a = r.node),
+groups as (select node, min(root) as alias_of from reach group by node),
+verdicts as (select g.alias_of, min(r.hit.verdict) as v from ruled r join groups g using (node) where r.hit is not null group by g.alias_of)
+select p.page_id, coalesce(r.host, '') as host, coalesce(r.path, '') as path, r.hit.rule as rule, coalesce(r.hit.verdict, v.v, 'allow') as verdict, g.alias_of
+from pages p left join ruled r on r.u = p.url left join groups g on g.node = r.node left join verdicts v using (alias_of)
+"""
