@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
-from curvemill.operators import aggregate, aif, concentration, diffusion, labels, preprocess, qc
+from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc, relaxometry
 from curvemill.plans.queries import COORDS, INPUT, LONG, _curves, _long_out, _maps, _r, _streamlines, query
 from curvemill.sources import curves as C
 from curvemill.sources import headers
@@ -187,3 +187,30 @@ def s05(spark, sf):
 def g10(spark, sf):
     long = aggregate.unpivot(_maps(spark, sf), ["voxel_id"], ["mean_value", "value"])
     return aggregate.unit_metadata(long, spark.createDataFrame([("mean_value", "mM")], "map string, unit string")).select("voxel_id", "map", "unit")
+
+
+@query("b06_lowpass")
+def b06(spark, sf):
+    return _long_out(filters.lowpass(_curves(spark, sf).select("voxel_id", "values")), "values")
+
+
+@query("b11_baseline_shift")
+def b11(spark, sf):
+    shifted = filters.baseline_shift(_curves(spark, sf).select("voxel_id", "values"))
+    return shifted.select("voxel_id", "onset", F.posexplode("values").alias("frame", "value")).select("voxel_id", "onset", "frame", *_r("value"))
+
+
+@query("b17_shift_curve")
+def b17(spark, sf):
+    return _long_out(filters.shift_curves(_curves(spark, sf).select("voxel_id", "values"), 3.0, dt=C.DT), "values")
+
+
+@query("b21_upsample")
+def b21(spark, sf):
+    return _long_out(filters.upsample(_curves(spark, sf).select("voxel_id", "values"), 3), "values")
+
+
+@query("t02_fit_recovery_turbo")
+def t02(spark, sf):
+    c = _curves(spark, sf).select("voxel_id", F.slice("signal", F.lit(1), F.lit(7)).alias("values"))
+    return relaxometry.fit_recovery_turbo(c, [0.12, 0.3, 0.6, 1, 2, 4, 10], keys=["voxel_id"])

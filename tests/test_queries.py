@@ -105,3 +105,41 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_filters(spark):
+    from curvemill.operators import filters
+
+    b, a = filters.butterworth()
+    assert abs(b.sum() / a.sum() - 1) < 1e-12
+    half = np.exp(1j * 2 * np.pi * 4 / 15)
+    assert abs(abs(np.polyval(b[::-1], 1 / half) / np.polyval(a[::-1], 1 / half)) - np.sqrt(0.5)) < 1e-9
+    m = filters.zero_phase_matrix(60)
+    t = np.arange(60)
+    assert np.allclose(m @ np.ones(60), 1) and np.allclose(m @ t, t, atol=2e-3)
+    slow, fast = np.sin(2 * np.pi * 0.5 * t / 15), np.sin(2 * np.pi * 7 * t / 15)
+    assert np.abs(m @ slow - slow).max() < 0.05 and np.abs(m @ fast)[12:-12].max() < 0.02
+
+
+def test_pchip_keeps_shape(spark):
+    from curvemill.operators import filters
+
+    rng = np.random.default_rng(1)
+    x = np.cumsum(rng.uniform(0.5, 2, 30))
+    y = np.cumsum(rng.uniform(0, 1, (3, 30)), axis=1)
+    fine = np.linspace(x[0], x[-1], 500)
+    got = filters.pchip(x, y, fine)
+    assert np.allclose(filters.pchip(x, y, x), y) and (np.diff(got, axis=1) >= -1e-12).all()
+    assert np.allclose(filters.pchip(x, 2 * x[None, :] + 1, fine), 2 * fine + 1)
+    shifted = filters.shift_curves(_frame(spark, [np.arange(10)]), 2.0, dt=1.0).first()["values"]
+    assert np.allclose(shifted, [0, 0, 0, 1, 2, 3, 4, 5, 6, 7])
+    assert len(filters.upsample(_frame(spark, [[0, 1, 4]]), 4).first()["values"]) == 9
+
+
+def test_turbo_recovery(spark):
+    from curvemill.operators import relaxometry
+
+    ti = np.array([0.12, 0.3, 0.6, 1, 2, 4, 10])
+    signal = 1000 * relaxometry.turbo_readout(ti, np.array([1.5]))[:, 0]
+    fit = relaxometry.fit_recovery_turbo(_frame(spark, [signal]), ti.tolist(), keys=["voxel_id"]).first()
+    assert abs(fit.t1_ms - 1500) < 5 and abs(fit.m0 - 1000) < 3
