@@ -14,7 +14,6 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = "file://" + os.path.join(tempfile.gettempdir(), "curvemill-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
