@@ -33,7 +33,7 @@ BROADCAST_ROWS = 500_000
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """df, which has been written, for a join with the documents: broadcast only if its counted rows are few."""
+    """df, cheap to count, for a join with the documents: broadcast only if its counted rows are few."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
@@ -71,10 +71,15 @@ def _half_keys() -> Column:
     return F.array(*of(n), *of(n - 1))
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
+def line_hashes(docs: DataFrame) -> DataFrame:
+    """doc_id, d, i, h, h2 and keys of every line: all that is needed of most lines, written once."""
+    return written(_lines(docs).select("doc_id", "d", "i", "h", "h2", _half_keys().alias("keys")), "lines-hashes")
+
+
+def distinct_lines(hashes: DataFrame) -> DataFrame:
     """h, h2, first (earliest place), d, n (how often) and keys of every distinct line."""
-    hashed = _lines(docs).select("h", "h2", _place().alias("first"), "d", _half_keys().alias("keys"))
-    return hashed.groupBy("h", "h2").agg(F.min(F.struct("first", "d")).alias("x"), F.count(F.lit(1)).alias("n"), F.min("keys").alias("keys")).select("h", "h2", "x.first", "x.d", "n", "keys")
+    hashed = hashes.select("h", "h2", F.struct(_place().alias("first"), "d").alias("x"), "keys")
+    return hashed.groupBy("h", "h2").agg(F.min("x").alias("x"), F.count(F.lit(1)).alias("n"), F.min("keys").alias("keys")).select("h", "h2", "x.first", "x.d", "n", "keys")
 
 
 def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -83,7 +88,9 @@ def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("key")
     able = keyed.join(shared, "key", "left_semi").select("h", "h2").distinct()
     able = written(lines.join(able, ["h", "h2"], "left_semi").select("h", "h2", "first", "d", F.col("first.i").alias("i")), "lines-able")
-    met = _lines(docs).select("d", "i", "h", "h2", "words").join(_small(able), ["d", "i", "h", "h2"]).select("h", "h2", "first", "words").dropDuplicates(["h", "h2"])
+    # Documents without such a line are left out before their lines are split.
+    holders = docs.select("doc_id", "text").join(_small(able.select("d").distinct()), _key() == F.col("d"), "left_semi")
+    met = _lines(holders).select("d", "i", "h", "h2", "words").join(_small(able), ["d", "i", "h", "h2"]).select("h", "h2", "first", "words").dropDuplicates(["h", "h2"])
 
     n = F.size("words")
     at = F.col("at")
@@ -105,10 +112,11 @@ def near_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(d, i, h) of every line that repeats an earlier one or is within one edit of an earlier one."""
-    lines = written(distinct_lines(docs), "lines")
+    hashes = line_hashes(docs)
+    lines = written(distinct_lines(hashes), "lines")
     near = written(near_lines(docs, lines), "lines-near").withColumn("near", F.lit(True))
     firsts = lines.join(near, ["h", "h2"], "left").where("n > 1 or near").select("h", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    here = _lines(docs).select("doc_id", "d", "i", "h", "h2").join(firsts, ["h", "h2"])
+    here = hashes.select("doc_id", "d", "i", "h", "h2").join(firsts, ["h", "h2"])
     return here.where(F.col("near") | (F.col("first") != _place())).select("d", "i", "h").distinct()
 
 
