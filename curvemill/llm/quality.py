@@ -135,7 +135,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns whatever their names."""
     packed = docs.select("doc_id", "text", F.struct("*").alias("_qr_row"))
-    return quality_rules(packed, labels).where("kept").select("_qr_row.*")
+    # Rows are unpacked from a list of one or none: a filter would be pushed below and evaluate the rules many times over.
+    row = F.array("_qr_row")
+    return quality_rules(packed, labels).select(F.inline(F.when(F.col("kept"), row).otherwise(F.slice(row, 1, 0))))
 
 
 def op1_likelihood_ratio(spark, sf_dir: str) -> DataFrame:
