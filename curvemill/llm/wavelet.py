@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.llm.scratch import shared_dir
+from curvemill.llm.scratch import shared_dir, written
 
 END = 2
 SHARD_TOKENS = 6_000_000
@@ -34,12 +34,13 @@ SHARD_TOKENS = 6_000_000
 BLOCK_BITS = 1 << 18
 MAGIC = b"WVLT0001"
 #: Distinct pieces of text whose ids a worker remembers.
-REMEMBER = 400_000
+REMEMBER = 350_000
 
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Pieces that the tokenizer's own splitting would also separate, in texts whose white space is blanks and line ends.
 _PIECES = re.compile(rf" ?[{_LATIN}]+(?=[ \n.,;:!?]|\Z)|[.,;:!?]+(?=[ \n]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+#: All other white space, and what some libraries take for it.
+_OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Encoder:
@@ -57,19 +58,35 @@ class Encoder:
         self.tokenizer, self.pieces = kept[tokenizer_file]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        alone = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = alone[0] if len(alone) == 1 else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces. They are encoded a line each, many at once: a line end is a token of its own and no part of a word."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), 2048):
+            part = pieces[at : at + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
+            raw, size, start = ids.tobytes(), self.dtype.itemsize, 0
+            for e in ends:
+                out.append(raw[start * size : e * size])
+                start = e + 1
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if _OTHER_SPACE.search(t) else _PIECES.findall(t) for t in texts]
+        split = [None if any(c in t for c in _OTHER_SPACE) else _PIECES.findall(t) for t in texts]
         if len(self.pieces) > REMEMBER:
             self.pieces.clear()
         new = set().union(*[s for s in split if s]).difference(self.pieces)
         if new:
-            order = list(new)
-            for at in range(0, len(order), 8192):
-                self.pieces.update(zip(order[at : at + 8192], self._ids(order[at : at + 8192])))
+            words = [p for p in new if self.line_end is not None and p[-1] not in " \n"]
+            rest = list(new.difference(words))
+            self.pieces.update(zip(words, self._pieces(words)))
+            self.pieces.update(zip(rest, self._ids(rest)))
         get = self.pieces.__getitem__
         return [np.frombuffer(self._ids([t])[0] if s is None else b"".join(map(get, s)), self.dtype) for t, s in zip(texts, split)]
 
@@ -257,8 +274,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end: int = E
     return ordered.mapInArrow(run, "file string, n_docs long, n_tokens long")
 
 
-def read_shards(spark, folder: str, id_type: str = "long") -> DataFrame:
-    """(file, doc_id, place, before, tokens) of every document in the files; before counts the file's tokens ahead of it."""
+def read_shards(spark, folder: str, id_type: str = "long", *, sums: bool = False) -> DataFrame:
+    """(file, doc_id, place, before, n_tokens, tokens) of every document in the files.
+
+    before counts the file's tokens ahead of the document; tokens are its ids as little-endian 32-bit integers. With
+    ``sums``, tokens gives way to ids_crc32, the CRC-32 of those bytes, so that the ids need not leave the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,14 +291,15 @@ def read_shards(spark, folder: str, id_type: str = "long") -> DataFrame:
                     e = ends[at : at + 512]
                     s = e - shard.lengths[at : at + 512]
                     seqs = [all_tokens[a:b].astype("<u4").tobytes() for a, b in zip(s, e)]
+                    last = pa.array([zlib.crc32(x) for x in seqs], pa.int64()) if sums else pa.array(seqs, pa.binary())
                     yield pa.record_batch(
-                        [pa.array([path.rsplit("/", 1)[-1]] * len(e)), pa.array(shard.doc_ids[at : at + 512], field_type), pa.array(np.arange(at, at + len(e))), pa.array(s), pa.array(seqs, pa.binary())],
-                        ["file", "doc_id", "place", "before", "tokens"],
+                        [pa.array([path.rsplit("/", 1)[-1]] * len(e)), pa.array(shard.doc_ids[at : at + 512], field_type), pa.array(np.arange(at, at + len(e))), pa.array(s), pa.array(e - s), last],
+                        ["file", "doc_id", "place", "before", "n_tokens", "ids_crc32" if sums else "tokens"],
                     )
 
     field_type = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wvlt").load(folder).select("path", "content")
-    return files.mapInArrow(run, f"file string, doc_id {id_type}, place long, before long, tokens binary")
+    return files.mapInArrow(run, f"file string, doc_id {id_type}, place long, before long, n_tokens long, {'ids_crc32 long' if sums else 'tokens binary'}")
 
 
 def op9_wavelet_shards(spark, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
@@ -297,9 +319,7 @@ def op9_wavelet_shards(spark, sf_dir: str, tokenizer_file: str | None = None) ->
     empty = spark.createDataFrame([], f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long")
     if not totals["n"]:
         return empty
-    read = read_shards(spark, folder, id_type).select("file", "doc_id", "before", (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"), F.crc32("tokens").alias("ids_crc32"))
-    from curvemill.llm.scratch import written
-
+    read = read_shards(spark, folder, id_type, sums=True)
     read = written(read, "wavelet-read")
     # One row a file: the running total is over files, not documents.
     sizes = read.groupBy("file").agg(F.sum("n_tokens").alias("n"))
