@@ -44,16 +44,22 @@ PROBE_COST = 1.0
 _SLICE = 1 << 15
 
 
-def simhash(text: str | None, shingle: int = 3) -> int:
-    """Fingerprint of one text as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included; a shorter text is one shingle, a blank one has none."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     shingles = list(map(b" ".join, zip(*[words[i:] for i in range(shingle)]))) if len(words) >= shingle else [b" ".join(words)]
-    n = len(shingles)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(shingles))
+
+
+def _fold(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes."""
+    n = len(hashes)
+    if not n:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, n, _SLICE):
         part = hashes[at : at + _SLICE]
@@ -62,6 +68,11 @@ def simhash(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
+def simhash(text: str | None, shingle: int = 3) -> int:
+    """Fingerprint of one text as a signed 64-bit number."""
+    return _fold(shingle_hashes(text, shingle))
+
+
 def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
@@ -241,8 +252,126 @@ def _with_components(own: DataFrame) -> DataFrame:
 BROADCAST_KEYS = 500_000
 
 
+#: Documents are linked whose sets of shingles have a Jaccard similarity of SIMILAR[0] / SIMILAR[1] or more.
+SIMILAR = (4, 5)
+#: One document in so many is looked at for frequent shingles, which come last in the order of shingles. Any order gives
+#: the same links; this one keeps common passages from making candidates.
+LOOK_EVERY, FREQUENT, MOST_FREQUENT = 8, 3, 200_000
+
+
+def _signed(hashes: np.ndarray) -> np.ndarray:
+    return hashes.view(np.int64)
+
+
+def _sets_of(keyed: DataFrame, shingle: int, row: str, schema: str, of) -> DataFrame:
+    """mapInArrow over keyed's texts: the columns named in row, and those of (text's hashes, their sorted set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                hashes = [shingle_hashes(t.as_py(), shingle) for t in part.column(0)]
+                columns = of(hashes, [np.unique(h) for h in hashes])
+                yield pa.record_batch([*part.columns[1:], *columns.values()], [*part.schema.names[1:], *columns])
+
+    return keyed.select("text", *row.split()).mapInArrow(run, schema)
+
+
+def _frequent(keyed: DataFrame, shingle: int) -> np.ndarray:
+    """Shingles that occur in FREQUENT or more of the documents looked at."""
+    some = keyed.where(F.pmod(F.xxhash64("text"), F.lit(LOOK_EVERY)) == 0)
+    of = lambda hashes, sets: {"g": pa.array([_signed(x) for x in sets], pa.list_(pa.int64()))}
+    counts = _sets_of(some, shingle, "", "g array<long>", of).select(F.explode("g").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    often = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "g").limit(MOST_FREQUENT)
+    return np.sort(np.array([r["g"] for r in often.select("g").collect()], np.int64))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough, counted exactly."""
+    a, b = SIMILAR
+    u, v = (sets.select(F.col("s").alias(x), F.col("g").alias(f"g{x}")) for x in "uv")
+    common = F.size(F.array_intersect("gu", "gv"))
+    return pairs.join(u, "u").join(v, "v").where((a + b) * common >= a * (F.size("gu") + F.size("gv"))).select("u", "v")
+
+
+def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
+    """keyed's doc_id, _sh_id and _sh_row with c, which names the component of its set of shingles.
+
+    Every pair of sets with a similarity of SIMILAR or more is linked. Such sets have their share of SIMILAR in common,
+    so in any order of shingles their first n - ceil(SIMILAR n) + 1 ones meet: these are keys, and sets that share a key
+    are candidates, besides those that the fingerprints link. Candidates are verified by their whole sets. Sets of one
+    key are first held against the least of them; pairs that this leaves in different components are verified then.
+    """
+    a, b = SIMILAR
+    last = keyed.sparkSession.sparkContext.broadcast(_frequent(keyed, shingle))
+
+    def first_ones(x: np.ndarray) -> np.ndarray:
+        x, most = _signed(x), last.value
+        often = most[np.minimum(np.searchsorted(most, x), len(most) - 1)] == x if len(most) else np.zeros(len(x), bool)
+        return x[np.argsort(often, kind="stable")][: len(x) - -(-a * len(x) // b) + 1] if len(x) else x
+
+    def of(hashes, sets):
+        import xxhash
+
+        return {
+            "fp": pa.array([_fold(h) for h in hashes], pa.int64()),
+            "s": pa.array([int(np.uint64(xxhash.xxh64_intdigest(x.tobytes(), 42)).view(np.int64)) if len(x) else 0 for x in sets], pa.int64()),
+            "n": pa.array([len(x) for x in sets], pa.int64()),
+            "keys": pa.array([first_ones(x) for x in sets], pa.list_(pa.int64())),
+        }
+
+    ids = f"doc_id {keyed.schema['doc_id'].dataType.simpleString()}, _sh_id string, _sh_row long"
+    own = written(_sets_of(keyed, shingle, "doc_id _sh_id _sh_row", f"{ids}, fp long, s long, n long, keys array<long>", of), "similar-docs")
+    reps = own.groupBy("s").agg(F.min(F.struct(F.col("doc_id").isNull(), "_sh_id", "_sh_row")).alias("k"), F.min("n").alias("n"))
+    reps = written(reps.select("s", "k._sh_id", "k._sh_row", "n"), "similar-sets")
+    keyed_sets = own.select("s", F.explode("keys").alias("key"))
+    met = keyed_sets.groupBy("key").agg(F.min("s").alias("v"), F.max("s").alias("u"), F.count(F.lit(1)).alias("n")).where("u <> v")
+    met = written(met, "similar-keys")
+    # Of a key with two rows, the least and greatest are all; the members of others are looked up.
+    busy = met.where("n > 2").select("key", "v")
+    members = keyed_sets.join(F.broadcast(busy) if busy.count() <= BROADCAST_KEYS else busy, "key").select("key", "v", F.col("s").alias("u")).distinct()
+    members = written(members, "similar-members")
+    of_print = F.coalesce(F.concat(F.lit("d"), F.col("component_id").cast("string")), F.concat(F.lit("n"), F.col("fp").cast("string")))
+    prints = _with_components(own.select("doc_id", "fp", "s")).select(of_print.alias("p"), F.col("s").alias("u")).distinct()
+    stars = prints.join(prints.groupBy("p").agg(F.min("u").alias("v")), "p").select("u", "v")
+    stars = stars.unionByName(met.select("u", "v")).unionByName(members.select("u", "v"))
+
+    def fit(pairs: DataFrame) -> DataFrame:
+        """The distinct pairs whose sizes allow them to be similar."""
+        n = [reps.select(F.col("s").alias(x), F.col("n").alias(f"n{x}")) for x in "uv"]
+        sized = pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().join(n[0], "u").join(n[1], "v")
+        sized = sized.where(b * F.least("nu", "nv") >= a * F.greatest("nu", "nv"))
+        # Up to the end of the keys that end first, sets have only keys in common; after it, at most what one has left.
+        sized = written(sized, "similar-sized")
+        able = sized.select(F.explode(F.array("u", "v")).alias("s")).distinct()
+        held = written(own.select("s", "keys").join(able, "s", "left_semi").groupBy("s").agg(F.first("keys").alias("keys")), "similar-firsts")
+        keys = [held.select(F.col("s").alias(x), F.col("keys").alias(f"k{x}")) for x in "uv"]
+        left = F.greatest(F.col("nu") - F.size("ku"), F.col("nv") - F.size("kv"))
+        most = F.size(F.array_intersect("ku", "kv")) + left
+        return sized.join(keys[0], "u").join(keys[1], "v").where((a + b) * most >= a * (F.col("nu") + F.col("nv"))).select("u", "v")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = written(fit(pairs), f"similar-pairs-{name}")
+        able = pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct()
+        rows = reps.join(able, "s", "left_semi").select("s", "_sh_id", "_sh_row")
+        rows = written(rows, "similar-rows")
+        texts = keyed.join(F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows, ["_sh_id", "_sh_row"]).select("s", "text")
+        sets = _sets_of(texts, shingle, "s", "s long, g array<long>", lambda hashes, sets: {"g": pa.array([_signed(x) for x in sets], pa.list_(pa.int64()))})
+        return written(_similar(pairs, written(sets.dropDuplicates(["s"]), "similar-shingles")), f"similar-links-{name}")
+
+    linked = verified(stars, "stars")
+    so_far = written(components(linked), "similar-so-far")
+    placed = members.join(so_far.select(F.col("node").alias("u"), "component"), "u", "left").select("key", "u", F.coalesce("component", "u").alias("c"))
+    x, y = (placed.select("key", F.col("u").alias(n), F.col("c").alias(f"c{n}")) for n in "uv")
+    rest = x.join(y, "key").where("u > v and cu <> cv").select("u", "v")
+    linked = linked.unionByName(verified(rest, "rest"))
+    groups = written(components(linked), "similar-groups")
+    named = reps.join(groups.withColumnRenamed("node", "s"), "s", "left").select("s", F.coalesce("component", "s").alias("c"))
+    return own.select("doc_id", "_sh_id", "_sh_row", "s").join(named, "s").select("c", "doc_id", "_sh_id", "_sh_row")
+
+
 def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
-    """The documents without near-copies: of each component, one row with the least doc_id stays.
+    """The documents without near-copies: of each component of ``similar_groups``, one row with the least doc_id stays.
 
     Of rows that also share that id, the one with the least hash of all columns stays. What leaves is looked up by key;
     texts move only if very many keys leave.
@@ -250,12 +379,8 @@ def drop_near_duplicates(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
     columns = docs.columns
     mine = {"_sh_id": F.coalesce(F.concat(F.lit("d"), F.col("doc_id").cast("string")), F.lit("n")), "_sh_row": F.xxhash64(*[F.col(c).cast("string") for c in columns])}
     keyed = docs.withColumns(mine)
-    own = written(keyed.select("doc_id", "_sh_id", "_sh_row", fingerprint(F.col("text"), shingle).alias("fp")), "simhash-docs")
-    found = _with_components(own).select("component_id", "doc_id", "_sh_id", "_sh_row", "fp")
-    # The component of a null id has no other id: its fingerprint tells it from other such components.
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("of")]
-    found = found.select(*group, "doc_id", "_sh_id", "_sh_row")
-    first = found.groupBy("component_id", "of").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_row", "_sh_id")).alias("k"))
+    found = similar_groups(keyed, shingle)
+    first = found.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_sh_row", "_sh_id")).alias("k"))
     kept = first.select(F.col("k._sh_id").alias("_sh_id"), F.col("k._sh_row").alias("_sh_row"), F.lit(True).alias("stays"))
     keys = found.groupBy("_sh_id", "_sh_row").agg(F.count(F.lit(1)).alias("n")).join(kept, ["_sh_id", "_sh_row"], "left")
     odd = written(keys.where("stays is null or n > 1"), "simhash-leaving")

@@ -205,6 +205,30 @@ def test_simhash_on_odd_rows(spark, docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_copies_are_similar_sets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LOOK_EVERY", 1)
+    rng = random.Random(8)
+    common = " ".join(f"c{i}" for i in range(30))
+    texts = []
+    for k in range(60):
+        w = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([6, 40, 100, 200]))]
+        base = " ".join(w) + " " + common * (k % 3 == 0)
+        texts.append(base)
+        for _ in range(rng.randrange(1, 4)):
+            v = base.split()
+            for _ in range(rng.randrange(1, 5)):
+                v[rng.randrange(len(v))] = f"x{rng.randrange(5000)}"
+            texts.append(" ".join(v))
+    rng.shuffle(texts)
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for t in texts]
+    n = range(len(texts))
+    near = [(i, j) for i in n for j in range(i) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))]
+    assert sum(bin((simhash.simhash(texts[i], 5) ^ simhash.simhash(texts[j], 5)) % (1 << 64)).count("1") > 2 for i, j in near) > 20
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(given).collect()}
+    assert kept == set(_components(near, list(n)).values())
+
+
 def test_lines_against_sql(spark, sf, duck):
     ours = registry.queries()["op5_deletion_neighbourhood"](spark, sf).toPandas()
     assert rows(ours) == rows(duck.sql(registry.oracle_sql()["op5_deletion_neighbourhood"]).df())
