@@ -1,15 +1,17 @@
 """Quality rules: a hashed n-gram log-likelihood ratio between trusted documents and the raw corpus.
 
 Words and word pairs are hashed into ``BUCKETS``. Over all documents, the buckets' counts make a raw multinomial, and over
-the documents labelled good (quality 1, not toxic) a target multinomial, both smoothed by ``PRIOR`` a bucket. A
-document's score is the mean log ratio target / raw of its n-grams, so it does not depend on length; it is kept if its
-score reaches ``THRESHOLD``. Base rules reject short texts and texts that mostly repeat themselves before that.
+the documents labelled good (quality 1, not toxic) a target multinomial. A document's ``score`` is the mean log ratio
+target / raw of its n-grams, both smoothed by ``PRIOR`` a bucket, so it does not depend on length. Uniform smoothing pulls
+the smaller target down, the more so the smaller the input; so the verdict takes the same mean with the target smoothed
+towards the raw multinomial by as many counts, where missing evidence gives ratio 0 at every size. A document is kept if
+that reaches ``THRESHOLD``. Base rules reject short texts and texts that mostly repeat themselves before that.
 
 Everything is DataFrame expressions: n-grams are exploded only into bucket counts that are combined before the
 shuffle (at most BUCKETS rows a task), and the bucket weights, a list of fixed size, go to the tasks as one literal.
 
 Defined results: a null or blank text has no words, fails the base rules and has a null score; without labelled
-documents every score is 0 or less by smoothing alone and the base rules decide; equal rows get equal results; an
+documents every score is 0 and the base rules decide; equal rows get equal results; an
 empty table gives an empty result. ``quality_rules`` carries all columns; working columns carry the prefix ``_qr_``.
 """
 
@@ -61,16 +63,21 @@ def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi")
 
 
-def weights(docs: DataFrame, labels: DataFrame) -> list[float]:
-    """log(target / raw) of every bucket, from two lists of BUCKETS counts whatever the input."""
+def weights(docs: DataFrame, labels: DataFrame) -> tuple[list[float], list[float]]:
+    """log(target / raw) of every bucket for the score and for the verdict, from two lists of BUCKETS counts whatever the input."""
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for counts, of in ((raw, docs), (target, trusted(docs.select("doc_id", "text"), labels))):
         for r in bucket_counts(of).collect():
             counts[r["bucket"]] = r["n"]
     import math
 
-    n_raw, n_target = math.log(sum(raw) + PRIOR * BUCKETS), math.log(sum(target) + PRIOR * BUCKETS)
-    return [math.log(t + PRIOR) - n_target - math.log(r + PRIOR) + n_raw for t, r in zip(target, raw)]
+    n_raw, n_target, prior = sum(raw), sum(target), PRIOR * BUCKETS
+    if not n_target:
+        return [0.0] * BUCKETS, [0.0] * BUCKETS
+    log_raw, log_target = math.log(n_raw + prior), math.log(n_target + prior)
+    score = [math.log(t + PRIOR) - log_target - math.log(r + PRIOR) + log_raw for t, r in zip(target, raw)]
+    # The prior's counts fall on the buckets by their share of raw: (t + prior r / n_raw) / (n_target + prior) / (r / n_raw).
+    return score, [math.log(t * n_raw / r + prior) - log_target if r else 0.0 for t, r in zip(target, raw)]
 
 
 def _score(values: list[float]) -> Column:
@@ -127,8 +134,9 @@ def base_rules(docs: DataFrame) -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs with the base counts, base_failed, score and kept; columns of those names are replaced."""
     mine = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
-    scored = base_rules(docs.drop(*mine)).withColumn("score", _score(weights(docs, labels)))
-    kept = ~F.col("base_failed") & F.coalesce(F.col("score") >= THRESHOLD, F.lit(False))
+    score, verdict = weights(docs, labels)
+    scored = base_rules(docs.drop(*mine)).withColumn("score", _score(score))
+    kept = ~F.col("base_failed") & F.coalesce(_score(verdict) >= THRESHOLD, F.lit(False))
     return scored.withColumn("kept", kept).drop("_qr_w", "_qr_1", "_qr_2", "_qr_4", "_qr_8", "_qr_l")
 
 

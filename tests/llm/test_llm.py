@@ -84,6 +84,20 @@ def test_quality_scores(spark, docs, labels, monkeypatch):
         assert math.isclose(r.score, weight[grams[r.doc_id][0]].mean(), rel_tol=1e-9, abs_tol=1e-12)
 
 
+def test_quality_does_not_depend_on_size(spark):
+    rng = random.Random(9)
+    data = [(i, " ".join(f"w{int(rng.expovariate(0.01))}" for _ in range(60))) for i in range(120)]
+    small = spark.createDataFrame(data, "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    few = spark.createDataFrame([(i, 1, 0) for i in range(3)], none.schema)
+    assert {(r.kept, r.score) for r in quality.quality_rules(small, none).collect()} == {(True, 0.0)}
+    assert all(r.kept for r in quality.quality_rules(small, few).collect())
+    good, bad = ([" ".join(f"{k}{rng.randrange(300)}" for _ in range(20000)) for _ in range(40)] for k in "gb")
+    large = spark.createDataFrame(list(enumerate([*good, *bad])), "doc_id long, text string")
+    half = spark.createDataFrame([(i, 1, 0) for i in range(20)], none.schema)
+    assert {r.doc_id for r in quality.quality_rules(large, half).where("kept").collect()} == set(range(40))
+
+
 def test_audio_round_trip(spark, sf, real, docs):
     for r in registry.queries()["op2_audio_features"](spark, sf).limit(40).collect():
         raw = real[r.doc_id].encode()
