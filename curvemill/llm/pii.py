@@ -7,8 +7,14 @@ protected entity. A term within ``WINDOW`` words of a mention discloses its enti
 
 with document counts over the whole corpus: 1 means that whoever reads the term can infer the entity, 0 that it
 says nothing. Where it reaches ``GENERALISE`` the term's mentions near that entity are replaced by a placeholder,
-and where it reaches ``REMOVE`` they are cut out. A pair must occur in ``SUPPORT`` different texts: copies of one
-text are no evidence. Terms of documents without protected entities are left alone.
+and where it reaches ``REMOVE`` they are cut out. Copies of one text are no evidence, so a pair that occurs in fewer than
+``SUPPORT`` different texts counts once, and its P(entity | term) is shrunk by one imagined document that holds the
+term and has the entity at its base rate:
+
+    disclosure = log((1 + p) / (n_t' + 1) / p) / log(1 / p),   p = n_e' / N
+
+with n_t' and n_e' less the pair's other copies. So values of one text are covered as well; they are alike to any term,
+and stand as one entity, that of their text. Terms of documents without protected entities are left alone.
 
 Defined results: a null or empty text has no spans; an entity that occurs in all documents has no information
 to disclose; equal rows get equal spans; an empty table gives an empty result. Extra columns are carried by
@@ -170,18 +176,29 @@ def scan(docs: DataFrame) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(_scan, schema).withColumn("row_id", F.monotonically_increasing_id()), "pii-spans")
 
 
+def _near(found: DataFrame) -> DataFrame:
+    """(row_id, text_hash, entity, term, start, end) of the terms near each entity; values that only one text has are that text's entity."""
+    near = found.where("size(near) > 0").select("row_id", "text_hash", F.explode("near").alias("x")).select("row_id", "text_hash", "x.*")
+    many = near.groupBy("entity").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).where("a <> b").select("entity", F.lit(True).alias("many"))
+    own = F.concat(F.lit("text:"), F.col("text_hash").cast("string"))
+    return near.join(many, "entity", "left").withColumn("entity", F.when(F.col("many"), F.col("entity")).otherwise(own)).drop("many")
+
+
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach GENERALISE, from counts over all documents."""
     n_docs = found.count()
-    near = found.where("size(near) > 0").select("row_id", "text_hash", F.explode("near").alias("x")).select("row_id", "text_hash", "x.entity", "x.term").distinct()
+    near = _near(found).select("row_id", "text_hash", "entity", "term").distinct()
     pairs = near.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts"))
-    pairs = written(pairs.where(F.col("texts") >= SUPPORT), "pii-pairs")
+    pairs = written(pairs, "pii-pairs")
     holders = near.select("row_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     asked = pairs.select("term").distinct()
     counter = _term_counter(_asked_bits(asked))
     terms = docs.select("text").mapInArrow(counter, "term string, n long").join(asked, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
     n_t = F.greatest(F.coalesce("n_t", "n_et"), "n_et")
     ratio = F.log(n_docs * F.col("n_et") / (F.col("n_e") * n_t)) / F.log(n_docs / F.col("n_e"))
+    p = (F.col("n_e") - F.col("n_et") + 1) / n_docs
+    shrunk = F.log((1 + p) / (n_t - F.col("n_et") + 2) / p) / -F.log(p)
+    ratio = F.when(F.col("texts") >= SUPPORT, ratio).otherwise(shrunk)
     scored = pairs.join(holders, "entity").join(terms, "term", "left").where(F.col("n_e") < n_docs).withColumn("disclosure", ratio)
     return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
@@ -190,8 +207,7 @@ def all_spans(docs: DataFrame) -> DataFrame:
     """The rows of ``scan`` with ``terms``, the disclosing terms' spans (start, end, disclosure) in order."""
     found = scan(docs)
     risky = written(disclosures(docs, found), "pii-disclosures")
-    near = found.where("size(near) > 0").select("row_id", F.explode("near").alias("x")).select("row_id", "x.entity", "x.term", "x.start", "x.end")
-    hit = near.join(risky, ["entity", "term"]).groupBy("row_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    hit = _near(found).join(risky, ["entity", "term"]).groupBy("row_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     terms = hit.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     return found.join(terms, "row_id", "left")
 

@@ -323,6 +323,19 @@ def test_pii_disclosure(spark, docs):
     assert odd.columns == docs.columns and odd.count() == docs.count() and pii.sanitise(docs.limit(0)).count() == 0
 
 
+def test_pii_values_of_one_text(spark):
+    import math
+
+    data = [(i, f"Plain words number {chr(97 + i % 26) * 4} and more prose near the house") for i in range(200)]
+    data += [(300, "Note: patient Zanthor lives near the house, jane@x.org or 10.0.0.1")]
+    given = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r.term: r.disclosure for r in pii.disclosures(given, pii.scan(given)).collect()}
+    p = 1 / 201
+    assert math.isclose(got["zanthor"], math.log((1 + p) / 2 / p) / math.log(1 / p)) and not {"near", "the", "house"} & set(got)
+    clean = {r.doc_id: r.text for r in pii.sanitise(given).collect()}
+    assert clean[300] == "<term>: <term> <term> <term> near the house, <email> or <ip>" and clean[5] == data[5][1]
+
+
 def test_components_against_loops(spark):
     rng = random.Random(6)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(500 + i, 501 + i) for i in range(40)] + [(999, 999), (None, 3)]
