@@ -1,12 +1,12 @@
-"""Personal data: pattern spans, and information-theoretic sanitisation of the terms around them.
+"""Personal data: pattern spans, and information-theoretic sanitisation of the terms that go with them.
 
 The patterns find e-mail addresses, IP addresses, card numbers and phone numbers. Each normalised value is a
-protected entity. A term within ``WINDOW`` words of a mention discloses its entity by
+protected entity. A term anywhere in a document that mentions an entity discloses it by
 
     disclosure = PMI(entity; term) / IC(entity) = log(N n_et / (n_e n_t)) / log(N / n_e)
 
 with document counts over the whole corpus: 1 means that whoever reads the term can infer the entity, 0 that it
-says nothing. Where it reaches ``GENERALISE`` the term's mentions near that entity are replaced by a placeholder,
+says nothing. Where it reaches ``GENERALISE`` the term's mentions in that entity's documents are replaced by a placeholder,
 and where it reaches ``REMOVE`` they are cut out. Copies of one text are no evidence, so a pair that occurs in fewer than
 ``SUPPORT`` different texts counts once, and its P(entity | term) is shrunk by one imagined document that holds the
 term and has the entity at its base rate:
@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 
 from curvemill.llm.scratch import written
 
-WINDOW, SUPPORT, GENERALISE, REMOVE = 8, 2, 0.8, 0.95
+SUPPORT, GENERALISE, REMOVE = 2, 0.8, 0.95
 KINDS = ("email", "ip", "card", "phone", "term")
+#: More frequent terms than this are left out by a shuffle; fewer are broadcast.
+BROADCAST_TERMS = 500_000
 #: Distinct terms that a task counts before it hands them on.
 FLUSH = 200_000
 #: Bits of the filter that tells the tasks which terms to count; what passes it by chance is dropped by a join.
@@ -51,7 +53,7 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 
 _FOUND = "array<struct<kind:string,start:int,end:int>>"
 _NO_TERMS = "cast(array() as array<struct<start:int,end:int,disclosure:double>>)"
-_NEAR = "array<struct<entity:string,term:string,start:int,end:int>>"
+_HELD = "array<struct<term:string,at:array<struct<start:int,end:int>>>>"
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -93,18 +95,18 @@ def find_spans(text: str) -> list[tuple[str, int, int, str]]:
     return found
 
 
-def _around(text: str, spans: list[tuple[str, int, int, str]]) -> list[dict]:
-    """The terms within WINDOW words (and 24 characters a word) of each mention, but for those inside a match."""
-    taken = sorted((a, b) for _, a, b, _ in spans)
-    rows: dict[tuple, dict] = {}
-    for kind, start, end, value in spans:
-        lo, hi = max(0, start - 24 * WINDOW), min(len(text), end + 24 * WINDOW)
-        after = [m for m in _TERM.finditer(text, end, hi) if m.end() < hi or hi == len(text)][:WINDOW]
-        before = [m for m in _TERM.finditer(text, lo, start) if lo == 0 or m.start() > lo][-WINDOW:]
-        for m in before + after:
-            if not any(a < m.end() and m.start() < b for a, b in taken):
-                rows[kind, value, m.start()] = {"entity": f"{kind}:{value}", "term": m[0].lower(), "start": m.start(), "end": m.end()}
-    return list(rows.values())
+def _terms(text: str, spans: list[tuple[str, int, int, str]]) -> list[dict]:
+    """The distinct terms of a text and all their places, but for those inside a match."""
+    taken, k = sorted((a, b) for _, a, b, _ in spans), 0
+    held: dict[str, list] = {}
+    end = 0  # of the matches that start before the term ends
+    for m in _TERM.finditer(text):
+        while k < len(taken) and taken[k][0] < m.end():
+            end = max(end, taken[k][1])
+            k += 1
+        if end <= m.start():
+            held.setdefault(m[0].lower(), []).append({"start": m.start(), "end": m.end()})
+    return [{"term": t, "at": at} for t, at in held.items()]
 
 
 def _joined(spans: list[tuple]) -> str:
@@ -113,20 +115,21 @@ def _joined(spans: list[tuple]) -> str:
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    held_type = pa.list_(pa.struct([("term", pa.string()), ("at", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
     for batch in batches:
-        spans, near, sums, hashes, counts = [], [], [], [], {k: [] for k in KINDS[:4]}
+        spans, entities, held, sums, hashes, counts = [], [], [], [], [], {k: [] for k in KINDS[:4]}
         for value in batch.column(1):
             text = value.as_py() or ""
             found = find_spans(text)
             spans.append([{"kind": k, "start": a, "end": b} for k, a, b, _ in found])
-            near.append(_around(text, found) if found else [])
+            entities.append(sorted({f"{k}:{value}" for k, _, _, value in found}))
+            held.append(_terms(text, found) if found else [])
             sums.append(hashlib.sha256(_joined(found).encode()).hexdigest())
             hashes.append(int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) if found else 0)
             for k in counts:
                 counts[k].append(sum(1 for s in found if s[0] == k))
-        columns = [batch.column(0), pa.array(spans, kind_type), pa.array(near, near_type), pa.array(sums, pa.string()), pa.array(hashes, pa.int64()), *[pa.array(counts[k], pa.int64()) for k in counts]]
-        yield pa.record_batch(columns, ["doc_id", "base", "near", "base_sha256", "text_hash", *[f"n_{k}" for k in counts]])
+        columns = [batch.column(0), pa.array(spans, kind_type), pa.array(entities, pa.list_(pa.string())), pa.array(held, held_type), pa.array(sums, pa.string()), pa.array(hashes, pa.int64()), *[pa.array(counts[k], pa.int64()) for k in counts]]
+        yield pa.record_batch(columns, ["doc_id", "base", "entities", "held", "base_sha256", "text_hash", *[f"n_{k}" for k in counts]])
 
 
 def _term_counter(asked: np.ndarray):
@@ -171,35 +174,45 @@ def _asked_bits(terms: DataFrame) -> np.ndarray:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """A row for each document, with a row id, its pattern spans and the terms near them; written once."""
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base {_FOUND}, near {_NEAR}, base_sha256 string, text_hash long, " + ", ".join(f"n_{k} long" for k in KINDS[:4])
+    """A row for each document, with a row id, its pattern spans, entities and terms; written once."""
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, base {_FOUND}, entities array<string>, held {_HELD}, base_sha256 string, text_hash long, " + ", ".join(f"n_{k} long" for k in KINDS[:4])
     return written(docs.select("doc_id", "text").mapInArrow(_scan, schema).withColumn("row_id", F.monotonically_increasing_id()), "pii-spans")
 
 
-def _near(found: DataFrame) -> DataFrame:
-    """(row_id, text_hash, entity, term, start, end) of the terms near each entity; values that only one text has are that text's entity."""
-    near = found.where("size(near) > 0").select("row_id", "text_hash", F.explode("near").alias("x")).select("row_id", "text_hash", "x.*")
-    many = near.groupBy("entity").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).where("a <> b").select("entity", F.lit(True).alias("many"))
+def _mentions(found: DataFrame) -> DataFrame:
+    """(row_id, text_hash, entity) of each entity in a document; values that only one text has are that text's entity."""
+    each = found.select("row_id", "text_hash", F.explode("entities").alias("entity"))
+    many = each.groupBy("entity").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).where("a <> b").select("entity", F.lit(True).alias("many"))
     own = F.concat(F.lit("text:"), F.col("text_hash").cast("string"))
-    return near.join(many, "entity", "left").withColumn("entity", F.when(F.col("many"), F.col("entity")).otherwise(own)).drop("many")
+    return each.join(many, "entity", "left").select("row_id", "text_hash", F.when(F.col("many"), F.col("entity")).otherwise(own).alias("entity")).distinct()
 
 
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(entity, term, disclosure) of the pairs that reach GENERALISE, from counts over all documents."""
     n_docs = found.count()
-    near = _near(found).select("row_id", "text_hash", "entity", "term").distinct()
-    pairs = near.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts"))
-    pairs = written(pairs, "pii-pairs")
-    holders = near.select("row_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    asked = pairs.select("term").distinct()
+    mentions = written(_mentions(found), "pii-mentions")
+    holders = written(mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "pii-holders")
+    words = found.where("size(entities) > 0").select("row_id", F.explode("held.term").alias("term"))
+    asked = words.select("term").distinct()
     counter = _term_counter(_asked_bits(asked))
-    terms = docs.select("text").mapInArrow(counter, "term string, n long").join(asked, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_t"))
+    terms = written(docs.select("text").mapInArrow(counter, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t")), "pii-terms")
+
+    def able(n_e):
+        # n_et is at most n_e: a pair that reaches GENERALISE has no more documents of the term outside the entity's.
+        return F.col("n_t") - n_e <= F.pow(F.lit(float(n_docs)), 1 - GENERALISE) * F.pow(n_e, GENERALISE) + 1
+
+    most = F.lit(float(holders.agg(F.max("n_e")).first()[0] or 0))
+    hot = terms.where(~able(most)).select("term")
+    rare = words.join(F.broadcast(hot) if hot.count() <= BROADCAST_TERMS else hot, "term", "left_anti").join(terms, "term", "left")
+    near = mentions.join(holders, "entity").join(rare, "row_id").where(F.col("n_t").isNull() | able(F.col("n_e")))
+    each = near.groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    pairs = each.groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count(F.lit(1)).alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
     n_t = F.greatest(F.coalesce("n_t", "n_et"), "n_et")
     ratio = F.log(n_docs * F.col("n_et") / (F.col("n_e") * n_t)) / F.log(n_docs / F.col("n_e"))
     p = (F.col("n_e") - F.col("n_et") + 1) / n_docs
     shrunk = F.log((1 + p) / (n_t - F.col("n_et") + 2) / p) / -F.log(p)
     ratio = F.when(F.col("texts") >= SUPPORT, ratio).otherwise(shrunk)
-    scored = pairs.join(holders, "entity").join(terms, "term", "left").where(F.col("n_e") < n_docs).withColumn("disclosure", ratio)
+    scored = pairs.where(F.col("n_e") < n_docs).withColumn("disclosure", ratio)
     return scored.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure")
 
 
@@ -207,7 +220,9 @@ def all_spans(docs: DataFrame) -> DataFrame:
     """The rows of ``scan`` with ``terms``, the disclosing terms' spans (start, end, disclosure) in order."""
     found = scan(docs)
     risky = written(disclosures(docs, found), "pii-disclosures")
-    hit = _near(found).join(risky, ["entity", "term"]).groupBy("row_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    held = found.where("size(entities) > 0").select("row_id", F.explode("held").alias("x")).select("row_id", "x.term", "x.at")
+    marked = _mentions(found).join(risky, "entity").groupBy("row_id", "term").agg(F.max("disclosure").alias("disclosure"))
+    hit = held.join(marked, ["row_id", "term"]).select("row_id", "disclosure", F.inline("at")).groupBy("row_id", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     terms = hit.groupBy("row_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "disclosure"))).alias("terms"))
     return found.join(terms, "row_id", "left")
 

@@ -336,6 +336,14 @@ def test_pii_values_of_one_text(spark):
     assert clean[300] == "<term>: <term> <term> <term> near the house, <email> or <ip>" and clean[5] == data[5][1]
 
 
+def test_pii_terms_of_the_whole_document(spark):
+    filler = "plain words and more prose near the house " * 10
+    data = [(i, filler) for i in range(200)] + [(300 + i, f"Zanthor {filler} at jane@x.org {filler * (i + 1)} for ZANTHOR.") for i in range(3)]
+    given = spark.createDataFrame(data, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(given).collect()}
+    assert all("zanthor" not in clean[300 + i].lower() and "<email>" in clean[300 + i] for i in range(3)) and clean[5] == filler
+
+
 def test_components_against_loops(spark):
     rng = random.Random(6)
     pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(500 + i, 501 + i) for i in range(40)] + [(999, 999), (None, 3)]
