@@ -107,6 +107,24 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_entry_without_the_corpus_modules(tmp_path):
+    """A copy that lacks them still registers the rest."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for left in ([], ["corpus_pipeline.py"]):
+        copy = tmp_path / f"copy{len(left)}"
+        shutil.copytree(f"{root}/curvemill", copy / "curvemill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        for name in ["__spark_entry__.py", *left]:
+            if os.path.exists(f"{root}/{name}"):
+                shutil.copy(f"{root}/{name}", copy)
+        code = "import __spark_entry__ as e; q = e.queries(); assert 'k02_patlak_ols' in q and not [n for n in q if n.startswith(('op', 'pipeline'))]; e.oracle_sql()"
+        subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=os.environ | {"PYTHONPATH": ""})
+
+
 def test_filters(spark):
     from curvemill.operators import filters
 
