@@ -8,7 +8,8 @@ access, prefix counts (rank), occurrence lookup (select) and document slices fro
 that it touches; ``read_shards`` decodes whole shards.
 
 Defined results: a null text is encoded as the empty one, so its document holds the end id alone; null ids sort
-first; repeated rows are repeated documents; an empty table writes no file. Extra columns are ignored.
+first; repeated rows are repeated documents; an empty table writes no file. Ids of any atomic type come back as they
+were. Texts that spell a special token are encoded as the library does by default. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
+from curvemill.llm.pieces import WORD, Memory, cut
 from curvemill.llm.scratch import shared_dir, written
 
 END = 2
@@ -33,18 +36,21 @@ SHARD_TOKENS = 6_000_000
 #: Bits in a compressed block of a plane.
 BLOCK_BITS = 1 << 18
 MAGIC = b"WVLT0001"
-#: Distinct pieces of text whose ids a worker remembers.
-REMEMBER = 350_000
+#: Pieces of text whose tokens a worker remembers, at least.
+REMEMBER = 250_000
 
-_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: Pieces that the tokenizer's own splitting would also separate, in texts whose white space is blanks and line ends.
-_PIECES = re.compile(rf" ?[{_LATIN}]+(?=[ \n.,;:!?]|\Z)|[.,;:!?]+(?=[ \n]|\Z)| ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
-#: All other white space, and what some libraries take for it.
-_OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+def _byte_letters() -> str:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return "".join(chr(b if b in seen else next(rest)) for b in range(256))
 
 
 class Encoder:
-    """Encodes texts with the tokenizers library; each distinct piece goes through it once for a worker."""
+    """Encodes texts with the tokenizers library; a piece that was met lately does not go through it again.
+
+    Single words go to the library's model, which does without the rest of its chain.
+    """
 
     def __init__(self, tokenizer_file: str) -> None:
         import tokenizers
@@ -52,20 +58,26 @@ class Encoder:
         # On the library's module, so that it outlives the task in a worker that is used again.
         kept = tokenizers.__dict__.setdefault("_curvemill_pieces", {})
         if tokenizer_file not in kept:
-            t = tokenizers.Tokenizer.from_file(tokenizer_file)
-            t.encode_special_tokens = True
-            kept[tokenizer_file] = (t, {})
-        self.tokenizer, self.pieces = kept[tokenizer_file]
+            tokenizer = tokenizers.Tokenizer.from_file(tokenizer_file)
+            tokenizer.model._resize_cache(0)  # the memory has what was met before
+            kept[tokenizer_file] = (tokenizer, Memory(REMEMBER))
+        self.tokenizer, self.memory = kept[tokenizer_file]
+        #: Texts that hold one of these go to the library whole.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         alone = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_end = alone[0] if len(alone) == 1 else None
+        chain = self.tokenizer.pre_tokenizer
+        plain = isinstance(chain, tokenizers.pre_tokenizers.ByteLevel) and chain.use_regex and not chain.add_prefix_space
+        self.model = self.tokenizer.model if plain and self.tokenizer.normalizer is None else None
+        self.letters, self.marks = _byte_letters(), {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces. They are encoded a line each, many at once: a line end is a token of its own and no part of a word."""
+    def _lines(self, pieces: list[str]) -> list[bytes]:
+        """Tokens of pieces without white space at their ends. They are encoded a line each, many at once: a line end is a token of its own."""
         out: list[bytes] = []
         for at in range(0, len(pieces), 2048):
             part = pieces[at : at + 2048]
@@ -77,18 +89,32 @@ class Encoder:
                 start = e + 1
         return out
 
+    def _word(self, word: str) -> bytes:
+        spelt = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        now, before, known, words, rest = self.memory.now, self.memory.now.before, {}, [], []
+        for p in new:
+            if self.model and (m := WORD.fullmatch(p)):
+                stem, mark = m.groups()
+                ids = known.get(stem) or now.get(stem) or before.get(stem)
+                if ids is None:
+                    ids = known[stem] = self._word(stem)
+                if mark:
+                    if mark not in self.marks:
+                        self.marks[mark] = self._word(mark)
+                    known[p] = ids + self.marks[mark]
+            else:
+                (rest if self.line_end is None or p[-1] in " \n" else words).append(p)
+        known.update(zip(words, self._lines(words)))
+        known.update(zip(rest, self._ids(rest)))
+        return known
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [None if any(c in t for c in _OTHER_SPACE) else _PIECES.findall(t) for t in texts]
-        if len(self.pieces) > REMEMBER:
-            self.pieces.clear()
-        new = set().union(*[s for s in split if s]).difference(self.pieces)
-        if new:
-            words = [p for p in new if self.line_end is not None and p[-1] not in " \n"]
-            rest = list(new.difference(words))
-            self.pieces.update(zip(words, self._pieces(words)))
-            self.pieces.update(zip(rest, self._ids(rest)))
-        get = self.pieces.__getitem__
-        return [np.frombuffer(self._ids([t])[0] if s is None else b"".join(map(get, s)), self.dtype) for t, s in zip(texts, split)]
+        cuts = [None if any(s in t for s in self.special) else cut(t) for t in texts]
+        known = iter(self.memory.encode([c for c in cuts if c is not None], self._learn))
+        return [np.frombuffer(self._ids([t])[0] if c is None else next(known), self.dtype) for t, c in zip(texts, cuts)]
 
 
 def _pack_plane(bits: np.ndarray) -> tuple[bytes, list[int], list[int]]:
@@ -110,11 +136,12 @@ def build(tokens: np.ndarray, doc_ids: list, lengths: np.ndarray, levels: int) -
     """A shard file: magic, directory length, directory (JSON), ids and lengths, planes."""
     planes, zeros, seq = [], [], tokens
     for level in range(levels):
-        bits = (seq >> (levels - 1 - level)) & 1
-        ones = bits.astype(bool)
+        ones = (seq & seq.dtype.type(1 << (levels - 1 - level))) != 0
         planes.append(_pack_plane(ones))
-        zeros.append(int(len(seq) - np.count_nonzero(ones)))
-        seq = np.concatenate([seq[~ones], seq[ones]])
+        # Taking by place is several times faster than by mask.
+        at_zero = np.flatnonzero(~ones)
+        zeros.append(len(at_zero))
+        seq = np.concatenate([seq.take(at_zero), seq.take(np.flatnonzero(ones))])
     docs = zlib.compress(json.dumps(doc_ids).encode(), 1)
     lens = zlib.compress(lengths.astype("<i8").tobytes(), 1)
     head = {"n": len(tokens), "levels": levels, "zeros": zeros, "docs": len(docs), "lengths": len(lens), "planes": [{"sizes": p[1], "ranks": p[2]} for p in planes]}
@@ -213,8 +240,8 @@ class WaveletFile:
             ones = np.concatenate(blocks).astype(bool) if blocks else np.zeros(0, bool)
             self.open.clear()
             new = np.empty_like(out)
-            new[~ones] = out[: self.zeros[level]]
-            new[ones] = out[self.zeros[level] :] | out.dtype.type(1 << (self.levels - 1 - level))
+            new[np.flatnonzero(~ones)] = out[: self.zeros[level]]
+            new[np.flatnonzero(ones)] = out[self.zeros[level] :] | out.dtype.type(1 << (self.levels - 1 - level))
             out = new
         return out
 
@@ -235,6 +262,11 @@ def _save(folder: str, name: str, data: bytes) -> None:
     store.move(own, f"{path}/{name}")
 
 
+def _held(id_type: str) -> str:
+    """The type that ids of a type have in a file: whole numbers or text (binary ids in base 64)."""
+    return "long" if id_type in ("tinyint", "smallint", "int", "bigint", "long") else "string"
+
+
 def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end: int = END) -> DataFrame:
     """Write the wavelet files of docs (doc_id, text) to ``folder``, a URI all executors share; returns (file, n_docs, n_tokens).
 
@@ -271,7 +303,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end: int = E
             yield flush()
 
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    return ordered.mapInArrow(run, "file string, n_docs long, n_tokens long")
+    held_type = _held(docs.schema["doc_id"].dataType.simpleString())
+    held_id = F.base64("doc_id") if docs.schema["doc_id"].dataType == BinaryType() else F.col("doc_id").cast(held_type)
+    return ordered.select(held_id, "text").mapInArrow(run, "file string, n_docs long, n_tokens long")
 
 
 def read_shards(spark, folder: str, id_type: str = "long", *, sums: bool = False) -> DataFrame:
@@ -297,9 +331,11 @@ def read_shards(spark, folder: str, id_type: str = "long", *, sums: bool = False
                         ["file", "doc_id", "place", "before", "n_tokens", "ids_crc32" if sums else "tokens"],
                     )
 
-    field_type = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    held_type = _held(id_type)
+    field_type = pa.int64() if held_type == "long" else pa.string()
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.wvlt").load(folder).select("path", "content")
-    return files.mapInArrow(run, f"file string, doc_id {id_type}, place long, before long, n_tokens long, {'ids_crc32 long' if sums else 'tokens binary'}")
+    found = files.mapInArrow(run, f"file string, doc_id {held_type}, place long, before long, n_tokens long, {'ids_crc32 long' if sums else 'tokens binary'}")
+    return found.withColumn("doc_id", F.unbase64("doc_id") if id_type == "binary" else F.col("doc_id").cast(id_type))
 
 
 def op9_wavelet_shards(spark, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
