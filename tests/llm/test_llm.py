@@ -4,13 +4,15 @@ import hashlib
 import random
 import re
 import zlib
+from datetime import date
+from decimal import Decimal
 
 import numpy as np
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from curvemill.llm import attribution, audio, bpe, graph, lines, mixing, pii, quality, registry, simhash, url_filter, wavelet
+from curvemill.llm import attribution, audio, bpe, graph, lines, mixing, pieces, pii, quality, registry, simhash, url_filter, wavelet
 from tests.conftest import rows
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -248,9 +250,11 @@ def test_lines_against_sql(spark, sf, duck):
     assert rows(ours) == rows(duck.sql(registry.oracle_sql()["op5_deletion_neighbourhood"]).df())
 
 
-def test_lines_against_loops(spark, docs):
+def test_lines_against_loops(spark, docs, monkeypatch):
     rng = random.Random(4)
-    data = [(i, "\n".join(" ".join(rng.choice("abc") for _ in range(rng.randrange(4, 8))) for _ in range(3))) for i in range(40)]
+    data = [(i, "\n".join(" ".join(rng.choice("abc") for _ in range(rng.choice((2, 4, 5, 6, 7, 12)))) for _ in range(4))) for i in range(60)]
+    long = [rng.choice("abcdefgh") for _ in range(300)]
+    data += [(100 + k, " ".join([*long[: 70 * k], "x", *long[70 * k + k % 2 :]])) for k in range(5)] + [(110, " \t".join([*long[:9], "y", *long[9:]]) + "  ")]
     got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
 
     def near(a, b):
@@ -265,16 +269,19 @@ def test_lines_against_loops(spark, docs):
         kept = []
         for line in text.split("\n"):
             w = line.split()
-            if len(w) < lines.MIN_WORDS or not any(near(w, s) for s in seen):
+            if not any(w == s or (min(len(w), len(s)) >= lines.LEAST_WORDS and near(w, s)) for s in seen):
                 kept.append(line)
-            if len(w) >= lines.MIN_WORDS:
-                seen.append(w)
+            seen.append(w)
         if kept:
             want[i] = "\n".join(kept)
     assert got == want
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()} == want
     odd = lines.dedup_lines(docs)
     assert odd.columns == docs.columns and odd.where("doc_id = 7").count() == 2 and odd.where("text is null").count() == 1
     assert odd.where("doc_id = 6").count() == 0 and lines.dedup_lines(docs.limit(0)).count() == 0
+    short = spark.createDataFrame([(1, "same short line"), (2, "same short line\nmore"), (3, "same short lines"), (3, "other"), (3, "more")], "doc_id int, text string")
+    assert sorted(r.text for r in lines.dedup_lines(short).collect()) == ["more", "other", "same short line", "same short lines"]
 
 
 PATTERNS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
@@ -438,7 +445,6 @@ def test_wavelet_files_hold_the_tokens(spark, sf, real):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = {r.doc_id: r for r in registry.queries()["op9_wavelet_shards"](spark, sf).collect()}
     start = 0
     for k in sorted(real):
@@ -446,8 +452,9 @@ def test_wavelet_files_hold_the_tokens(spark, sf, real):
         assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
     e, rng = wavelet.Encoder(P.path("byte_bpe_50k.json")), random.Random(8)
-    for _ in range(2000):
-        x = "".join(rng.choice(" \n\ta.,é's1!?-Zß\x85 \x1c²漢<|endoftext|>") for _ in range(rng.randrange(30)))
+    parts = [*" \n\ta.,é's1!?-Zß\x85\0\x1c²漢<|>", "the", " The", "word.", "endoftext", "<|endoftext|>"]
+    for _ in range(4000):
+        x = "".join(rng.choice(parts) for _ in range(rng.randrange(24)))
         assert e.encode([x])[0].tolist() == t.encode(x, add_special_tokens=False).ids
 
 
@@ -458,6 +465,41 @@ def test_wavelet_on_odd_rows(spark, docs, tmp_path):
     back = wavelet.read_shards(spark, folder)
     assert back.count() == docs.count() and back.where("doc_id = 2").first().n_tokens == 1
     assert wavelet.write_shards(docs.limit(0), folder, P.path("byte_bpe_50k.json")).count() == 0
+    for kind, ids in {"binary": [b"\xff\x00", b"a"], "decimal(5,2)": [Decimal("1.50"), Decimal("-2.25")], "date": [date(2024, 1, 2), None], "smallint": [3, 1]}.items():
+        (tmp_path / kind).mkdir()
+        given = spark.createDataFrame([(i, "a b") for i in ids], f"doc_id {kind}, text string")
+        wavelet.write_shards(given, f"file://{tmp_path}/{kind}", P.path("byte_bpe_50k.json")).count()
+        assert {r.doc_id for r in wavelet.read_shards(spark, f"file://{tmp_path}/{kind}", kind).collect()} == set(ids)
+
+
+def test_pieces_end_where_matches_end():
+    import regex
+
+    pattern, rng = regex.compile(P.PATTERN), random.Random(10)
+    assert pieces.PATTERN == P.PATTERN
+    for _ in range(20_000):
+        x = "".join(rng.choice(" \n\n  a.,é's1!?-Zß\0漢\t") for _ in range(rng.randrange(14)))
+        cut = pieces.cut(x)
+        assert ("\t" in x) == (cut is None) and (cut is None or [m for p in cut for m in pattern.findall(p)] == pattern.findall(x))
+
+
+def test_bpe_long_words(spark):
+    import base64
+
+    import tiktoken
+
+    path, rng = P.path("byte_bpe_multi_50k.tiktoken"), random.Random(11)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    codec = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = [t.decode() for t in ranks if t.isascii() and t.decode().isalpha()]
+    texts = ["".join(rng.choice(a) for _ in range(rng.randrange(60, 900))) for a in ("ab", "acgt", "etaoinshr", "é漢ठtheß", tokens) for _ in range(8)]
+    texts += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000)), "!" * 60_000, "0" * 777, "abcdefg" * 500, "xyzzy" * 999]
+    engine = bpe.Engine(path, P.PATTERN)
+    ids = engine.encode(texts)
+    assert ids.to_pylist() == [codec.encode_ordinary(x) for x in texts] and engine.decode(ids) == [x.encode() for x in texts]
+    # Windows with nothing in common: the whole word is contracted.
+    engine._join = lambda windows, step: windows[0] if len(windows) == 1 else None
+    assert [np.frombuffer(x, np.int32).tolist() for x in engine._words(["ab" * 80])] == [codec.encode_ordinary("ab" * 80)]
 
 
 def test_bpe_equals_the_library(spark, docs):
