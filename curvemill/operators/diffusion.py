@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curvemill.functions.percentiles import percentiles
+from curvemill.operators.filters import per_curve
+from curvemill.operators.labels import largest_component, with_threshold
+from curvemill.sources.curves import subjects, to_long
+
 
 def spherical_mean(curves: DataFrame, gradients: DataFrame, *, keys: list[str]) -> DataFrame:
     """Mean signal of each voxel and shell (b rounded to 50); gradients (dir, bval) are few and broadcast."""
@@ -37,29 +39,45 @@ def rsi_fractions(means: DataFrame, shells: list[int], *, keys: list[str]) -> Da
 
 
 def fit_tensor(curves: DataFrame, gradients: DataFrame, *, keys: list[str], most_b: float = 1500.0) -> DataFrame:
-    """fa, md, ad and rd from a log-linear tensor fit weighted by the squared signal, over b up to most_b."""
-    rows = gradients.where(F.col("bval") <= most_b).orderBy("dir").collect()
-    g = np.array([[r["gx"], r["gy"], r["gz"]] for r in rows])
-    b = np.array([r["bval"] for r in rows])
-    at = np.array([r["dir"] for r in rows])
+    """fa, md, ad, rd and the colour fa (fa_x, fa_y, fa_z) from a log-linear tensor fit weighted by the squared signal, over b up to most_b.
+
+    Six directions or more are needed; curves with too few frames or a missing value there are null.
+    """
+    rows = gradients.where(F.col("bval") <= most_b).orderBy("dir").collect()  # one row a direction
+    g = np.array([[r["gx"], r["gy"], r["gz"]] for r in rows]).reshape(-1, 3)
+    b, at = np.array([r["bval"] for r in rows]), np.array([r["dir"] for r in rows], int)
     x, y, z = g.T
     design = np.column_stack([np.ones(len(b)), -b * x * x, -b * y * y, -b * z * z, -2 * b * x * y, -2 * b * x * z, -2 * b * y * z])
-    types = ", ".join(f"{k} {curves.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            s = np.maximum(part.column(len(keys)).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)[:, at], 1e-6)
+    if len({tuple(np.round(v, 6)) for v, w in zip(g, b) if w > 50}) < 6 or np.linalg.matrix_rank(design) < 7:
+        raise ValueError("a tensor needs six directions or more")
+    names = ("fa", "md", "ad", "rd", "fa_x", "fa_y", "fa_z")
+
+    def kernel(v: np.ndarray) -> dict[str, np.ndarray]:
+        out = np.full((len(names), len(v)), np.nan)
+        ok = np.isfinite(v[:, at]).all(1) if v.shape[1] > at.max() else np.zeros(len(v), bool)
+        if ok.any():
+            s = np.maximum(v[ok][:, at], 1e-6)
             w = s**2
             normal = np.einsum("vi,ij,ik->vjk", w, design, design)
             beta = np.linalg.solve(normal, np.einsum("vi,ij,vi->vj", w, design, np.log(s))[:, :, None])[:, :, 0]
             d = np.stack([np.stack([beta[:, 1], beta[:, 4], beta[:, 5]], -1), np.stack([beta[:, 4], beta[:, 2], beta[:, 6]], -1), np.stack([beta[:, 5], beta[:, 6], beta[:, 3]], -1)], -2)
-            e = np.linalg.eigvalsh(d)[:, ::-1]
+            e, axes = np.linalg.eigh(d)
             md = e.mean(1)
-            with np.errstate(all="ignore"):
-                fa = np.sqrt(1.5 * ((e - md[:, None]) ** 2).sum(1) / (e**2).sum(1))
-            yield pa.record_batch([*[part.column(i) for i in range(len(keys))], *[pa.array(v) for v in (np.clip(np.nan_to_num(fa), 0, 1), md, e[:, 0], e[:, 1:].mean(1))]], [*keys, "fa", "md", "ad", "rd"])
+            fa = np.clip(np.nan_to_num(np.sqrt(1.5 * ((e - md[:, None]) ** 2).sum(1) / (e**2).sum(1))), 0, 1)
+            out[:, ok] = [fa, md, e[:, 2], e[:, :2].mean(1), *(fa[:, None] * np.abs(axes[:, :, 2])).T]
+        return dict(zip(names, out))
+
+    return per_curve(curves.select(*keys, "values"), kernel, dict.fromkeys(names, "double")).drop("values")
+
 
-    return curves.select(*keys, "values").mapInArrow(run, types + ", fa double, md double, ad double, rd double")
+def diffusion_foreground(curves: DataFrame, gradients: DataFrame, *, most_b: float = 50.0, quantile: float = 0.60) -> DataFrame:
+    """The largest component of each subject's voxels whose mean signal without weighting exceeds a percentile of the positive ones."""
+    by = subjects(curves)
+    plain = gradients.where(F.col("bval") <= most_b).select(F.col("dir").alias("frame"))
+    long = to_long(curves, *by, "voxel_id", "x", "y", "z").join(F.broadcast(plain), "frame", "left_semi")
+    means = long.groupBy(*by, "voxel_id", "x", "y", "z").agg(F.avg("value").alias("_b0"))
+    limit = percentiles(means.where("_b0 > 0"), by=by, column="_b0", at={"_p": quantile})
+    return largest_component(with_threshold(means, limit, by).where(F.col("_b0") > F.coalesce("_p", F.lit(0.0))))
 
 
 def _voxel(p: Column, size: float) -> list[Column]:

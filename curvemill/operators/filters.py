@@ -1,4 +1,4 @@
-"""Filters and resampling of whole curves: NumPy on Arrow batches. Curves of a batch have one length."""
+"""Filters and resampling of whole curves: NumPy on Arrow batches. Curves of a batch may differ in length."""
 
 from __future__ import annotations
 
@@ -8,8 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from curvemill.operators.preprocess import major_peaks, shift_to_zero
+from curvemill.operators.fitting import ragged
+from curvemill.operators.preprocess import baseline_derivative, major_peaks, onset_walk, shift_to_zero
 
 PAD = 12
 
@@ -44,20 +46,23 @@ def zero_phase_matrix(n: int, order: int = 3, cutoff: float = 4.0, rate: float =
     return run(run(long)[::-1])[::-1][pad : pad + n]
 
 
+def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their curves as a matrix) for each length of curve in a list column; null curves are in none."""
+    flat, starts, lengths = ragged(column)
+    for n in np.unique(lengths[lengths >= 0]):
+        rows = np.flatnonzero(lengths == n)
+        yield rows, flat[starts[rows][:, None] + np.arange(n)]
+
+
 def over_batches(curves: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], *, values: str = "values") -> DataFrame:
-    """curves with ``values`` replaced by kernel(values[B, T]) -> [B, T']."""
+    """curves with ``values`` replaced by kernel(values[B, T]) -> [B, T']; null curves stay null."""
     names, at = curves.columns, curves.columns.index(values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(at)
-            lengths = np.diff(column.offsets.to_numpy())
-            flat, out = column.flatten().to_numpy(zero_copy_only=False).astype(float), [None] * len(lengths)
-            starts = np.concatenate([[0], np.cumsum(lengths)])
-            for n in np.unique(lengths):
-                rows = np.flatnonzero(lengths == n)
-                found = kernel(np.stack([flat[starts[r] : starts[r] + n] for r in rows])) if n else np.zeros((len(rows), 0))
-                for r, v in zip(rows, found):
+            out: list = [None] * b.num_rows
+            for rows, block in _by_length(b.column(at)):
+                for r, v in zip(rows, kernel(block) if block.shape[1] else block):
                     out[r] = v
             columns = [b.column(i) for i in range(len(names))]
             columns[at] = pa.array(out, pa.list_(pa.float64()))
@@ -66,13 +71,34 @@ def over_batches(curves: DataFrame, kernel: Callable[[np.ndarray], np.ndarray],
     return curves.mapInArrow(run, curves.schema)
 
 
-def lowpass(curves: DataFrame, **options) -> DataFrame:
-    """Zero-phase low-pass: one matrix product a batch."""
+def per_curve(curves: DataFrame, kernel: Callable[[np.ndarray], dict[str, np.ndarray]], outputs: dict[str, str], *, values: str = "values") -> DataFrame:
+    """curves with columns of kernel(values[B, T]) -> numbers by name; null where a curve is null or a result is not a number."""
+    names, at = curves.columns, curves.columns.index(values)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = {o: np.full(b.num_rows, np.nan) for o in outputs}
+            for rows, block in _by_length(b.column(at)):
+                with np.errstate(all="ignore"):
+                    for o, v in kernel(block).items():
+                        out[o][rows] = v
+            made = [pa.array(v, mask=~np.isfinite(v)).cast(pa.int64() if outputs[o] == "long" else pa.float64()) for o, v in out.items()]
+            yield pa.record_batch([*b.columns, *made], [*names, *outputs])
+
+    schema = StructType([*curves.schema.fields, *[StructField(o, LongType() if t == "long" else DoubleType()) for o, t in outputs.items()]])
+    return curves.mapInArrow(run, schema)
+
+
+def lowpass_column(curves: DataFrame, values: str, **options) -> DataFrame:
     def kernel(v: np.ndarray) -> np.ndarray:
         return v @ zero_phase_matrix(v.shape[1], **options).T if v.shape[1] > 1 else v
 
-    return over_batches(curves, kernel)
+    return over_batches(curves, kernel, values=values)
+
+
+def lowpass(curves: DataFrame, **options) -> DataFrame:
+    """Zero-phase low-pass: one matrix product a batch."""
+    return lowpass_column(curves, "values", **options)
 
 
 def onset_gradient(curves: DataFrame, *, default: int = 10) -> DataFrame:
@@ -114,13 +140,17 @@ def pchip(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (2 * t**3 - 3 * t**2 + 1) * y[:, i] + (t**3 - 2 * t**2 + t) * g * m[:, i] + (3 * t**2 - 2 * t**3) * y[:, i + 1] + (t**3 - t**2) * g * m[:, i + 1]
 
 
+def shift_rows(v: np.ndarray, t: np.ndarray, seconds: float) -> np.ndarray:
+    """Rows delayed by ``seconds``: zeros before the start of delayed ones, the last value after the end of advanced ones."""
+    moved = pchip(t, v, np.clip(t - seconds, t[0], t[-1]))
+    return np.where((t - seconds < t[0])[None, :], 0.0, moved)
+
+
 def shift_curves(curves: DataFrame, seconds: float, *, dt: float) -> DataFrame:
     """Curves delayed by ``seconds``: zeros before the start of a delayed one, the last value after the end of an advanced one."""
 
     def kernel(v: np.ndarray) -> np.ndarray:
-        t = np.arange(v.shape[1]) * dt
-        moved = pchip(t, v, np.clip(t - seconds, t[0], t[-1]))
-        return np.where((t - seconds < 0)[None, :], 0.0, moved)
+        return shift_rows(v, np.arange(v.shape[1]) * dt, seconds) if v.shape[1] > 1 else v
 
     return over_batches(curves, kernel)
 
@@ -133,3 +163,32 @@ def upsample(curves: DataFrame, factor: int) -> DataFrame:
         return pchip(np.arange(n, dtype=float), v, np.arange((n - 1) * factor + 1) / factor)
 
     return over_batches(curves, kernel)
+
+
+def baseline_gradient(curves: DataFrame, *, default: int = 10) -> DataFrame:
+    """nbf: the onset by the smoothed gradient of each curve, else that by its steepest slope; at least 3."""
+    found = onset_gradient(curves, default=-1)
+    return found.withColumn("nbf", F.greatest(F.when(F.col("onset") >= 0, F.col("onset")).otherwise(baseline_derivative(F.col("values"), fallback=default)), F.lit(3))).drop("onset")
+
+
+def norm_legacy_shift(curves: DataFrame, *, baseline: int = 10) -> DataFrame:
+    """Less the mean of frames [2, baseline), zeros before ``baseline``, then zeros before each curve's onset and the rest from zero up.
+
+    The onset is found on the smoothed curve. Curves of only zeros or without a number are zeros.
+    """
+
+    def flat(v: np.ndarray) -> np.ndarray:
+        n = v.shape[1]
+        b = min(max(baseline, 3), n)
+        if n < 3 or b <= 2:
+            return v
+        base = v[:, 2:b].mean(1)
+        out = v - np.where(np.isfinite(base), base, 0.0)[:, None]
+        out[:, :b] = 0.0
+        return out
+
+    dead = ~F.exists("values", lambda v: F.coalesce(~F.isnan(v) & (v != 0), F.lit(False)))
+    less = over_batches(curves.withColumn("_dead", dead), flat)
+    smoothed = lowpass_column(less.withColumn("_y", F.col("values")), "_y")
+    moved = shift_to_zero(F.col("values"), onset_walk(F.col("_y")))
+    return smoothed.withColumn("values", F.when(F.col("_dead"), F.transform("values", lambda v: F.lit(0.0))).otherwise(moved)).select(*curves.columns)

@@ -1,114 +1,176 @@
-"""Kinetic models on curves against one shared input curve.
-
-Per-curve sums are regression aggregates over the long form, or array expressions; dictionary fits are Arrow batches
-of matrix products against a basis that depends on the input curve alone. Rates come out x 6000 (mL/100 g/min) and
-fractions x 100 (mL/100 g).
-"""
+"""Kinetic models on curves against their subject's input curve. Rates come out x 6000 (mL/100 g/min), fractions x 100 (mL/100 g)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.functions import arrays as A
-from curvemill.sources.curves import to_long
-
+from curvemill.operators import tails
+from curvemill.operators.fitting import MODELS, Model, fit_model, over_inputs, register_model, subject_columns
 
-def patlak_coordinates(long_input: DataFrame, *, inclusive: bool = False) -> DataFrame:
-    """(frame, t, c_a) -> x: the integral of c_a up to the frame over c_a; exclusive left rule, or inclusive with a fixed step.
+__all__ = ["MODELS", "fit_by_label", "fit_model", "long_input", "patlak", "patlak_coordinates", "patlak_predict", "patlak_window", "pin_flow", "residue_moments", "tofts_predict"]
 
-    One row a frame of the one input curve: the window is over the curve, not over voxels.
-    """
-    w = Window.partitionBy("curve").orderBy("frame")
-    if inclusive:
-        step = F.max(F.when(F.col("frame") == 1, F.col("t"))).over(Window.partitionBy("curve")) - F.min("t").over(Window.partitionBy("curve"))
-        x = F.sum("c_a").over(w.rowsBetween(Window.unboundedPreceding, 0)) * step / F.when(F.col("c_a") != 0, F.col("c_a"))
-        return long_input.withColumn("x", F.coalesce(x, F.lit(0.0)))
-    area = F.col("c_a") * (F.lead("t").over(w) - F.col("t"))
-    with_area = long_input.withColumn("_area", area)
-    return with_area.withColumn("x", F.coalesce(F.sum("_area").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / F.col("c_a")).drop("_area")
 
+def long_input(inputs: DataFrame) -> DataFrame:
+    """One row a subject (c_a, t_s) -> (subject columns, curve, frame, c_a, t)."""
+    subject = subject_columns(inputs)
+    each = inputs.select(*subject, F.lit(0).alias("curve"), F.posexplode(F.arrays_zip("c_a", "t_s")).alias("frame", "s"))
+    return each.select(*subject, "curve", "frame", F.col("s.c_a").alias("c_a"), F.col("s.t_s").alias("t"))
 
-def long_input(input_row: DataFrame) -> DataFrame:
-    """One row (c_a, t_s) -> (curve, frame, c_a, t)."""
-    return input_row.select(F.lit(0).alias("curve"), F.posexplode(F.arrays_zip("c_a", "t_s")).alias("frame", "s")).select("curve", "frame", F.col("s.c_a").alias("c_a"), F.col("s.t_s").alias("t"))
 
+def patlak_coordinates(long: DataFrame, *, inclusive: bool = False) -> DataFrame:
+    """(frame, t, c_a) -> x: the integral of c_a up to the frame over c_a; exclusive left rule, or inclusive with a fixed step.
 
-def patlak(curves: DataFrame, input_row: DataFrame, *, keys: list[str], window: float = 1 / 3, per_voxel: bool = False, inclusive: bool = False) -> DataFrame:
+    One row a frame of each subject's input curve: the window is over a curve, not over voxels.
+    """
+    subject = [c for c in long.columns if c not in ("frame", "t", "c_a")]
+    w = Window.partitionBy(*subject).orderBy("frame")
+    c_a = F.when(F.col("c_a") != 0, F.col("c_a"))
+    if inclusive:
+        step = F.max(F.when(F.col("frame") == 1, F.col("t"))).over(Window.partitionBy(*subject)) - F.min("t").over(Window.partitionBy(*subject))
+        x = F.sum("c_a").over(w.rowsBetween(Window.unboundedPreceding, 0)) * step / c_a
+        return long.withColumn("x", F.coalesce(x, F.lit(0.0)))
+    with_area = long.withColumn("_area", F.col("c_a") * (F.lead("t").over(w) - F.col("t")))
+    return with_area.withColumn("x", F.coalesce(F.sum("_area").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) / c_a).drop("_area")
+
+
+def _patlak_prepare(
+    c_a: np.ndarray,
+    t: np.ndarray,
+    window: float = 1 / 3,
+    inclusive: bool = False,
+    per_voxel: bool = True,
+    floor: float = 0.0,
+    single_bolus: bool = False,
+    single_bolus_start_s: float = 60.0,
+    start: int | None = None,
+    stop: int | None = None,
+    tail: str | None = None,
+    huber: bool = False,
+    delta: float = 1.345,
+    steps: int = 20,
+    tolerance: float = 1e-7,
+    detrend: str = "none",
+    detrend_tail: float = 0.30,
+    detrend_threshold: float = 5e-4,
+) -> dict | None:
+    if len(t) < 2:
+        return None
+    drift, own = tails.drift_slope(c_a, t, detrend, detrend_tail, detrend_threshold)
+    c_a = c_a - drift * t
+    with np.errstate(all="ignore"):
+        area = np.cumsum(c_a) * (t[1] - t[0]) if inclusive else np.concatenate([[0.0], np.cumsum(c_a[:-1] * np.diff(t))])
+        x = np.where(c_a != 0, area / c_a, 0.0) if inclusive else area / c_a
+    usable = np.isfinite(x) & np.isfinite(c_a) & ((c_a != 0) | inclusive)
+    if (floor or single_bolus) and np.nanmax(c_a) > 0:
+        usable &= c_a >= (floor or 0.05) * np.nanmax(c_a)
+    if single_bolus:
+        usable &= t >= t[int(np.argmax(c_a))] + single_bolus_start_s
+    if tail:
+        start, stop = tails.tail_frames(c_a, t, tail)
+    frames = np.arange(len(t))
+    if start is not None:
+        usable &= (frames >= start) & (frames < (len(t) if stop is None else stop))
+    return {
+        "t": t, "c_a": c_a, "x": np.where(usable, x, 0.0), "usable": usable, "drift": drift, "own": own, "detrend_tail": detrend_tail, "inclusive": inclusive,
+        "window": None if single_bolus or start is not None else window if 0 < window < 1 else 1 / 3,
+        "strict": not per_voxel, "huber": huber, "delta": delta, "steps": steps, "tolerance": tolerance,
+    }
+
+
+def _line(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Weighted slope, intercept, sum of weights, sxx and sum of squared residuals of every row."""
+    n = w.sum(1)
+    mx, my = (w * x).sum(1) / n, (w * y).sum(1) / n
+    dx, dy = x - mx[:, None], y - my[:, None]
+    sxx = (w * dx * dx).sum(1)
+    slope = (w * dx * dy).sum(1) / sxx
+    return slope, my - slope * mx, n, sxx, (w * (dy - slope[:, None] * dx) ** 2).sum(1)
+
+
+def _patlak(values: np.ndarray, c: dict, carried: dict) -> dict[str, np.ndarray]:
+    """Least squares of c_t / c_a on x inside the window of each curve, or Huber's estimate by reweighting.
+
+    Every curve stops by itself, so results don't depend on batches.
+    """
+    if c["own"]:
+        values = values - tails.tail_slopes(values, c["t"], c["detrend_tail"])[:, None] * c["t"]
+    else:
+        values = values - c["drift"] * c["t"]
+    y = np.where(c["c_a"] != 0, values / c["c_a"], 0.0) if c["inclusive"] else values / c["c_a"]
+    good = c["usable"] & (np.isfinite(y) | c["inclusive"])
+    x, y = np.broadcast_to(c["x"], y.shape), np.where(good, y, 0.0)
+    if c["window"] is not None:
+        top = np.where(good, x, -np.inf).max(1, initial=-np.inf)[:, None]
+        good = good & (x >= c["window"] * top) & (x <= top)
+    w = good.astype(float)
+    slope, cut, n, sxx, sse = _line(x, y, w)
+    ok = (n >= 2) & np.isfinite(sxx) & (sxx > 0)
+    dof = np.where(n > 2, n - 2, np.nan if c["strict"] else 1.0)
+    sd = np.sqrt(np.maximum(sse, 0) / sxx / dof)
+    if c["huber"]:
+        live = ok.copy()
+        for _ in range(c["steps"]):
+            r = np.where(good[live], y[live] - slope[live, None] * x[live] - cut[live, None], np.nan)
+            scale = 1.4826 * np.nanmedian(np.abs(r - np.nanmedian(r, axis=1, keepdims=True)), axis=1)
+            u = np.abs(r) / np.where(scale > 1e-12, scale, 1.0)[:, None]
+            weight = w[live] * np.where(u <= c["delta"], 1.0, c["delta"] / np.maximum(np.nan_to_num(u, nan=1.0), 1e-12))
+            new, new_cut, total, spread, _ = _line(x[live], y[live], weight)
+            take = np.isfinite(new) & (spread > 0) & (total >= 2)
+            moved = np.where(take, np.abs(new - slope[live]), 0.0)
+            at = np.flatnonzero(live)
+            slope[at[take]], cut[at[take]] = new[take], new_cut[take]
+            live[at] = take & (moved >= c["tolerance"])
+            if not live.any():
+                break
+    blank = np.where(ok, 1.0, np.nan)
+    return {"ki": slope * 6000 * blank, "vb": cut * 100 * blank, "sd_ki": sd * 6000 * blank, "n": n}
+
+
+_PATLAK = {
+    "window": 1 / 3, "inclusive": False, "per_voxel": True, "floor": 0.0, "single_bolus": False, "single_bolus_start_s": 60.0, "start": None, "stop": None, "tail": None,
+    "huber": False, "delta": 1.345, "steps": 20, "tolerance": 1e-7, "detrend": "none", "detrend_tail": 0.30, "detrend_threshold": 5e-4,
+}
+for _name, _options in {
+    "patlak": {},
+    "patlak_huber": {"huber": True},
+    "patlak_inclusive": {"inclusive": True},
+    "patlak_legacy": {"per_voxel": False},
+    "patlak_tail": {"tail": "curvature"},
+}.items():
+    register_model(_name, Model(("ki", "vb", "sd_ki", "n"), _patlak_prepare, _patlak, options={**_PATLAK, **_options}))
+
+
+def patlak(curves: DataFrame, inputs: DataFrame, *, keys: Sequence[str], **options) -> DataFrame:
     """ki, vb, sd_ki and n of every curve: least squares of c_t / c_a on x over x >= window * its largest x.
 
-    The input curve (frames, not voxels) is broadcast; sums of a curve's frames are partial aggregates.
+    A projection of the curves: nothing is exploded or shuffled.
     """
-    coords = patlak_coordinates(long_input(input_row), inclusive=inclusive)
-    coords = F.broadcast(coords.withColumn("x_max", F.max("x").over(Window.partitionBy("curve"))))
-    points = to_long(curves, *keys).join(coords, "frame").withColumn("y", A.finite(F.col("value") / F.when(F.col("c_a") != 0, F.col("c_a"))))
-    good = points.where(F.col("y").isNotNull() & F.col("x").isNotNull())
-    if per_voxel:
-        # The largest x among a curve's own finite points, beside the points of the same group.
-        good = good.withColumn("x_max", F.max("x").over(Window.partitionBy(*keys)))
-    inside = good.where(F.col("x") >= window * F.col("x_max"))
-    stats = inside.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.regr_sxx("y", "x").alias("sxx"), F.regr_syy("y", "x").alias("syy"), F.regr_sxy("y", "x").alias("sxy")
-    )
-    dof = F.greatest(F.col("n") - 2, F.lit(1)) if per_voxel else F.when(F.col("n") > 2, F.col("n") - 2)
-    sse = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0))
-    ok = (F.col("n") >= 2) & (F.col("sxx") > 0)
-    return stats.select(*keys, "n", F.when(ok, F.col("slope") * 6000).alias("ki"), F.when(ok, F.col("intercept") * 100).alias("vb"), F.when(ok, F.sqrt(sse / F.when(F.col("sxx") > 0, F.col("sxx")) / dof) * 6000).alias("sd_ki"))
-
-
-def patlak_window(curves: DataFrame, input_row: DataFrame, *, keys: list[str], start: int, stop: int) -> DataFrame:
-    """ki and vb of every curve by least squares over the frames [start, stop), the same for all."""
-    coords = F.broadcast(patlak_coordinates(long_input(input_row)).where(F.col("frame").between(start, stop - 1)))
-    points = to_long(curves, *keys).join(coords, "frame").select(*keys, "x", A.finite(F.col("value") / F.when(F.col("c_a") != 0, F.col("c_a"))).alias("y"))
-    fits = points.groupBy(*keys).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("cut"))
-    return fits.select(*keys, (F.col("slope") * 6000).alias("ki"), (F.col("cut") * 100).alias("vb"))
-
-
-def patlak_predict(fits: DataFrame, input_row: DataFrame) -> DataFrame:
-    """fits with ``predicted``: ki/6000 times the running integral of c_a plus vb/100 times c_a."""
-    w = Window.partitionBy("curve").orderBy("frame")
-    area = long_input(input_row).withColumn("_a", F.col("c_a") * (F.lead("t").over(w) - F.col("t")))
-    area = area.withColumn("_i", F.coalesce(F.sum("_a").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    one = area.groupBy("curve").agg(F.array_sort(F.collect_list(F.struct("frame", "_i", "c_a"))).alias("_s"))
-    joined = fits.join(F.broadcast(one), F.lit(0) == F.col("curve"))
-    return joined.withColumn("predicted", F.transform("_s", lambda s: F.col("ki") / 6000 * s["_i"] + F.col("vb") / 100 * s["c_a"])).drop("curve", "_s")
-
+    return fit_model(curves, inputs, "patlak", keys=keys, **options).withColumn("n", F.col("n").cast("long"))
 
-Kernel = Callable[[np.ndarray, dict], dict[str, np.ndarray]]
-MODELS: dict[str, tuple[tuple[str, ...], Kernel, Callable]] = {}
 
+def patlak_window(curves: DataFrame, inputs: DataFrame, *, keys: Sequence[str], start: int, stop: int, **options) -> DataFrame:
+    """ki and vb of every curve by least squares (or ``huber``) over the frames [start, stop), the same for all."""
+    return fit_model(curves, inputs, "patlak", keys=keys, start=start, stop=stop, **options).select(*keys, "ki", "vb")
 
-def register_model(name: str, outputs: tuple[str, ...], prepare: Callable[[np.ndarray, np.ndarray], dict], kernel: Kernel) -> None:
-    """A model: prepare(c_a, t) -> context, once a subject; kernel(values[B, T], context) -> outputs[B]."""
-    if name in MODELS:
-        raise ValueError(f"model {name} is registered already")
-    MODELS[name] = (outputs, kernel, prepare)
 
-
-def fit_model(curves: DataFrame, input_row: DataFrame, model: str, *, keys: list[str], batch: int = 2048) -> DataFrame:
-    """keys and the model's outputs of every curve. The input curve is one row, and goes to the tasks with the function."""
-    outputs, kernel, prepare = MODELS[model]
-    row = input_row.first()
-    context = prepare(np.array(row["c_a"]), np.array(row["t_s"]))
-    types = ", ".join(f"{k} {curves.schema[k].dataType.simpleString()}" for k in keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, batch):
-                part = b.slice(at, batch)
-                column = part.column(len(keys))
-                values = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(float)
-                found = kernel(values, context)
-                yield pa.record_batch([*[part.column(i) for i in range(len(keys))], *[pa.array(np.asarray(found[o], float)) for o in outputs]], [*keys, *outputs])
-
-    return curves.select(*keys, "values").mapInArrow(run, types + "".join(f", {o} double" for o in outputs))
+def patlak_predict(fits: DataFrame, inputs: DataFrame) -> DataFrame:
+    """fits with ``predicted``: ki/6000 times the running integral of c_a plus vb/100 times c_a of the fit's subject."""
+    subject = subject_columns(inputs)
+    long = long_input(inputs)
+    w = Window.partitionBy(*subject, "curve").orderBy("frame")
+    area = long.withColumn("_a", F.col("c_a") * (F.lead("t").over(w) - F.col("t")))
+    area = area.withColumn("_i", F.coalesce(F.sum("_a").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    one = area.groupBy(*subject, "curve").agg(F.array_sort(F.collect_list(F.struct("frame", "_i", "c_a"))).alias("_s"))
+    few = F.broadcast(one) if inputs.count() <= 10_000 else one
+    joined = fits.join(few, subject) if subject else fits.crossJoin(few)
+    return joined.withColumn("predicted", F.transform("_s", lambda s: F.col("ki") / 6000 * s["_i"] + F.col("vb") / 100 * s["c_a"])).drop("curve", "_s")
 
 
-def _trapezoid_exponential(c_a: np.ndarray, t: np.ndarray, k: np.ndarray) -> np.ndarray:
+def trapezoid_exponential(c_a: np.ndarray, t: np.ndarray, k: np.ndarray) -> np.ndarray:
     """c_a convolved with exp(-k t) by the trapezoid recurrence, one column a rate."""
     out = np.zeros((len(t), len(k)))
     for i in range(1, len(t)):
@@ -118,12 +180,14 @@ def _trapezoid_exponential(c_a: np.ndarray, t: np.ndarray, k: np.ndarray) -> np.
     return out
 
 
-def _tofts_prepare(c_a: np.ndarray, t: np.ndarray) -> dict:
-    k = np.logspace(-4, np.log10(2.0), 400)
-    return {"c_a": c_a, "k": k, "basis": _trapezoid_exponential(c_a, t, k)}
+def _tofts_prepare(c_a: np.ndarray, t: np.ndarray, nodes: int = 400, lo: float = 1e-4, hi: float = 2.0) -> dict | None:
+    if len(t) < 3:
+        return None
+    k = np.logspace(np.log10(lo), np.log10(hi), nodes)
+    return {"c_a": c_a, "k": k, "basis": trapezoid_exponential(c_a, t, k)}
 
 
-def _tofts(values: np.ndarray, c: dict) -> dict[str, np.ndarray]:
+def _tofts(values: np.ndarray, c: dict, carried: dict) -> dict[str, np.ndarray]:
     """The two linear parameters in closed form at every rate; the rate with the least squared error."""
     b, a = c["basis"], c["c_a"]
     bb, ab, aa = (b * b).sum(0) + 1e-12, a @ b, a @ a + 1e-12
@@ -132,107 +196,65 @@ def _tofts(values: np.ndarray, c: dict) -> dict[str, np.ndarray]:
     k_trans = (yb * aa - ya[:, None] * ab) / det
     v_p = (ya[:, None] * bb - yb * ab) / det
     sse = (values**2).sum(1)[:, None] - k_trans * yb - v_p * ya[:, None]
-    best = sse.argmin(1)
+    best = np.nan_to_num(sse, nan=np.inf).argmin(1)
     rows = np.arange(len(values))
     kt, vp, kep = np.clip(k_trans[rows, best], 0, 0.25), np.clip(v_p[rows, best], 0, 1), c["k"][best]
-    return {"ktrans": kt * 6000, "ve": np.clip(kt / kep, 0, 1), "vp": vp, "kep": kep * 60}
-
-
-register_model("extended_tofts", ("ktrans", "ve", "vp", "kep"), _tofts_prepare, _tofts)
-
-
-def _deconvolve_prepare(c_a: np.ndarray, t: np.ndarray) -> dict:
-    """The convolution operator of the input curve and its singular values; penalties on a log grid."""
-    dt = float(t[1] - t[0])
-    n = len(t)
-    lag = np.arange(n)[:, None] - np.arange(n)[None, :]
-    op = np.where(lag >= 0, c_a[np.clip(lag, 0, None)], 0.0) * dt
-    u, s, vt = np.linalg.svd(op)
-    return {"u": u, "s": s, "vt": vt, "dt": dt, "grid": np.logspace(np.log10(s.max() * 1e-4), np.log10(s.max()), 61), "area": c_a.sum() * dt}
-
-
-def _deconvolve(values: np.ndarray, c: dict) -> dict[str, np.ndarray]:
-    """Tikhonov deconvolution with the penalty of least generalised cross-validation; flow, volume and transit time."""
-    beta = values @ c["u"]
-    s2 = c["s"] ** 2
-    score = np.empty((len(values), len(c["grid"])))
-    for j, lam in enumerate(c["grid"]):
-        keep = lam**2 / (s2 + lam**2)
-        score[:, j] = ((beta * keep) ** 2).sum(1) / keep.sum() ** 2
-    lam = c["grid"][score.argmin(1)]
-    residue = (beta * (c["s"] / (s2 + lam[:, None] ** 2))) @ c["vt"]
-    flow = np.clip(residue.max(1), 0, None)
-    volume = values.sum(1) * c["dt"] / c["area"]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mtt = np.where(flow > 0, volume / flow, np.nan)
-    return {"cbf": flow * 6000 / 1.04, "cbv": volume * 100, "mtt": mtt, "lambda_opt": lam}
-
-
-register_model("deconvolve", ("cbf", "cbv", "mtt", "lambda_opt"), _deconvolve_prepare, _deconvolve)
-
-
-def _huber_prepare(c_a: np.ndarray, t: np.ndarray) -> dict:
-    x = np.concatenate([[0.0], np.cumsum(c_a[:-1] * np.diff(t))]) / c_a
-    return {"c_a": c_a, "x": x, "inside": x >= x.max() / 3}
-
-
-def _huber(values: np.ndarray, c: dict, steps: int = 20, delta: float = 1.345) -> dict[str, np.ndarray]:
-    """Patlak by iteratively reweighted least squares; every curve stops by itself, so results don't depend on batches."""
-    y = (values / c["c_a"])[:, c["inside"]]
-    x = np.broadcast_to(c["x"][c["inside"]], y.shape)
-    ok = np.isfinite(y)
-    y = np.where(ok, y, 0.0)
-    w = ok.astype(float)
-
-    def fit(w):
-        n, sx, sy = w.sum(1), (w * x).sum(1), (w * y).sum(1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mx, my = sx / n, sy / n
-            slope = (w * (x - mx[:, None]) * (y - my[:, None])).sum(1) / (w * (x - mx[:, None]) ** 2).sum(1)
-        return slope, my - slope * mx
-
-    slope, cut = fit(w)
-    live = np.isfinite(slope) & (ok.sum(1) >= 2)
-    for _ in range(steps):
-        r = np.where(ok, y - slope[:, None] * x - cut[:, None], np.nan)
-        with np.errstate(all="ignore"):
-            mad = 1.4826 * np.nanmedian(np.abs(r - np.nanmedian(r, axis=1, keepdims=True)), axis=1)
-            u = np.abs(r) / np.where(mad > 1e-12, mad, 1.0)[:, None]
-        new_slope, new_cut = fit(np.where(ok, np.minimum(1.0, delta / np.maximum(u, 1e-12)), 0.0))
-        take = live & np.isfinite(new_slope)
-        moved = np.abs(new_slope - slope) >= 1e-7
-        slope, cut = np.where(take, new_slope, slope), np.where(take, new_cut, cut)
-        live = take & moved
-        if not live.any():
-            break
-    return {"ki": slope * 6000, "vb": cut * 100}
-
-
-register_model("patlak_huber", ("ki", "vb"), _huber_prepare, _huber)
+    return {"ktrans": kt * 6000, "ve": np.clip(kt / kep, 0, 1), "vp": vp, "kep": kep + 0 * kt}
+
+
+def _tofts_out(values: np.ndarray, c: dict, carried: dict) -> dict[str, np.ndarray]:
+    found = _tofts(values, c, carried)
+    return {**found, "kep": found["kep"] * 60}
+
+
+register_model("extended_tofts", Model(("ktrans", "ve", "vp", "kep"), _tofts_prepare, _tofts_out, options={"nodes": 400, "lo": 1e-4, "hi": 2.0}))
+
+
+def tofts_predict(fits: DataFrame, inputs: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """keys and ``predicted`` of fits (ktrans x 6000, ve, vp): ktrans times c_a convolved with exp(-ktrans / ve t), plus vp c_a."""
+
+    def kernel(values, c, carried):
+        k, ve, vp = carried["ktrans"] / 6000, np.maximum(carried["ve"], 1e-12), carried["vp"]
+        return {"predicted": (k[:, None] * trapezoid_exponential(c["c_a"], c["t"], k / ve).T + vp[:, None] * c["c_a"]).tolist()}
+
+    return over_inputs(fits, inputs, lambda c_a, t: {"c_a": c_a, "t": t}, kernel, keys=keys, outputs={"predicted": "array<double>"}, values=None, carried=["ktrans", "ve", "vp"])
 
 
 def residue_moments(curves: DataFrame, *, dt: float) -> DataFrame:
-    """mtt and cth of residue curves in ``values``: clipped at 0, made to fall, then moments of minus its slope."""
+    """mtt and cth of residue curves in ``values``: clipped at 0, made to fall, then the integral and the spread of minus its slope.
+
+    Null where the slope's area is 1e-12 or less, or a curve has fewer than 5 values.
+    """
+    from curvemill.operators.deconvolution import residue_mtt_cth
+    from curvemill.operators.filters import per_curve
+
+    def kernel(v: np.ndarray) -> dict[str, np.ndarray]:
+        mtt, cth = residue_mtt_cth(v, dt)
+        return {"mtt": mtt, "cth": cth}
 
-    def of(r):
-        fall = F.aggregate(r, F.array().cast("array<double>"), lambda s, v: F.concat(s, F.array(F.least(F.greatest(v, F.lit(0.0)), F.coalesce(F.element_at(F.when(F.size(s) > 0, s), -1), F.lit(float("inf")))))))
-        return fall
+    return per_curve(curves, kernel, {"mtt": "double", "cth": "double"})
 
-    falling = curves.withColumn("_r", of(F.col("values")))
-    h = F.transform(A.differences(F.col("_r")), lambda d: F.greatest(-d / dt, F.lit(0.0)))
-    with_h = falling.withColumn("_h", h)
-    area = A.total(F.col("_h")) * dt
-    m1 = A.total(F.transform("_h", lambda v, i: v * (i + 0.5) * dt)) * dt / F.when(area > 1e-12, area)
-    m2 = A.total(F.transform("_h", lambda v, i: v * (i + 0.5) * dt * (i + 0.5) * dt)) * dt / F.when(area > 1e-12, area)
-    n = F.size("_r")
-    mtt = dt * (A.total(F.col("_r")) - (F.get("_r", F.lit(0)) + F.get("_r", n - 1)) / 2) / F.when(F.get("_r", F.lit(0)) > 1e-12, F.get("_r", F.lit(0)))
-    return with_h.withColumns({"mtt": mtt, "cth": F.sqrt(F.greatest(m2 - m1 * m1, F.lit(0.0)))}).drop("_r", "_h")
 
+def pin_flow(curves: DataFrame, inputs: DataFrame, model: str, *, keys: Sequence[str], deconvolution: dict | None = None, **options) -> DataFrame:
+    """A model whose flow is pinned to each curve's own flow by deconvolution, in two passes over the curves."""
+    flow = fit_model(curves, inputs, "deconvolve", keys=keys, **(deconvolution or {})).select(*keys, F.col("cbf").alias("flow"))
+    return fit_model(curves.drop("flow").join(flow, [*keys]), inputs, model, keys=keys, **options)
 
-def fit_by_label(curves: DataFrame, input_row: DataFrame, *, label: str = "label", keys: list[str]) -> DataFrame:
-    """The Patlak fit of each label's median curve, painted on its voxels."""
+
+def fit_by_label(curves: DataFrame, inputs: DataFrame, *, label: str = "label", keys: Sequence[str], model: str = "patlak", flow: str | None = None, **options) -> DataFrame:
+    """A model's fit of each label's median curve, painted on its voxels; labels of only zeros or no numbers are null.
+
+    With ``flow``, a column of the curves, a label's flow is pinned to the median of that column.
+    """
+    from curvemill.functions.percentiles import median
     from curvemill.operators.aggregate import group_median_curve
 
-    median = group_median_curve(curves, by=[label], least=1)
-    fits = patlak(median, input_row, keys=[label])
-    return curves.select(*keys, label).join(F.broadcast(fits) if fits.count() <= 100_000 else fits, label).select(*keys, label, "ki", "vb")
+    groups = [*subject_columns(inputs), label]
+    middle = group_median_curve(curves.where(F.col(label) > 0), by=groups, least=1)
+    middle = middle.where(F.exists("values", lambda v: F.coalesce(v != 0, F.lit(False))))
+    if flow:
+        middle = middle.join(median(curves, by=groups, column=flow, name="flow"), groups)
+    fits = fit_model(middle, inputs, model, keys=groups, **options)
+    outputs = [c for c in fits.columns if c not in groups]
+    painted = curves.select(*dict.fromkeys([*keys, *groups])).join(F.broadcast(fits) if fits.count() <= 100_000 else fits, groups, "left")
+    return painted.select(*dict.fromkeys([*keys, label]), *outputs)

@@ -2,36 +2,59 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
+from curvemill.functions.percentiles import median, percentiles
+from curvemill.sources.curves import subjects
 
 
-def otsu_threshold(values: DataFrame, *, column: str = "value", bins: int = 256) -> DataFrame:
-    """One row: the left edge of the histogram bin that splits the values with the most variance between the classes."""
-    v = A.finite(F.col(column))
-    ends = values.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df cut from its lineage in the folder that spark.checkpoint.dir names; a temporary one only with a local master (tests)."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='curvemill-')}")
+    return df.checkpoint()
+
+
+def otsu_threshold(values: DataFrame, *, column: str = "value", bins: int = 256, by: list[str] | None = None, centre: bool = False) -> DataFrame:
+    """by (each subject, where there are several) and the edge, or centre, of the histogram bin that splits the values with the most variance between the classes."""
+    by = subjects(values) if by is None else by
+    v = A.finite(F.col(column).cast("double"))
+    ends = values.groupBy(*by).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
-    placed = values.select(v.alias("v")).where("v is not null").join(F.broadcast(ends), F.col("v") >= F.col("lo"))
-    counts = placed.groupBy(F.least(F.floor((F.col("v") - F.col("lo")) / F.when(width > 0, width)), F.lit(bins - 1)).cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    points = values.select(*by, v.alias("v")).where("v is not null")
+    placed = points.join(F.broadcast(ends) if ends.count() <= 100_000 else ends, by) if by else points.crossJoin(F.broadcast(ends))
+    counts = placed.groupBy(*by, F.least(F.floor((F.col("v") - F.col("lo")) / F.when(width > 0, width)), F.lit(bins - 1)).cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
     # One row a bin at most: the running sums are over bins.
-    below, everything = Window.partitionBy("lo", "hi").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("lo", "hi")
+    everything = Window.partitionBy(*by, "lo", "hi")
+    below = everything.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     mid = F.col("lo") + (F.col("bin") + 0.5) * width
     sums = counts.withColumns({"w0": F.sum("n").over(below), "m0": F.sum(F.col("n") * mid).over(below), "w": F.sum("n").over(everything), "m": F.sum(F.col("n") * mid).over(everything)})
     w1 = F.col("w") - F.col("w0")
     gap = F.col("m0") / F.col("w0") - (F.col("m") - F.col("m0")) / F.when(w1 > 0, w1)
     between = F.coalesce(F.col("w0") * w1 * gap * gap, F.lit(0.0))
-    best = sums.withColumn("b", F.round(between, 9)).groupBy("lo", "hi").agg(F.max(F.struct("b", (-F.col("bin")).alias("k"))).alias("x"))
-    return best.select((F.col("lo") - F.col("x.k") * width).alias("threshold"))
+    best = sums.withColumn("b", F.round(between, 9)).groupBy(*by, "lo", "hi").agg(F.max(F.struct("b", (-F.col("bin")).alias("k"))).alias("x"))
+    return best.select(*by, (F.col("lo") + (-F.col("x.k") + (0.5 if centre else 0.0)) * width).alias("threshold"))
+
+
+def with_threshold(rows: DataFrame, threshold: DataFrame, by: list[str]) -> DataFrame:
+    """rows with their subject's one-row columns."""
+    few = F.broadcast(threshold) if threshold.count() <= 100_000 else threshold
+    return rows.join(few, by, "left") if by else rows.crossJoin(few)
 
 
 def mask_otsu(maps: DataFrame) -> DataFrame:
-    """label 1 above the Otsu threshold, else 0."""
-    edge = otsu_threshold(maps).first()
-    return maps.withColumn("label", (F.coalesce(F.col("value") > F.lit(edge[0] if edge else None), F.lit(False))).cast("int"))
+    """label 1 above the subject's Otsu threshold, else 0."""
+    found = with_threshold(maps, otsu_threshold(maps), subjects(maps))
+    return found.withColumn("label", F.coalesce(F.col("value") > F.col("threshold"), F.lit(False)).cast("int")).drop("threshold")
 
 
 def restrict_labels(parcellation: DataFrame, keep: list[int] | None) -> DataFrame:
@@ -41,11 +64,11 @@ def restrict_labels(parcellation: DataFrame, keep: list[int] | None) -> DataFram
 
 def combine_masks(masks: DataFrame) -> DataFrame:
     """(voxel_id, label) of several masks, one row a voxel: the lowest label wins."""
-    return masks.groupBy("voxel_id").agg(F.min("label").alias("label"))
+    return masks.groupBy(*subjects(masks), "voxel_id").agg(F.min("label").alias("label"))
 
 
 def assign_region(parcellation: DataFrame, region_map: DataFrame) -> DataFrame:
-    return parcellation.join(region_map, "label").select("voxel_id", "label", "region")
+    return parcellation.join(F.broadcast(region_map), "label").select(*subjects(parcellation), "voxel_id", "label", "region")
 
 
 def label_names(parcellation: DataFrame, labels: DataFrame) -> DataFrame:
@@ -54,7 +77,7 @@ def label_names(parcellation: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def exclude_voxels(parcellation: DataFrame, excluded: DataFrame) -> DataFrame:
-    return parcellation.join(excluded, "voxel_id", "left_anti")
+    return parcellation.join(excluded, [*subjects(parcellation, excluded), "voxel_id"], "left_anti")
 
 
 def resample_nearest(targets: DataFrame, source: DataFrame, matrix: list[list[float]]) -> DataFrame:
@@ -63,21 +86,23 @@ def resample_nearest(targets: DataFrame, source: DataFrame, matrix: list[list[fl
     def at(row: list[float]) -> Column:
         return F.rint(F.col("x") * row[0] + F.col("y") * row[1] + F.col("z") * row[2] + row[3]).cast("int")
 
-    placed = targets.select("voxel_id", *[at(r).alias(f"_{a}") for r, a in zip(matrix, "xyz")])
-    found = source.select(*[F.col(a).alias(f"_{a}") for a in "xyz"], "label")
-    return placed.join(found, ["_x", "_y", "_z"], "left").select("voxel_id", F.coalesce("label", F.lit(0)).alias("label"))
+    by = subjects(targets, source)
+    placed = targets.select(*by, "voxel_id", *[at(r).alias(f"_{a}") for r, a in zip(matrix, "xyz")])
+    found = source.select(*by, *[F.col(a).alias(f"_{a}") for a in "xyz"], "label")
+    return placed.join(found, [*by, "_x", "_y", "_z"], "left").select(*by, "voxel_id", F.coalesce("label", F.lit(0)).alias("label"))
 
 
 def resample_linear(targets: DataFrame, source: DataFrame, scale: float) -> DataFrame:
     """Values of target voxels at (x, y, z) * scale by the eight source voxels around; missing corners count as 0."""
-    placed = targets.select("voxel_id", *[(F.col(a) * scale).alias(f"_{a}") for a in "xyz"])
+    by = subjects(targets, source)
+    placed = targets.select(*by, "voxel_id", *[(F.col(a) * scale).alias(f"_{a}") for a in "xyz"])
     corner = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_c"))
     for k, a in enumerate("xyz"):
         bit = F.shiftright("_c", k).bitwiseAND(F.lit(1))
         corner = corner.withColumns({f"_i{a}": (F.floor(f"_{a}") + bit).cast("int"), f"_w{a}": F.when(bit == 1, F.col(f"_{a}") - F.floor(f"_{a}")).otherwise(1 - (F.col(f"_{a}") - F.floor(f"_{a}")))})
-    named = source.select(*[F.col(a).alias(f"_i{a}") for a in "xyz"], "value")
-    joined = corner.where("_wx * _wy * _wz > 0").join(named, ["_ix", "_iy", "_iz"], "left")
-    return joined.groupBy("voxel_id").agg(F.sum(F.col("_wx") * F.col("_wy") * F.col("_wz") * F.coalesce("value", F.lit(0.0))).alias("value"))
+    named = source.select(*by, *[F.col(a).alias(f"_i{a}") for a in "xyz"], "value")
+    joined = corner.where("_wx * _wy * _wz > 0").join(named, [*by, "_ix", "_iy", "_iz"], "left")
+    return joined.groupBy(*by, "voxel_id").agg(F.sum(F.col("_wx") * F.col("_wy") * F.col("_wz") * F.coalesce("value", F.lit(0.0))).alias("value"))
 
 
 _STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
@@ -90,56 +115,157 @@ def _neighbours(voxels: DataFrame) -> DataFrame:
     return each.withColumns({a: F.col(a) + F.col(f"_s.{a}") for a in "xyz"}).drop("_s")
 
 
+#: Rounds after which something must be wrong: they grow with the logarithm of the longest path.
+MAX_ROUNDS = 200
+
+
 def connected_components(voxels: DataFrame) -> DataFrame:
-    """(voxel_id, component) of a voxel set under 6-neighbourhood; component is the least voxel id.
+    """(subject_id, voxel_id, component) of each subject's voxel set under 6-neighbourhood; component is the least voxel id.
 
     Labels spread to neighbours and jump to the label of their label, so the rounds grow with the logarithm of a
     component's length; each round is checkpointed.
     """
-    here = voxels.select("voxel_id", "x", "y", "z")
-    edges = _neighbours(here).join(here.withColumnRenamed("voxel_id", "other"), ["x", "y", "z"]).select("voxel_id", "other")
-    edges = _kept(edges)
-    labels = _kept(here.select("voxel_id", F.col("voxel_id").alias("component")))
-    while True:
-        low = edges.join(labels.select(F.col("voxel_id").alias("other"), "component"), "other").groupBy("voxel_id").agg(F.min("component").alias("_l"))
-        spread = labels.join(low, "voxel_id", "left").select("voxel_id", F.col("component").alias("_old"), F.least("component", F.coalesce("_l", "component")).alias("component"))
-        jump = spread.join(labels.select(F.col("voxel_id").alias("component"), F.col("component").alias("_j")), "component", "left")
-        new = _kept(jump.select("voxel_id", "_old", F.least("component", F.coalesce("_j", "component")).alias("component")))
+    by = subjects(voxels)
+    here = voxels.select(*by, "voxel_id", "x", "y", "z")
+    edges = _neighbours(here).join(here.withColumnRenamed("voxel_id", "other"), [*by, "x", "y", "z"]).select(*by, "voxel_id", "other")
+    edges = checkpointed(edges)
+    labels = checkpointed(here.select(*by, "voxel_id", F.col("voxel_id").alias("component")))
+    for _ in range(MAX_ROUNDS):
+        low = edges.join(labels.select(*by, F.col("voxel_id").alias("other"), "component"), [*by, "other"]).groupBy(*by, "voxel_id").agg(F.min("component").alias("_l"))
+        spread = labels.join(low, [*by, "voxel_id"], "left").select(*by, "voxel_id", F.col("component").alias("_old"), F.least("component", F.coalesce("_l", "component")).alias("component"))
+        jump = spread.join(labels.select(*by, F.col("voxel_id").alias("component"), F.col("component").alias("_j")), [*by, "component"], "left")
+        new = checkpointed(jump.select(*by, "voxel_id", "_old", F.least("component", F.coalesce("_j", "component")).alias("component")))
         moved = new.where("component <> _old").limit(1).count()
-        labels = new.select("voxel_id", "component")
+        labels = new.select(*by, "voxel_id", "component")
         if not moved:
             return labels
+    raise RuntimeError("components did not settle")
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        import os
-        import tempfile
+def largest_component(voxels: DataFrame) -> DataFrame:
+    """The voxels of each subject's largest component, the one with the least voxel id on a tie."""
+    by = subjects(voxels)
+    found = checkpointed(connected_components(voxels))
+    sizes = found.groupBy(*by, "component").agg(F.count(F.lit(1)).alias("n"))
+    best = sizes.groupBy(*by).agg(F.max(F.struct("n", (-F.col("component")).alias("k"))).alias("b")).select(*by, (-F.col("b.k")).alias("component"))
+    return found.join(best, [*by, "component"], "left_semi").select(*by, "voxel_id")
 
-        spark.sparkContext.setCheckpointDir(f"file://{os.path.join(tempfile.gettempdir(), 'curvemill-' + uuid.uuid4().hex)}")
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint()
 
+def component_of(voxels: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The voxels in the components of the seed voxels (subject_id, voxel_id)."""
+    by = subjects(voxels, seeds)
+    found = checkpointed(connected_components(voxels))
+    hit = found.join(seeds.select(*by, "voxel_id"), [*by, "voxel_id"], "left_semi").select(*by, "component").distinct()
+    return found.join(hit, [*by, "component"], "left_semi").select(*by, "voxel_id")
 
-def largest_component(voxels: DataFrame) -> DataFrame:
-    found = _kept(connected_components(voxels))
-    best = found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct("n", (-F.col("component")).alias("k"), "component")).alias("b"))
-    return found.join(F.broadcast(best.select(F.col("b.component").alias("component"))), "component", "left_semi").select("voxel_id")
+
+def strongest_component(voxels: DataFrame, *, score: str = "score") -> DataFrame:
+    """The voxels of each subject's component with the largest sum of scores."""
+    by = subjects(voxels)
+    found = checkpointed(connected_components(voxels)).join(voxels.select(*by, "voxel_id", score), [*by, "voxel_id"])
+    sums = found.groupBy(*by, "component").agg(F.sum(score).alias("w"))
+    best = sums.groupBy(*by).agg(F.max(F.struct("w", (-F.col("component")).alias("k"))).alias("b")).select(*by, (-F.col("b.k")).alias("component"))
+    return found.join(best, [*by, "component"], "left_semi").select(*by, "voxel_id", score)
 
 
 def binary_open(voxels: DataFrame) -> DataFrame:
-    """Erosion and then dilation of a voxel set by the 6-neighbourhood, as (x, y, z)."""
-    here = voxels.select("x", "y", "z").distinct()
-    full = _neighbours(here).join(here, ["x", "y", "z"], "left_semi")  # each place once for every neighbour in the set
-    eroded = full.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("n")).where("n = 6").select("x", "y", "z").join(here, ["x", "y", "z"], "left_semi")
+    """Erosion and then dilation of a voxel set by the 6-neighbourhood, as (subject_id, x, y, z)."""
+    by = subjects(voxels)
+    place = [*by, "x", "y", "z"]
+    here = voxels.select(*place).distinct()
+    full = _neighbours(here).join(here, place, "left_semi")  # each place once for every neighbour in the set
+    eroded = full.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where("n = 6").select(*place).join(here, place, "left_semi")
     return eroded.unionByName(_neighbours(eroded)).distinct()
 
 
+def foreground_component(curves: DataFrame, *, values: str = "values", frames: int = 10, share: float = 0.1) -> DataFrame:
+    """The largest component of the voxels whose early mean exceeds a share of the subject's 99th percentile."""
+    by = subjects(curves)
+    early = curves.select(*by, "voxel_id", "x", "y", "z", A.mean(A.span(F.col(values), 0, frames)).alias("_e"))
+    limit = percentiles(early, by=by, column="_e", at={"_p": 0.99})
+    return largest_component(with_threshold(early, limit, by).where(F.col("_e") > share * F.col("_p")))
+
+
+def hyperintense_voxels(maps: DataFrame, *, low: float = 2.0, high: float = 12.0, least: int = 2000) -> DataFrame:
+    """(subject_id, x, y, z) of bright spots: robust deviations between low and high from the median, opened; subjects of over ``least`` voxels."""
+    by = subjects(maps)
+    middle = median(maps, by=by, name="_m")
+    with_middle = with_threshold(maps, middle, by).withColumn("_d", F.abs(F.col("value") - F.col("_m")))
+    spread = median(with_middle, by=by, column="_d", name="_mad")
+    big = maps.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
+    z = (F.col("value") - F.col("_m")) / (1.4826 * F.col("_mad") + 1e-6)
+    bright = with_threshold(with_threshold(with_middle, spread, by), big, by).where(F.col("_n").isNotNull() & (z > low) & (z < high))
+    return binary_open(bright)
+
+
+def hyperintensity_region(coarse: DataFrame, fine: DataFrame, *, scale: float, least: int = 500, least_fine: int = 2000, share: float = 0.2, label: int = 9000, within: list[int] | None = None, low: float = 2.0, high: float = 12.0) -> DataFrame:
+    """coarse (voxel_id, x, y, z, label) with ``label`` where enough of a voxel in ``within`` is bright in ``fine`` (x, y, z, value, of the same tissue).
+
+    A coarse voxel (x, y, z) lies at scale times its place in the fine grid; its share is the linear interpolation of
+    the opened bright spots there. Nothing changes in subjects with ``least`` such voxels or fewer, or too few fine ones.
+    """
+    by = subjects(coarse, fine)
+    inside = coarse.where(F.col("label").isin(within)) if within else coarse.where("label > 0")
+    enough = inside.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least)
+    bright = hyperintense_voxels(fine, least=least_fine, low=low, high=high).withColumn("value", F.lit(1.0))
+    part = resample_linear(with_threshold(inside, enough, by).where("_n is not null"), bright, scale).where(F.col("value") > share).select(*by, "voxel_id", F.lit(True).alias("_hit"))
+    return coarse.join(part, [*by, "voxel_id"], "left").withColumn("label", F.when(F.col("_hit"), F.lit(label)).otherwise(F.col("label"))).drop("_hit")
+
+
+#: Structures with the parts of names by which they are known, most specific first, in the order in which they claim regions.
+STRUCTURES = (
+    ("olfactory", ("olfactory", "olfactory bulb", "olf")),
+    ("cerebellum", ("cerebellum", "cerebellar")),
+    ("cortex", ("cerebral cortex", "isocortex", "neocortex", "cortex")),
+    ("hypothalamus", ("hypothalamus", "hypothalamic")),
+)
+#: Fixed values: (structure, axis, +1 if it lies further along the axis than the other, other structure).
+LAYOUT = (("olfactory", "y", 1, "cerebellum"), ("cortex", "z", 1, "hypothalamus"), ("cerebellum", "y", -1, "cortex"))
+
+
+def orientation_check(parcellation: DataFrame, region_map: DataFrame, affine: list[list[float]], *, margin: float = 0.0) -> DataFrame:
+    """(subject_id, relation, separation, passed) of each layout relation that a subject's regions allow, and of its extent.
+
+    Regions are matched to structures by name: the shortest name with the first alias that any has, each claimed once.
+    The region map is a small table.
+    """
+    by = subjects(parcellation)
+    free = {r["region"] for r in region_map.select("region").distinct().collect()}
+    claimed: dict[str, str] = {}
+    for structure, aliases in STRUCTURES:
+        for alias in aliases:
+            if hits := sorted((n for n in free if alias in n.lower()), key=lambda n: (len(n), n)):
+                claimed[structure] = hits[0]
+                free.discard(hits[0])
+                break
+    world = {f"w{a}": sum((F.col(c) * float(m) for c, m in zip("xyz", row)), F.lit(float(row[3]))) for a, row in zip("xyz", affine)}
+    placed = parcellation.where("label > 0").withColumns(world)
+    box = placed.groupBy(*by).agg(*[F.min(c).alias(f"lo_{c}") for c in "xyz"], *[F.max(c).alias(f"hi_{c}") for c in "xyz"])
+    size = {a: sum((F.abs(F.lit(float(m))) * (F.col(f"hi_{c}") - F.col(f"lo_{c}")) for c, m in zip("xyz", row)), F.lit(0.0)) for a, row in zip("xyz", affine)}
+    gap = size["y"] - size["z"]
+    checks = box.where((size["y"] > 0) & (size["z"] > 0)).select(*by, F.lit("extent").alias("relation"), gap.alias("separation"), (gap > margin).alias("passed"))
+    centres = placed.join(F.broadcast(region_map), "label").groupBy(*by, "region").agg(*[F.avg(f"w{a}").alias(f"c{a}") for a in "xyz"])
+    for a, axis, sign, b in LAYOUT:
+        if a in claimed and b in claimed:
+            pair = [centres.where(F.col("region") == claimed[s]).select(*by, F.col(f"c{axis}").alias(n)) for s, n in ((a, "_a"), (b, "_b"))]
+            both = pair[0].join(pair[1], by) if by else pair[0].crossJoin(F.broadcast(pair[1]))
+            gap = F.col("_a") - F.col("_b")
+            checks = checks.unionByName(both.select(*by, F.lit(f"{a} {'>' if sign > 0 else '<'} {b}").alias("relation"), gap.alias("separation"), (sign * gap > margin).alias("passed")))
+    return checks
+
+
+def orientation_status(checks: DataFrame, subject_rows: DataFrame) -> DataFrame:
+    """status of every subject: ok if all its checks passed, warn if one did not, skipped without any."""
+    by = subjects(checks, subject_rows)
+    found = checks.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("passed").alias("all"))
+    every = subject_rows.select(*by).distinct().join(found, by, "left") if by else found
+    return every.select(*by, F.when(F.coalesce("n", F.lit(0)) == 0, "skipped").when(F.col("all"), "ok").otherwise("warn").alias("status"))
+
+
 def voxel_set_agreement(a: DataFrame, b: DataFrame) -> DataFrame:
     """Sizes, overlap, IoU and the distance of the centroids of two voxel sets."""
-    joined = a.select("voxel_id", *[F.col(c).alias(f"a{c}") for c in "xyz"]).join(b.select("voxel_id", *[F.col(c).alias(f"b{c}") for c in "xyz"]), "voxel_id", "full")
-    sums = joined.agg(F.count("ax").alias("n_a"), F.count("bx").alias("n_b"), F.sum((F.col("ax").isNotNull() & F.col("bx").isNotNull()).cast("long")).alias("overlap"), F.sqrt(sum((F.avg(f"a{c}") - F.avg(f"b{c}")) ** 2 for c in "xyz")).alias("distance"))
+    by = subjects(a, b)
+    joined = a.select(*by, "voxel_id", *[F.col(c).alias(f"a{c}") for c in "xyz"]).join(b.select(*by, "voxel_id", *[F.col(c).alias(f"b{c}") for c in "xyz"]), [*by, "voxel_id"], "full")
+    sums = joined.groupBy(*by).agg(F.count("ax").alias("n_a"), F.count("bx").alias("n_b"), F.sum((F.col("ax").isNotNull() & F.col("bx").isNotNull()).cast("long")).alias("overlap"), F.sqrt(sum((F.avg(f"a{c}") - F.avg(f"b{c}")) ** 2 for c in "xyz")).alias("distance"))
     union = F.col("n_a") + F.col("n_b") - F.col("overlap")
     return sums.withColumn("iou", F.col("overlap") / F.when(union > 0, union))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
-from curvemill.sources.curves import to_curves, to_long
+from curvemill.functions.percentiles import percentiles
+from curvemill.sources.curves import subjects, to_curves, to_long
 
 
 def high_signal_mean_curve(curves: DataFrame, *, keys: list[str], early: int = 5, share: float = 0.75) -> DataFrame:
     """Mean curve of the voxels whose early mean is in the top quarter, for each of ``keys``."""
     with_early = curves.withColumn("_early", A.finite(A.mean(A.finite_values(A.span(F.col("values"), 0, early)))))
-    limit = with_early.groupBy(*keys).agg(F.percentile("_early", F.lit(share)).alias("_limit"))
-    high = with_early.join(limit, keys).where("_early >= _limit")
+    limit = percentiles(with_early, by=keys, column="_early", at={"_limit": share})
+    high = with_early.join(F.broadcast(limit) if limit.count() <= 100_000 else limit, keys).where("_early >= _limit")
     mean = to_long(high, *keys).groupBy(*keys, "frame").agg(F.avg(A.finite(F.col("value"))).alias("value"))
     return to_curves(mean, keys)
 
@@ -93,12 +94,14 @@ def onset_walk(a: Column, *, default: int = 8) -> Column:
 def shift_to_zero(a: Column, start: Column | int, *, always: bool = False) -> Column:
     """Zeros before ``start``; from there on, the curve less its minimum if that is positive or any value is negative."""
 
-    def of(x: Column) -> Column:
-        at = F.greatest(F.least(F.lit(start) if isinstance(start, int) else start, F.size(x)), F.lit(0))
-        tail = F.slice(x, at + 1, F.size(x))
+    def from_zero(at: Column, tail: Column) -> Column:
         low = F.array_min(tail)
         drop = low if always else F.when((low > 0) | (low < 0), low).otherwise(F.lit(0.0))
-        return F.concat(F.array_repeat(F.lit(0.0), at), F.transform(tail, lambda v: v - drop))
+        return F.concat(F.array_repeat(F.lit(0.0), at), A.let(drop, lambda d: F.transform(tail, lambda v: v - d)))
+
+    def of(x: Column) -> Column:
+        at = F.greatest(F.least(F.lit(start) if isinstance(start, int) else start, F.size(x)), F.lit(0))
+        return A.let(at, lambda k: A.let(F.slice(x, k + 1, F.size(x)), lambda tail: from_zero(k, tail)))
 
     return A.let(a, of)
 
@@ -113,15 +116,24 @@ def norm_baseline_p95(curves: DataFrame, *, baseline: int = 5, percent: float =
     return curves.withColumn("values", A.let(F.col("values"), of))
 
 
-def peak_time_subsample(long: DataFrame, *, keys: list[str]) -> DataFrame:
-    """Each curve's first peak, moved by the top of a parabola through its neighbours (one frame at most)."""
-    w = Window.partitionBy(*keys).orderBy("frame")
-    near = long.withColumns({"_b": F.lag("value").over(w), "_a": F.lead("value").over(w)})
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("value"), "frame"))
-    top = near.withColumn("_r", rank).where("_r = 1")
-    den = F.col("_b") - 2 * F.col("value") + F.col("_a")
-    move = A.clip(0.5 * (F.col("_b") - F.col("_a")) / F.when(den != 0, den), -1.0, 1.0)
-    return top.select(*keys, (F.col("frame") + F.coalesce(F.when(F.col("_b").isNotNull() & F.col("_a").isNotNull() & (den != 0), move), F.lit(0.0))).alias("peak_frame"), F.col("value").alias("height"))
+def peak_time_subsample(curves: DataFrame) -> DataFrame:
+    """peak_frame and height: each curve's first peak, moved by the top of a parabola through its neighbours (one frame at most)."""
+
+    def of(x: Column) -> Column:
+        def moved(at: Column) -> Column:
+            b, v, a = F.get(x, at - 1), F.get(x, at), F.get(x, at + 1)
+            den = b - 2 * v + a
+            move = F.when((at > 0) & (at < F.size(x) - 1) & (den != 0), A.clip(0.5 * (b - a) / F.when(den != 0, den), -1.0, 1.0))
+            return F.struct((at + F.coalesce(move, F.lit(0.0))).alias("peak_frame"), v.alias("height"))
+
+        return A.let(A.argmax(x), moved)
+
+    return curves.withColumn("_p", A.let(F.col("values"), of)).withColumns({"peak_frame": F.col("_p.peak_frame"), "height": F.col("_p.height")}).drop("_p")
+
+
+def norm_identity(curves: DataFrame) -> DataFrame:
+    """The curves as they are."""
+    return curves
 
 
 def align_lengths(*columns: str) -> dict[str, Column]:
@@ -130,20 +142,54 @@ def align_lengths(*columns: str) -> dict[str, Column]:
     return {c: F.slice(c, F.lit(1), n) for c in columns}
 
 
-def crop_to_onset(curves: DataFrame, input_row: DataFrame, *, share: float = 0.05) -> DataFrame:
-    """Curves from one frame before the input curve first exceeds a share of its maximum, if that lies within the curve."""
-    row = input_row.select("c_a", F.array_max("c_a").alias("top"))
-    start = row.select(F.greatest(A.first_index(F.col("c_a"), lambda v: v > share * F.col("top")) - 1, F.lit(0)).alias("i0"), F.size("c_a").alias("n")).first()
-    i0 = start["i0"] if start and start["i0"] and 0 < start["i0"] < start["n"] - 5 else 0
-    return curves.withColumn("values", F.slice("values", F.lit(i0 + 1), F.size("values")))
+def crop_to_onset(curves: DataFrame, inputs: DataFrame, *, share: float = 0.05) -> DataFrame:
+    """Curves from one frame before their subject's input curve first exceeds a share of its maximum, if that lies within the curve."""
+    by = subjects(curves, inputs)
+    onset = A.let(F.array_max("c_a"), lambda top: A.first_index(F.col("c_a"), lambda v: v > share * top)) - 1
+    starts = inputs.select(*by, F.when((onset > 0) & (onset < F.size("c_a") - 5), onset).otherwise(0).alias("_i0"))
+    few = F.broadcast(starts) if starts.count() <= 100_000 else starts
+    found = curves.join(few, by, "left") if by else curves.crossJoin(few)
+    return found.withColumn("values", F.slice("values", F.coalesce("_i0", F.lit(0)) + 1, F.size("values"))).drop("_i0")
+
+
+def tail_slope(a: Column, dt: float, share: float) -> Column:
+    """Slope of the least-squares line through the last ``share`` of a curve; 0 with fewer than 3 frames there."""
+
+    def of(x: Column) -> Column:
+        i0 = F.floor(F.size(x) * (1 - share)).cast("int")
+        tail = F.slice(x, i0 + 1, F.size(x))
+
+        def line(y: Column) -> Column:
+            middle = (F.size(y) - 1) / 2
+            up = A.let(A.mean(y), lambda m: A.total(F.transform(y, lambda v, i: (v - m) * (i - middle))))
+            return up / (A.total(F.transform(y, lambda v, i: (i - middle) * (i - middle))) * dt)
+
+        return F.when(F.size(tail) >= 3, A.let(tail, line)).otherwise(0.0)
+
+    return A.let(a, of)
+
+
+def detrend_tail(curves: DataFrame, *, dt: float, tail: float = 0.30) -> DataFrame:
+    """Curves less the slope of their last frames times t."""
+    slope = tail_slope(F.col("values"), dt, tail)
+    return curves.withColumn("values", A.let(slope, lambda k: F.transform("values", lambda v, i: v - k * i * dt)))
+
+
+def detrend(curves: DataFrame, inputs: DataFrame, *, keys: list[str], mode: str = "auto", tail: float = 0.30, threshold: float = 5e-4) -> DataFrame:
+    """keys and ``values`` without drift: that of the subject's input curve (aif, auto above a normalised threshold, rigid or
+    rigid-auto beside washout), each curve's own (self), or none."""
+    from curvemill.operators import tails
+    from curvemill.operators.fitting import over_inputs
+
+    def prepare(c_a, t):
+        return {"t": t, "slope": tails.drift_slope(c_a, t, mode, tail, threshold)}
 
+    def kernel(values, c, carried):
+        slope, own = c["slope"]
+        slopes = tails.tail_slopes(values, c["t"], tail)[:, None] if own else slope
+        return {"values": (values - slopes * c["t"]).tolist()}
 
-def detrend_tail(long: DataFrame, *, keys: list[str], tail: float = 0.30) -> DataFrame:
-    """(keys, frame, t, value) less the slope of its last frames times t."""
-    w = Window.partitionBy(*keys)
-    marked = long.withColumn("_late", F.col("frame") >= F.floor((F.max("frame").over(w) + 1) * (1 - tail)))
-    slope = marked.where("_late").groupBy(*keys).agg(F.regr_slope("value", "t").alias("_slope"))
-    return marked.join(slope, keys).withColumn("value", F.col("value") - F.coalesce("_slope", F.lit(0.0)) * F.col("t")).drop("_late", "_slope")
+    return over_inputs(curves, inputs, prepare, kernel, keys=keys, outputs={"values": "array<double>"})
 
 
 def detect_boluses(a: Column, *, share: float = 0.2, most: int = 2) -> Column:

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
+from curvemill.functions.percentiles import median
+from curvemill.operators.aggregate import same_keys
+from curvemill.sources.curves import subjects
 
 
 def cnr(curves: DataFrame, *, values: str = "values", baseline: int = 5) -> DataFrame:
@@ -18,15 +21,16 @@ def cnr(curves: DataFrame, *, values: str = "values", baseline: int = 5) -> Data
 def cnr_summary(with_cnr: DataFrame, *, by: list[str], threshold: float = 2.0) -> DataFrame:
     v = A.finite(F.col("cnr"))
     low = F.avg((v < threshold).cast("double"))
-    return with_cnr.groupBy(*by).agg(F.percentile(v, F.lit(0.5)).alias("median"), low.alias("low_share"), F.count(v).alias("n"), F.when(F.count(v) == 0, "warn").when(low > 0.5, "warn").otherwise("pass").alias("status"))
+    shares = with_cnr.groupBy(*by).agg(low.alias("low_share"), F.count(v).alias("n"), F.when(F.count(v) == 0, "warn").when(low > 0.5, "warn").otherwise("pass").alias("status"))
+    return same_keys(shares, median(with_cnr, by=by, column="cnr"), by).select(*by, "median", "low_share", "n", "status")
 
 
 def range_check(maps: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each map's median against its range; a map without finite values warns, one without a range passes."""
-    medians = maps.groupBy("map").agg(F.percentile(A.finite(F.col("value")), F.lit(0.5)).alias("median"))
-    joined = medians.join(ranges, "map", "left")
+    by = [*subjects(maps), "map"]
+    joined = median(maps, by=by).join(F.broadcast(ranges), "map", "left")
     outside = (F.col("median") < F.col("lo")) | (F.col("median") > F.col("hi"))
-    return joined.select("map", "median", F.when(F.col("median").isNull(), "warn").when(F.coalesce(outside, F.lit(False)), "warn").otherwise("pass").alias("status"))
+    return joined.select(*by, "median", F.when(F.col("median").isNull(), "warn").when(F.coalesce(outside, F.lit(False)), "warn").otherwise("pass").alias("status"))
 
 
 def cnr_gate(with_cnr: DataFrame, threshold: float) -> DataFrame:
@@ -34,9 +38,15 @@ def cnr_gate(with_cnr: DataFrame, threshold: float) -> DataFrame:
 
 
 def conversion_summary(curves: DataFrame, *, by: list[str], conc: str = "conc", baseline: int = 10, most: float = 20.0) -> DataFrame:
-    """Voxels, those over ``most`` mM, the median baseline and the median T1."""
+    """Voxels, those over ``most`` mM, the median baseline and T1, and the frame at which the mean curve peaks."""
+    from curvemill.operators.aggregate import mean_curve
+
     over = F.exists(conc, lambda v: v > most).cast("long")
-    return curves.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(over).alias("n_over"), F.percentile(A.mean(A.span(F.col(conc), 0, baseline)), F.lit(0.5)).alias("baseline"), F.percentile("t1_ms", F.lit(0.5)).alias("t1_ms"))
+    counts = curves.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(over).alias("n_over"))
+    early = median(curves.withColumn("_b", A.mean(A.span(F.col(conc), 0, baseline))), by=by, column="_b", name="baseline")
+    t1 = median(curves, by=by, column="t1_ms", name="t1_ms")
+    peak = mean_curve(curves.select(*by, F.col(conc).alias("values")), by=by).select(*by, A.argmax(F.col("values")).alias("peak_frame"))
+    return same_keys(same_keys(same_keys(counts, early, by), t1, by), peak, by)
 
 
 def fit_quality(curves: DataFrame, *, values: str = "values", predicted: str = "predicted") -> DataFrame:

@@ -67,7 +67,7 @@ select voxel_id, n, round(slope * 6000, 6) as ki, round(cut * 100, 6) as vb, rou
 )
 def k02(spark, sf):
     c = _curves(spark, sf)
-    return kinetics.patlak(c, C.input_curve(c), keys=["voxel_id"]).select("voxel_id", "n", *_r("ki", "vb", "sd_ki"))
+    return kinetics.patlak(c, C.input_curve(c), keys=["voxel_id"], per_voxel=False).select("voxel_id", "n", *_r("ki", "vb", "sd_ki"))
 
 
 @query(
@@ -78,7 +78,7 @@ select voxel_id, n, round(slope * 6000, 6) as ki, round(cut * 100, 6) as vb, rou
 )
 def k03(spark, sf):
     c = _curves(spark, sf)
-    return kinetics.patlak(c, C.input_curve(c), keys=["voxel_id"], per_voxel=True).select("voxel_id", "n", *_r("ki", "vb", "sd_ki"))
+    return kinetics.patlak(c, C.input_curve(c), keys=["voxel_id"]).select("voxel_id", "n", *_r("ki", "vb", "sd_ki"))
 
 
 @query("k01_patlak_coordinates", f"with {LONG}, {INPUT}, {COORDS} select frame, round(x, 6) as x, round(c_a, 9) as c_a from co")
@@ -97,7 +97,12 @@ def k05(spark, sf):
     return kinetics.patlak(c, C.input_curve(c), keys=["voxel_id"], inclusive=True).select("voxel_id", "n", *_r("ki", "vb"))
 
 
-@query("k09_patlak_predict")
+PATLAK = f"""{LONG}, {INPUT}, {COORDS}, pa as (select c.voxel_id, co.x, c.v / co.c_a as y from c join co using (frame) where co.x >= (select max(x) from co) / 3),
+fit as (select voxel_id, regr_slope(y, x) as k, regr_intercept(y, x) as b from pa group by voxel_id),
+pred as (select voxel_id, frame, k * x * c_a + b * c_a as value from fit, co)"""
+
+
+@query("k09_patlak_predict", f"with {PATLAK} select voxel_id, frame, round(value, 6) as value from pred")
 def k09(spark, sf):
     c = _curves(spark, sf)
     i = C.input_curve(c)
@@ -117,16 +122,15 @@ def k24(spark, sf):
     return kinetics.fit_by_label(c, C.input_curve(c), keys=["voxel_id"]).select("voxel_id", "label", *_r("ki", "vb"))
 
 
-for _name, _model in (("k04_patlak_huber", "patlak_huber"), ("k10_deconvolve", "deconvolve"), ("k17_extended_tofts", "extended_tofts")):
-
-    def _fit(spark, sf, model=_model):
-        c = _curves(spark, sf)
-        return kinetics.fit_model(c, C.input_curve(c), model, keys=["voxel_id"])
-
-    query(_name)(_fit)
-
-
-@query("k13_residue_moments")
+@query(
+    "k13_residue_moments",
+    f"""with {LONG}, r as (select voxel_id, frame, greatest(min(v) over (partition by voxel_id order by frame), 0) as r from c),
+h as (select voxel_id, frame, r, greatest(case when frame = 0 then 3 * r - 4 * lead(r, 1) over w + lead(r, 2) over w when frame = 63 then 4 * lag(r, 1) over w - lag(r, 2) over w - 3 * r
+    else lag(r, 1) over w - lead(r, 1) over w end / (2 * 2.463), 0) as h, case when frame in (0, 63) then 0.5 else 1 end * 2.463 as w from r window w as (partition by voxel_id order by frame)),
+a as (select voxel_id, sum(w * r) as mtt, sum(w * h) as area, sum(w * h * frame * 2.463) as m1 from h group by voxel_id),
+s as (select voxel_id, any_value(mtt) as mtt, any_value(area) as area, sum(w * h / area * power(frame * 2.463 - m1 / area, 2)) as var from h join a using (voxel_id) group by voxel_id)
+select voxel_id, round(case when area > 1e-12 then mtt end, 6) as mtt, round(case when area > 1e-12 then sqrt(greatest(var, 0)) end, 6) as cth from s""",
+)
 def k13(spark, sf):
     return kinetics.residue_moments(_curves(spark, sf), dt=C.DT).select("voxel_id", *_r("mtt", "cth"))
 
@@ -218,13 +222,24 @@ def b07(spark, sf):
     return c.select("voxel_id", "p.frame", F.round("p.height", 6).alias("height"))
 
 
-@query("b07_major_peaks")
+@query(
+    "b07_major_peaks",
+    f"""with {LONG}, n as (select *, lag(v) over w as b, lead(v) over w as a from c window w as (partition by voxel_id order by frame)), m as (select voxel_id, frame, v from n where v > b and v > a),
+f as (select voxel_id, arg_max(frame, (v, -frame)) as f0 from m group by voxel_id), g as (select voxel_id, arg_max(m.frame, (m.v, -m.frame)) as f1 from m join f using (voxel_id) where abs(m.frame - f0) >= 10 group by voxel_id)
+select voxel_id, r.rank::int as rank, m.frame, round(m.v, 6) as height from (select voxel_id, 0 as rank, f0 as frame from f union all select voxel_id, 1, f1 from g) r join m using (voxel_id, frame)""",
+)
 def b07m(spark, sf):
     c = _curves(spark, sf).select("voxel_id", F.posexplode(preprocess.major_peaks(F.col("values"))).alias("rank", "p"))
     return c.select("voxel_id", "rank", "p.frame", F.round("p.height", 6).alias("height"))
 
 
-@query("b09_onset_walk")
+@query(
+    "b09_onset_walk",
+    f"""with {LONG}, s as (select voxel_id, avg(v) filter (frame between 3 and 8) as m, stddev_pop(v) filter (frame between 3 and 8) as sd, max(v) - min(v) as span from c group by voxel_id),
+e as (select voxel_id, frame, (v > m + greatest(4 * sd, 0.05 * span, 5e-4))::int as e from c join s using (voxel_id)),
+t as (select voxel_id, frame, sum(e) over (partition by voxel_id order by frame rows between current row and 2 following) as k, count(*) over (partition by voxel_id order by frame rows between current row and 2 following) as n from e)
+select s.voxel_id, case when min(t.frame) is null then 8 else greatest(min(t.frame) - 1, 3) end::int as onset from s left join t on t.voxel_id = s.voxel_id and t.frame >= 8 and t.k = 3 and t.n = 3 group by s.voxel_id""",
+)
 def b09(spark, sf):
     return _curves(spark, sf).select("voxel_id", preprocess.onset_walk(F.col("values")).alias("onset"))
 
@@ -254,8 +269,7 @@ def b13(spark, sf):
 select voxel_id, round(frame + coalesce(case when b - 2 * v + a <> 0 then least(greatest(0.5 * (b - a) / (b - 2 * v + a), -1), 1) end, 0), 6) as peak_frame, round(v, 6) as height from n where r = 1""",
 )
 def b19(spark, sf):
-    long = C.to_long(_curves(spark, sf), "voxel_id")
-    return preprocess.peak_time_subsample(long, keys=["voxel_id"]).select("voxel_id", *_r("peak_frame", "height"))
+    return preprocess.peak_time_subsample(_curves(spark, sf)).select("voxel_id", *_r("peak_frame", "height"))
 
 
 @query("b23_moving_average", f"with {LONG} select voxel_id, frame, round(sum(v) over (partition by voxel_id order by frame rows between 1 preceding and 1 following) / 3, 6) as value from c")
@@ -263,13 +277,20 @@ def b23(spark, sf):
     return _long_out(_curves(spark, sf).withColumn("values", A.smooth3(F.col("values"))), "values")
 
 
+OTSU = """e as (select min(mean) as lo, (max(mean) - min(mean)) / 256 as w from p), h as (select least(floor((mean - lo) / w), 255)::int as bin, count(*) as n from p, e group by 1),
+o as (select bin, sum(n) over (order by bin) as w0, sum(n * (lo + (bin + 0.5) * w)) over (order by bin) as m0, sum(n) over () as wt, sum(n * (lo + (bin + 0.5) * w)) over () as mt from h, e),
+edge as (select any_value(lo) + arg_max(bin, (round(coalesce(w0 * (wt - w0) * power(m0 / w0 - (mt - m0) / nullif(wt - w0, 0), 2), 0), 9), -bin)) * any_value(w) as edge from o, e)"""
+
+
 @query(
     "a01_top_peak",
-    f"""with {LONG}, p as (select voxel_id, label, max(v) filter (frame >= 5) - avg(v) filter (frame < 5) as peak from c group by voxel_id, label)
-select label, voxel_id, round(peak, 6) as peak, rank from (select *, row_number() over (partition by label order by peak desc, voxel_id) as rank from p) where rank <= 8""",
+    f"""with {LONG}, p as (select voxel_id, label, y, max(v) filter (frame >= 5) - avg(v) filter (frame < 5) as peak, avg(v) as mean from c group by voxel_id, label, y), {OTSU},
+m as (select *, count(*) filter (y between 0 and 6) over (partition by label) as inside from p, edge where mean > edge)
+select label, voxel_id, round(peak, 6) as peak, rank from (select *, row_number() over (partition by label order by peak desc, voxel_id) as rank from m where inside < 8 or y between 0 and 6) where rank <= 8""",
 )
 def a01(spark, sf):
-    return aif.top_peak(_curves(spark, sf), by=["label"], n=8).select("label", "voxel_id", F.round("peak", 6).alias("peak"), F.col("rank").cast("long").alias("rank"))
+    found = aif.top_peak(_curves(spark, sf).withColumn("z", F.col("y")), by=["label"], n=8, masked=True, band=(0.0, 0.4), n_slices=16)
+    return found.select("label", "voxel_id", F.round("peak", 6).alias("peak"), F.col("rank").cast("long").alias("rank"))
 
 
 @query(
@@ -304,7 +325,14 @@ def a02(spark, sf):
     return labels.otsu_threshold(prices).select(F.round("threshold", 6).alias("threshold"))
 
 
-@query("a12_temporal_features")
+@query(
+    "a12_temporal_features",
+    f"""with {LONG}, b as (select voxel_id, avg(v) as m from c where frame < 5 group by voxel_id), d as (select voxel_id, frame, v - m as d from c join b using (voxel_id)),
+s as (select voxel_id, max(d) as peak, arg_max(frame, (d, -frame)) as ttp, max(d) filter (frame < 32) as early, max(d) filter (frame >= 32) as late, avg(d) filter (frame >= 51) as tail from d group by voxel_id),
+a as (select voxel_id, min(frame) as arrival from d join s using (voxel_id) where d > 0.1 * peak group by voxel_id),
+f as (select voxel_id, ttp::int as ttp, arrival::int as arrival, ttp / 63 as ttp_frac, case when peak > 0 then (peak - tail) / peak end as washout, case when peak > 0 then early / greatest(late, 0.05 * peak) end as early_late from s left join a using (voxel_id))
+select voxel_id, ttp, arrival, case when early_late is null then 'none' when early_late >= 1.5 and ttp_frac <= 0.55 then 'vessel' else 'mucosa' end as kind, round(ttp_frac, 6) as ttp_frac, round(washout, 6) as washout, round(early_late, 6) as early_late from f""",
+)
 def a12(spark, sf):
     f = aif.classify_curve(aif.temporal_features(_curves(spark, sf)))
     return f.select("voxel_id", "ttp", "arrival", "kind", *_r("ttp_frac", "washout", "early_late"))
@@ -315,51 +343,73 @@ def a15(spark, sf):
     return aif.max_projection(_curves(spark, sf)).select("voxel_id", *_r("projection"))
 
 
-@query("a09_curve_metrics")
+METRICS = f"""{LONG}, sm as (select voxel_id, label, frame, v, sum(v) over (partition by voxel_id order by frame rows between 1 preceding and 1 following) / 3 as s, v - lag(v) over (partition by voxel_id order by frame) as dv from c),
+p as (select voxel_id, label, max(s) as peak, arg_max(frame, (s, -frame)) as pk from sm group by voxel_id, label),
+w as (select voxel_id, coalesce(max(frame) filter (s < peak / 2 and frame < pk), 0) as lo, coalesce(min(frame) filter (s < peak / 2 and frame > pk), 63) as hi, min(frame) filter (s >= 0.1 * peak) as arrival,
+    sum(greatest(s, 0)) filter (frame <= pk) * 2.463 / any_value(peak) as auc, stddev_pop(v) filter (case when pk < 63 then frame > pk else frame >= 43 end) / abs(avg(v) filter (case when pk < 63 then frame > pk else frame >= 43 end)) as cv,
+    stddev_pop(v) filter (frame < 5) as base_sd, avg(abs(dv)) / any_value(peak) as rough, max(v) filter (frame = pk) as raw, max(v) filter (frame <= pk) as first_pass from sm join p using (voxel_id) group by voxel_id),
+q as (select voxel_id, label, arrival::int as arrival, arrival * 2.463 as arrival_s, (hi - lo)::int as fwhm_frames, (hi - lo) * 2.463 as fwhm_s, peak, auc as auc_peak, cv as tail_cv, base_sd, rough as roughness,
+    hi - lo < 2.5 or raw > 1.5 * peak or first_pass > 1.6 * peak as vetoed from p join w using (voxel_id) where peak > 0)"""
+
+
+@query(
+    "a09_curve_metrics",
+    f"""with {METRICS} select e.vec_id as voxel_id, arrival, fwhm_frames, round(peak, 6) as peak, round(fwhm_s, 6) as fwhm_s, round(auc_peak, 6) as auc_peak, round(tail_cv, 6) as tail_cv, round(base_sd, 6) as base_sd, round(roughness, 6) as roughness
+from embeddings e left join q on q.voxel_id = e.vec_id""",
+)
 def a09(spark, sf):
     m = aif.curve_metrics(_curves(spark, sf), dt=C.DT)
-    return m.select("voxel_id", "arrival", "fwhm_frames", *_r("peak", "fwhm_s", "auc_peak", "base_sd", "roughness"))
+    return m.select("voxel_id", "arrival", "fwhm_frames", *_r("peak", "fwhm_s", "auc_peak", "tail_cv", "base_sd", "roughness"))
+
+
+_UNITS = " + ".join(
+    f"{w} * case when hi_{m} > lo_{m} then {'' if more else '1 - '}({m} - lo_{m}) / (hi_{m} - lo_{m}) else {0.5 if more else 0.0} end" for m, w, more in aif.RANKING
+)
+_LIMITS = ", ".join(f"min({m}) as lo_{m}, max({m}) as hi_{m}" for m, _, _ in aif.RANKING)
 
 
-@query("a11_rank_candidates")
+@query(
+    "a11_rank_candidates",
+    f"""with {METRICS}, u as (select e.vec_id as voxel_id, e.label + 1 as label, case when e.vec_id % 5 = 0 then null else e.vec_id - e.vec_id % 5 end as parent, q.* exclude (voxel_id, label, vetoed), coalesce(vetoed, true) as own from embeddings e left join q on q.voxel_id = e.vec_id),
+v as (select u.*, u.own or coalesce(a.own, false) as vetoed from u left join u a on a.voxel_id = u.parent and a.label = u.label), l as (select label, {_LIMITS} from u where peak is not null group by label),
+s as (select v.label, voxel_id, vetoed, case when peak is not null then ({_UNITS}) / 6.7 end as score from v join l using (label))
+select label, voxel_id, vetoed, round(score, 6) as score, row_number() over (partition by label order by vetoed, round(score, 9) desc nulls last, voxel_id) as rank from s""",
+)
 def a11(spark, sf):
-    m = aif.curve_metrics(_curves(spark, sf), dt=C.DT)
-    return aif.rank_candidates(m, by=["label"]).select("label", "voxel_id", "rank", *_r("score"))
+    c = _curves(spark, sf)
+    named = c.withColumn("parent", F.when(F.col("voxel_id") % 5 != 0, F.col("voxel_id") - F.col("voxel_id") % 5))
+    return aif.rank_candidates(aif.spike_veto(named, dt=C.DT), by=["label"], parent="parent").select("label", "voxel_id", "vetoed", "rank", *_r("score"))
 
 
 @query(
     "a21_washout",
-    f"""with {LONG}, s as (select voxel_id, max(v) as peak, median(v) filter (frame >= 52) as tail from c group by voxel_id)
-select voxel_id, round(case when peak > 0 then tail / peak end, 6) as tail_ratio, coalesce(peak > 0 and tail / peak >= 0.6, false) as flagged from s""",
+    f"""with {LONG}, s as (select voxel_id, max(v) as peak, median(v) filter (frame >= 52) as tail from c group by voxel_id),
+r as (select voxel_id, case when peak > 0 then tail / peak end as ratio, tail, case when voxel_id % 4 > 0 then voxel_id % 4 * 0.001 / (72.0 / 1000 * (1 - 0.45)) end as mixed from s)
+select voxel_id, round(ratio, 6) as tail_ratio, coalesce(ratio >= 0.6, false) as flagged, round(mixed, 6) as mixed_mm, case when mixed is not null then coalesce(ratio >= 0.6, false) and tail >= mixed end as over_mixed from r""",
 )
 def a21(spark, sf):
-    return aif.washout_flag(_curves(spark, sf)).select("voxel_id", *_r("tail_ratio"), "flagged")
+    c = _curves(spark, sf).withColumn("dose", (F.col("voxel_id") % 4) * 0.001)
+    return aif.washout_flag(c, dose_mmol_kg="dose").select("voxel_id", *_r("tail_ratio", "mixed_mm"), "flagged", "over_mixed")
 
 
-_ANGLES = "a as (select l_suppkey as subject_id, l_partkey as voxel_id, [3, 9, 15, 24][l_linenumber % 4 + 1]::double as deg, (l_quantity * 10 + l_linenumber)::double as s from lineitem)"
+_ANGLES = "a as (select l_suppkey as subject_id, l_partkey as voxel_id, [3, 9, 15, 24][l_linenumber % 4 + 1]::double as deg, (l_quantity * 10 + l_linenumber)::double as s, 0.9 + (l_partkey % 3) * 0.1 as b1 from lineitem)"
 
 
 @query(
     "t03_fit_flip_angle",
-    f"""with {_ANGLES}, p as (select subject_id, voxel_id, s / sin(radians(deg)) as y, s / tan(radians(deg)) as x from a),
+    f"""with {_ANGLES}, p as (select subject_id, voxel_id, s / sin(radians(deg * b1)) as y, s / tan(radians(deg * b1)) as x from a),
 f as (select subject_id, voxel_id, regr_slope(y, x) as k, regr_sxx(y, x) as sxx, count(*) as n from p group by subject_id, voxel_id)
-select subject_id, voxel_id, round(case when sxx > 0 then -11.18 / ln(least(greatest(k, 1e-6), 1 - 1e-6)) end, 3) as t1_ms, n from f""",
+select subject_id, voxel_id, round(case when t1 > 20 and t1 <= 8000 then t1 end, 3) as t1_ms, n from (select *, case when sxx > 0 then -11.18 / ln(least(greatest(k, 1e-6), 1 - 1e-6)) end as t1 from f)""",
 )
 def t03(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     deg = F.element_at(F.array(*[F.lit(float(x)) for x in (3, 9, 15, 24)]), (F.col("l_linenumber") % 4 + 1).cast("int"))
-    long = li.select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("voxel_id"), deg.alias("angle_deg"), (F.col("l_quantity") * 10 + F.col("l_linenumber")).cast("double").alias("signal"))
+    long = li.select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("voxel_id"), deg.alias("angle_deg"), (F.col("l_quantity") * 10 + F.col("l_linenumber")).cast("double").alias("signal"), (0.9 + (F.col("l_partkey") % 3) * 0.1).alias("b1_scale"))
     n = long.groupBy("subject_id", "voxel_id").agg(F.count(F.lit(1)).alias("n"))
-    fits = relaxometry.fit_flip_angle(long, keys=["subject_id", "voxel_id"], tr_s=0.01118)
+    fits = relaxometry.fit_flip_angle(long, keys=["subject_id", "voxel_id"], tr_s=0.01118, least_ms=20, most_ms=8000)
     return fits.join(n, ["subject_id", "voxel_id"]).select("subject_id", "voxel_id", F.round("t1_ms", 3).alias("t1_ms"), "n")
 
 
-@query("t01_fit_recovery")
-def t01(spark, sf):
-    c = _curves(spark, sf).select("voxel_id", F.slice("signal", F.lit(1), F.lit(7)).alias("values"))
-    return relaxometry.fit_recovery(c, [0.12, 0.3, 0.6, 1, 2, 4, 10], keys=["voxel_id"])
-
-
 @query(
     "t04_foreground",
     f"""with {LONG}, m as (select voxel_id, label, max(abs(v)) as m from c group by voxel_id, label), l as (select label, 0.8 * quantile_cont(m, 0.98) as lim from m where m > 0 group by label)
@@ -417,7 +467,14 @@ def r07(spark, sf):
     return labels.resample_nearest(m, m, [[0.9, 0, 0, 0.2], [0, 0.9, 0, 0.2], [0, 0, 1, 0]])
 
 
-@query("r08_resample_linear")
+@query(
+    "r08_resample_linear",
+    """with m as (select vec_id as voxel_id, vec_id % 16 as x, (vec_id // 16) % 16 as y, vec_id // 256 as z, list_max(embedding)::double as v from embeddings),
+k as (select voxel_id, (floor(x * 0.75) + dx)::bigint as x, (floor(y * 0.75) + dy)::bigint as y, (floor(z * 0.75) + dz)::bigint as z, (case dx when 1 then x * 0.75 - floor(x * 0.75) else 1 - x * 0.75 + floor(x * 0.75) end)
+    * (case dy when 1 then y * 0.75 - floor(y * 0.75) else 1 - y * 0.75 + floor(y * 0.75) end) * (case dz when 1 then z * 0.75 - floor(z * 0.75) else 1 - z * 0.75 + floor(z * 0.75) end) as w
+    from m, (select unnest([0, 1]) as dx), (select unnest([0, 1]) as dy), (select unnest([0, 1]) as dz))
+select k.voxel_id, round(sum(w * coalesce(m.v, 0)), 6) as value from k left join m using (x, y, z) where w > 0 group by k.voxel_id""",
+)
 def r08(spark, sf):
     m = _maps(spark, sf)
     return labels.resample_linear(m, m, 0.75).select("voxel_id", F.round("value", 6).alias("value"))
@@ -437,14 +494,14 @@ def z01(spark, sf):
 
 @query(
     "z02_binary_open",
-    """with m as (select distinct (l_partkey % 16)::int as x, (l_suppkey % 16)::int as y, l_linenumber::int as z from lineitem where l_orderkey % 3 < 2),
+    """with m as (select distinct l_partkey as x, l_linenumber::int as y, (ascii(l_returnflag) % 3)::int as z from lineitem where l_quantity > 5),
 d as (select unnest([1, -1, 0, 0, 0, 0]) as dx, unnest([0, 0, 1, -1, 0, 0]) as dy, unnest([0, 0, 0, 0, 1, -1]) as dz),
 e as (select m.x, m.y, m.z from m, d, m n where n.x = m.x + dx and n.y = m.y + dy and n.z = m.z + dz group by all having count(*) = 6)
 select x, y, z from e union select x + dx, y + dy, z + dz from e, d""",
 )
 def z02(spark, sf):
-    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey % 3 < 2")
-    return labels.binary_open(li.select((F.col("l_partkey") % 16).cast("int").alias("x"), (F.col("l_suppkey") % 16).cast("int").alias("y"), F.col("l_linenumber").cast("int").alias("z")))
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity > 5")
+    return labels.binary_open(li.select(F.col("l_partkey").alias("x"), F.col("l_linenumber").cast("int").alias("y"), (F.ascii("l_returnflag") % 3).cast("int").alias("z")))
 
 
 @query(
@@ -475,10 +532,18 @@ def _gradients(spark):
     return d.withColumns({"gx": F.sqrt(1 - z * z) * F.cos(a), "gy": F.sqrt(1 - z * z) * F.sin(a), "gz": z})
 
 
-@query("d02_rsi_fractions")
+_RSI = diffusion.rsi_matrix([1000, 2000, 3000])
+_RSI_SQL = ", ".join("greatest(" + " + ".join([f"m{i + 1} / m0 * {float(_RSI[k, i])!r}::double" for i in range(3)]) + f" + {float(_RSI[k, 3] * 100.0)!r}::double, 0) as r{k}" for k in range(3))
+
+
+@query(
+    "d02_rsi_fractions",
+    f"""with {LONG}, m as (select voxel_id, {", ".join(f"avg(100 * (1 + v)) filter (frame % 4 = {i}) as m{i}" for i in range(4))} from c group by voxel_id), r as (select voxel_id, {_RSI_SQL} from m)
+select voxel_id, round(r0 / nullif(r0 + r1 + r2, 0), 6) as f_restricted, round(r1 / nullif(r0 + r1 + r2, 0), 6) as f_hindered, round(r2 / nullif(r0 + r1 + r2, 0), 6) as f_free from r""",
+)
 def d02(spark, sf):
     means = diffusion.spherical_mean(_dwi(spark, sf), _gradients(spark), keys=["voxel_id"])
-    return diffusion.rsi_fractions(means, [1000, 2000, 3000], keys=["voxel_id"])
+    return diffusion.rsi_fractions(means, [1000, 2000, 3000], keys=["voxel_id"]).select("voxel_id", *_r("f_restricted", "f_hindered", "f_free"))
 
 
 @query("d03_fit_tensor")
@@ -489,26 +554,28 @@ def d03(spark, sf):
 def _streamlines(spark, sf):
     """Each order's lines, in order, are the points of a streamline."""
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
-    p = F.struct((F.col("l_partkey") % 16).cast("double").alias("x"), (F.col("l_suppkey") % 16).cast("double").alias("y"), (F.col("l_linenumber") % 2).cast("double").alias("z"))
+    p = F.struct((F.col("l_partkey") % 32).cast("double").alias("x"), F.floor(F.col("l_partkey") / 32).cast("double").alias("y"), (F.col("l_linenumber") % 2).cast("double").alias("z"))
     each = li.select(F.col("l_orderkey").alias("sid"), F.struct("l_linenumber", "l_partkey", "l_suppkey", p.alias("p")).alias("s"))
     return each.groupBy("sid").agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["p"]).alias("points"))
 
 
-@query("d06_track_density", "select (l_partkey % 16)::int as x, (l_suppkey % 16)::int as y, (l_linenumber % 2)::int as z, count(distinct l_orderkey) as density from lineitem group by 1, 2, 3")
+@query("d06_track_density", "select (l_partkey % 32)::int as x, (l_partkey // 32)::int as y, (l_linenumber % 2)::int as z, count(distinct l_orderkey) as density from lineitem group by 1, 2, 3")
 def d06(spark, sf):
     return diffusion.track_density(_streamlines(spark, sf))
 
 
 @query(
     "d08_connectome",
-    """with p as (select l_orderkey as sid, l_partkey % 16 as x, l_suppkey % 16 as y, l_linenumber % 2 as z,
+    """with p as (select l_orderkey as sid, l_partkey % 32 as x, l_partkey // 32 as y, l_linenumber % 2 as z,
     row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as a, row_number() over (partition by l_orderkey order by l_linenumber desc, l_partkey desc, l_suppkey desc) as b from lineitem),
-v as (select vec_id % 16 as x, (vec_id // 16) % 16 as y, vec_id // 256 as z, label + 1 as label from embeddings where label > 0)
+v as (select vec_id // 2 % 32 as x, vec_id // 64 as y, vec_id % 2 as z, label + 1 as label from embeddings where label > 0)
 select least(s.label, t.label) as src_label, greatest(s.label, t.label) as dst_label, count(*) as n from p a join p b using (sid) join v s on (s.x, s.y, s.z) = (a.x, a.y, a.z) join v t on (t.x, t.y, t.z) = (b.x, b.y, b.z)
 where a.a = 1 and b.b = 1 group by 1, 2""",
 )
 def d08(spark, sf):
-    parcels = _maps(spark, sf).select("x", "y", "z", F.when(F.col("label") > 1, F.col("label")).otherwise(0).alias("label"))
+    v = F.col("voxel_id")
+    place = [(F.floor(v / 2) % 32).cast("int").alias("x"), F.floor(v / 64).cast("int").alias("y"), (v % 2).cast("int").alias("z")]
+    parcels = _maps(spark, sf).select(*place, F.when(F.col("label") > 1, F.col("label")).otherwise(0).alias("label"))
     return diffusion.connectome(_streamlines(spark, sf), parcels)
 
 
@@ -627,7 +694,11 @@ def q03(spark, sf):
     return qc.range_check(aggregate.unpivot(li, ["l_orderkey"], ["quantity", "discount", "tax"]), ranges).select("map", *_r("median"), "status")
 
 
-@query("q06_fit_quality")
+@query(
+    "q06_fit_quality",
+    f"""with {PATLAK}, m as (select voxel_id, avg(v) as m from c group by voxel_id), s as (select voxel_id, sum(power(v - value, 2)) as sse, sum(power(v - m, 2)) as sst from c join pred using (voxel_id, frame) join m using (voxel_id) group by voxel_id)
+select voxel_id, round(1 - sse / nullif(sst, 0), 6) as r2 from s""",
+)
 def q06(spark, sf):
     c = _curves(spark, sf)
     i = C.input_curve(c)
@@ -668,11 +739,20 @@ def j02(spark, sf):
 
 @query(
     "j03_scan_roles",
-    "select p_brand as subject_id, p_partkey as scan_id, case when row_number() over (partition by p_brand order by p_size desc, p_partkey desc) = 1 then 'dynamic' else 'other' end as role from part",
+    """with p as (select p_brand as subject_id, p_partkey as scan_id, p_name as protocol, p_type as technique, case when p_size % 5 = 0 then p_size else 1 end as n_reps, p_size as flip_deg, p_partkey % 97 as voxels, p_partkey % 3 as geom from part),
+k as (select *, n_reps > 1 as dyn, contains(upper(technique), 'STEEL') as spin, contains(upper(technique), 'BRASS') and n_reps <= 1 as gre from p),
+f as (select *, dyn and row_number() over (partition by subject_id order by dyn desc, n_reps desc, voxels desc, scan_id) = 1 as is_dyn, spin and row_number() over (partition by subject_id order by spin desc, voxels desc, scan_id) = 1 as is_anat from k),
+d as (select subject_id, geom from f where is_dyn),
+g as (select f.subject_id, f.geom, count(*) as n, count(distinct flip_deg) as a, coalesce(bool_or(f.geom = d.geom), false) as same from f left join d using (subject_id) where gre group by f.subject_id, f.geom),
+s as (select subject_id, geom from (select *, row_number() over (partition by subject_id order by same desc, n desc, geom) as r from g where a >= 2) where r = 1)
+select f.subject_id, scan_id, case when is_dyn then 'dynamic' when gre and s.geom is not null then 'flip' when is_anat then 'anatomical' else 'other' end as role from f left join s on s.subject_id = f.subject_id and s.geom = f.geom""",
 )
 def j03(spark, sf):
     p = spark.read.parquet(f"{sf}/part.parquet")
-    return cohort.scan_roles(p.select(F.col("p_brand").alias("subject_id"), F.col("p_partkey").alias("scan_id"), F.col("p_size").alias("n_reps"), F.col("p_partkey").alias("voxels"))).select("subject_id", "scan_id", "role")
+    technique = F.when(F.contains(F.upper("p_type"), F.lit("STEEL")), "RARE").when(F.contains(F.upper("p_type"), F.lit("BRASS")), "FLASH").otherwise("OTHER")
+    scans = p.select(F.col("p_brand").alias("subject_id"), F.col("p_partkey").alias("scan_id"), F.lit("scan").alias("protocol"), technique.alias("technique"), F.when(F.col("p_size") % 5 == 0, F.col("p_size")).otherwise(1).alias("n_reps"),
+        F.col("p_size").cast("double").alias("flip_deg"), (F.col("p_partkey") % 97).alias("voxels"), (F.col("p_partkey") % 3).alias("geom"))
+    return cohort.scan_roles(scans).select("subject_id", "scan_id", "role")
 
 
 @query("j05_exclude_subjects", "select o_orderkey, o_custkey as subject_id from orders where o_custkey not in (select c_custkey from customer where c_nationkey < 5)")
@@ -699,18 +779,21 @@ def s08(spark, sf):
 
 @query(
     "s07_assemble_series",
-    """with r as (select l_suppkey as subject_id, l_partkey as voxel_id, [120, 300, 600, 1000, 2000, 4000, 10000][l_linenumber] as ti, l_linenumber, l_orderkey, l_quantity::double as v from lineitem where l_orderkey % 5 <> 0),
-f as (select * from (select *, row_number() over (partition by subject_id, voxel_id, ti order by l_orderkey % 3, 'scan_TI_' || ti || '_' || l_orderkey) as k from r) where k = 1)
-select subject_id, voxel_id, string_agg(ti::varchar, ',' order by ti) as axis, round(sum(v), 6) as total from f group by subject_id, voxel_id having count(*) >= 3""",
+    """with r as (select l_suppkey as subject_id, l_partkey as voxel_id, [120, 300, 600, 1000, 2000, 4000, 10000][l_linenumber] as ti, l_orderkey, l_quantity::double as v, l_orderkey % 3 as pref, l_returnflag = 'R' as geom,
+    'scan_TI_' || [120, 300, 600, 1000, 2000, 4000, 10000][l_linenumber] || '_' || l_orderkey as name from lineitem where l_orderkey % 5 <> 0),
+g as (select subject_id, arg_min(geom, (ti, pref, name)) as geom from r group by subject_id),
+f as (select * from (select *, row_number() over (partition by subject_id, voxel_id, ti order by pref, name) as k from r semi join g using (subject_id, geom)) where k = 1)
+select subject_id, voxel_id, string_agg(ti::varchar, ',' order by ti) as axis, round(sum(v + 0.5), 6) as total, count(*) >= 7 as complete from f group by subject_id, voxel_id having count(*) >= 3""",
 )
 def s07(spark, sf):
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     ti = F.element_at(F.array(*[F.lit(x) for x in _TI]), F.col("l_linenumber").cast("int"))
     kind = F.when(F.col("l_orderkey") % 5 == 0, "phase").otherwise("scan")
-    scans = li.select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("voxel_id"), F.concat_ws("_", kind, F.lit("TI"), ti, F.col("l_orderkey")).alias("name"), (F.col("l_orderkey") % 3).alias("preference"), F.col("l_quantity").cast("double").alias("value"))
+    dynamics = F.array(F.col("l_quantity").cast("double"), F.col("l_quantity") + F.lit(0.5))
+    scans = li.select(F.col("l_suppkey").alias("subject_id"), F.col("l_partkey").alias("voxel_id"), F.concat_ws("_", kind, F.lit("TI"), ti, F.col("l_orderkey")).alias("name"), (F.col("l_orderkey") % 3).alias("preference"), dynamics.cast("array<double>").alias("values"), (F.col("l_returnflag") == "R").alias("geom"))
     out = cohort.assemble_series(scans)
     axis = F.array_join(F.transform("axis_s", lambda t: F.round(t * 1000).cast("int").cast("string")), ",")
-    return out.select("subject_id", "voxel_id", axis.alias("axis"), F.round(A.total(F.col("values")), 6).alias("total"))
+    return out.select("subject_id", "voxel_id", axis.alias("axis"), F.round(A.total(F.col("values")), 6).alias("total"), "complete")
 
 
 @query(

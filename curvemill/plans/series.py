@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
-from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc, relaxometry
-from curvemill.plans.queries import COORDS, INPUT, LONG, _curves, _long_out, _maps, _r, _streamlines, query
+from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc
+from curvemill.plans.queries import COORDS, INPUT, LONG, METRICS, _curves, _long_out, _maps, _r, _streamlines, query
 from curvemill.sources import curves as C
 from curvemill.sources import headers
 
@@ -17,8 +17,7 @@ from curvemill.sources import headers
 select voxel_id, frame, round(v - k * frame * 2.463, 6) as value from c join s using (voxel_id)""",
 )
 def b25(spark, sf):
-    long = C.to_long(_curves(spark, sf), "voxel_id").withColumn("t", F.col("frame") * F.lit(C.DT))
-    return preprocess.detrend_tail(long, keys=["voxel_id"]).select("voxel_id", "frame", *_r("value"))
+    return _long_out(preprocess.detrend_tail(_curves(spark, sf), dt=C.DT), "values")
 
 
 @query("b22_crop_to_onset", f"with {LONG}, {INPUT}, o as (select min(frame) - 1 as i0 from ca where c_a > 0.05 * (select max(c_a) from ca)), k as (select case when i0 > 0 and i0 < 59 then i0 else 0 end as i0 from o) select voxel_id, (frame - i0)::int as frame, round(v, 6) as value from c, k where frame >= i0")
@@ -27,19 +26,32 @@ def b22(spark, sf):
     return _long_out(preprocess.crop_to_onset(c, C.input_curve(c)), "values")
 
 
-@query("b24_detect_boluses")
+@query(
+    "b24_detect_boluses",
+    f"""with {LONG}, n as (select *, lag(v) over w as b, lead(v) over w as a, max(v) over (partition by voxel_id) as top from c window w as (partition by voxel_id order by frame)), m as (select voxel_id, frame, v from n where v > b and v > a and v >= 0.2 * top),
+f as (select voxel_id, arg_max(frame, (v, -frame)) as f0 from m group by voxel_id), g as (select voxel_id, arg_max(m.frame, (m.v, -m.frame)) as f1 from m join f using (voxel_id) where abs(m.frame - f0) >= 3 group by voxel_id)
+select e.vec_id as voxel_id, case when f0 is null then '' when f1 is null then f0::varchar else least(f0, f1) || ',' || greatest(f0, f1) end as frames from embeddings e left join f on f.voxel_id = e.vec_id left join g on g.voxel_id = e.vec_id""",
+)
 def b24(spark, sf):
     return _curves(spark, sf).select("voxel_id", F.array_join(preprocess.detect_boluses(F.col("values")).cast("array<string>"), ",").alias("frames"))
 
 
-@query("b15_trailing_artifacts")
+@query(
+    "b15_trailing_artifacts",
+    f"""with {LONG}, m as (select label, frame, avg(v) as v from c group by label, frame), b as (select voxel_id, frame, c.v as a, m.v as b from c join m using (label, frame)),
+t as (select voxel_id, median(a) filter (frame between 32 and 60) as ma, median(b) filter (frame between 32 and 60) as mb from b group by voxel_id),
+d as (select voxel_id, median(abs(a - ma)) filter (frame between 32 and 60) as da, median(abs(b - mb)) filter (frame between 32 and 60) as db from b join t using (voxel_id) group by voxel_id),
+l as (select voxel_id, frame, a < least(ma - 4 * 1.4826 * da, 0.5 * ma) or b < least(mb - 4 * 1.4826 * db, 0.5 * mb) as low from b join t using (voxel_id) join d using (voxel_id)),
+k as (select voxel_id, bool_or(low) filter (frame = 63) as l1, bool_or(low) filter (frame = 62) as l2, bool_or(low) filter (frame = 61) as l3 from l group by voxel_id)
+select voxel_id, case when not l1 then 0 when not l2 then 1 when not l3 then 2 else 3 end::int as n_drop from k""",
+)
 def b15(spark, sf):
     c = _curves(spark, sf)
     mean = aggregate.mean_curve(c, by=["label"]).withColumnRenamed("values", "mean_curve")
     return c.select("voxel_id", "label", "values").join(F.broadcast(mean), "label").select("voxel_id", preprocess.trailing_artifacts(F.col("values"), F.col("mean_curve")).alias("n_drop"))
 
 
-@query("a10_spike_veto")
+@query("a10_spike_veto", f"with {METRICS} select e.vec_id as voxel_id, coalesce(vetoed, true) as vetoed from embeddings e left join q on q.voxel_id = e.vec_id")
 def a10(spark, sf):
     return aif.spike_veto(_curves(spark, sf)).select("voxel_id", "vetoed")
 
@@ -73,10 +85,10 @@ def a06(spark, sf):
     list_median(list_transform(embedding[1:5], lambda v: 100 * (1 + v::double))) as s0, list_max(list_transform(embedding, lambda v: 100 * (1 + v::double))) as top from embeddings),
 l as (select label, median(c) as ceiling, median(case when s0 > 0 then s0 end) as mid from s group by label),
 f as (select s.label, ceiling, top / s0 as peak from s join l using (label) where s0 > 0.25 * mid)
-select label, round(ceiling, 6) as ceiling, count(*) as n, round(avg((peak > ceiling)::int), 6) as share_over, round(median(peak), 6) as peak_p50, round(quantile_cont(peak, 0.95), 6) as peak_p95 from f group by label, ceiling""",
+select label, round(ceiling, 6) as ceiling, round(ceiling / cos(radians(15)), 6) as wrap, count(*) as n, round(avg((peak > ceiling)::int), 6) as share_over, round(avg((peak >= ceiling / cos(radians(15)))::int), 6) as share_wrapped, round(median(peak), 6) as peak_p50, round(quantile_cont(peak, 0.95), 6) as peak_p95 from f group by label, ceiling""",
 )
 def c07(spark, sf):
-    return concentration.saturation_report(_curves(spark, sf), by=["label"], flip_deg=15, tr_s=0.005).select("label", *_r("ceiling"), "n", *_r("share_over", "peak_p50", "peak_p95"))
+    return concentration.saturation_report(_curves(spark, sf), by=["label"], flip_deg=15, tr_s=0.005).select("label", *_r("ceiling", "wrap"), "n", *_r("share_over", "share_wrapped", "peak_p50", "peak_p95"))
 
 
 @query(
@@ -93,7 +105,7 @@ def k08(spark, sf):
 
 @query(
     "d07_streamline_filter",
-    """with p as (select l_orderkey as sid, (l_partkey % 16)::double as x, (l_suppkey % 16)::double as y, (l_linenumber % 2)::double as z, (l_linenumber, l_partkey, l_suppkey) as i from lineitem),
+    """with p as (select l_orderkey as sid, (l_partkey % 32)::double as x, (l_partkey // 32)::double as y, (l_linenumber % 2)::double as z, (l_linenumber, l_partkey, l_suppkey) as i from lineitem),
 d as (select sid, sqrt(power(x - lag(x) over w, 2) + power(y - lag(y) over w, 2) + power(z - lag(z) over w, 2)) as d from p window w as (partition by sid order by i))
 select sid, round(coalesce(sum(d), 0), 6) as length from d group by sid having coalesce(sum(d), 0) >= 20""",
 )
@@ -130,22 +142,23 @@ def q04(spark, sf):
 
 @query(
     "q05_conversion_summary",
-    f"""with {LONG}, b as (select voxel_id, label, any_value(t1_ms) as t1, avg(v) filter (frame < 10) as base, max(v) > 0.25 as over from c group by voxel_id, label)
-select label, count(*) as n, sum(over::int)::bigint as n_over, round(median(base), 6) as baseline, round(median(t1), 6) as t1_ms from b group by label""",
+    f"""with {LONG}, b as (select voxel_id, label, any_value(t1_ms) as t1, avg(v) filter (frame < 10) as base, max(v) > 0.25 as over from c group by voxel_id, label),
+p as (select label, arg_max(frame, (v, -frame))::int as peak_frame from (select label, frame, avg(v) as v from c group by label, frame) group by label)
+select label, count(*) as n, sum(over::int)::bigint as n_over, round(median(base), 6) as baseline, round(median(t1), 6) as t1_ms, any_value(peak_frame) as peak_frame from b join p using (label) group by label""",
 )
 def q05(spark, sf):
-    return qc.conversion_summary(_curves(spark, sf).withColumn("conc", F.col("values")), by=["label"], most=0.25).select("label", "n", "n_over", *_r("baseline", "t1_ms"))
+    return qc.conversion_summary(_curves(spark, sf).withColumn("conc", F.col("values")), by=["label"], most=0.25).select("label", "n", "n_over", *_r("baseline", "t1_ms"), "peak_frame")
 
 
 @query(
     "r06_foreground_component",
-    None,
+    f"""with recursive {LONG}, e as (select voxel_id, x, y, z, avg(v) as m from c where frame < 10 group by voxel_id, x, y, z), f as (select * from e where m > 0.8 * (select quantile_cont(m, 0.99) from e)),
+n as (select a.voxel_id as a, b.voxel_id as b from f a join f b on abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) = 1),
+r as (select voxel_id, voxel_id as root from f union select n.b, r.root from r join n on n.a = r.voxel_id), k as (select voxel_id, min(root) as component from r group by voxel_id)
+select voxel_id from k where component = (select arg_max(component, (n, -component)) from (select component, count(*) as n from k group by component))""",
 )
 def r06(spark, sf):
-    c = _curves(spark, sf).withColumn("early", A.mean(A.span(F.col("signal"), 0, 10)))
-    limit = c.agg(F.percentile("early", F.lit(0.99)).alias("p99"))
-    inside = c.join(F.broadcast(limit), F.col("early") > 0.1 * F.col("p99"))
-    return labels.largest_component(inside.select("voxel_id", "x", "y", "z"))
+    return labels.foreground_component(_curves(spark, sf), share=0.8)
 
 
 @query(
@@ -208,9 +221,3 @@ def b17(spark, sf):
 @query("b21_upsample")
 def b21(spark, sf):
     return _long_out(filters.upsample(_curves(spark, sf).select("voxel_id", "values"), 3), "values")
-
-
-@query("t02_fit_recovery_turbo")
-def t02(spark, sf):
-    c = _curves(spark, sf).select("voxel_id", F.slice("signal", F.lit(1), F.lit(7)).alias("values"))
-    return relaxometry.fit_recovery_turbo(c, [0.12, 0.3, 0.6, 1, 2, 4, 10], keys=["voxel_id"])

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 DT = 2.463
 
 
+def subjects(*tables: DataFrame) -> list[str]:
+    """The column that tells subjects apart, where all the tables have it: voxel and label ids are a subject's own."""
+    return ["subject_id"] if all("subject_id" in t.columns for t in tables) else []
+
+
 def read_curves(spark: SparkSession, path: str, *, values: str = "values") -> DataFrame:
     """Parquet curves; a scalar column becomes a curve of one value."""
     df = spark.read.parquet(path)
@@ -50,8 +55,18 @@ def embedding_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cohort_curves(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
+    """The same curves dealt to n subjects, whose voxel ids are their own and overlap."""
+    c = embedding_curves(spark, sf_dir)
+    v = F.col("voxel_id")
+    place = {"subject_id": F.concat(F.lit("s"), (v % n).cast("string")), "voxel_id": F.floor(v / n)}
+    own = c.withColumns(place)
+    return own.withColumns({"x": (F.col("voxel_id") % 8).cast("int"), "y": (F.floor(F.col("voxel_id") / 8) % 8).cast("int"), "z": F.floor(F.col("voxel_id") / 64).cast("int")})
+
+
 def input_curve(curves: DataFrame) -> DataFrame:
-    """One row: c_a, 1 + the mean curve of all voxels, and its time axis t_s."""
-    mean = to_long(curves, "voxel_id").groupBy("frame").agg((1 + F.avg("value")).alias("value"))
-    row = to_curves(mean.withColumn("one", F.lit(1)), ["one"])
-    return row.select(F.col("values").alias("c_a"), F.transform("values", lambda v, i: i * F.lit(DT)).alias("t_s"))
+    """c_a, 1 + the mean curve of all voxels, and its time axis t_s: one row, or one a subject."""
+    by = subjects(curves)
+    mean = to_long(curves, *by).groupBy(*by, "frame").agg((1 + F.avg("value")).alias("value"))
+    row = to_curves(mean.withColumn("one", F.lit(1)), [*by, "one"])
+    return row.select(*by, F.col("values").alias("c_a"), F.transform("values", lambda v, i: i * F.lit(DT)).alias("t_s"))

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Keys of header files that tell a series' axis.
+HEADER = "n int, InversionTimes array<double>, FlipAngles array<double>, RepetitionTime double, RepetitionTimeExcitation double, TimePoints array<double>, dt double"
+
+
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """One row a JSON header file, with the keys that tell its axis and the file's path."""
+    return spark.read.schema(HEADER).option("multiLine", True).json(path).withColumn("path", F.input_file_name())
+
+
 def axis_of(headers: DataFrame) -> DataFrame:
-    """axis_kind and axis of a series with n, InversionTimes, FlipAngles, TimePoints and dt columns (null where absent).
+    """axis_kind and axis of a series with n and any of the columns of HEADER (null or missing where absent).
 
-    One value is static; then inversion times, flip angles, time points; else frame numbers, by dt where it is positive.
+    One value is static; then inversion times, flip angles, and a repetition time, which makes it time: the time points, else frame
+    numbers. Without any of these it is time too. An axis of time that starts at 0 is i * dt where dt is positive.
     """
-    frames = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: i.cast("double"))
-    stepped = F.when(F.col("dt") > 0, F.transform(frames, lambda i: i * F.col("dt"))).otherwise(frames)
-    kind = F.when(F.col("n") <= 1, "static").when(F.col("InversionTimes").isNotNull(), "ti").when(F.col("FlipAngles").isNotNull(), "fa").otherwise("time")
-    axis = F.when(kind == "static", F.array(F.lit(0.0))).when(kind == "ti", F.col("InversionTimes")).when(kind == "fa", F.col("FlipAngles")).otherwise(F.coalesce("TimePoints", stepped))
+    has = lambda c, t: F.col(c) if c in headers.columns else F.lit(None).cast(t)
+    ti, fa, points = (has(c, "array<double>") for c in ("InversionTimes", "FlipAngles", "TimePoints"))
+    dt = F.coalesce(has("dt", "double"), F.lit(0.0))
+    frames = F.transform(F.sequence(F.lit(0), F.greatest(F.col("n"), F.lit(1)) - 1), lambda i: i.cast("double"))
+    kind = F.when(F.col("n") <= 1, "static").when(ti.isNotNull(), "ti").when(fa.isNotNull(), "fa").otherwise("time")
+    given = F.coalesce(points, frames)
+    timed = F.when((F.get(given, F.lit(0)) == 0) & (dt > 0), F.transform(given, lambda v, i: i * dt)).otherwise(given)
+    axis = F.when(kind == "static", F.array(F.lit(0.0))).when(kind == "ti", ti).when(kind == "fa", fa).otherwise(timed)
     return headers.withColumns({"axis_kind": kind, "axis": axis})
 
 
@@ -25,6 +39,21 @@ def unit_gradients(gradients: DataFrame) -> DataFrame:
     return gradients.withColumns({c: F.col(c) / length for c in ("gx", "gy", "gz")})
 
 
+def read_gradients(bvals: DataFrame, bvecs: DataFrame, *, frames: DataFrame | None = None) -> DataFrame:
+    """(subject_id, dir, bval, gx, gy, gz) of unit length from bvals (subject_id, values) and bvecs (subject_id, rows: 3 x N or N x 3).
+
+    Subjects whose lengths differ, or differ from their series' ``frames`` (subject_id, n), are left out.
+    """
+    n, inner = F.size("values"), F.size(F.get("rows", F.lit(0)))
+    across = (F.size("rows") == 3) & (inner == n)
+    joined = bvals.join(bvecs, "subject_id").where(across | ((F.size("rows") == n) & (inner == 3)))
+    if frames is not None:
+        joined = joined.join(frames, "subject_id").where(F.col("n") == n)
+    part = lambda k: F.when(across, F.get(F.get("rows", F.lit(k)), F.col("dir"))).otherwise(F.get(F.get("rows", F.col("dir")), F.lit(k)))
+    each = joined.select("subject_id", "rows", "values", F.posexplode("values").alias("dir", "bval"))
+    return unit_gradients(each.select("subject_id", "dir", "bval", *[part(k).alias(f"g{a}") for k, a in enumerate("xyz")]))
+
+
 def shells(gradients: DataFrame) -> DataFrame:
     """n_b0 and the distinct b-values, rounded to tens, of each subject."""
     return gradients.groupBy("subject_id").agg(F.count_if(F.col("bval") <= 50).alias("n_b0"), F.array_sort(F.collect_set(F.bround("bval", -1))).alias("shells"))
@@ -33,3 +62,16 @@ def shells(gradients: DataFrame) -> DataFrame:
 def prior_ms(t1: Column, unit: Column) -> Column:
     """T1 in milliseconds."""
     return F.when(F.lower(unit).isin("s", "sec", "seconds"), t1 * 1000).otherwise(t1)
+
+
+def read_parcellation(voxels: DataFrame, names: DataFrame, *, include: list[int] | None = None) -> DataFrame:
+    """voxels (voxel_id, label) with labels outside ``include`` set to 0, and each label's name, label_<id> where it has none."""
+    from curvemill.operators.labels import label_names, restrict_labels
+
+    return label_names(restrict_labels(voxels, include), names)
+
+
+def read_input_curve(inputs: DataFrame) -> DataFrame:
+    """inputs (c_a, t_s) cut to their common length."""
+    n = F.least(F.size("c_a"), F.size("t_s"))
+    return inputs.withColumns({c: F.slice(c, F.lit(1), n) for c in ("c_a", "t_s")})

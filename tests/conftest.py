@@ -1,6 +1,7 @@
 import os
 import sys
 
+import pandas as pd
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -44,7 +45,7 @@ def rows(df):
     """Rows of a pandas frame as sorted tuples of text, columns by name."""
 
     def cell(x):
-        if x is None or x != x:
+        if x is None or x is pd.NA or x != x:
             return "null"
         return repr(float(x) + 0.0) if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from curvemill.plans import queries as Q
-from curvemill.plans import series  # noqa: F401
+from curvemill.plans import models, series  # noqa: F401
 from tests.conftest import rows
 
 
