@@ -239,13 +239,20 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3) -> DataFrame:
 
 
 def _with_components(own: DataFrame) -> DataFrame:
-    reps = written(own.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-fps")
-    groups = written(components(links(reps)), "simhash-groups").withColumnRenamed("node", "fp")
+    """own (doc_id, fp, ...) with component_id.
+
+    A document whose fingerprint is its own and has no link is its component: only the others are looked up, so that no
+    join gathers the copies of one text where these are few enough to broadcast.
+    """
+    reps = written(own.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "simhash-fps")
+    groups = written(components(links(reps.select("fp", "rep"))), "simhash-groups").withColumnRenamed("node", "fp")
     linked = reps.join(groups, "fp")
     least = linked.groupBy("component").agg(F.min("rep").alias("least"))
     named = linked.join(least, "component").select("fp", "least")
-    table = reps.join(named, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
-    return own.join(table, "fp")
+    shared = reps.join(named, "fp", "left").where("n > 1 or least is not null").select("fp", F.lit(True).alias("_sh_in"), F.coalesce("least", "rep").alias("_sh_c"))
+    shared = written(shared, "simhash-shared")
+    found = own.join(F.broadcast(shared) if shared.count() <= BROADCAST_KEYS else shared, "fp", "left")
+    return found.withColumn("component_id", F.when(F.col("_sh_in"), F.col("_sh_c")).otherwise(F.col("doc_id"))).drop("_sh_in", "_sh_c")
 
 
 #: More keys than this on the small side of a join with the documents are shuffled, not broadcast (about 30 bytes each).
@@ -335,12 +342,16 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     prints = _with_components(own.select("doc_id", "fp", "s")).select(of_print.alias("p"), F.col("s").alias("u")).distinct()
     stars = prints.join(prints.groupBy("p").agg(F.min("u").alias("v")), "p").select("u", "v")
     stars = stars.unionByName(met.select("u", "v")).unionByName(members.select("u", "v"))
+    # Keys that no other set has are shingles that no other set has: so many are missing from whatever it has in common.
+    shared = met.where("n = 2").select(F.explode(F.array("u", "v")).alias("s")).unionByName(members.select(F.col("u").alias("s"))).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
+    first_keys = F.when(F.col("n") > 0, F.col("n") - F.ceil(F.col("n") * a / b) + 1).otherwise(0)
+    common = written(reps.join(shared, "s", "left").select("s", "n", (F.col("n") - F.greatest(first_keys - F.coalesce("c", F.lit(0)), F.lit(0))).alias("o")), "similar-sizes")
 
     def fit(pairs: DataFrame) -> DataFrame:
         """The distinct pairs whose sizes allow them to be similar."""
-        n = [reps.select(F.col("s").alias(x), F.col("n").alias(f"n{x}")) for x in "uv"]
+        n = [common.select(F.col("s").alias(x), F.col("n").alias(f"n{x}"), F.col("o").alias(f"o{x}")) for x in "uv"]
         sized = pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().join(n[0], "u").join(n[1], "v")
-        sized = sized.where(b * F.least("nu", "nv") >= a * F.greatest("nu", "nv"))
+        sized = sized.where((b * F.least("nu", "nv") >= a * F.greatest("nu", "nv")) & ((a + b) * F.least("ou", "ov") >= a * (F.col("nu") + F.col("nv")))).drop("ou", "ov")
         # Up to the end of the keys that end first, sets have only keys in common; after it, at most what one has left.
         sized = written(sized, "similar-sized")
         able = sized.select(F.explode(F.array("u", "v")).alias("s")).distinct()
