@@ -5,6 +5,10 @@ virtual finish time is the number of tokens its queue has served up to its end,
 weight. Serving copies by finish time and stopping at the total budget gives each source its share by weight;
 a source whose copies run out leaves its share to the others, again by weight.
 
+``mix`` range-sorts the copies by finish time and ends them at the budget. ``mix_plan`` needs only the last finish
+time served: finish times are counted in ranges, and the range where the budget ends is the one that is sorted. Blocks of a
+source and ranges of time grow with the rows, so no task sorts more than a set number of them.
+
 Defined results: a null text has size 0 and is never taken; a null source is a source of its own, last in
 order; rows that are equal in all columns are interchangeable; an empty table gives an empty result. Extra
 columns are carried by ``mix`` and ignored by ``mix_plan``; working columns carry the prefix ``_wfq_``.
@@ -20,8 +24,10 @@ from pyspark.sql import functions as F
 from curvemill.llm import text as T
 from curvemill.llm.scratch import written
 
-#: Ranges of finish time up to the expected end; later ones are ranges of its logarithm.
+#: Ranges of finish time up to the expected end, at least; later ones are ranges of its logarithm.
 RANGES = 4096
+#: Rows of a block of a source's queue, or of a range of finish times, on average at most.
+BLOCK_ROWS = 100_000
 
 
 def _key(source: Column) -> Column:
@@ -65,7 +71,7 @@ def _finish(repeat: Column | int) -> Column:
     return (repeat * F.col("source_size") + F.col("_wfq_cum")) / F.col("weight")
 
 
-def _cutoff(queued: DataFrame, budget: float, level: float, max_repeats: int) -> float:
+def _cutoff(queued: DataFrame, budget: float, level: float, max_repeats: int, ranges_upto: int = RANGES) -> float:
     """The last finish time served: copies up to it, ties included, hold at most the budget.
 
     Finish times are dealt into ranges; the running total over the ranges shows the one where the budget
@@ -77,7 +83,7 @@ def _cutoff(queued: DataFrame, budget: float, level: float, max_repeats: int) ->
         .select("size", _finish(F.col("_wfq_e")).alias("f"))
     )
     x = F.col("f") / F.lit(level)
-    served = served.withColumn("r", F.when(x <= 1, F.floor(x * RANGES)).otherwise(RANGES + F.floor(F.log2(x) * 1024)).cast("int"))
+    served = served.withColumn("r", F.when(x <= 1, F.floor(x * ranges_upto)).otherwise(ranges_upto + F.floor(F.log2(x) * ranges_upto / 4)).cast("long"))
     ranges = served.groupBy("r").agg(F.sum("size").alias("n"))
     up_to = ranges.select("r", "n", F.sum("n").over(Window.orderBy("r")).alias("upto"))
     last = up_to.where(F.col("upto") > budget).agg(F.min(F.struct("r", (F.col("upto") - F.col("n")).alias("before"))).alias("x")).first()["x"]
@@ -116,7 +122,10 @@ def mix_plan(
         T.n_words(F.col("text")).alias("size"),
         _shuffle_key(seed).alias("_wfq_r"),
     )
-    base = written(base.withColumn("_wfq_b", F.shiftright("_wfq_r", 54)), "mix-sizes")
+    base = written(base, "mix-sizes")
+    n = base.count()
+    bits = min(30, max(10, (n // BLOCK_ROWS).bit_length()))
+    base = base.withColumn("_wfq_b", F.shiftright("_wfq_r", 64 - bits))
     blocks = base.groupBy("_wfq_key", "_wfq_b").agg(F.sum("size").alias("_wfq_block"))
     targets = source_targets(blocks.groupBy("_wfq_key").agg(F.sum("_wfq_block").alias("source_size")), weights, max_repeats, share)
     targets = written(targets, "mix-targets")
@@ -127,7 +136,7 @@ def mix_plan(
     queued = base.join(starts, ["_wfq_key", "_wfq_b"]).withColumn("_wfq_cum", F.col("_wfq_start") + F.sum("size").over(within))
     queued = written(queued, "mix-queues")
     total = (totals["n"] or 0) * share
-    end = _cutoff(queued, total, totals["level"], max_repeats) if total > 0 else -1.0
+    end = _cutoff(queued, total, totals["level"], max_repeats, max(RANGES, n * max_repeats // BLOCK_ROWS)) if total > 0 else -1.0
     repeats = sum((F.when(_finish(e) <= F.lit(end), 1).otherwise(0) for e in range(max_repeats)), F.lit(0))
     return queued.withColumn("repeats", F.when(F.col("size") > 0, repeats).otherwise(0)).select(
         *[F.col(f"_wfq_k{i}").alias(c) for i, c in enumerate(keep)],

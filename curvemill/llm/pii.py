@@ -6,8 +6,8 @@ protected entity. A term anywhere in a document that mentions an entity disclose
     disclosure = PMI(entity; term) / IC(entity) = log(N n_et / (n_e n_t)) / log(N / n_e)
 
 with document counts over the whole corpus: 1 means that whoever reads the term can infer the entity, 0 that it
-says nothing. Where it reaches ``GENERALISE`` the term's mentions in that entity's documents are replaced by a placeholder,
-and where it reaches ``REMOVE`` they are cut out. Copies of one text are no evidence, so a pair that occurs in fewer than
+says nothing. Where it reaches ``GENERALISE`` the term's mentions in that entity's documents give way to the kind of word they
+are (<name>, <acronym> or <word>), and where it reaches ``REMOVE`` they are cut out. Copies of one text are no evidence, so a pair that occurs in fewer than
 ``SUPPORT`` different texts counts once, and its P(entity | term) is shrunk by one imagined document that holds the
 term and has the entity at its base rate:
 
@@ -228,25 +228,28 @@ def all_spans(docs: DataFrame) -> DataFrame:
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """The documents with their texts sanitised: values give way to <kind>, terms to <term> or nothing."""
+    """The documents with their texts sanitised: values give way to <kind>, terms to the kind of word they are or nothing."""
     columns = docs.columns
     keys = F.struct(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("h"))
     texts = docs.select("doc_id", "text")
     spans = all_spans(texts.withColumn("doc_id", F.struct("doc_id", keys.alias("k"))))
     edits = F.concat(
         F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("<"), s["kind"], F.lit(">")).alias("by"))),
-        F.transform(F.coalesce("terms", F.expr(_NO_TERMS)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["disclosure"] >= REMOVE, "").otherwise("<term>").alias("by"))),
+        F.transform(F.coalesce("terms", F.expr(_NO_TERMS)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["disclosure"] >= REMOVE, "").alias("by"))),
     )
     edited = spans.where("size(base) > 0").select(F.col("doc_id.k").alias("_pii_k"), edits.alias("_pii_e")).dropDuplicates(["_pii_k"])
 
-    @F.udf("string")
+    def general(word: str) -> str:
+        return "<acronym>" if word.isupper() else "<name>" if word[:1].isupper() else "<word>"
+
+    @F.udf("string", useArrow=True)
     def apply(text, changes):
         if not changes:
             return text
         out, at = [], 0
         for c in sorted(changes, key=lambda c: (c["start"], -c["end"])):
             if c["start"] >= at:
-                out += [text[at : c["start"]], c["by"]]
+                out += [text[at : c["start"]], general(text[c["start"] : c["end"]]) if c["by"] is None else c["by"]]
                 at = c["end"]
         return "".join([*out, text[at:]])
 

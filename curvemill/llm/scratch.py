@@ -5,18 +5,50 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where it is unset (local tests)."""
+    """The folder named in spark.checkpoint.dir; a temporary one where it is unset and the master is local (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = "file://" + os.path.join(tempfile.gettempdir(), "curvemill-checkpoints")
     return path.rstrip("/")
 
 
+#: Paths of the tables written inside a scope, by application and scope.
+_SCOPED: dict[tuple[str, str], list[str]] = {}
+_scope: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scope(name: str) -> Iterator[None]:
+    """Tables written inside belong to the scope, until ``release`` removes them."""
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+
+
+def release(name: str, *needed: DataFrame) -> None:
+    """Remove the scope's tables that none of the frames still reads."""
+    for df in needed:
+        spark = df.sparkSession
+        paths = _SCOPED.get((spark.sparkContext.applicationId, name), [])
+        read = {f.rsplit("/", 2)[-2] for f in df.inputFiles()} if paths else set()
+        for path in [p for p in paths if p.rsplit("/", 1)[-1] not in read]:
+            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+            paths.remove(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back.
 
@@ -26,6 +58,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scope.get():
+        _SCOPED.setdefault((spark.sparkContext.applicationId, _scope.get()), []).append(path)
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)

@@ -113,6 +113,20 @@ def test_audio_round_trip(spark, sf, real, docs):
     assert none.n_blocks == 0 and none.segments == [] and audio.audio_features(clips.limit(0)).count() == 0
 
 
+def test_log_mel_against_a_plain_transform():
+    """Frame by frame: windowed, its spectrum by the sum that defines it, the filters' sums, their logarithm."""
+    k, x = audio.Kernels(), np.random.default_rng(5).normal(0, 0.3, 1000).astype(np.float32)
+    got = audio.log_mel(x, k)[0]
+    n = np.arange(audio.WINDOW)
+    spectrum = np.exp(-2j * np.pi * np.outer(np.arange(audio.FFT // 2 + 1), n) / audio.FFT)
+    for f in (0, 3, (len(x) - audio.WINDOW) // audio.HOP):
+        part = x[f * audio.HOP : f * audio.HOP + audio.WINDOW].astype(float) * k.hann
+        power = np.abs(spectrum @ part) ** 2
+        assert np.allclose(got[f], np.log(power @ k.mels + audio.FLOOR), atol=2e-3)
+    tops = k.mels.argmax(0)
+    assert (np.diff(tops) >= 0).all() and (k.mels >= 0).all() and k.mels.shape == (audio.FFT // 2 + 1, audio.MELS)
+
+
 def test_audio_chunks_do_not_show():
     k, rng = audio.Kernels(), np.random.default_rng(0)
     step = audio.FRAMES * audio.HOP * audio.DOWN // audio.UP * 64
@@ -146,6 +160,43 @@ def test_mix_targets_and_limits(spark, sf, docs):
     assert mixing.mix_plan(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def _plain_mix(rows, weights=(5, 2, 1), repeats=3):
+    """rows: (position, source, words, shuffle key, doc_id) -> copies taken of each, by a plain queue of finish times."""
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    finish, sizes = [], {}
+    for s in names:
+        queue = sorted((r for r in rows if r[1] == s), key=lambda r: (r[3], r[4] is not None, r[4] or 0))
+        sizes[s], served = sum(r[2] for r in queue), 0
+        for r in queue:
+            served += r[2]
+            if r[2]:
+                finish += [((e * sizes[s] + served) / weight[s], r[2], r[0]) for e in range(repeats)]
+    taken, total = dict.fromkeys((r[0] for r in rows), 0), 0
+    finish.sort()
+    at = 0
+    while at < len(finish):
+        tied = [f for f in finish[at:] if f[0] == finish[at][0]]
+        if total + sum(f[1] for f in tied) > sum(sizes.values()):
+            break
+        total += sum(f[1] for f in tied)
+        for f in tied:
+            taken[f[2]] += 1
+        at += len(tied)
+    return taken
+
+
+def test_mix_against_a_plain_queue(spark, sf, monkeypatch):
+    data = [(i, " ".join("ab"[j % 2] for j in range(i % 9)), ("x", "y", None, "z")[i * i % 7 % 4]) for i in range(90)] + [(5, "a b", "x"), (5, "a b", "x"), (None, "a", None), (7, None, "q")]
+    mine = spark.createDataFrame(data, "doc_id long, text string, source string")
+    for given in (mine, spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source")):
+        rows_ = given.select("doc_id", "source", "text", mixing._shuffle_key(42).alias("r")).collect()
+        plain = _plain_mix([(i, r.source, len(WORDS.findall(r.text or "")), r.r, r.doc_id) for i, r in enumerate(rows_)])
+        want = sorted(((r.doc_id is None, r.doc_id or 0), plain[i] * len(WORDS.findall(r.text or ""))) for i, r in enumerate(rows_))
+        monkeypatch.setattr(mixing, "RANGES", 8)
+        assert sorted(((r.doc_id is None, r.doc_id or 0), r.taken) for r in mixing.mix_plan(given).collect()) == want
+
+
 def test_targets_fill_in_proportion(spark):
     rng = random.Random(1)
     for _ in range(5):
@@ -340,7 +391,7 @@ def test_pii_values_of_one_text(spark):
     p = 1 / 201
     assert math.isclose(got["zanthor"], math.log((1 + p) / 2 / p) / math.log(1 / p)) and not {"near", "the", "house"} & set(got)
     clean = {r.doc_id: r.text for r in pii.sanitise(given).collect()}
-    assert clean[300] == "<term>: <term> <term> <term> near the house, <email> or <ip>" and clean[5] == data[5][1]
+    assert clean[300] == "<name>: <word> <name> <word> near the house, <email> or <ip>" and clean[5] == data[5][1]
 
 
 def test_pii_terms_of_the_whole_document(spark):
@@ -533,5 +584,58 @@ def test_pipeline(spark, sf, docs):
         after = stage(spark, found, sf)
         assert after.columns == found.columns
         found = after
-    assert C.run(spark, sf).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert C.STAGES[-1][1](spark, found.limit(0), sf).count() == 0
+    assert C.STAGES[-1][1](spark, found.limit(0), sf).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_pipeline_against_plain_code(spark, sf):
+    """Every stage of run() by a plain version, each on what the plain one before it kept."""
+    import base64
+
+    import corpus_pipeline as C
+    import tiktoken
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = {r.doc_id for r in quality.quality_rules(docs, spark.read.parquet(f"{sf}/labels.parquet")).where("kept").collect()}
+    texts = {r.doc_id: (r.text, r.source) for r in docs.collect() if r.doc_id in kept}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) <= 1
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+    seen, by_ends, lined = set(), {}, {}
+    for d in sorted(texts):
+        if texts[d][0] is None:
+            lined[d] = None
+            continue
+        out = []
+        for line in texts[d][0].split("\n"):
+            w = tuple(WORDS.findall(line))
+            if not w:
+                out.append(line)
+                continue
+            keys = [(k, w[:h] if k == 0 else w[len(w) - h :]) for h in {len(w) // 2, (len(w) - 1) // 2} for k in (0, 1)] if len(w) >= lines.LEAST_WORDS else []
+            if w not in seen and not any(near(w, o) for k in keys for o in by_ends.get(k, ())):
+                out.append(line)
+            if w not in seen:
+                for k in keys:
+                    by_ends.setdefault(k, []).append(w)
+            seen.add(w)
+        if WORDS.search("\n".join(out)):
+            lined[d] = "\n".join(out)
+    sets = {d: frozenset(simhash.shingle_hashes(t, 5).tolist()) for d, t in lined.items()}
+    ids = sorted(sets)
+    similar = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (not sets[a] and not sets[b]) or len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b])]
+    component = _components(similar, ids)
+    alone = [d for d in ids if component[d] == d]
+    given = spark.createDataFrame([(d, lined[d]) for d in alone], docs.select("doc_id", "text").schema).select("doc_id", "text", mixing._shuffle_key(42).alias("r")).collect()
+    copies = _plain_mix([(r.doc_id, texts[r.doc_id][1], len(WORDS.findall(r.text or "")), r.r, r.doc_id) for r in given])
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    codec = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for d in alone:
+        tokens = codec.encode_ordinary(lined[d] or "")
+        row = (d, len(tokens), hashlib.sha256(",".join(map(str, tokens)).encode()).hexdigest(), hashlib.sha256((lined[d] or "").encode()).hexdigest())
+        want += [row] * copies[d]
+    assert sorted(tuple(r) for r in C.run(spark, sf).collect()) == sorted(want)
