@@ -37,21 +37,9 @@ def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at:
 
     if not big.limit(1).count():
         return plain(values)
+    # At most one large group for every ``limit`` rows: what is broadcast from here on grows with their number alone.
     big = _kept(big)
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
-
-    def joined(rows: DataFrame, how: str) -> DataFrame:
-        if not by:
-            return rows.crossJoin(F.broadcast(big)) if how == "inner" else rows.limit(0)
-        condition = same[0]
-        for s in same[1:]:
-            condition = condition & s
-        few = F.broadcast(big.alias("b")) if how == "left_anti" else F.broadcast(big.alias("b"))
-        both = rows.alias("a").join(few, condition, how)
-        return both.select("a.*", "_n", "_lo", "_hi") if how == "inner" else both
-
-    # At most one large group for every ``limit`` rows: the broadcast side is counted.
-    inside = joined(values.where("_v is not null"), "inner")
+    inside = _meet(values.where("_v is not null"), big, by)
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(q) * (F.col("_n") - 1)).alias("at")) for i, q in enumerate(shares)])
     ends = big.select(*by, "_n", "_lo", "_hi", F.explode(ranks).alias("_r"))
     ends = ends.select(*by, "_lo", "_hi", "_n", F.col("_r.i").alias("_i"), F.col("_r.at").alias("_at"), F.explode(F.array_distinct(F.array(F.floor("_r.at"), F.ceil("_r.at")))).alias("_k"))
@@ -70,18 +58,16 @@ def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at:
     each = points.groupBy(*by, "_i", "_at").agg(F.min(F.struct("_k", "_x")).alias("a"), F.max(F.struct("_k", "_x")).alias("b"))
     each = each.select(*by, "_i", (F.col("a._x") + (F.col("b._x") - F.col("a._x")) * (F.col("_at") - F.col("a._k"))).alias("_p"))
     large = each.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)])
-    return large if not by else plain(joined(values, "left_anti")).unionByName(large)
+    return plain(_meet(values, big, by, "left_anti")).unionByName(large) if by else large
 
 
-def _meet(rows: DataFrame, few: DataFrame, by: list[str]) -> DataFrame:
-    """rows joined on by (nulls are equal) with a few rows a large group."""
-    if not by:
-        return rows.crossJoin(F.broadcast(few))
+def _meet(rows: DataFrame, few: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """rows joined on by (nulls are equal) with a few rows a large group, or without those of large groups."""
     condition = F.lit(True)
     for c in by:
         condition = condition & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    others = [c for c in few.columns if c not in by]
-    return rows.alias("a").join(F.broadcast(few.alias("b")), condition).select("a.*", *[F.col(f"b.{c}") for c in others])
+    both = rows.alias("a").join(F.broadcast(few.alias("b")), condition, how) if by else rows.alias("a").crossJoin(F.broadcast(few.alias("b")))
+    return both if how == "left_anti" else both.select("a.*", *[F.col(f"b.{c}") for c in few.columns if c not in by])
 
 
 def _narrowed(values: DataFrame, wanted: DataFrame, by: list[str], limit: int) -> DataFrame:
