@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curvemill.functions import arrays as A
 from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc
 from curvemill.plans.queries import COORDS, INPUT, LONG, METRICS, _curves, _long_out, _maps, _r, _streamlines, query
 from curvemill.sources import curves as C
