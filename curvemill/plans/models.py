@@ -375,7 +375,7 @@ pk as (select subject_id, voxel_id, max(v) filter (frame >= 5) - avg(v) filter (
 ca as (select subject_id, frame, avg(v) as c_a, frame * 2.463 as t from q semi join top using (subject_id, voxel_id) group by subject_id, frame),
 co as (select subject_id, frame, c_a, coalesce(sum(area) over (partition by subject_id order by frame rows between unbounded preceding and 1 preceding), 0) / c_a as x from (select *, c_a * (lead(t) over (partition by subject_id order by frame) - t) as area from ca)),
 p as (select q.subject_id, voxel_id, label, co.x, q.v / co.c_a as y from q join co using (subject_id, frame) where co.x >= (select max(x) from co o where o.subject_id = q.subject_id) / 3),
-f as (select subject_id, voxel_id, label, regr_slope(y, x) * 6000 as ki from p group by all)
+f as (select subject_id, voxel_id, label, case when regr_count(y, x) >= 2 and regr_sxx(y, x) > 0 then regr_slope(y, x) * 6000 end as ki from p group by all)
 select subject_id, region, round(avg(ki), 4) as mean, round(median(ki), 4) as median, count(ki) as n from (select * from (select distinct subject_id from c), region_map) left join f using (subject_id, label) group by subject_id, region""",
 )
 def j01(spark, sf):

@@ -44,7 +44,7 @@ def test_models_recover_truth(spark):
     for i, want in enumerate(truth):
         assert np.allclose(ols[i], want, atol=1e-6) and np.allclose(huber[i], want, atol=1e-6)
     k_trans, vp, kep = 0.002, 0.05, 0.02
-    basis = kinetics._trapezoid_exponential(c_a, t, np.array([kep]))[:, 0]
+    basis = kinetics.trapezoid_exponential(c_a, t, np.array([kep]))[:, 0]
     fit = kinetics.fit_model(_frame(spark, [vp * c_a + k_trans * basis]), _input(spark, t, c_a), "extended_tofts", keys=["voxel_id"]).first()
     assert abs(fit.ktrans / 6000 - k_trans) < 2e-5 and abs(fit.vp - vp) < 2e-3 and abs(fit.kep / 60 - kep) < 5e-4
     flow, mtt = 0.01, 6.0
