@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from curvemill.llm import attribution, audio, bpe, lines, mixing, pii, quality, simhash, url_filter, wavelet
+from curvemill.llm import attribution, audio, bpe, lines, mixing, phrases, pii, quality, search, secrets, simhash, url_filter, wavelet
 
 
 def queries() -> dict:
@@ -17,6 +17,9 @@ def queries() -> dict:
         "op8_offset_attribution": attribution.op8_offset_attribution,
         "op9_wavelet_shards": wavelet.op9_wavelet_shards,
         "op10_recursive_bpe": bpe.op10_recursive_bpe,
+        "op11_reversed_search": search.op11_reversed_search,
+        "op12_structural_secrets": secrets.op12_structural_secrets,
+        "op13_toivonen_phrases": phrases.op13_toivonen_phrases,
     }
 
 
@@ -24,4 +27,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_deletion_neighbourhood": lines.OP5_SQL,
         "op7_redirect_equivalence": url_filter.OP7_SQL,
+        "op11_reversed_search": search.OP11_SQL,
+        "op13_toivonen_phrases": phrases.OP13_SQL,
     }
