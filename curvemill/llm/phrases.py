@@ -72,22 +72,23 @@ def _test(arrays: list[np.ndarray], h: np.ndarray) -> np.ndarray:
 
 def _blocks(text: bytes) -> Iterator[tuple[bytes, int]]:
     """Parts of a folded text with how many words at the start were in the part before; cut between pieces, else between words."""
-    at, shared = 0, 0
-    while len(text) - at > BLOCK:
+    at, shared, held = 0, 0, 0  # held: bytes at the start that the part before had
+    while len(text) - at > max(BLOCK, held):
         if (cut := text.rfind(b"\n", at + BLOCK // 2, at + BLOCK)) >= 0:
             yield text[at:cut], shared
-            at, shared = cut, 0
+            at, shared, held = cut, 0, 0
             continue
-        cut = text.find(b" ", at + BLOCK)
-        piece_end = text.find(b"\n", at + BLOCK)
+        cut = text.find(b" ", at + max(BLOCK, held))
+        piece_end = text.find(b"\n", at + max(BLOCK, held))
         if cut < 0 or 0 <= piece_end < cut:
             cut = piece_end if piece_end >= 0 else len(text)
             yield text[at:cut], shared
-            at, shared = cut, 0
+            at, shared, held = cut, 0, 0
             continue
         yield text[at:cut], shared
         tail = text[at:cut].rsplit(b"\n", 1)[-1].split()[-(LONGEST - 1) :]
-        text, at, shared = b" ".join(tail) + text[cut:], 0, len(tail)
+        start = b" ".join(tail)
+        text, at, shared, held = start + text[cut:], 0, len(tail), len(start) + 1
     yield text[at:], shared
 
 
