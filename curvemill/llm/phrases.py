@@ -1,14 +1,17 @@
 """Collocations by language: Toivonen mining of frequent phrases, then exact scores of their weakest cut.
 
-A sample of documents proposes phrases: level by level, those that reach a lowered support there. One full pass then counts, exactly,
+A sample of documents proposes phrases: level by level, those that reach a lowered support there. One full pass then counts
 the proposed phrases and their negative border: every phrase whose first and last words but one are proposed (or, of
 one word, any). A border phrase that turns out frequent is a failure: phrases that hold it have not been counted. Expansion
 passes count what the failures open until no frequent phrase is unknown; a phrase is at most ``longest`` words, so there
 are at most as many passes. Whatever the sample, the result is that of counting everything; it only saves counting.
 
+These passes count phrases by 64-bit hashes, so that what moves is numbers. Two phrases of one hash count together, which
+can only let too many through; a last pass counts those that are left by their words, per language, and is exact.
+
 The border is never listed: in each text, a place counts if the two phrases inside it are known. Known phrases are bits in
 arrays by length, whose size has a fixed bound (``MAX_BITS``); a bit that two phrases share only makes more be counted. Tasks
-count blocks of text with NumPy and send a row for each phrase of a block, so a phrase that fills the corpus is summed before it moves.
+count blocks of text with NumPy and sum what they count, so a phrase that fills the corpus is summed before it moves.
 
 Null texts are empty, a null language is ``und``. Texts without words give nothing, repeated documents count each time,
 an empty table has no phrases. Other columns are not read, whatever their names. Very long texts are counted in blocks
@@ -21,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,22 +36,16 @@ SUPPORT, LONGEST, TOP = 100, 5, 2000
 SAMPLE, LOWERED = 8, 0.5
 #: Bits for each known phrase, and bits at most: 128 MB a length.
 BITS_EACH, MAX_BITS = 32, 1 << 30
-#: Bytes of text that are counted at once.
-BLOCK = 8 << 20
+#: Bytes of text that are counted at once, and different phrases of a length that a task sums up before it sends them.
+BLOCK, HELD = 4 << 20, 1 << 20
 
 _FOLD = bytes(10 if x in b".,;:!?\n\x0b\x0c\r" else 32 if x in b" \t" else x + 32 if 65 <= x <= 90 else x for x in range(256))
-_BREAK, _EMPTY = 0, 1
-
 #: Known phrases: arrays of bits by length.
 Known = dict[int, list[np.ndarray]]
 
-
-class _Words(dict):
-    """Numbers of words, in the order in which they are met."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
+#: An odd base of word hashes, and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _seed(lang: str) -> int:
@@ -92,25 +88,50 @@ def _blocks(text: bytes) -> Iterator[tuple[bytes, int]]:
     yield text[at:], shared
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2 and so on, modulo 2^64."""
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class Hasher:
+    """Hashes of the words of a block by differences of one running sum of its bytes."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+        if len(data) > len(self.up):
+            self.up, self.down = _powers(_BASE, len(data)), _powers(_INVERSE, len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        x = (sums[ends] - sums[starts]) * self.down[starts]
+        x = (x ^ (x >> np.uint64(31)) ^ np.uint64(seed)) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
+
+
 class _Grams:
-    """The phrases of one block: numbers and hashes of its words, and where phrases of each length can begin."""
-
-    def __init__(self, block: bytes, shared: int, lang: str) -> None:
-        self.words = _Words({b"\n": _BREAK, b"": _EMPTY})
-        parts = block.replace(b"\n", b" \n ").split(b" ")
-        ids = np.fromiter(map(self.words.__getitem__, parts), np.int64, len(parts))
-        del parts
-        self.ids, self.shared = ids[ids != _EMPTY], shared
-        seed = _seed(lang)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in self.words), np.uint64, len(self.words))
-        self.h, self.ok = {1: hashes[self.ids]}, {1: self.ids != _BREAK}
+    """The phrases of one block: hashes at every word, and where phrases of each length can begin."""
+
+    def __init__(self, block: bytes, shared: int, lang: str, hasher: Hasher) -> None:
+        self.data, self.shared = np.frombuffer(block, np.uint8), shared
+        edges = np.diff(np.concatenate([[True], (self.data == 32) | (self.data == 10), [True]]).view(np.int8))
+        self.starts, self.ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        if len(self.starts):
+            piece = np.cumsum(self.data == 10)[self.starts]
+            self.h = {1: hasher.words(self.data, self.starts, self.ends, _seed(lang))}
+        else:
+            piece, self.h = np.zeros(0, np.int64), {1: np.zeros(0, np.uint64)}
+        self.ok = {1: np.ones(len(piece), bool), 2: piece[1:] == piece[:-1]}
 
     def level(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes at every place, and whether a phrase of k words begins there that is not all in the part before."""
         for n in range(2, k + 1):
             if n not in self.h:
                 self.h[n] = _longer(self.h[n - 1][:-1], self.h[1][n - 1 :])
-                self.ok[n] = self.ok[n - 1][:-1] & self.ok[1][n - 1 :]
+            if n not in self.ok:
+                self.ok[n] = self.ok[n - 1][:-1] & self.ok[2][n - 2 :]
         new = self.ok[k].copy()
         new[: max(0, self.shared - k + 1)] = False
         return self.h[k], new
@@ -120,38 +141,42 @@ class _Grams:
         inside = _test(known.get(k - 1, []), self.h[k - 1])
         return inside[:-1] & inside[1:]
 
-    def strings(self, places: np.ndarray, k: int) -> pa.Array:
-        names = pa.array(list(self.words), pa.binary())
-        parts = [names.take(pa.array(self.ids[places + j])) for j in range(k)]
-        return (pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]).cast(pa.string())
-
-    def counted(self, places: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """A place and the count of every different phrase of k words at the places."""
-        if k == 1:
-            _, first, n = np.unique(self.ids[places], return_index=True, return_counts=True)
-            return places[first], n
+    def word(self, at: int) -> str:
+        return self.data[self.starts[at] : self.ends[at]].tobytes().decode()
+
+    def ids(self) -> np.ndarray:
+        """Numbers of the words, equal for equal words alone: hashes tell them apart, and their bytes prove it."""
+        _, first, back = np.unique(self.h[1], return_index=True, return_inverse=True)
+        like, size = first[back], self.ends - self.starts
+        if (size == size[like]).all():
+            inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            if (self.data[np.repeat(self.starts, size) + inside] == self.data[np.repeat(self.starts[like], size) + inside]).all():
+                return back
+        seen: dict[str, int] = {}
+        return np.array([seen.setdefault(self.word(i), len(seen)) for i in range(len(back))])
+
+    def counted(self, ids: np.ndarray, places: np.ndarray, k: int) -> tuple[list[str], np.ndarray]:
+        """Every different phrase of k words at the places, and its count; ``ids`` from ids()."""
         _, first, back, n = np.unique(self.h[k][places], return_index=True, return_inverse=True, return_counts=True)
         same = np.ones(len(places), bool)
         for j in range(k):
-            same &= self.ids[places + j] == self.ids[places[first][back] + j]
-        if same.all():
-            return places[first], n
-        # Two phrases of one hash: told apart by their words.
-        rows = np.stack([self.ids[places + j] for j in range(k)], axis=1)
-        _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
-        return places[first], n
+            same &= ids[places + j] == ids[places[first][back] + j]
+        if not same.all():  # two phrases of one hash: told apart by their words
+            _, first, n = np.unique(np.stack([ids[places + j] for j in range(k)], axis=1), axis=0, return_index=True, return_counts=True)
+        return [" ".join(self.word(p + j) for j in range(k)) for p in places[first].tolist()], n
 
 
 def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Grams]]:
     """Blocks of the texts of each language; texts (column 1) of a language (column 0) are gathered up to a block's size."""
     held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
+    hasher = Hasher()
 
     def drain(lang: str) -> Iterator[tuple[str, _Grams]]:
         whole = b"\n".join(held.pop(lang))
         sizes.pop(lang)
         for block, shared in _blocks(whole):
-            yield lang, _Grams(block, shared, lang)
+            yield lang, _Grams(block, shared, lang, hasher)
 
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
@@ -166,19 +191,57 @@ def _each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, _Grams
         yield from drain(name)
 
 
-def _sample_level(sample: DataFrame, k: int, known: Known) -> DataFrame:
-    """(h, f): the sample's phrases of k words that ``known`` opens, by hash."""
-    sent = sample.sparkSession.sparkContext.broadcast(known)
+class _Sums:
+    """Counts by hash, summed up to ``HELD`` different ones of a length."""
+
+    def __init__(self) -> None:
+        self.parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def add(self, k: int, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.setdefault(k, []).append(np.unique(h, return_counts=True))
+        if sum(len(x) for x, _ in self.parts[k]) > HELD:
+            self.parts[k] = [self._merged(k)]
+            if len(self.parts[k][0][0]) > HELD // 2:
+                yield self._batch(k)
+
+    def _merged(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        h, n = (np.concatenate([part[i] for part in self.parts[k]]) for i in (0, 1))
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        return h[first], np.add.reduceat(n, first) if len(h) else n
+
+    def _batch(self, k: int) -> pa.RecordBatch:
+        h, n = self._merged(k)
+        del self.parts[k]
+        return pa.record_batch([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "h", "f"])
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for k in [*self.parts]:
+            yield self._batch(k)
+
+
+def _count_hashes(texts: DataFrame, lengths: list[int], known: Known, before: Known | None, support: float) -> DataFrame:
+    """(k, h): hashes of the phrases of these lengths in texts (lang, text) that reach the support.
+
+    Counted is what ``known`` opens and ``before``, if given, did not; of one word, everything.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast((known, before))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, before = sent.value
+        sums = _Sums()
         for _, grams in _each_block(batches):
-            h, places = grams.level(k)
-            if k > 1:
-                places &= grams.opened(k, sent.value)
-            found, n = np.unique(h[places], return_counts=True)
-            yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["h", "f"])
+            for k in lengths:
+                h, places = grams.level(k)
+                if k > 1:
+                    places &= grams.opened(k, known)
+                    if before is not None:
+                        places &= ~grams.opened(k, before)
+                yield from sums.add(k, h[places])
+        yield from sums.rest()
 
-    return sample.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(run, "k int, h long, f long").groupBy("k", "h").agg(F.sum("f").alias("f")).where(F.col("f") >= support).select("k", "h")
 
 
 def _bits(hashes: DataFrame) -> np.ndarray | None:
@@ -201,55 +264,51 @@ def propose(sample: DataFrame, support: float, longest: int = LONGEST) -> Known:
     """Phrases of up to ``longest`` - 1 words that reach the support in the sample (lang, text), level by level."""
     known: Known = {}
     for k in range(1, longest):
-        level = written(_sample_level(sample, k, known).where(F.col("f") >= support).select("h"), f"phrases-sample-{k}")
-        if (bits := _bits(level)) is None:
+        if (bits := _bits(written(_count_hashes(sample, [k], known, None, support), f"phrases-sample-{k}"))) is None:
             break
         known[k] = [bits]
     return known
 
 
-def _count(texts: DataFrame, known: Known, before: Known | None, longest: int, support: int) -> DataFrame:
-    """(lang, k, phrase, f) of what ``known`` opens and ``before`` did not; without ``before`` also all words, and as k = 0 how many there are.
-
-    Phrases below the support are left out, once they are summed.
-    """
-    sent = texts.sparkSession.sparkContext.broadcast((known, before))
+def _unknown(frequent: DataFrame, known: Known) -> DataFrame:
+    """The rows (k, h) that are not known."""
+    sent = frequent.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, before = sent.value
-        for lang, grams in _each_block(batches):
-            for k in range(1 if before is None else 2, longest + 1):
-                _, places = grams.level(k)
-                if k > 1:
-                    places &= grams.opened(k, known)
-                    if before is not None:
-                        places &= ~grams.opened(k, before)
-                elif total := int(places.sum()):
-                    yield pa.record_batch([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([total], pa.int64())], ["lang", "k", "phrase", "f"])
-                at, n = grams.counted(np.flatnonzero(places), k)
-                if len(at):
-                    yield pa.record_batch([pa.array([lang] * len(at)), pa.array([k] * len(at), pa.int32()), grams.strings(at, k), pa.array(n.astype(np.int64))], ["lang", "k", "phrase", "f"])
+        for batch in batches:
+            k, h = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            new = np.zeros(len(k), bool)
+            for n in np.unique(k).tolist():
+                of_n = np.flatnonzero(k == n)
+                new[of_n] = ~_test(sent.value.get(n, []), h[of_n])
+            yield batch.filter(pa.array(new))
 
-    counted = texts.mapInArrow(run, "lang string, k int, phrase string, f long")
-    return counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("k") == 0))
+    return frequent.select("k", "h").mapInArrow(run, "k int, h long")
 
 
-def _unknown(frequent: DataFrame, known: Known, longest: int) -> DataFrame:
-    """(k, h) of the frequent phrases that are not known and could stand in a longer one."""
-    sent = frequent.sparkSession.sparkContext.broadcast(known)
+def _by_length(hashes: DataFrame, longest: int) -> dict[int, np.ndarray]:
+    return {k: bits for k in range(1, longest + 1) if (bits := _bits(hashes.where(F.col("k") == k))) is not None}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(k, lang, phrase.encode().split(b" ")) for lang, k, phrase in zip(*[c.to_pylist() for c in batch.columns])]
-            for k in sorted({r[0] for r in rows}):
-                words = np.array([[xxhash.xxh64_intdigest(w, _seed(lang)) for w in words] for n, lang, words in rows if n == k], np.uint64)
-                h = words[:, 0]
-                for j in range(1, k):
-                    h = _longer(h, words[:, j])
-                h = h[~_test(sent.value.get(k, []), h)]
-                yield pa.record_batch([pa.array([k] * len(h), pa.int32()), pa.array(h.view(np.int64))], ["k", "h"])
 
-    return frequent.where((F.col("k") > 0) & (F.col("k") < longest)).select("lang", "k", "phrase").mapInArrow(run, "k int, h long").distinct()
+def _count_words(texts: DataFrame, wanted: Known, longest: int, support: int) -> DataFrame:
+    """(lang, k, phrase, f): the phrases among ``wanted`` that reach the support, by their words; as k = 0 the number of words."""
+    sent = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, grams in _each_block(batches):
+            ids, names, lengths, counts = None, [""], [0], [int(grams.level(1)[1].sum())]
+            for k in range(1, longest + 1):
+                h, places = grams.level(k)
+                if len(at := np.flatnonzero(places & _test(sent.value.get(k, []), h))):
+                    ids = grams.ids() if ids is None else ids
+                    found, n = grams.counted(ids, at, k)
+                    names += found
+                    lengths += [k] * len(found)
+                    counts += n.tolist()
+            yield pa.record_batch([pa.array([lang] * len(names)), pa.array(lengths, pa.int32()), pa.array(names), pa.array(counts, pa.int64())], ["lang", "k", "phrase", "f"])
+
+    counted = texts.mapInArrow(run, "lang string, k int, phrase string, f long").where("f > 0")
+    return counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("k") == 0))
 
 
 def frequent_phrases(docs: DataFrame, *, support: int = SUPPORT, longest: int = LONGEST, sample: int = SAMPLE, lowered: float = LOWERED, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -259,16 +318,18 @@ def frequent_phrases(docs: DataFrame, *, support: int = SUPPORT, longest: int =
     texts = docs.select(F.coalesce(docs[lang], F.lit("und")).alias("lang"), docs[text].alias("text"))
     drawn = texts.where(F.pmod(F.xxhash64(docs["doc_id"], docs[text]), F.lit(sample)) == 0)
     known = propose(written(drawn, "phrases-sample"), max(1, support / sample * lowered), longest)
-    found = written(_count(texts, known, None, longest, support), "phrases-counted")
-    out = latest = found
+    found = written(_count_hashes(texts, [*range(1, longest + 1)], known, None, support), "phrases-counted")
+    wanted = {k: [bits] for k, bits in _by_length(found, longest).items()}
     for _ in range(longest):
-        failures = written(_unknown(latest, known, longest), "phrases-failures")
-        new = {k: bits for k in range(1, longest) if (bits := _bits(failures.where(F.col("k") == k))) is not None}
-        if not new:
-            return out
+        failures = written(_unknown(found.where(F.col("k") < longest), known), "phrases-failures")
+        if not (new := _by_length(failures, longest - 1)):
+            return written(_count_words(texts, wanted, longest, support), "phrases-frequent")
         more = {k: [*known.get(k, []), *([new[k]] if k in new else [])] for k in {*known, *new}}
-        latest = written(_count(texts, more, known, longest, support), "phrases-expanded")
-        out, known = out.unionByName(latest), more
+        # What a failure opens is longer than the shortest of them.
+        found = written(_count_hashes(texts, [*range(min(new) + 1, longest + 1)], more, known, support), "phrases-expanded")
+        for k, bits in _by_length(found, longest).items():
+            wanted.setdefault(k, []).append(bits)
+        known = more
     raise RuntimeError("expansion did not close")
 
 
