@@ -15,8 +15,9 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
+from curvemill.functions.tables import checkpointed
 from curvemill.operators.aggregate import same_keys
-from curvemill.operators.labels import checkpointed, component_of, connected_components, otsu_threshold, strongest_component, with_threshold
+from curvemill.operators.labels import component_of, connected_components, otsu_threshold, strongest_component, with_threshold
 from curvemill.sources.curves import subjects, to_curves, to_long
 
 
@@ -97,16 +98,17 @@ def max_prior_over_roi(priors: DataFrame, members: DataFrame, *, roi: str = "roi
 
 
 def select_slices(scores: DataFrame, *, thresholds: list[float], top: int = 3) -> DataFrame:
-    """Best frame of each slice, then the slices at the first threshold that any of them reaches, best first."""
-    best = scores.groupBy("slice").agg(F.max(F.struct("score", (-F.col("frame")).alias("k"))).alias("s")).select("slice", F.col("s.score").alias("score"), (-F.col("s.k")).alias("frame"))
+    """Best frame of each slice, then each subject's slices at the first threshold that any of them reaches, best first."""
+    by = subjects(scores)
+    best = scores.groupBy(*by, "slice").agg(F.max(F.struct("score", (-F.col("frame")).alias("k"))).alias("s")).select(*by, "slice", F.col("s.score").alias("score"), (-F.col("s.k")).alias("frame"))
     level = F.lit(len(thresholds))
     for i, t in reversed(list(enumerate(thresholds))):
         level = F.when(F.col("score") >= t, i).otherwise(level)
-    levelled = best.withColumn("level", level)
-    first = levelled.agg(F.min("level").alias("least"))
-    # One row a slice.
-    chosen = levelled.crossJoin(F.broadcast(first)).where((F.col("level") <= F.col("least")) & (F.col("score") > 0))
-    return chosen.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "slice"))).where(F.col("rank") <= top).select("slice", "frame", "score", "rank")
+    # One row a slice: a subject's are few.
+    least = F.min("level").over(Window.partitionBy(*by))
+    chosen = best.withColumn("level", level).withColumn("least", least).where((F.col("level") <= F.col("least")) & (F.col("score") > 0))
+    ranked = chosen.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "slice"))).where(F.col("rank") <= top)
+    return ranked.select(*by, "slice", "frame", "score", "rank")
 
 
 def temporal_features(curves: DataFrame, *, baseline: int = 5) -> DataFrame:

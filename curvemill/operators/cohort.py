@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvemill.functions.tables import checkpointed
 
 #: What each stage needs, directly.
 STAGES: dict[str, tuple[str, ...]] = {
@@ -118,12 +121,24 @@ def _assemble(named: DataFrame, axis: str, order: list[str], least: int, expecte
     return found.select("subject_id", "voxel_id", F.transform("s", lambda s: s["at"]).alias("axis"), F.transform("s", lambda s: s["value"]).alias("values"), "n", (F.col("n") >= expected).alias("complete"))
 
 
-def run_cohort(curves: DataFrame, priors: DataFrame, parcellation: DataFrame, region_map: DataFrame, *, flip_deg: float, tr_s: float, models: list[str], exclude: DataFrame | None = None, n_input: int = 32, window: int = 5) -> DataFrame:
-    """All subjects from signal to region summaries in one job: (subject_id, model, map, region, mean, median, sd, n).
+class CohortRun(NamedTuple):
+    """What a cohort's run gives: summaries of maps, and how every subject fared."""
+
+    maps: DataFrame
+    report: DataFrame
+
+
+def run_cohort(curves: DataFrame, priors: DataFrame, parcellation: DataFrame, region_map: DataFrame, *, flip_deg: float, tr_s: float, models: list[str], exclude: DataFrame | None = None, n_input: int = 32, window: int = 5) -> CohortRun:
+    """All subjects from signal to region summaries in one job.
 
     curves (subject_id, voxel_id, signal, t_s), priors (t1_ms, m0), parcellation (label). Signals are converted, each
     subject's input curve is the mean of its voxels that peak highest, every model is fitted to every curve, and maps are
-    reduced by region. Subjects without an input curve have no numbers; the others go on.
+    reduced by region: ``maps`` has (subject_id, model, map, region, mean, median, sd, n).
+
+    What fails fails alone. ``report`` has (subject_id, model, status, n_curves, n_failed, error) of every subject and model:
+    status is ok, partial (some curves could not be fitted) or failed (none could, or none was left to fit), error
+    one of the reasons. A failed subject's summaries have no numbers; those of the others are what they would be without it.
+    Converted curves, input curves and fits are each computed once, in checkpoints.
     """
     from curvemill.operators import aggregate, aif, concentration
     from curvemill.operators.fitting import MODELS, fit_model
@@ -131,15 +146,21 @@ def run_cohort(curves: DataFrame, priors: DataFrame, parcellation: DataFrame, re
     key = ["subject_id", "voxel_id"]
     wanted = exclude_subjects(curves, exclude) if exclude is not None else curves
     converted = concentration.spgr_ratio(wanted.join(priors.select(*key, "t1_ms", "m0"), key), flip_deg=flip_deg, tr_s=tr_s).withColumn("values", F.col("conc")).drop("conc", "signal")
-    labelled = converted.join(parcellation.select(*key, "label"), key)
+    labelled = checkpointed(converted.join(parcellation.select(*key, "label"), key))
     top = aif.top_peak(labelled, by=[], n=n_input, baseline=window)
     axis = labelled.groupBy("subject_id").agg(F.first("t_s").alias("t_s"))
-    inputs = aif.curve_from_members(labelled, top.select(*key), by=[]).join(axis, "subject_id").select("subject_id", F.col("values").alias("c_a"), "t_s")
-    out = None
+    inputs = checkpointed(aif.curve_from_members(labelled, top.select(*key), by=[]).join(axis, "subject_id").select("subject_id", F.col("values").alias("c_a"), "t_s"))
+    fits = None
     for model in models:
-        names = list(MODELS[model].outputs)
-        fits = fit_model(labelled, inputs, model, keys=[*key, "label"])
-        long = aggregate.unpivot(fits, [*key, "label"], names)
-        reduced = aggregate.by_region(long, region_map, keys=["subject_id", "map"]).select("subject_id", F.lit(model).alias("model"), "map", "region", "mean", "median", "sd", "n")
-        out = reduced if out is None else out.unionByName(reduced)
-    return out
+        numbers = F.array(*[F.struct(F.lit(n).alias("map"), F.col(n).cast("double").alias("value")) for n in MODELS[model].outputs])
+        some = fit_model(labelled, inputs, model, keys=[*key, "label"], errors=True).select("subject_id", "label", F.lit(model).alias("model"), "error", numbers.alias("maps"))
+        fits = some if fits is None else fits.unionByName(some)
+    fits = checkpointed(fits)
+    maps = aggregate.by_region(fits.select("subject_id", "label", "model", F.inline("maps")), region_map, keys=["subject_id", "model", "map"])
+    asked = wanted.select("subject_id").distinct().crossJoin(F.broadcast(curves.sparkSession.createDataFrame([(m,) for m in models], "model string")))
+    found = fits.groupBy("subject_id", "model").agg(F.count(F.lit(1)).alias("n_curves"), F.count("error").alias("n_failed"), F.min("error").alias("error"))
+    n, failed = F.coalesce("n_curves", F.lit(0)), F.coalesce("n_failed", F.lit(0))
+    status = F.when(failed == n, "failed").when(failed > 0, "partial").otherwise("ok")
+    error = F.when(n == 0, "no curves left to fit").otherwise(F.col("error"))
+    report = asked.join(found, ["subject_id", "model"], "left").select("subject_id", "model", status.alias("status"), n.alias("n_curves"), failed.alias("n_failed"), error.alias("error"))
+    return CohortRun(maps.select("subject_id", "model", "map", "region", "mean", "median", "sd", "n"), report)

@@ -127,21 +127,62 @@ def outflow_cth(residue: np.ndarray, flow: np.ndarray, peak: np.ndarray, t: np.n
     return np.where((flow > 0) & (area > 0), spread, 0.0)
 
 
-def _sampled_sd(o: dict, d: dict, beta: np.ndarray, misfit: np.ndarray, penalty: np.ndarray, log_evidence: np.ndarray | None, pick: int, seed: int) -> tuple[float, float, float]:
-    """Standard deviations of flow, transit time and spread over posterior draws of one curve, weights drawn by their evidence."""
-    rng = np.random.default_rng(seed)
-    if log_evidence is None:
-        draws = np.full(o["samples"], pick)
-    else:
-        p = np.exp(log_evidence - log_evidence.max())
-        draws = np.sort(rng.choice(len(p), size=o["samples"], p=p / p.sum()))
-    scale = np.sqrt(np.maximum(misfit[draws] + o["w"][draws] ** 2 * penalty[draws], 0) / len(o["t"]))
-    z = (d["c"] * beta + scale[:, None] * rng.standard_normal((len(draws), len(beta))) * np.sqrt(d["den"][draws])) / d["den"][draws]
-    residue = z @ d["back"].T @ o["basis"] / o["dt"]
-    flow = residue[:, : o["flow_frames"]].max(1)
-    flow = np.where(flow > 0, flow, np.nan)
-    mtt, cth = residue_mtt_cth(residue / flow[:, None], o["dt"])
-    return tuple(float(np.nanstd(x)) if np.isfinite(x).any() else np.nan for x in (flow * o["scale"], mtt, cth))
+def uniforms(seeds: np.ndarray, stream: int, n: int) -> np.ndarray:
+    """n numbers in (0, 1) for each seed, by its counter and the stream alone: a mix of bits of (seed, stream, place)."""
+    place = np.uint64(stream) * np.uint64(1 << 40) + np.arange(1, n + 1, dtype=np.uint64)
+    x = (seeds.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))[:, None] + place * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def normals(seeds: np.ndarray, stream: int, n: int) -> np.ndarray:
+    """n standard normal numbers for each seed: two of each pair of uniform ones."""
+    half = -(-n // 2)
+    radius, turn = np.sqrt(-2 * np.log(uniforms(seeds, stream, half))), 2 * np.pi * uniforms(seeds, stream + 1, half)
+    return np.concatenate([radius * np.cos(turn), radius * np.sin(turn)], axis=1)[:, :n]
+
+
+#: Numbers that posterior draws hold at once.
+_DRAWN = 4 << 20
+
+
+def _sampled_sd(o: dict, d: dict, beta: np.ndarray, misfit: np.ndarray, penalty: np.ndarray, log_evidence: np.ndarray | None, pick: np.ndarray, seeds: np.ndarray) -> dict[str, np.ndarray]:
+    """Standard deviations of flow, transit time and spread over posterior draws of every curve, weights drawn by their evidence.
+
+    The draws of a curve depend on its seed alone. Curves go in blocks of bounded size.
+    """
+    samples, frames = o["samples"], o["basis"].shape[1]
+    names = ("cbf_sd", "mtt_sd", "cth_sd")
+    out = {k: np.full(len(beta), np.nan) for k in names}
+    step = max(1, _DRAWN // (samples * max(frames, beta.shape[1])))
+    spread = d["back"].T @ o["basis"] / o["dt"]
+    for at in range(0, len(beta), step):
+        rows = slice(at, at + step)
+        n = len(beta[rows])
+        if log_evidence is None:
+            draws = np.broadcast_to(pick[rows][:, None], (n, samples))
+        else:
+            p = np.cumsum(np.exp(log_evidence[rows] - log_evidence[rows].max(1, keepdims=True)), axis=1)
+            level = uniforms(seeds[rows], 0, samples) * p[:, -1:]
+            draws = np.stack([np.searchsorted(a, x) for a, x in zip(p, level)])
+        each = np.arange(n)[:, None]
+        sigma = np.sqrt(np.maximum(misfit[rows][each, draws] + o["w"][draws] ** 2 * penalty[rows][each, draws], 0) / len(o["t"]))
+        noise = normals(seeds[rows], 1, samples * beta.shape[1]).reshape(n, samples, -1)
+        den = d["den"][draws]
+        z = ((d["c"] * beta[rows])[:, None, :] + sigma[:, :, None] * noise * np.sqrt(den)) / den
+        residue = (z.reshape(n * samples, -1) @ spread).reshape(n, samples, frames)
+        flow = residue[:, :, : o["flow_frames"]].max(2)
+        flow = np.where(np.isfinite(flow) & (flow > 0), flow, np.nan)
+        mtt, cth = residue_mtt_cth((residue / flow[:, :, None]).reshape(n * samples, frames), o["dt"])
+        for k, x in zip(names, (flow * o["scale"], mtt.reshape(n, samples), cth.reshape(n, samples))):
+            known = np.isfinite(x)
+            count = np.maximum(known.sum(1), 1)
+            mean = np.where(known, x, 0.0).sum(1) / count
+            square = (np.where(known, x - mean[:, None], 0.0) ** 2).sum(1) / count
+            out[k][rows] = np.where(known.any(1), np.sqrt(square), np.nan)
+    return out
 
 
 def kernel(values: np.ndarray, o: dict, carried: dict) -> dict[str, np.ndarray]:
@@ -154,7 +195,7 @@ def kernel(values: np.ndarray, o: dict, carried: dict) -> dict[str, np.ndarray]:
             o["designs"][float(at)] = _design(o["given"], o["t"], float(at), o["basis"], o["w"])
         rows = np.flatnonzero((delay == at) & np.isfinite(values).all(1))
         if len(rows):
-            seeds = carried["seed"][rows] if "seed" in carried else np.arange(len(rows))
+            seeds = carried["seed"][rows].astype(np.int64) if "seed" in carried else np.zeros(len(rows), np.int64)
             for k, v in _solve(values[rows], o, o["designs"][float(at)], seeds).items():
                 out[k][rows] = v
     return out
@@ -198,8 +239,7 @@ def _solve(c: np.ndarray, o: dict, d: dict, seeds: np.ndarray) -> dict[str, np.n
     out |= {"cbf": flow * o["scale"], "cbv": volume * 100}
     rows = np.arange(len(c))
     if o["samples"]:
-        sds = [_sampled_sd(o, d, beta[i], misfit[i], penalty[i], None if log_evidence is None else log_evidence[i], pick[i], abs(int(seeds[i]))) for i in rows]
-        out |= dict(zip(("cbf_sd", "mtt_sd", "cth_sd"), np.array(sds).T))
+        out |= {k: np.where(flow > 0, v, np.nan) for k, v in _sampled_sd(o, d, beta, misfit, penalty, log_evidence, pick, seeds).items()}
     elif o["flow_sd"]:
         variance = np.maximum(misfit[rows, pick] + w[pick] ** 2 * penalty[rows, pick], 0) / n
         g = (o["basis"][:, peak] / dt).T @ d["back"]
@@ -207,4 +247,4 @@ def _solve(c: np.ndarray, o: dict, d: dict, seeds: np.ndarray) -> dict[str, np.n
     return out
 
 
-register_model("deconvolve", Model(("cbf", "cbv", "mtt", "cth", "lambda_opt", "cbf_sd", "mtt_sd", "cth_sd"), prepare, kernel, carried=("delay", "seed"), options=_OPTIONS, batch=1024))
+register_model("deconvolve", Model(("cbf", "cbv", "mtt", "cth", "lambda_opt", "cbf_sd", "mtt_sd", "cth_sd"), prepare, kernel, carried=("delay", "seed"), options=_OPTIONS, batch=1024, drawn="samples"))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.functions.percentiles import percentiles
+from curvemill.functions.tables import checkpointed
 from curvemill.operators.filters import per_curve
 from curvemill.operators.labels import largest_component, with_threshold
 from curvemill.sources.curves import subjects, to_long
@@ -85,26 +86,48 @@ def _voxel(p: Column, size: float) -> list[Column]:
 
 
 def track_density(streamlines: DataFrame, *, voxel_size: float = 1.0) -> DataFrame:
-    """Streamlines that visit each voxel; one that comes back counts once."""
-    points = streamlines.select("sid", F.explode("points").alias("p")).select("sid", *_voxel(F.col("p"), voxel_size)).distinct()
-    return points.groupBy("x", "y", "z").agg(F.count(F.lit(1)).alias("density"))
+    """(x, y, z, density), by subject where there are several: streamlines that visit each voxel; one that comes back counts once."""
+    by = subjects(streamlines)
+    voxels = F.array_distinct(F.transform("points", lambda p: F.struct(*_voxel(p, voxel_size))))
+    points = streamlines.select(*by, "sid", F.explode(voxels).alias("v")).select(*by, "sid", "v.*")
+    # A streamline may be several rows: its id counts once.
+    return points.groupBy(*by, "x", "y", "z", "sid").agg(F.lit(1).alias("_one")).groupBy(*by, "x", "y", "z").agg(F.count("_one").alias("density"))
 
 
 def streamline_filter(streamlines: DataFrame, *, least_length: float, most: int | None = None) -> DataFrame:
-    """Streamlines of a length or more; ``most`` of them by id."""
+    """Streamlines of a length or more; of each subject, ``most`` of them by id."""
+    by = subjects(streamlines)
     n = F.size("points") - 1
     step = F.zip_with(F.slice("points", F.lit(2), n), F.slice("points", F.lit(1), n), lambda b, a: F.sqrt(sum((b[c] - a[c]) * (b[c] - a[c]) for c in "xyz")))
     long = streamlines.withColumn("length", F.when(n > 0, F.aggregate(step, F.lit(0.0), lambda s, v: s + v)).otherwise(0.0)).where(F.col("length") >= least_length)
-    return long.orderBy("sid").limit(most) if most else long
+    if not most:
+        return long
+    if not by:
+        return long.orderBy("sid").limit(most)
+    # Every task keeps ``most`` rows of a subject at most before they meet.
+    return long.withColumn("_place", F.row_number().over(Window.partitionBy(*by).orderBy("sid"))).where(F.col("_place") <= most).drop("_place")
+
+
+#: Copies of a voxel's label, among which the streamlines that end there are dealt.
+SHARES = 8
 
 
 def connectome(streamlines: DataFrame, parcellation: DataFrame, *, voxel_size: float = 1.0) -> DataFrame:
-    """(src_label, dst_label, n) over the labels at the streamlines' ends, unordered; background is dropped."""
-    ends = streamlines.select("sid", *[F.floor(F.element_at("points", i)[a] / voxel_size).cast("int").alias(f"{e}{a}") for e, i in (("a", 1), ("b", -1)) for a in "xyz"])
-    labelled = parcellation.where("label > 0")
-    for e in "ab":
-        ends = ends.join(labelled.select(*[F.col(a).alias(f"{e}{a}") for a in "xyz"], F.col("label").alias(f"{e}l")), [f"{e}{a}" for a in "xyz"])
-    return ends.groupBy(F.least("al", "bl").alias("src_label"), F.greatest("al", "bl").alias("dst_label")).agg(F.count(F.lit(1)).alias("n"))
+    """(src_label, dst_label, n), by subject where there are several, over the labels at the streamlines' ends, unordered; background is dropped.
+
+    Streamlines of the same two end voxels are counted before anything is joined. Ends crowd into few voxels: pairs are
+    dealt among shares by their other end, and only voxels in which some streamline ends have a label for each share.
+    """
+    by = subjects(streamlines, parcellation)
+    ends = streamlines.select(*by, *[F.struct(*[F.floor(F.element_at("points", i)[a] / voxel_size).cast("int").alias(a) for a in "xyz"]).alias(e) for e, i in (("a", 1), ("b", -1))])
+    pairs = checkpointed(ends.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    used = pairs.select(*by, F.explode(F.array("a", "b")).alias("v")).distinct()
+    labelled = parcellation.where("label > 0").select(*by, F.struct("x", "y", "z").alias("v"), "label")
+    named = checkpointed(used.join(labelled, [*by, "v"])).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    for e, other in ("ab", "ba"):
+        names = named.select(*by, F.col("v").alias(e), F.col("share"), F.col("label").alias(f"{e}l"))
+        pairs = pairs.withColumn("share", F.pmod(F.xxhash64(other), F.lit(SHARES)).cast("int")).join(names, [*by, e, "share"]).drop("share")
+    return pairs.groupBy(*by, F.least("al", "bl").alias("src_label"), F.greatest("al", "bl").alias("dst_label")).agg(F.sum("n").alias("n"))
 
 
 def micro_scalars(df: DataFrame) -> DataFrame:
@@ -115,7 +138,8 @@ def micro_scalars(df: DataFrame) -> DataFrame:
 
 
 def connectome_groups(edges: DataFrame, groups: DataFrame, *, skip: DataFrame) -> DataFrame:
-    """Edges between anatomical groups; labels in ``skip`` are left out. ``groups`` is (label, name)."""
+    """Edges between anatomical groups, by subject where there are several; labels in ``skip`` are left out. ``groups`` is (label, name)."""
+    by = subjects(edges)
     kept = groups.join(skip, "label", "left_anti")
     named = edges.join(kept.select(F.col("label").alias("src_label"), F.col("name").alias("a")), "src_label").join(kept.select(F.col("label").alias("dst_label"), F.col("name").alias("b")), "dst_label")
-    return named.groupBy(F.least("a", "b").alias("src_group"), F.greatest("a", "b").alias("dst_group")).agg(F.sum("n").alias("n"))
+    return named.groupBy(*by, F.least("a", "b").alias("src_group"), F.greatest("a", "b").alias("dst_group")).agg(F.sum("n").alias("n"))

@@ -207,7 +207,7 @@ def _tofts_out(values: np.ndarray, c: dict, carried: dict) -> dict[str, np.ndarr
     return {**found, "kep": found["kep"] * 60}
 
 
-register_model("extended_tofts", Model(("ktrans", "ve", "vp", "kep"), _tofts_prepare, _tofts_out, options={"nodes": 400, "lo": 1e-4, "hi": 2.0}))
+register_model("extended_tofts", Model(("ktrans", "ve", "vp", "kep"), _tofts_prepare, _tofts_out, options={"nodes": 400, "lo": 1e-4, "hi": 2.0}, dear=True))
 
 
 def tofts_predict(fits: DataFrame, inputs: DataFrame, *, keys: Sequence[str]) -> DataFrame:

@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
+from curvemill.functions.tables import checkpointed
 from curvemill.sources.curves import subjects
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df cut from its lineage in the folder that spark.checkpoint.dir names; a temporary one only with a local master (tests)."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='curvemill-')}")
-    return df.checkpoint()
-
-
 def otsu_threshold(values: DataFrame, *, column: str = "value", bins: int = 256, by: list[str] | None = None, centre: bool = False) -> DataFrame:
     """by (each subject, where there are several) and the edge, or centre, of the histogram bin that splits the values with the most variance between the classes."""
     by = subjects(values) if by is None else by

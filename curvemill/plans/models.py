@@ -12,7 +12,7 @@ from curvemill.operators import aggregate, aif, cohort, concentration, diffusion
 from curvemill.operators import deconvolution as _deconvolution  # noqa: F401  (registers its model)
 from curvemill.operators import transit as _transit  # noqa: F401  (registers its models)
 from curvemill.operators.fitting import MODELS, fit_model
-from curvemill.plans.queries import COORDS, INPUT, LONG, OTSU, REGION_SQL, _curves, _gradients, _long_out, _maps, _r, _region_map, query
+from curvemill.plans.queries import COORDS, INPUT, LONG, OTSU, REGION_SQL, _curves, _gradients, _long_out, _maps, _r, _region_map, _streamlines, query
 from curvemill.sources import curves as C
 from curvemill.sources import headers
 
@@ -129,6 +129,7 @@ _model_query("k10_deconvolve", "deconvolve")
 _model_query("k10_deconvolve_lcurve", "deconvolve", preset="legacy")
 _model_query("k12_deconvolve_exact", "deconvolve", preset="matlab")
 _model_query("k15_deconvolve_sd", "deconvolve", preset="bayes")
+_model_query("k15_deconvolve_sampled", "deconvolve", digits=4, preset="bayes", samples=200)
 _model_query("k19_gamma_transit", "gamma_transit", factor=10)
 _model_query("k20_mittag_leffler", "mittag_leffler", factor=10)
 _model_query("k21_inverse_gaussian", "inverse_gaussian", factor=10)
@@ -379,10 +380,86 @@ f as (select subject_id, voxel_id, label, case when regr_count(y, x) >= 2 and re
 select subject_id, region, round(avg(ki), 4) as mean, round(median(ki), 4) as median, count(ki) as n from (select * from (select distinct subject_id from c), region_map) left join f using (subject_id, label) group by subject_id, region""",
 )
 def j01(spark, sf):
-    c = _cohort(spark, sf).withColumn("t_s", F.transform("values", lambda v, i: i * F.lit(C.DT)))
+    return _run(spark, sf, _cohort(spark, sf)).maps.where("map = 'ki'").select("subject_id", "region", *_r("mean", "median", digits=4), "n")
+
+
+def _run(spark, sf, c, lost: str | None = None):
+    """The cohort's run; the subject ``lost`` has a time axis without numbers."""
+    at = lambda v, i: F.when(F.col("subject_id").eqNullSafe(F.lit(lost)), F.lit(None)).otherwise(i * F.lit(C.DT))
+    c = c.withColumn("t_s", F.transform("values", at))
     curves = c.select("subject_id", "voxel_id", "signal", "t_s")
-    found = cohort.run_cohort(curves, c.select("subject_id", "voxel_id", "t1_ms", "m0"), c.select("subject_id", "voxel_id", "label"), _region_map(spark), flip_deg=15, tr_s=0.005, models=["patlak"])
-    return found.where("map = 'ki'").select("subject_id", "region", *_r("mean", "median", digits=4), "n")
+    return cohort.run_cohort(curves, c.select("subject_id", "voxel_id", "t1_ms", "m0"), c.select("subject_id", "voxel_id", "label"), _region_map(spark), flip_deg=15, tr_s=0.005, models=["patlak", "deconvolve"])
+
+
+@query(
+    "j01_cohort_report",
+    f"""with {COHORT}, v as (select distinct subject_id, voxel_id from c where v is not null), m as (select unnest(['patlak', 'deconvolve']) as model)
+select subject_id, model, case when subject_id = 's1' then 'failed' else 'ok' end as status, count(*) as n_curves, case when subject_id = 's1' then count(*) else 0 end as n_failed,
+    case when subject_id = 's1' then 'the input curve has no numbers' end as error from v, m group by subject_id, model""",
+)
+def j01r(spark, sf):
+    """One subject's time axis is lost: its models fail, with a reason, and the others' don't."""
+    return _run(spark, sf, _cohort(spark, sf), lost="s1").report
+
+
+@query(
+    "d06_track_density_cohort",
+    "select 's' || l_orderkey % 3 as subject_id, (l_partkey % 32)::int as x, (l_partkey // 32)::int as y, (l_linenumber % 2)::int as z, count(distinct l_orderkey) as density from lineitem group by all",
+)
+def d06c(spark, sf):
+    return diffusion.track_density(_cohort_streamlines(spark, sf))
+
+
+@query(
+    "d07_streamline_filter_cohort",
+    """with p as (select l_orderkey as sid, (l_partkey % 32)::double as x, (l_partkey // 32)::double as y, (l_linenumber % 2)::double as z, (l_linenumber, l_partkey, l_suppkey) as i from lineitem),
+d as (select sid, sqrt(power(x - lag(x) over w, 2) + power(y - lag(y) over w, 2) + power(z - lag(z) over w, 2)) as d from p window w as (partition by sid order by i)),
+l as (select 's' || sid % 3 as subject_id, sid, round(coalesce(sum(d), 0), 6) as length from d group by sid having coalesce(sum(d), 0) >= 20)
+select subject_id, sid, length from (select *, row_number() over (partition by subject_id order by sid) as r from l) where r <= 100""",
+)
+def d07c(spark, sf):
+    return diffusion.streamline_filter(_cohort_streamlines(spark, sf), least_length=20.0, most=100).select("subject_id", "sid", *_r("length"))
+
+
+_COHORT_EDGES = f"""with {COHORT}, p as (select 's' || l_orderkey % 3 as subject_id, l_orderkey as sid, l_partkey % 32 as x, l_partkey // 32 as y, l_linenumber % 2 as z,
+    row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as a, row_number() over (partition by l_orderkey order by l_linenumber desc, l_partkey desc, l_suppkey desc) as b from lineitem),
+v as (select distinct subject_id, voxel_id // 2 % 32 as x, voxel_id // 64 as y, voxel_id % 2 as z, label from c where label > 1),
+e as (select a.subject_id, least(s.label, t.label) as src_label, greatest(s.label, t.label) as dst_label, count(*) as n from p a join p b using (sid) join v s on (s.subject_id, s.x, s.y, s.z) = (a.subject_id, a.x, a.y, a.z)
+    join v t on (t.subject_id, t.x, t.y, t.z) = (b.subject_id, b.x, b.y, b.z) where a.a = 1 and b.b = 1 group by all)"""
+
+
+@query("d08_connectome_cohort", f"{_COHORT_EDGES} select * from e")
+def d08c(spark, sf):
+    v = F.col("voxel_id")
+    place = [(F.floor(v / 2) % 32).cast("int").alias("x"), F.floor(v / 64).cast("int").alias("y"), (v % 2).cast("int").alias("z")]
+    parcels = _cohort(spark, sf).select("subject_id", *place, F.when(F.col("label") > 1, F.col("label")).otherwise(0).alias("label"))
+    return diffusion.connectome(_cohort_streamlines(spark, sf), parcels)
+
+
+@query(
+    "d09_connectome_groups_cohort",
+    f"""{_COHORT_EDGES}, g as (select n_nationkey as label, n_name as name from nation where n_nationkey >= 3)
+select subject_id, least(a.name, b.name) as src_group, greatest(a.name, b.name) as dst_group, sum(n)::bigint as n from e join g a on a.label = src_label join g b on b.label = dst_label group by all""",
+)
+def d09c(spark, sf):
+    groups = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("label"), F.col("n_name").alias("name"))
+    return diffusion.connectome_groups(d08c(spark, sf), groups, skip=groups.where("label < 3").select("label"))
+
+
+def _cohort_streamlines(spark, sf):
+    return _streamlines(spark, sf).withColumn("subject_id", F.concat(F.lit("s"), (F.col("sid") % 3).cast("string")))
+
+
+@query(
+    "a06_select_slices_cohort",
+    f"""with {COHORT}, s as (select subject_id, y as slice, frame, avg(v) as score from c group by all), b as (select subject_id, slice, max(score) as score, arg_max(frame, (score, -frame)) as frame from s group by all),
+l as (select *, case when score >= 0.2 then 0 when score >= 0.1 then 1 when score >= 0.05 then 2 else 3 end as level from b)
+select subject_id, slice, frame, round(score, 6) as score, rank from (select *, row_number() over (partition by subject_id order by score desc, slice) as rank from l where level <= (select min(level) from l o where o.subject_id = l.subject_id) and score > 0) where rank <= 3""",
+)
+def a06c(spark, sf):
+    long = C.to_long(_cohort(spark, sf).withColumn("slice", F.col("y")), "subject_id", "slice")
+    scores = long.groupBy("subject_id", "slice", "frame").agg(F.avg("value").alias("score"))
+    return aif.select_slices(scores, thresholds=[0.2, 0.1, 0.05]).select("subject_id", "slice", "frame", *_r("score"), "rank")
 
 
 @query("g05_region_fit")
