@@ -185,7 +185,7 @@ def test_transit_models_recover_truth(spark):
     got = fit_model(frame(spark, [exponential]), inputs(spark, c_a, t), "rate_spectrum", keys=["voxel_id"]).first()
     assert abs(got.cbv - np.trapezoid(exponential) / np.trapezoid(c_a)) < 1e-6 and abs(got.mtt - 5) < 1.5
     assert np.allclose(transit.relaxation(np.array([0.0, 0.5, 2.0]), 1.0), np.exp([0, -0.5, -2.0])) and abs(transit.relaxation(np.array([1.0]), 0.5)[0] - np.e * 0.15729920705028513) < 1e-3
-    w = transit.non_negative(np.array([[1.0, 0.0], [0.0, 1.0]]), np.array([[2.0, -3.0]]), 200, 0.0)
+    w = transit.non_negative(np.array([[1.0, 0.0], [0.0, 1.0]]), np.array([[2.0, -3.0]]), 0.0)[0]
     assert np.allclose(w, [[2.0, 0.0]])
 
 
@@ -321,3 +321,45 @@ def test_region_tables(spark):
     assert [r.axis for r in relaxometry.resolve_axis(series, [0.1, 0.2, 0.3]).collect()] == [[1.0, 2.0, 3.0], [0.1, 0.2, 0.3], [9.0, 1.0, 2.0], None]
     c = frame(spark, [[0, 1, 5, 1, 0], [3, 3, 3, 3, 3]])
     assert [r.peak_frame for r in preprocess.peak_time_subsample(c).orderBy("voxel_id").collect()] == [2.0, 0.0]
+
+
+def test_non_negative_least_squares_is_optimal():
+    from itertools import combinations
+
+    from curvemill.operators.transit import non_negative
+
+    rng = np.random.default_rng(5)
+    for m, n in ((4, 6), (9, 5), (5, 5)):
+        a, b = rng.normal(size=(m, n)), rng.normal(size=(60, m))
+        for ridge in (0.0 if m >= n else 1e-3, 0.1):
+            w, missed = non_negative(a, b, ridge)
+            assert (w >= 0).all() and missed.max() < 1e-8
+            for x, y in zip(w, b):  # no other set of columns does better
+                cost = lambda v: ((a @ v - y) ** 2).sum() + ridge * (v**2).sum()  # noqa: B023, E731
+                best = cost(np.zeros(n))
+                for k in range(1, n + 1):
+                    for s in combinations(range(n), k):
+                        part = a[:, s]
+                        v = np.zeros(n)
+                        v[list(s)] = np.linalg.lstsq(np.vstack([part, np.sqrt(ridge) * np.eye(k)]), np.concatenate([y, np.zeros(k)]), rcond=None)[0]
+                        if (v >= 0).all():
+                            best = min(best, cost(v))
+                assert abs(cost(x) - best) < 1e-9
+    # Nearly equal columns, targets of 0 and without numbers, and copies of a column.
+    s, r = np.geomspace(1e-3, 5, 36), np.geomspace(1e-3, 1, 64)
+    poles = 1 / np.add.outer(s, r)
+    truth = np.zeros((40, 64))
+    for row in truth:
+        row[rng.choice(64, 3, replace=False)] = rng.random(3)
+    b = truth @ poles.T * (1 + 1e-3 * rng.normal(size=(40, 36)))
+    b[3], b[4] = 0.0, np.nan
+    w, missed = non_negative(poles, b, 1e-9)
+    assert np.isnan(w[4]).all() and (w[3] == 0).all() and np.nanmax(missed) < 1e-6
+    ok = np.arange(40) > 4
+    assert (((w @ poles.T - b) ** 2).sum(1) <= ((truth @ poles.T - b) ** 2).sum(1) * (1 + 1e-9) + 1e-12)[ok].all()
+    double = np.hstack([poles[:, :5], poles[:, :5]])
+    w, missed = non_negative(double, b[ok], 1e-9)
+    assert (w >= 0).all() and missed.max() < 1e-6
+    # One row alone gives what it gives among others.
+    alone = np.vstack([non_negative(poles, x[None, :], 1e-9)[0] for x in b[ok]])
+    assert np.allclose(alone @ poles.T, non_negative(poles, b[ok], 1e-9)[0] @ poles.T, rtol=1e-6)
