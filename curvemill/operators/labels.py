@@ -67,29 +67,98 @@ def exclude_voxels(parcellation: DataFrame, excluded: DataFrame) -> DataFrame:
     return parcellation.join(excluded, [*subjects(parcellation, excluded), "voxel_id"], "left_anti")
 
 
-def resample_nearest(targets: DataFrame, source: DataFrame, matrix: list[list[float]]) -> DataFrame:
-    """Labels of target voxels by the nearest source voxel; matrix is the 3 x 4 map from target to source indices."""
+#: A 3 x 4 map from target to source indices, one for all, or affines by subject: (subject_id, target, source), index to world.
+Affine = list[list[float]] | DataFrame
 
-    def at(row: list[float]) -> Column:
-        return F.rint(F.col("x") * row[0] + F.col("y") * row[1] + F.col("z") * row[2] + row[3]).cast("int")
 
+def _inverse(m: Column) -> list[list[Column]]:
+    """The inverse of the 3 x 3 part of a matrix, null where it has none."""
+    e = lambda i, j: m[i % 3][j % 3]
+    minor = lambda i, j: e(i + 1, j + 1) * e(i + 2, j + 2) - e(i + 1, j + 2) * e(i + 2, j + 1)
+    det = sum(e(0, j) * minor(0, j) for j in range(3))
+    return [[minor(j, i) / F.when(det != 0, det) for j in range(3)] for i in range(3)]
+
+
+def index_maps(affines: DataFrame) -> DataFrame:
+    """(subject_id, m): the map from target to source indices of each pair of affines (target, source), as 3 rows of 4.
+
+    Affines are arrays of 3 or 4 rows of 4, from indices to the world; m is null where the source's has no inverse.
+    """
+    t, inverse = F.col("target"), _inverse(F.col("source"))
+    into = [[sum(inverse[i][k] * t[k][j] for k in range(3)) for j in range(3)] for i in range(3)]
+    offset = [sum(inverse[i][k] * (t[k][3] - F.col("source")[k][3]) for k in range(3)) for i in range(3)]
+    rows = F.array(*[F.array(*into[i], offset[i]) for i in range(3)])
+    return affines.select(*subjects(affines), F.when(offset[0].isNotNull(), rows).alias("m"))
+
+
+def _placed(targets: DataFrame, affine: Affine, by: list[str]) -> DataFrame:
+    """targets' keys with their places in the source's grid, _x, _y and _z."""
+    if isinstance(affine, DataFrame):
+        maps = checkpointed(index_maps(affine))
+        few = F.broadcast(maps) if maps.count() <= 100_000 else maps
+        targets = targets.join(few, subjects(targets, affine), "left") if subjects(targets, affine) else targets.crossJoin(few)
+        row = lambda i: [F.col("m")[i][j] for j in range(4)]
+    else:
+        row = lambda i: affine[i]
+    at = [F.col("x") * row(i)[0] + F.col("y") * row(i)[1] + F.col("z") * row(i)[2] + row(i)[3] for i in range(3)]
+    return targets.select(*by, "voxel_id", *[c.alias(f"_{a}") for c, a in zip(at, "xyz")])
+
+
+def resample_nearest(targets: DataFrame, source: DataFrame, matrix: Affine) -> DataFrame:
+    """Labels of target voxels by the nearest source voxel, 0 where there is none."""
     by = subjects(targets, source)
-    placed = targets.select(*by, "voxel_id", *[at(r).alias(f"_{a}") for r, a in zip(matrix, "xyz")])
+    placed = _placed(targets, matrix, by).select(*by, "voxel_id", *[F.rint(f"_{a}").cast("int").alias(f"_{a}") for a in "xyz"])
     found = source.select(*by, *[F.col(a).alias(f"_{a}") for a in "xyz"], "label")
     return placed.join(found, [*by, "_x", "_y", "_z"], "left").select(*by, "voxel_id", F.coalesce("label", F.lit(0)).alias("label"))
 
 
-def resample_linear(targets: DataFrame, source: DataFrame, scale: float) -> DataFrame:
-    """Values of target voxels at (x, y, z) * scale by the eight source voxels around; missing corners count as 0."""
+#: Edge of the cubes of source voxels that are looked up as one row; each also holds the next layer.
+TILE = 4
+
+
+def _tiles(source: DataFrame, by: list[str]) -> DataFrame:
+    """(by, tx, ty, tz, cube): the values of each cube and its next layer, (TILE + 1) ** 3 places, null where no voxel is.
+
+    A voxel on a cube's first layer is also on the last of the cube before: up to eight copies, one in most places.
+    """
+    copies = source.select(*by, F.col("value").cast("double").alias("value"), *[F.col(a).cast("long").alias(a) for a in "xyz"])
+    for a in "xyz":
+        own = F.floor(F.col(a) / TILE)
+        edge = F.col(a) - own * TILE == 0
+        copies = copies.withColumn(f"t{a}", F.explode(F.when(edge, F.array(own, own - 1)).otherwise(F.array(own))))
+    inside = [F.col(a) - F.col(f"t{a}") * TILE for a in "xyz"]
+    n = TILE + 1
+    place = ((inside[0] * n + inside[1]) * n + inside[2]).cast("int")
+    held = copies.groupBy(*by, "tx", "ty", "tz").agg(F.collect_list(F.struct(place.alias("k"), "value")).alias("v"))  # a cube's at most
+    cube = F.transform(F.sequence(F.lit(0), F.lit(n**3 - 1)), lambda k: F.element_at(F.map_from_entries("v"), k))
+    return held.select(*by, "tx", "ty", "tz", cube.alias("cube"))
+
+
+def resample_linear(targets: DataFrame, source: DataFrame, affine: float | Affine) -> DataFrame:
+    """Values of target voxels by the eight source voxels around their places; missing corners count as 0.
+
+    ``affine`` is one factor of the indices, a 3 x 4 map from target to source indices, or affines by subject. A subject
+    without one, or whose source affine has no inverse, has null values. Source voxels (one a place) are gathered in cubes
+    with a layer of their neighbours, so a target voxel is moved once and finds all its corners in one row.
+    """
     by = subjects(targets, source)
-    placed = targets.select(*by, "voxel_id", *[(F.col(a) * scale).alias(f"_{a}") for a in "xyz"])
-    corner = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("_c"))
-    for k, a in enumerate("xyz"):
-        bit = F.shiftright("_c", k).bitwiseAND(F.lit(1))
-        corner = corner.withColumns({f"_i{a}": (F.floor(f"_{a}") + bit).cast("int"), f"_w{a}": F.when(bit == 1, F.col(f"_{a}") - F.floor(f"_{a}")).otherwise(1 - (F.col(f"_{a}") - F.floor(f"_{a}")))})
-    named = source.select(*by, *[F.col(a).alias(f"_i{a}") for a in "xyz"], "value")
-    joined = corner.where("_wx * _wy * _wz > 0").join(named, [*by, "_ix", "_iy", "_iz"], "left")
-    return joined.groupBy(*by, "voxel_id").agg(F.sum(F.col("_wx") * F.col("_wy") * F.col("_wz") * F.coalesce("value", F.lit(0.0))).alias("value"))
+    if isinstance(affine, (int, float)):
+        affine = [[affine if i == j else 0.0 for j in range(4)] for i in range(3)]
+    placed = _placed(targets, affine, by)
+    base = {a: F.floor(f"_{a}") for a in "xyz"}
+    placed = placed.withColumns({f"t{a}": F.floor(base[a] / TILE) for a in "xyz"})
+    joined = placed.join(_tiles(source, by), [*by, "tx", "ty", "tz"], "left")
+    n, value = TILE + 1, F.lit(0.0)
+    first = {a: base[a] - F.col(f"t{a}") * TILE for a in "xyz"}
+    share = {a: F.col(f"_{a}") - base[a] for a in "xyz"}
+    for corner in range(8):
+        bits = {a: corner >> k & 1 for k, a in enumerate("xyz")}
+        weight = F.lit(1.0)
+        for a in "xyz":
+            weight = weight * (share[a] if bits[a] else 1 - share[a])
+        place = (((first["x"] + bits["x"]) * n + first["y"] + bits["y"]) * n + first["z"] + bits["z"]).cast("int")
+        value = value + weight * F.coalesce(F.get("cube", place), F.lit(0.0))
+    return joined.select(*by, "voxel_id", value.alias("value"))
 
 
 _STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]

@@ -5,6 +5,9 @@ The cohort's subjects are the embeddings dealt three ways, with voxel ids of the
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
@@ -462,6 +465,51 @@ def a06c(spark, sf):
     return aif.select_slices(scores, thresholds=[0.2, 0.1, 0.05]).select("subject_id", "slice", "frame", *_r("score"), "rank")
 
 
+def _affine(turn: float, shear: float, offset: tuple[float, float, float], size: float) -> list[list[float]]:
+    """Index to world: turned about z, sheared along x, scaled and moved."""
+    c, s = math.cos(turn), math.sin(turn)
+    return [[size * c, size * (shear * c - s), 0.0, offset[0]], [size * s, size * (shear * s + c), 0.1 * size, offset[1]], [0.0, 0.05, size, offset[2]]]
+
+
+#: Pairs of affines, target and source, of the cohort's subjects.
+_PAIRS = {f"s{k}": (_affine(0.1 * k, 0.05 * k, (0.3 + k / 7, -0.7, 0.21), 1.1), _affine(-0.2 + 0.1 * k, 0.1, (0.11, 0.17 * k, -0.13), 1.3)) for k in range(3)}
+
+
+def _index_map(target: list[list[float]], source: list[list[float]]) -> list[list[float]]:
+    t, s = (np.vstack([m, [0, 0, 0, 1]]) for m in (target, source))
+    return (np.linalg.inv(s) @ t)[:3].tolist()
+
+
+_MAPS_SQL = "a(subject_id, " + ", ".join(f"m{i}{j}" for i in range(3) for j in range(4)) + ") as (values " + ", ".join(f"('{k}', " + ", ".join(f"{v!r}::double" for r in _index_map(*pair) for v in r) + ")" for k, pair in _PAIRS.items()) + ")"
+_PLACES_SQL = ", ".join(f"x * m{i}0 + y * m{i}1 + z * m{i}2 + m{i}3 as {a}" for i, a in enumerate("pqr"))
+
+
+def _affines(spark):
+    return spark.createDataFrame([(k, *v) for k, v in _PAIRS.items()], "subject_id string, target array<array<double>>, source array<array<double>>")
+
+
+@query(
+    "r07_resample_nearest_affine",
+    f"""with {COHORT}, {_MAPS_SQL}, v as (select distinct subject_id, voxel_id, x, y, z, label from c), t as (select subject_id, voxel_id, {_PLACES_SQL} from v join a using (subject_id))
+select t.subject_id, t.voxel_id, coalesce(v.label, 0) as label from t left join v on v.subject_id = t.subject_id and v.x = round_even(p, 0) and v.y = round_even(q, 0) and v.z = round_even(r, 0)""",
+)
+def r07a(spark, sf):
+    c = _cohort(spark, sf)
+    return labels.resample_nearest(c, c, _affines(spark))
+
+
+@query(
+    "r08_resample_linear_affine",
+    f"""with {COHORT}, {_MAPS_SQL}, v as (select subject_id, voxel_id, x, y, z, max(v) as value from c group by all), t as (select subject_id, voxel_id, {_PLACES_SQL} from v join a using (subject_id)),
+k as (select subject_id, voxel_id, floor(p) + dx as x, floor(q) + dy as y, floor(r) + dz as z, (case dx when 1 then p - floor(p) else 1 - p + floor(p) end) * (case dy when 1 then q - floor(q) else 1 - q + floor(q) end) * (case dz when 1 then r - floor(r) else 1 - r + floor(r) end) as w
+    from t, (select unnest([0, 1]) as dx), (select unnest([0, 1]) as dy), (select unnest([0, 1]) as dz))
+select k.subject_id, k.voxel_id, round(sum(w * coalesce(v.value, 0)), 6) as value from k left join v on (v.subject_id, v.x, v.y, v.z) = (k.subject_id, k.x, k.y, k.z) group by all""",
+)
+def r08a(spark, sf):
+    c = _cohort(spark, sf).withColumn("value", F.array_max("values"))
+    return labels.resample_linear(c, c, _affines(spark)).select("subject_id", "voxel_id", F.round("value", 6).alias("value"))
+
+
 @query("g05_region_fit")
 def g05f(spark, sf):
     c = _curves(spark, sf)
