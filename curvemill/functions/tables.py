@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -17,3 +18,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='curvemill-')}")
     return df.checkpoint()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that spark.checkpoint.dir names, whose files go when the application ends; a temporary one only with a local master."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{(folder or 'file://' + tempfile.gettempdir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from curvemill.functions.tables import shared_path
 from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc
 from curvemill.plans.queries import COORDS, INPUT, LONG, METRICS, _curves, _long_out, _maps, _r, _streamlines, query
 from curvemill.sources import curves as C
-from curvemill.sources import headers
+from curvemill.sources import headers, sinks
 
 
 @query(
@@ -185,6 +186,55 @@ def s03(spark, sf):
     return headers.shells(g).select("subject_id", "n_b0", F.array_join(F.col("shells").cast("array<string>"), ",").alias("shells"))
 
 
+@query(
+    "s03_gradients_from_files",
+    """with g as (select l_suppkey as subject_id, row_number() over (partition by l_suppkey order by l_orderkey, l_linenumber, l_quantity) - 1 as dir, (l_linenumber - 1) * 500 as bval, l_quantity::double as x, l_linenumber::double as y, 1.0::double as z from lineitem)
+select subject_id::varchar as subject_id, dir, bval::double as bval, round(x / sqrt(x * x + y * y + z * z), 6) as gx, round(z / sqrt(x * x + y * y + z * z), 6) as gz from g where subject_id % 7 <> 3""",
+)
+def s03f(spark, sf):
+    """Tables of suppliers' lines as text files, those of one in seven spoilt, written to the shared folder and read back."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    each = F.struct("l_orderkey", "l_linenumber", ((F.col("l_linenumber") - 1) * 500).alias("b"), F.col("l_quantity").cast("double").alias("x"), F.col("l_linenumber").cast("double").alias("y"), F.lit(1.0).alias("z"))
+    tables = li.groupBy(F.col("l_suppkey").alias("subject")).agg(F.array_sort(F.collect_list(each)).alias("g"))
+    row = lambda c: F.array_join(F.transform("g", lambda v: v[c].cast("string")), " ")
+    spoilt = F.when(F.col("subject") % 7 == 3, F.lit("x")).otherwise(F.lit(""))
+    texts = F.array(F.struct(F.lit("bval").alias("kind"), F.concat(spoilt, row("b")).alias("value")), F.struct(F.lit("bvec").alias("kind"), F.concat_ws("\n", *[row(c) for c in "xyz"]).alias("value")))
+    path = shared_path(spark, "gradients")
+    tables.select("subject", F.inline(texts)).repartition("subject", "kind").write.partitionBy("subject", "kind").text(path)
+    found = headers.read_gradient_files(spark, f"{path}/*/*/*.txt", pattern=r"subject=([^/]+)/kind=(bval|bvec)/")
+    return found.gradients.select("subject_id", F.col("dir").cast("long").alias("dir"), "bval", *_r("gx", "gz"))
+
+
+@query(
+    "s10_write_maps",
+    "select 's' || l_suppkey % 5 as subject_id, 'patlak' as model, 'label' as level, l_linenumber as label, round(avg(l_quantity::double) * 2, 6) as mean, count(*) as n from lineitem group by 1, 4",
+)
+def s10(spark, sf):
+    """Maps that are written, written again with other values by a repeated job, and read back once."""
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    maps = li.groupBy(F.concat(F.lit("s"), (F.col("l_suppkey") % 5).cast("string")).alias("subject_id"), F.col("l_linenumber").alias("label")).agg(F.avg(F.col("l_quantity").cast("double")).alias("mean"), F.count(F.lit(1)).alias("n"))
+    maps = maps.withColumns({"model": F.lit("patlak"), "level": F.lit("label")})
+    path = shared_path(spark, "maps")
+    sinks.write_maps(maps, path)
+    sinks.write_maps(maps.withColumn("mean", F.col("mean") * 2), path)
+    return spark.read.parquet(path).select("subject_id", "model", "level", "label", *_r("mean"), "n")
+
+
+@query(
+    "s11_write_run_records",
+    "select o_custkey as subject_id, case o_orderstatus when 'F' then 'load' when 'O' then 'aif' else 'kinetic' end as stage, r as run_id, count(*) as n from orders, (select unnest(['first', 'second']) as r) group by all",
+)
+def s11(spark, sf):
+    """Two runs' records, of which the first is written twice."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    stage = F.when(F.col("o_orderstatus") == "F", "load").when(F.col("o_orderstatus") == "O", "aif").otherwise("kinetic")
+    runs = o.select(F.col("o_custkey").alias("subject_id"), stage.alias("stage"), F.create_map(F.lit("order"), F.col("o_orderkey")).alias("options"))
+    path = shared_path(spark, "runs")
+    for run in ("first", "second", "first"):
+        sinks.write_run_records(runs, path, run_id=run)
+    return spark.read.parquet(path).groupBy("subject_id", "stage", "run_id").agg(F.count("options").alias("n"))
+
+
 @query(
     "s05_prior_maps",
     "select p_partkey as voxel_id, round(case when p_size % 2 = 0 then p_retailprice::double * 1000 else p_retailprice::double end, 4) as t1_ms from part",

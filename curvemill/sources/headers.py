@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curvemill.functions.tables import checkpointed
 
 #: Keys of header files that tell a series' axis.
 HEADER = "n int, InversionTimes array<double>, FlipAngles array<double>, RepetitionTime double, RepetitionTimeExcitation double, TimePoints array<double>, dt double"
@@ -54,6 +57,51 @@ def read_gradients(bvals: DataFrame, bvecs: DataFrame, *, frames: DataFrame | No
     return unit_gradients(each.select("subject_id", "dir", "bval", *[part(k).alias(f"g{a}") for k, a in enumerate("xyz")]))
 
 
+class GradientFiles(NamedTuple):
+    """Gradient tables read from files, and the files that gave none."""
+
+    gradients: DataFrame
+    rejects: DataFrame
+
+
+#: The subject and the kind of a gradient file, from its path: <subject>.bval and <subject>.bvec, also with an s.
+GRADIENT_FILE = r"([^/]+)\.(bval|bvec)s?$"
+
+
+def read_gradient_files(spark: SparkSession, path: str | list[str], *, pattern: str = GRADIENT_FILE, frames: DataFrame | None = None) -> GradientFiles:
+    """Gradients (subject_id, dir, bval, gx, gy, gz) of pairs of text files of b-values and directions, and (path, subject_id, reason) of rejected ones.
+
+    ``pattern`` finds the subject (group 1) and bval or bvec (group 2) in a file's path. Numbers stand apart by blanks or
+    commas; b-values are one row or one column, directions 3 x N or N x 3 (3 x 3 is read by rows as x, y, z). A file is rejected that
+    is named otherwise, is empty, has something that is no number or rows of unequal length, has no partner or more than one, or
+    differs in length from its partner or from the series' ``frames`` (subject_id, n). Other subjects are read all the same.
+    """
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = F.filter(F.transform(F.split("value", r"\r\n|\r|\n"), lambda x: F.btrim(x)), lambda x: x != "")
+    rows = F.transform(lines, lambda x: F.transform(F.split(x, r"[\s,]+"), lambda y: y.try_cast("double")))
+    files = texts.select("path", F.regexp_extract("path", pattern, 1).alias("subject_id"), F.regexp_extract("path", pattern, 2).alias("kind"), rows.alias("rows"))
+    flat = F.flatten("rows")
+    ragged = F.exists("rows", lambda r: F.size(r) != F.size(F.get("rows", F.lit(0))))
+    wrong = F.when(F.col("kind") == "", "not a gradient file's name").when(F.size("rows") == 0, "empty").when(F.exists(flat, lambda v: v.isNull() | F.isnan(v)), "not a number").when(ragged, "rows of unequal length")
+    files = checkpointed(files.withColumn("reason", wrong))
+    good = files.where("reason is null")
+    # Few files a subject: partners are counted before they are joined.
+    pairs = good.groupBy("subject_id").agg(
+        F.count_if(F.col("kind") == "bval").alias("_b"), F.count_if(F.col("kind") == "bvec").alias("_v"), F.max(F.when(F.col("kind") == "bval", F.flatten("rows"))).alias("values"), F.max(F.when(F.col("kind") == "bvec", F.col("rows"))).alias("rows")
+    )
+    n, inner = F.size("values"), F.size(F.get("rows", F.lit(0)))
+    fits = ((F.size("rows") == 3) & (inner == n)) | ((F.size("rows") == n) & (inner == 3))
+    why = F.when((F.col("_b") == 0) | (F.col("_v") == 0), "no partner").when((F.col("_b") > 1) | (F.col("_v") > 1), "more than one partner").when(~fits, "lengths differ")
+    if frames is not None:
+        pairs = pairs.join(frames.select("subject_id", F.col("n").alias("_n")), "subject_id", "left")
+        why = why.when(F.col("_n").isNull() | (F.col("_n") != n), "not as long as the series")
+    pairs = pairs.withColumn("why", why)
+    whole = pairs.where("why is null")
+    gradients = read_gradients(whole.select("subject_id", "values"), whole.select("subject_id", "rows"))
+    unpaired = good.select("path", "subject_id").join(pairs.where("why is not null").select("subject_id", F.col("why").alias("reason")), "subject_id").select("path", "subject_id", "reason")
+    return GradientFiles(gradients, files.where("reason is not null").select("path", "subject_id", "reason").unionByName(unpaired))
+
+
 def shells(gradients: DataFrame) -> DataFrame:
     """n_b0 and the distinct b-values, rounded to tens, of each subject."""
     return gradients.groupBy("subject_id").agg(F.count_if(F.col("bval") <= 50).alias("n_b0"), F.array_sort(F.collect_set(F.bround("bval", -1))).alias("shells"))

@@ -279,11 +279,14 @@ def test_sources_and_sinks(spark, tmp_path):
     maps = spark.createDataFrame([("s1", "patlak", "voxel", 1, 0.5)], "subject_id string, model string, level string, voxel_id long, value double")
     sinks.write_maps(maps, f"file://{tmp_path}/maps")
     sinks.write_maps(maps, f"file://{tmp_path}/maps")
-    assert spark.read.parquet(f"file://{tmp_path}/maps").where("model = 'patlak' and level = 'voxel'").count() == 2
+    other = maps.withColumn("subject_id", F.lit("s2")).withColumn("value", F.lit(0.7))
+    sinks.write_maps(other, f"file://{tmp_path}/maps")  # a repeated job counts once, and leaves other subjects alone
+    assert sorted((r.subject_id, r.model, r.level, r.value) for r in spark.read.parquet(f"file://{tmp_path}/maps").collect()) == [("s1", "patlak", "voxel", 0.5), ("s2", "patlak", "voxel", 0.7)]
     sinks.write_maps(maps, f"file://{tmp_path}/csv", fmt="csv")
     runs = spark.createDataFrame([("s1", "fit", {"a": "1"})], "subject_id string, stage string, config map<string,string>")
-    sinks.write_run_records(runs, f"file://{tmp_path}/runs")
-    assert spark.read.parquet(f"file://{tmp_path}/runs").first().config == '{"a":"1"}'
+    for run in ("r1", "r2", "r1"):
+        sinks.write_run_records(runs, f"file://{tmp_path}/runs", run_id=run)
+    assert sorted((r.run_id, r.config) for r in spark.read.parquet(f"file://{tmp_path}/runs").collect()) == [("r1", '{"a":"1"}'), ("r2", '{"a":"1"}')]
     spark.createDataFrame([(1, 2.0)], "voxel_id long, values double").write.parquet(f"file://{tmp_path}/scalar")
     assert C.read_curves(spark, f"file://{tmp_path}/scalar").first()["values"] == [2.0]
 
@@ -363,3 +366,21 @@ def test_non_negative_least_squares_is_optimal():
     # One row alone gives what it gives among others.
     alone = np.vstack([non_negative(poles, x[None, :], 1e-9)[0] for x in b[ok]])
     assert np.allclose(alone @ poles.T, non_negative(poles, b[ok], 1e-9)[0] @ poles.T, rtol=1e-6)
+
+
+def test_gradient_files(spark, tmp_path):
+    texts = {
+        "a.bval": "0 1000\n", "a.bvec": "0 3\n0 0\n0 4\n", "b.bvals": "0\r\n1000\r\n", "b.bvecs": "0,0,0\n\n3, 0,\t4\n", "c.bval": "0 x", "c.bvec": "0 0\n0 0\n0 1", "d.bval": "0 1", "e.bval": "0 1 2",
+        "e.bvec": "1 0\n1 0\n1 0", "f.bval": "0 1", "f.bvec": "1 0\n1\n1 0", "g.bval": "", "g.bvec": "1\n0\n0", "h.bval": "5", "h.bvals": "5", "h.bvec": "1\n0\n0", "i.bval": "0 1", "i.bvec": "1 0\n1 0\n1 0", "j.bval": "nan", "j.bvec": "1\n0\n0", "notes.txt": "1",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    frames = spark.createDataFrame([(s, 4 if s == "i" else 2) for s in "abcdefhi"], "subject_id string, n int")
+    found = headers.read_gradient_files(spark, f"file://{tmp_path}/*", frames=frames)
+    got = [(r.subject_id, r.dir, r.bval, round(r.gx, 9), round(r.gz, 9)) for r in found.gradients.orderBy("subject_id", "dir").collect()]
+    assert got == [("a", 0, 0.0, 0.0, 0.0), ("a", 1, 1000.0, 0.6, 0.8), ("b", 0, 0.0, 0.0, 0.0), ("b", 1, 1000.0, 0.6, 0.8)]
+    rejects = {(r.path.rsplit("/", 1)[1], r.reason) for r in found.rejects.collect()}
+    assert rejects == {
+        ("c.bval", "not a number"), ("c.bvec", "no partner"), ("d.bval", "no partner"), ("e.bval", "lengths differ"), ("e.bvec", "lengths differ"), ("f.bval", "no partner"), ("f.bvec", "rows of unequal length"), ("g.bval", "empty"), ("g.bvec", "no partner"),
+        ("h.bval", "more than one partner"), ("h.bvals", "more than one partner"), ("h.bvec", "more than one partner"), ("i.bval", "not as long as the series"), ("i.bvec", "not as long as the series"), ("j.bval", "not a number"), ("j.bvec", "no partner"), ("notes.txt", "not a gradient file's name"),
+    }
