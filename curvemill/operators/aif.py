@@ -17,7 +17,7 @@ from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
 from curvemill.functions.tables import checkpointed
 from curvemill.operators.aggregate import same_keys
-from curvemill.operators.labels import component_of, connected_components, otsu_threshold, strongest_component, with_threshold
+from curvemill.operators.labels import binary_close, component_of, connected_components, fill_holes, otsu_threshold, strongest_component, with_threshold
 from curvemill.sources.curves import subjects, to_curves, to_long
 
 
@@ -331,12 +331,13 @@ def label_vessels(candidates: DataFrame, projection: DataFrame, *, n_slices: int
     return chosen.select(*by, "component", "role", F.when(F.col("role") == "vein", F.col("_v")).otherwise(F.col("_a")).alias("role_score"), "n_voxels", "x", "y", "z")
 
 
-def grow_region(peaks: DataFrame, seeds: DataFrame, *, margin: int = 6, low_share: float = 0.20) -> DataFrame:
+def grow_region(peaks: DataFrame, seeds: DataFrame, *, margin: int = 6, low_share: float = 0.20, smooth: bool = True) -> DataFrame:
     """The voxels of each subject's vessel, grown from a seed (voxel_id) over peaks (voxel_id, x, y, z, value).
 
     In the box of the seeds, widened by ``margin`` and half their extent, the component of the brightest seed at or above a low
     threshold counts if it reaches a high one; both come from the box's Otsu threshold and the peak. A component that fills
-    over 0.8 of the box is taken at higher thresholds (0.35, 0.5, 0.65 of the peak).
+    over 0.8 of the box is taken at higher thresholds (0.35, 0.5, 0.65 of the peak). With ``smooth``, gaps are closed (twice) and holes
+    filled slice by slice, within the box.
     """
     by = subjects(peaks, seeds)
     marked = peaks.join(seeds.select(*by, "voxel_id"), [*by, "voxel_id"], "left_semi")
@@ -365,9 +366,13 @@ def grow_region(peaks: DataFrame, seeds: DataFrame, *, margin: int = 6, low_shar
         found = checkpointed(kept if found is None else found.unionByName(kept))
         again = state.where("_full").select(*by, F.lit(True).alias("_again"))
         if last or not again.limit(1).count():
-            return found
+            break
         pending = checkpointed(with_threshold(pending, again, by).where("_again").drop("_again"))
-    return found
+    if not smooth:
+        return found
+    place = [*by, "x", "y", "z"]
+    closed = binary_close(box.join(found, [*by, "voxel_id"], "left_semi"), times=2, planar=True, inside=box)
+    return box.join(fill_holes(closed, planar=True), place, "left_semi").select(*by, "voxel_id")
 
 
 def grow_box(field: DataFrame, seed_box: dict[str, tuple[int, int]], *, share: float = 0.5) -> DataFrame:

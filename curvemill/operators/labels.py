@@ -164,9 +164,9 @@ def resample_linear(targets: DataFrame, source: DataFrame, affine: float | Affin
 _STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
 
 
-def _neighbours(voxels: DataFrame) -> DataFrame:
-    """Each voxel's places one step along an axis, as x, y, z."""
-    steps = F.array(*[F.struct(*[F.lit(d).alias(a) for a, d in zip("xyz", s)]) for s in _STEPS])
+def _neighbours(voxels: DataFrame, planar: bool = False) -> DataFrame:
+    """Each voxel's places one step along an axis, or an axis of its slice, as x, y, z."""
+    steps = F.array(*[F.struct(*[F.lit(d).alias(a) for a, d in zip("xyz", s)]) for s in (_STEPS[:4] if planar else _STEPS)])
     each = voxels.withColumn("_s", F.explode(steps))
     return each.withColumns({a: F.col(a) + F.col(f"_s.{a}") for a in "xyz"}).drop("_s")
 
@@ -224,16 +224,65 @@ def strongest_component(voxels: DataFrame, *, score: str = "score") -> DataFrame
     return found.join(best, [*by, "component"], "left_semi").select(*by, "voxel_id", score)
 
 
+def _eroded(here: DataFrame, place: list[str], planar: bool = False) -> DataFrame:
+    """The places of the set all whose neighbours are in it."""
+    full = _neighbours(here, planar).join(here, place, "left_semi")  # each place once for every neighbour in the set
+    return full.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == (4 if planar else 6)).select(*place).join(here, place, "left_semi")
+
+
 def binary_open(voxels: DataFrame) -> DataFrame:
     """Erosion and then dilation of a voxel set by the 6-neighbourhood, as (subject_id, x, y, z)."""
     by = subjects(voxels)
     place = [*by, "x", "y", "z"]
-    here = voxels.select(*place).distinct()
-    full = _neighbours(here).join(here, place, "left_semi")  # each place once for every neighbour in the set
-    eroded = full.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).where("n = 6").select(*place).join(here, place, "left_semi")
+    eroded = _eroded(voxels.select(*place).distinct(), place)
     return eroded.unionByName(_neighbours(eroded)).distinct()
 
 
+def binary_close(voxels: DataFrame, *, times: int = 1, planar: bool = False, inside: DataFrame | None = None) -> DataFrame:
+    """``times`` dilations and then as many erosions by the 6-neighbourhood, or each slice's 4-neighbourhood, as (subject_id, x, y, z).
+
+    With ``inside`` (places), nothing grows beyond it, and what lies beyond counts as empty.
+    """
+    by = subjects(voxels)
+    place = [*by, "x", "y", "z"]
+    found = checkpointed(voxels.select(*place).distinct())
+    for _ in range(times):
+        found = found.unionByName(_neighbours(found, planar)).distinct()
+        found = checkpointed(found.join(inside.select(*place), place, "left_semi") if inside is not None else found)
+    for _ in range(times):
+        found = checkpointed(_eroded(found, place, planar))
+    return found
+
+
+def fill_holes(voxels: DataFrame, *, planar: bool = False) -> DataFrame:
+    """A voxel set with what it encloses, by the 6-neighbourhood or slice by slice, as (subject_id, x, y, z).
+
+    Holes are the components of the rest of a subject's box, widened by one, that do not hold its corner. The box is listed, one
+    row a place, over all executors.
+    """
+    by = subjects(voxels)
+    place = [*by, "x", "y", "z"]
+    here = checkpointed(voxels.select(*place).distinct())
+    ends = here.groupBy(*by).agg(*[F.min(c).cast("long").alias(f"_lo{c}") for c in "xyz"], *[F.max(c).cast("long").alias(f"_hi{c}") for c in "xyz"])
+    rim = {c: 0 if planar and c == "z" else 1 for c in "xyz"}
+    every = ends.repartition(*by) if by else ends
+    for c in "zxy":
+        every = every.withColumn(c, F.explode(F.sequence(F.col(f"_lo{c}") - rim[c], F.col(f"_hi{c}") + rim[c])))
+        if c == "z":  # a plane is a task's work, not a subject
+            every = every.repartition(*by, "z")
+    size = {c: F.col(f"_hi{c}") - F.col(f"_lo{c}") + 1 + 2 * rim[c] for c in "xy"}
+    at = {c: F.col(c) - F.col(f"_lo{c}") + rim[c] for c in "xyz"}
+    number = (at["z"] * size["x"] + at["x"]) * size["y"] + at["y"]  # a slice's corner has its least number
+    apart = F.col("z") * 2 if planar else F.col("z")  # slices that are not neighbours
+    rest = every.select(*place, number.alias("voxel_id"), (size["x"] * size["y"]).alias("_plane")).join(here, place, "left_anti")
+    rest = checkpointed(rest.withColumn("_z", F.col("z")).withColumn("z", apart))
+    found = connected_components(rest.select(*by, "voxel_id", "x", "y", "z"))
+    named = rest.join(found, [*by, "voxel_id"])
+    outside = F.col("component") % F.col("_plane") == 0 if planar else F.col("component") == 0
+    holes = named.where(~outside).select(*by, *[F.col(k).cast(here.schema[c].dataType).alias(c) for k, c in (("x", "x"), ("y", "y"), ("_z", "z"))])
+    return here.unionByName(holes)
+
+
 def foreground_component(curves: DataFrame, *, values: str = "values", frames: int = 10, share: float = 0.1) -> DataFrame:
     """The largest component of the voxels whose early mean exceeds a share of the subject's 99th percentile."""
     by = subjects(curves)

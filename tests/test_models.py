@@ -371,7 +371,7 @@ def test_non_negative_least_squares_is_optimal():
 def test_gradient_files(spark, tmp_path):
     texts = {
         "a.bval": "0 1000\n", "a.bvec": "0 3\n0 0\n0 4\n", "b.bvals": "0\r\n1000\r\n", "b.bvecs": "0,0,0\n\n3, 0,\t4\n", "c.bval": "0 x", "c.bvec": "0 0\n0 0\n0 1", "d.bval": "0 1", "e.bval": "0 1 2",
-        "e.bvec": "1 0\n1 0\n1 0", "f.bval": "0 1", "f.bvec": "1 0\n1\n1 0", "g.bval": "", "g.bvec": "1\n0\n0", "h.bval": "5", "h.bvals": "5", "h.bvec": "1\n0\n0", "i.bval": "0 1", "i.bvec": "1 0\n1 0\n1 0", "j.bval": "nan", "j.bvec": "1\n0\n0", "notes.txt": "1",
+        "e.bvec": "1 0\n1 0\n1 0", "f.bval": "0 1", "f.bvec": "1 0\n1\n1 0", "g.bval": " \n", "g.bvec": "1\n0\n0", "h.bval": "5", "h.bvals": "5", "h.bvec": "1\n0\n0", "i.bval": "0 1", "i.bvec": "1 0\n1 0\n1 0", "j.bval": "nan", "j.bvec": "1\n0\n0", "notes.txt": "1",
     }
     for name, text in texts.items():
         (tmp_path / name).write_bytes(text.encode())
