@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which a frame of a few numbers a row is broadcast.
+FEW = 100_000
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -20,6 +24,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df computed once, in a checkpoint, and counted there: to be broadcast up to FEW rows, else joined as it is."""
+    held = checkpointed(df)
+    return F.broadcast(held) if held.count() <= FEW else held
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that spark.checkpoint.dir names, whose files go when the application ends; a temporary one only with a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

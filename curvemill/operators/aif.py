@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
-from curvemill.functions.tables import checkpointed
+from curvemill.functions.tables import checkpointed, small
 from curvemill.operators.aggregate import same_keys
 from curvemill.operators.labels import binary_close, component_of, connected_components, fill_holes, otsu_threshold, strongest_component, with_threshold
 from curvemill.sources.curves import subjects, to_curves, to_long
@@ -208,7 +208,7 @@ def rank_candidates(metrics: DataFrame, *, by: list[str], name: str = "voxel_id"
     valid = F.col("peak").isNotNull()
     ends = [f(F.when(valid, A.finite(F.col(m).cast("double")))).alias(f"_{e}_{m}") for m, _, _ in RANKING for e, f in (("lo", F.min), ("hi", F.max))]
     limits = metrics.groupBy(*groups).agg(*ends)
-    joined = same_keys(metrics, F.broadcast(limits) if limits.count() <= 100_000 else limits, groups)
+    joined = same_keys(metrics, small(limits), groups)
     score = F.lit(0.0)
     for metric, weight, more in RANKING:
         v, lo, hi = A.finite(F.col(metric).cast("double")), F.col(f"_lo_{metric}"), F.col(f"_hi_{metric}")

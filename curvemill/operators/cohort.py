@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvemill.functions.tables import checkpointed
+from curvemill.functions.tables import checkpointed, small
 
 #: What each stage needs, directly.
 STAGES: dict[str, tuple[str, ...]] = {
@@ -114,7 +114,7 @@ def _assemble(named: DataFrame, axis: str, order: list[str], least: int, expecte
     """One value of each place on the axis, the first in order; grids unlike that of a subject's first place are dropped."""
     if "geom" in named.columns:
         first = named.groupBy("subject_id").agg(F.min_by("geom", F.struct(axis, *order)).alias("_geom"))
-        named = named.join(F.broadcast(first) if first.count() <= 100_000 else first, "subject_id").where(F.col("geom").eqNullSafe(F.col("_geom")))
+        named = named.join(small(first), "subject_id").where(F.col("geom").eqNullSafe(F.col("_geom")))
     one = named.groupBy("subject_id", "voxel_id", axis).agg(F.min_by("value", F.struct(*order)).alias("value"))
     ordered = F.array_sort(F.collect_list(F.struct(F.col(axis).alias("at"), "value")))  # a place on the axis each
     found = one.groupBy("subject_id", "voxel_id").agg(ordered.alias("s"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
+from curvemill.functions.tables import small
 from curvemill.operators.aggregate import same_keys
 
 
@@ -133,7 +134,7 @@ def saturation_report(curves: DataFrame, *, by: list[str], flip_deg: float, tr_s
     found = found.withColumn("_peak", F.array_max(A.finite_values(F.col("signal"))) / F.when(F.col("_s0") > 0, F.col("_s0"))).select(*by, "_c", "_s0", "_peak")
     middle = median(found.where("_s0 > 0"), by=by, column="_s0", name="_mid")
     limits = same_keys(median(found, by=by, column="_c", name="ceiling"), middle, by)
-    front = same_keys(found, F.broadcast(limits) if limits.count() <= 100_000 else limits, by, "inner").where((F.col("_s0") > 0.25 * F.col("_mid")) & F.col("_peak").isNotNull())
+    front = same_keys(found, small(limits), by, "inner").where((F.col("_s0") > 0.25 * F.col("_mid")) & F.col("_peak").isNotNull())
     over, wrapped = (F.avg(c.cast("double")) for c in (F.col("_peak") > F.col("ceiling"), F.col("_peak") >= F.col("ceiling") / cos))
     shares = front.groupBy(*by, "ceiling").agg(F.count(F.lit(1)).alias("n"), over.alias("share_over"), wrapped.alias("share_wrapped"))
     peaks = percentiles(front, by=by, column="_peak", at={"peak_p50": 0.5, "peak_p95": 0.95})

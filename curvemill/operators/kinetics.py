@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvemill.functions.tables import small
 from curvemill.operators import tails
 from curvemill.operators.fitting import MODELS, Model, fit_model, over_inputs, register_model, subject_columns
 
@@ -256,5 +257,5 @@ def fit_by_label(curves: DataFrame, inputs: DataFrame, *, label: str = "label",
         middle = middle.join(median(curves, by=groups, column=flow, name="flow"), groups)
     fits = fit_model(middle, inputs, model, keys=groups, **options)
     outputs = [c for c in fits.columns if c not in groups]
-    painted = curves.select(*dict.fromkeys([*keys, *groups])).join(F.broadcast(fits) if fits.count() <= 100_000 else fits, groups, "left")
+    painted = curves.select(*dict.fromkeys([*keys, *groups])).join(small(fits), groups, "left")
     return painted.select(*dict.fromkeys([*keys, label]), *outputs)

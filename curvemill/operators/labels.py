@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
-from curvemill.functions.tables import checkpointed
+from curvemill.functions.tables import checkpointed, small
 from curvemill.sources.curves import subjects
 
 
@@ -18,7 +18,7 @@ def otsu_threshold(values: DataFrame, *, column: str = "value", bins: int = 256,
     ends = values.groupBy(*by).agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     points = values.select(*by, v.alias("v")).where("v is not null")
-    placed = points.join(F.broadcast(ends) if ends.count() <= 100_000 else ends, by) if by else points.crossJoin(F.broadcast(ends))
+    placed = points.join(small(ends), by) if by else points.crossJoin(F.broadcast(ends))
     counts = placed.groupBy(*by, F.least(F.floor((F.col("v") - F.col("lo")) / F.when(width > 0, width)), F.lit(bins - 1)).cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
     # One row a bin at most: the running sums are over bins.
     everything = Window.partitionBy(*by, "lo", "hi")
@@ -34,7 +34,7 @@ def otsu_threshold(values: DataFrame, *, column: str = "value", bins: int = 256,
 
 def with_threshold(rows: DataFrame, threshold: DataFrame, by: list[str]) -> DataFrame:
     """rows with their subject's one-row columns."""
-    few = F.broadcast(threshold) if threshold.count() <= 100_000 else threshold
+    few = small(threshold)
     return rows.join(few, by, "left") if by else rows.crossJoin(few)
 
 
@@ -94,8 +94,7 @@ def index_maps(affines: DataFrame) -> DataFrame:
 def _placed(targets: DataFrame, affine: Affine, by: list[str]) -> DataFrame:
     """targets' keys with their places in the source's grid, _x, _y and _z."""
     if isinstance(affine, DataFrame):
-        maps = checkpointed(index_maps(affine))
-        few = F.broadcast(maps) if maps.count() <= 100_000 else maps
+        few = small(index_maps(affine))
         targets = targets.join(few, subjects(targets, affine), "left") if subjects(targets, affine) else targets.crossJoin(few)
         row = lambda i: [F.col("m")[i][j] for j in range(4)]
     else:

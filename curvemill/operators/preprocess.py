@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import percentiles
+from curvemill.functions.tables import small
 from curvemill.sources.curves import subjects, to_curves, to_long
 
 
@@ -14,7 +15,7 @@ def high_signal_mean_curve(curves: DataFrame, *, keys: list[str], early: int = 5
     """Mean curve of the voxels whose early mean is in the top quarter, for each of ``keys``."""
     with_early = curves.withColumn("_early", A.finite(A.mean(A.finite_values(A.span(F.col("values"), 0, early)))))
     limit = percentiles(with_early, by=keys, column="_early", at={"_limit": share})
-    high = with_early.join(F.broadcast(limit) if limit.count() <= 100_000 else limit, keys).where("_early >= _limit")
+    high = with_early.join(small(limit), keys).where("_early >= _limit")
     mean = to_long(high, *keys).groupBy(*keys, "frame").agg(F.avg(A.finite(F.col("value"))).alias("value"))
     return to_curves(mean, keys)
 
@@ -147,7 +148,7 @@ def crop_to_onset(curves: DataFrame, inputs: DataFrame, *, share: float = 0.05)
     by = subjects(curves, inputs)
     onset = A.let(F.array_max("c_a"), lambda top: A.first_index(F.col("c_a"), lambda v: v > share * top)) - 1
     starts = inputs.select(*by, F.when((onset > 0) & (onset < F.size("c_a") - 5), onset).otherwise(0).alias("_i0"))
-    few = F.broadcast(starts) if starts.count() <= 100_000 else starts
+    few = small(starts)
     found = curves.join(few, by, "left") if by else curves.crossJoin(few)
     return found.withColumn("values", F.slice("values", F.coalesce("_i0", F.lit(0)) + 1, F.size("values"))).drop("_i0")
 

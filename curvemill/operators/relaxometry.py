@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curvemill.functions.percentiles import percentiles
+from curvemill.functions.tables import small
 from curvemill.operators.filters import per_curve
 
 
@@ -82,7 +83,7 @@ def foreground(curves: DataFrame, *, by: list[str], share: float = 0.08, quantil
     """Voxels whose largest |S| exceeds a share of the 98th percentile of the positive maxima of their group."""
     with_max = curves.withColumn("_m", F.array_max(F.transform("values", lambda v: F.abs(v))))
     limit = percentiles(with_max.where("_m > 0"), by=by, column="_m", at={"_limit": quantile})
-    found = with_max.join(F.broadcast(limit) if limit.count() <= 100_000 else limit, by) if by else with_max.crossJoin(F.broadcast(limit))
+    found = with_max.join(small(limit), by) if by else with_max.crossJoin(F.broadcast(limit))
     return found.where(F.col("_m") > share * F.col("_limit")).drop("_m", "_limit")
 
 
