@@ -21,14 +21,18 @@ BINS = 4096
 MOST_ROUNDS = 200
 
 
-def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at: dict[str, float], group_rows: int | None = None) -> DataFrame:
-    """by, and for each name in ``at`` the linearly interpolated percentile (0-1) of the finite values of column; null if there are none."""
+def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at: dict[str, float], group_rows: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
+    """by, and for each name in ``at`` the linearly interpolated percentile (0-1) of the finite values of column; null if there are none.
+
+    ``sizes`` (by, _n, _lo, _hi: the number, least and greatest of a group's finite values) saves the pass that counts.
+    """
     limit = GROUP_ROWS if group_rows is None else group_rows
     by = list(by)
     v = finite(F.col(column).cast("double"))
     values = df.select(*by, v.alias("_v"))
-    sizes = values.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    big = sizes.where(F.col("_n") > limit)
+    if sizes is None:
+        sizes = values.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    big = sizes.select(*by, "_n", "_lo", "_hi").where(F.col("_n") > limit)
     names, shares = list(at), [float(x) for x in at.values()]
 
     def plain(rows: DataFrame) -> DataFrame:

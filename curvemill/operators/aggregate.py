@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
+from curvemill.functions.tables import checkpointed, small
 from curvemill.sources.curves import subjects, to_curves, to_long
 
 
@@ -76,6 +77,44 @@ def by_slice(maps: DataFrame, *, axis: str, n_slices: int, keys: list[str] | Non
     return every.join(found, by, "left").select(*by, "mean", "median", "p25", "p75", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+#: Percentiles of ``by_levels`` beside the median.
+SPREAD = {"p5": 0.05, "p25": 0.25, "p75": 0.75, "p95": 0.95}
+
+
+def by_levels(maps: DataFrame, region_map: DataFrame, *, keys: list[str], label: str = "label", axis: str | None = None, n_slices: int = 0, group_rows: int | None = None) -> DataFrame:
+    """The whole, every label above 0, every region and every slice of each set of keys, in two passes over the maps.
+
+    (keys, level, unit, mean, median, sd, n, p5, p25, p75, p95) with level whole, label, region or slice and unit its name, null for
+    the whole. Each is as in voxelwise, by_label, by_region and by_slice: moments of the finite values, sd 0 for one value, exact
+    percentiles. Regions and slices without voxels have n = 0; slices beyond ``n_slices`` are left out.
+
+    One pass counts and adds up all levels, combined before its shuffle; its counts tell percentiles which groups are large.
+    """
+    unit = lambda level, name: F.struct(F.lit(level).alias("level"), name.cast("string").alias("unit"))
+    none = F.array().cast("array<struct<level:string,unit:string>>")
+    regions = region_map.select(F.col(label), "region").where("region is not null").groupBy(label).agg(F.array_sort(F.collect_set("region")).alias("_regions"))  # a label's
+    columns = [*keys, F.col(label), F.col("value").cast("double").alias("value"), *([F.col(axis).alias("_slice")] if axis else [])]
+    placed = maps.select(*columns).join(small(regions), label, "left")
+    units = [F.array(unit("whole", F.lit(None))), F.when(F.col(label) > 0, F.array(unit("label", F.col(label)))).otherwise(none)]
+    units.append(F.coalesce(F.transform("_regions", lambda r: unit("region", r)), none))
+    if axis:
+        units.append(F.when(F.col("_slice").between(0, n_slices - 1), F.array(unit("slice", F.col("_slice")))).otherwise(none))
+    each = placed.select(*keys, F.inline(F.concat(*units)), "value")
+    by, v = [*keys, "level", "unit"], A.finite(F.col("value"))
+    sd = F.when(F.count(v) > 0, F.coalesce(F.stddev_samp(v), F.lit(0.0)))
+    moments = checkpointed(each.groupBy(*by).agg(F.avg(v).alias("mean"), sd.alias("sd"), F.count(v).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi")))
+    ranks = percentiles(each, by=by, at={"median": 0.5, **SPREAD}, sizes=moments, group_rows=group_rows)
+    found = same_keys(moments, ranks, by).select(*by, "mean", "median", "sd", F.col("_n").alias("n"), *SPREAD)
+    names = region_map.where("region is not null").select(unit("region", F.col("region")).alias("_u")).distinct()
+    if axis:
+        names = names.unionByName(maps.sparkSession.range(n_slices).select(unit("slice", F.col("id")).alias("_u")))
+    sets = moments.where("level = 'whole'").select(*keys)
+    every = sets.crossJoin(small(names)).select(*keys, "_u.*")
+    missing = same_keys(every, moments.select(*by, F.lit(True).alias("_there")), by).where("_there is null").drop("_there")
+    empty = missing.select(*by, *[F.lit(None).cast("double").alias(c) for c in ("mean", "median", "sd")], F.lit(0).cast("long").alias("n"), *[F.lit(None).cast("double").alias(c) for c in SPREAD])
+    return found.unionByName(empty)
+
+
 def group_median_curve(curves: DataFrame, *, by: list[str], least: int = 50) -> DataFrame:
     """Per-frame median curve of every group with at least ``least`` curves."""
     big = curves.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select(*by)

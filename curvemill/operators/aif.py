@@ -17,7 +17,7 @@ from curvemill.functions import arrays as A
 from curvemill.functions.percentiles import median, percentiles
 from curvemill.functions.tables import checkpointed, small
 from curvemill.operators.aggregate import same_keys
-from curvemill.operators.labels import binary_close, component_of, connected_components, fill_holes, otsu_threshold, strongest_component, with_threshold
+from curvemill.operators.labels import binary_close, component_of, connected_components, fill_holes, mask_shell, otsu_threshold, strongest_component, with_threshold
 from curvemill.sources.curves import subjects, to_curves, to_long
 
 
@@ -468,21 +468,34 @@ def auto_vessel(
 
 
 def pca_vessel(
-    curves: DataFrame, *, n: int = 20, components: int = 6, baseline: int = 5, floor: float = 0.60, percent: float = 0.97, early: float = 0.45, border: tuple[int, int, int] = (1, 1, 1), shape: tuple[int, int, int] | None = None
+    curves: DataFrame, *, n: int = 20, components: int = 6, baseline: int = 5, floor: float = 0.60, percent: float = 0.97, early: float = 0.45, border: tuple[int, int, int] = (1, 1, 1), shape: tuple[int, int, int] | None = None,
+    mask: DataFrame | None = None, shell_mm: float = 1.5, voxel_mm: tuple[float, float, float] = (1.0, 1.0, 1.0)
 ) -> tuple[DataFrame, DataFrame]:
     """(members, input curves): the best-connected voxels along the principal component of curves that peaks early and rises most sharply.
 
     Voxels off the faces of the volume (``shape``) by ``border`` and with a baseline above a percentile, that peak no later than
-    the subject's mean curve, are centred; their covariance over frames (T x T sums) is all that reaches the driver.
+    the subject's mean curve, are centred; their covariance over frames (T x T sums) is all that leaves the tasks.
+    With a ``mask`` (subject_id, voxel_id), the voxels within ``shell_mm`` of its surface take the place of those with a high
+    baseline; a subject without a voxel in its mask goes by the baseline.
     """
     by = subjects(curves)
+    shell = None
+    if mask is not None:
+        own = subjects(curves, mask)
+        shell = mask_shell(curves, mask, limit=shell_mm, mm=voxel_mm).select(*own, "voxel_id", F.lit(True).alias("_near"))
+        there = curves.select(*own, "voxel_id").join(mask.select(*own, "voxel_id"), [*own, "voxel_id"], "left_semi").groupBy(*own).agg((F.count(F.lit(1)) > 0).alias("_masked")).where("_masked")
     if shape:
         for c, k, m in zip("xyz", border, shape):
             k = min(k, (m - 1) // 2)
             curves = curves.where(F.col(c).between(k, m - 1 - k))
     base = A.mean(A.finite_values(A.span(F.col("values"), 0, baseline)))
     each = curves.select(*by, "voxel_id", "x", "y", "z", "values", base.alias("_base")).where("_base is not null")
-    region = with_threshold(each, percentiles(each, by=by, column="_base", at={"_floor": floor}), by).where(F.col("_base") > F.col("_floor"))
+    region = with_threshold(each, percentiles(each, by=by, column="_base", at={"_floor": floor}), by)
+    high = F.col("_base") > F.col("_floor")
+    if shell is not None:
+        region = with_threshold(region.join(shell, [*own, "voxel_id"], "left"), there, own)
+        high = F.when(F.col("_masked"), F.coalesce("_near", F.lit(False))).otherwise(high)
+    region = region.where(high)
     less = region.withColumn("values", F.transform("values", lambda v: F.coalesce(A.finite(v), F.lit(0.0)) - F.col("_base"))).select(*by, "voxel_id", "x", "y", "z", "values")
     less = checkpointed(less.withColumn("ttp", A.argmax(A.smooth3(F.col("values")))))
     mean = to_curves(to_long(less.withColumn("_one", F.lit(1)), *by, "_one").groupBy(*by, "_one", "frame").agg(F.avg("value").alias("value")), [*by, "_one"])

@@ -78,6 +78,37 @@ def scan_roles(scans: DataFrame) -> DataFrame:
     return joined.select(*[F.col(c) for c in scans.columns], role.alias("role"))
 
 
+#: Parts of protocol names by which roles are told, in lower case.
+PERFUSION, LABELLED = ("hperf", "perf"), ("pcasl", "qflow", "pold", "casl", "asl")
+VOLUME, LOOSE_VOLUME, CONTRAST = ("3di", "3d_tfe", "t1w_3d", "3dt1"), ("3d", "tfe"), "gd"
+REFORMATS, REFORMAT_STARTS = ("vwip", "reformat", "recon -"), ("ax ", "ax_", "sag ", "cor ", "reg -")
+
+
+def protocol_roles(scans: DataFrame) -> DataFrame:
+    """scans (subject_id, scan_id, protocol, n_slices) with ``role`` by the names of protocols, letters of either case.
+
+    dynamic: the first scan named as perfusion, without labelled-spin and flow scans unless it carries the full name. anatomical:
+    of the scans named as a three-dimensional T1 without contrast, the one with most slices: original ones with a strict name, else
+    reformats with one, else originals with a loose name, else reformats with one. Ties go to the least scan id, the rest are
+    other; a null protocol is other, a null number of slices counts as 0.
+    """
+    name = F.lower(F.coalesce("protocol", F.lit("")))
+    has = lambda parts: F.array_max(F.array(*[F.contains(name, F.lit(p)) for p in parts]))
+    full, part = PERFUSION
+    dynamic = has([full]) | (has([part]) & ~has(LABELLED))
+    strict = has(VOLUME)
+    anatomical = ~has([CONTRAST]) & (strict | (has(["t1"]) & has(LOOSE_VOLUME)))
+    reformat = has(REFORMATS) | F.array_max(F.array(*[F.startswith(F.btrim(name), F.lit(p)) for p in REFORMAT_STARTS]))
+    grade = F.when(strict, 0).otherwise(2) + F.when(reformat, 1).otherwise(0)
+    best = F.struct(grade.alias("grade"), (-F.coalesce(F.col("n_slices"), F.lit(0))).alias("slices"), "scan_id")
+    # One aggregate a subject, whatever the number of its scans.
+    chosen = scans.groupBy("subject_id").agg(F.min(F.when(dynamic, F.struct("scan_id"))).alias("_d"), F.min(F.when(anatomical, best)).alias("_a"))
+    chosen = chosen.select(F.col("subject_id").alias("_s"), F.col("_d.scan_id").alias("_dynamic"), F.col("_a.scan_id").alias("_anatomical"))
+    joined = scans.join(chosen, F.col("subject_id").eqNullSafe(F.col("_s")))
+    role = F.when(F.col("scan_id") == F.col("_dynamic"), "dynamic").when(F.col("scan_id") == F.col("_anatomical"), "anatomical").otherwise("other")
+    return joined.select(*[F.col(c) for c in scans.columns], role.alias("role"))
+
+
 def exclude_subjects(rows: DataFrame, excluded: DataFrame) -> DataFrame:
     return rows.join(excluded, "subject_id", "left_anti").where(~F.col("subject_id").cast("string").startswith("."))
 

@@ -282,6 +282,42 @@ def fill_holes(voxels: DataFrame, *, planar: bool = False) -> DataFrame:
     return here.unionByName(holes)
 
 
+def within_distance(voxels: DataFrame, *, limit: float, mm: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """(subject_id, x, y, z, distance) of every place that is at most ``limit`` from a subject's voxel set, 0 on the set itself.
+
+    An exact Euclidean distance transform in separable passes: each pass moves along one axis, as far as the limit goes on voxels of
+    ``mm`` on a side, and keeps the least sum of squares of every place. The nearest voxel of a set always has a neighbour
+    that is not in it, so only such voxels set out. Sums are combined before every shuffle; none is over more than a place.
+    """
+    by = subjects(voxels)
+    place = [*by, "x", "y", "z"]
+    here = checkpointed(voxels.select(*place).distinct())
+    found = here.join(_eroded(here, place), place, "left_anti").withColumn("_d", F.lit(0.0))
+    most = limit * limit * (1 + 1e-12)
+    for c, size in zip("xyz", mm):
+        far = int(limit / size * (1 + 1e-12))
+        each = found.withColumn("_s", F.explode(F.sequence(F.lit(-far), F.lit(far))))
+        each = each.withColumns({c: F.col(c) + F.col("_s"), "_d": F.col("_d") + F.pow(F.col("_s") * F.lit(float(size)), F.lit(2.0))}).where(F.col("_d") <= most)
+        found = each.groupBy(*place).agg(F.min("_d").alias("_d"))
+    beyond = found.join(here, place, "left_anti").select(*place, F.sqrt("_d").alias("distance"))
+    return here.withColumn("distance", F.lit(0.0)).unionByName(beyond)
+
+
+def mask_shell(volume: DataFrame, mask: DataFrame, *, limit: float, mm: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
+    """(subject_id, voxel_id, distance) of the voxels on both sides of a mask's surface, up to ``limit``.
+
+    ``volume`` lists all voxels (voxel_id, x, y, z), ``mask`` the ids in the mask. Outside, distance is that to the nearest voxel
+    of the mask; inside, less that to the nearest voxel of the volume outside. A subject whose mask is empty or
+    fills its volume has no surface and no rows.
+    """
+    by = subjects(volume, mask)
+    inside = mask.select(*by, "voxel_id").distinct().withColumn("_in", F.lit(True))
+    marked = checkpointed(volume.select(*by, "voxel_id", "x", "y", "z").join(inside, [*by, "voxel_id"], "left").fillna(False, ["_in"]))
+    near = [within_distance(marked.where(F.col("_in") == side), limit=limit, mm=mm).withColumn("_in", F.lit(not side)) for side in (True, False)]
+    found = marked.join(near[0].unionByName(near[1]).where("distance > 0"), [*by, "x", "y", "z", "_in"])
+    return found.select(*by, "voxel_id", F.when(F.col("_in"), -F.col("distance")).otherwise(F.col("distance")).alias("distance"))
+
+
 def foreground_component(curves: DataFrame, *, values: str = "values", frames: int = 10, share: float = 0.1) -> DataFrame:
     """The largest component of the voxels whose early mean exceeds a share of the subject's 99th percentile."""
     by = subjects(curves)
@@ -343,19 +379,18 @@ def orientation_check(parcellation: DataFrame, region_map: DataFrame, affine: li
                 free.discard(hits[0])
                 break
     world = {f"w{a}": sum((F.col(c) * float(m) for c, m in zip("xyz", row)), F.lit(float(row[3]))) for a, row in zip("xyz", affine)}
-    placed = parcellation.where("label > 0").withColumns(world)
-    box = placed.groupBy(*by).agg(*[F.min(c).alias(f"lo_{c}") for c in "xyz"], *[F.max(c).alias(f"hi_{c}") for c in "xyz"])
+    bridge = F.broadcast(region_map.where(F.col("region").isin(list(claimed.values()))).select("label", "region").distinct())  # a small table
+    placed = parcellation.where("label > 0").join(bridge, "label", "left").withColumns(world)
+    ends = [f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("lo", F.min), ("hi", F.max))]
+    centres = [F.avg(F.when(F.col("region") == r, F.col(f"w{a}"))).alias(f"_{s}_{a}") for s, r in claimed.items() for a in "yz"]
+    one = placed.groupBy(*by).agg(*ends, *centres)  # a row a subject: its box and the centres of the structures it has
     size = {a: sum((F.abs(F.lit(float(m))) * (F.col(f"hi_{c}") - F.col(f"lo_{c}")) for c, m in zip("xyz", row)), F.lit(0.0)) for a, row in zip("xyz", affine)}
-    gap = size["y"] - size["z"]
-    checks = box.where((size["y"] > 0) & (size["z"] > 0)).select(*by, F.lit("extent").alias("relation"), gap.alias("separation"), (gap > margin).alias("passed"))
-    centres = placed.join(F.broadcast(region_map), "label").groupBy(*by, "region").agg(*[F.avg(f"w{a}").alias(f"c{a}") for a in "xyz"])
+    checks = [("extent", F.when((size["y"] > 0) & (size["z"] > 0), size["y"] - size["z"]), 1)]
     for a, axis, sign, b in LAYOUT:
         if a in claimed and b in claimed:
-            pair = [centres.where(F.col("region") == claimed[s]).select(*by, F.col(f"c{axis}").alias(n)) for s, n in ((a, "_a"), (b, "_b"))]
-            both = pair[0].join(pair[1], by) if by else pair[0].crossJoin(F.broadcast(pair[1]))
-            gap = F.col("_a") - F.col("_b")
-            checks = checks.unionByName(both.select(*by, F.lit(f"{a} {'>' if sign > 0 else '<'} {b}").alias("relation"), gap.alias("separation"), (sign * gap > margin).alias("passed")))
-    return checks
+            checks.append((f"{a} {'>' if sign > 0 else '<'} {b}", F.col(f"_{a}_{axis}") - F.col(f"_{b}_{axis}"), sign))
+    listed = F.array(*[F.struct(F.lit(r).alias("relation"), gap.alias("separation"), (sign * gap > margin).alias("passed")) for r, gap, sign in checks])
+    return one.select(*by, F.inline(listed)).where("separation is not null")
 
 
 def orientation_status(checks: DataFrame, subject_rows: DataFrame) -> DataFrame:

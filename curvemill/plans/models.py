@@ -527,6 +527,23 @@ def g02w(spark, sf):
     return aggregate.by_label(maps, keys=["subject_id"]).select("subject_id", "label", *_r("mean", "median"), "n")
 
 
+@query(
+    "g04_all_levels",
+    f"""with {REGION_SQL}, m as (select 's' || vec_id % 3 as subject_id, label + 1 as label, (vec_id // 48) % 16 as s, list_max(embedding)::double as v from embeddings),
+u as (select subject_id, 'whole' as level, null as unit, v from m union all select subject_id, 'label', label::varchar, v from m union all select subject_id, 'region', region, v from m join region_map using (label)
+    union all select subject_id, 'slice', s::varchar, v from m where s < 14),
+f as (select subject_id, level, unit, avg(v) as mean, median(v) as median, coalesce(stddev_samp(v), 0) as sd, count(*) as n, quantile_cont(v, 0.05) as p5, quantile_cont(v, 0.25) as p25, quantile_cont(v, 0.75) as p75, quantile_cont(v, 0.95) as p95 from u group by all),
+e as (select distinct subject_id, k.level, k.unit from m, (select 'region' as level, region as unit from region_map union select 'slice', unnest(range(14))::varchar) k)
+select subject_id, level, unit, {", ".join(f"round({c}, 6) as {c}" for c in ("mean", "median", "sd"))}, n, {", ".join(f"round({c}, 6) as {c}" for c in ("p5", "p25", "p75", "p95"))}
+from (select * from f union all select subject_id, level, unit, null, null, null, 0, null, null, null, null from e anti join f using (subject_id, level, unit))""",
+)
+def g04l(spark, sf):
+    v = F.col("voxel_id")
+    m = _maps(spark, sf).select(F.concat(F.lit("s"), (v % 3).cast("string")).alias("subject_id"), "label", (F.floor(v / 48) % 16).alias("slice"), "value")
+    found = aggregate.by_levels(m, _region_map(spark), keys=["subject_id"], axis="slice", n_slices=14)
+    return found.select("subject_id", "level", "unit", *_r("mean", "median", "sd"), "n", *_r("p5", "p25", "p75", "p95"))
+
+
 # Vessels
 
 
@@ -594,6 +611,28 @@ def a08(spark, sf):
     return members.select("subject_id", "voxel_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
 
 
+#: A mask of the cohort's voxels: a tube with what else has a label of 9 or more.
+_MASK = "pow(x - 3.5, 2) + pow(y - 4, 2) <= 5 or label >= 9"
+
+
+@query(
+    "a08_mask_shell",
+    f"""with {COHORT}, v as (select distinct subject_id, voxel_id, x, y, z, {_MASK} as m from c)
+select a.subject_id, a.voxel_id, round(min(sqrt(pow((a.x - b.x) * 0.5, 2) + pow((a.y - b.y) * 0.5, 2) + pow((a.z - b.z) * 1.0, 2))) * case when a.m then -1 else 1 end, 6) as distance
+from v a join v b on a.subject_id = b.subject_id and a.m <> b.m and pow((a.x - b.x) * 0.5, 2) + pow((a.y - b.y) * 0.5, 2) + pow((a.z - b.z) * 1.0, 2) <= 1.44 group by a.subject_id, a.voxel_id, a.m""",
+)
+def a08s(spark, sf):
+    c = _cohort(spark, sf)
+    return labels.mask_shell(c, c.where(_MASK), limit=1.2, mm=(0.5, 0.5, 1.0)).select("subject_id", "voxel_id", *_r("distance"))
+
+
+@query("a08_pca_vessel_shell")
+def a08p(spark, sf):
+    c = _cohort(spark, sf)
+    members, _ = aif.pca_vessel(c, n=10, percent=0.8, mask=c.where(_MASK), shell_mm=0.5, voxel_mm=(0.5, 0.5, 1.0))
+    return members.select("subject_id", "voxel_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
 def _vessels(spark, sf):
     v = aif.vesselness(_cohort(spark, sf), by=[], percent=0.5)
     return v, aif.vessel_candidates(v, percent=0.3, least=3)

@@ -755,6 +755,27 @@ def j03(spark, sf):
     return cohort.scan_roles(scans).select("subject_id", "scan_id", "role")
 
 
+_ANY = lambda column, parts: "(" + " or ".join(f"contains({column}, '{p}')" for p in parts) + ")"
+#: Protocol names of parts: what their kind stands for, followed by their own names.
+_PROTOCOLS = [("STEEL", "WIP hPerf "), ("BRASS", "pCASL_perf "), ("COPPER", "perf_T1 "), ("TIN", "cs_T1W_3D_TFE "), ("NICKEL", "ax VWIP T1W_3D ")]
+
+
+@query(
+    "j03_protocol_roles",
+    f"""with p as (select p_brand as subject_id, p_partkey as scan_id, p_size as n_slices, lower(case {" ".join(f"when contains(p_type, '{k}') then '{v}'" for k, v in _PROTOCOLS)} end || p_name || case when p_size % 7 = 0 then ' Gd' else '' end) as name from part),
+k as (select *, contains(name, 'hperf') or (contains(name, 'perf') and not {_ANY("name", ("casl", "qflow", "pold", "asl"))}) as d, {_ANY("name", ("3di", "3d_tfe", "t1w_3d", "3dt1"))} as strict,
+    name like 'ax %' or contains(name, 'vwip') as again, not contains(name, 'gd') and (strict or (contains(name, 't1') and {_ANY("name", ("3d", "tfe"))})) as a from p),
+r as (select *, d and row_number() over (partition by subject_id order by d desc, scan_id) = 1 as is_d, a and row_number() over (partition by subject_id order by a desc, strict desc, again, n_slices desc, scan_id) = 1 as is_a from k)
+select subject_id, scan_id, case when is_d then 'dynamic' when is_a then 'anatomical' else 'other' end as role from r""",
+)
+def j03p(spark, sf):
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    kind = F.coalesce(*[F.when(F.contains("p_type", F.lit(k)), v) for k, v in _PROTOCOLS])
+    protocol = F.concat(kind, "p_name", F.when(F.col("p_size") % 7 == 0, " Gd").otherwise(""))
+    scans = p.select(F.col("p_brand").alias("subject_id"), F.col("p_partkey").alias("scan_id"), protocol.alias("protocol"), F.col("p_size").alias("n_slices"))
+    return cohort.protocol_roles(scans).select("subject_id", "scan_id", "role")
+
+
 @query("j05_exclude_subjects", "select o_orderkey, o_custkey as subject_id from orders where o_custkey not in (select c_custkey from customer where c_nationkey < 5)")
 def j05(spark, sf):
     o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("subject_id"))
