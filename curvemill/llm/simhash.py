@@ -261,9 +261,12 @@ BROADCAST_KEYS = 500_000
 
 #: Documents are linked whose sets of shingles have a Jaccard similarity of SIMILAR[0] / SIMILAR[1] or more.
 SIMILAR = (4, 5)
-#: One document in so many is looked at for frequent shingles, which come last in the order of shingles. Any order gives
-#: the same links; this one keeps common passages from making candidates.
-LOOK_EVERY, FREQUENT, MOST_FREQUENT = 8, 3, 200_000
+#: Documents' shingles are counted by so many values of their hashes; what is rare by that count comes first in the order of
+#: shingles. Any order gives the same links; this one keeps common passages from making candidates, and as it counts all
+#: documents into a table of one size, a passage stands out from the rest at every size of the input.
+COUNTERS = 1 << 20
+#: Members of one key are held against each other in blocks of about so many by all.
+BLOCK = 512
 
 
 def _signed(hashes: np.ndarray) -> np.ndarray:
@@ -284,13 +287,30 @@ def _sets_of(keyed: DataFrame, shingle: int, row: str, schema: str, of) -> DataF
     return keyed.select("text", *row.split()).mapInArrow(run, schema)
 
 
-def _frequent(keyed: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles that occur in FREQUENT or more of the documents looked at."""
-    some = keyed.where(F.pmod(F.xxhash64("text"), F.lit(LOOK_EVERY)) == 0)
-    of = lambda hashes, sets: {"g": pa.array([_signed(x) for x in sets], pa.list_(pa.int64()))}
-    counts = _sets_of(some, shingle, "", "g array<long>", of).select(F.explode("g").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    often = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "g").limit(MOST_FREQUENT)
-    return np.sort(np.array([r["g"] for r in often.select("g").collect()], np.int64))
+def _counter(x: np.ndarray, counters: int) -> np.ndarray:
+    """The counters of hashes, of so many: their top bits."""
+    return (x.view(np.uint64) >> np.uint64(65 - counters.bit_length())).astype(np.int64)
+
+
+def _shares(keyed: DataFrame, shingle: int) -> np.ndarray:
+    """How many documents have a shingle of each counter, shingles of one document counted once each; COUNTERS numbers."""
+    size = COUNTERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(size, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(0).slice(at, 256)]
+                np.add.at(counts, _counter(np.concatenate(sets), size), 1)
+        at = np.flatnonzero(counts)
+        for lo in range(0, len(at), _SLICE):
+            part = at[lo : lo + _SLICE]
+            yield pa.record_batch([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["cell", "n"])
+
+    table = np.zeros(size, np.int64)
+    found = keyed.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return table
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -310,12 +330,11 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     key are first held against the least of them; pairs that this leaves in different components are verified then.
     """
     a, b = SIMILAR
-    last = keyed.sparkSession.sparkContext.broadcast(_frequent(keyed, shingle))
+    shares = keyed.sparkSession.sparkContext.broadcast(_shares(keyed, shingle))
 
     def first_ones(x: np.ndarray) -> np.ndarray:
-        x, most = _signed(x), last.value
-        often = most[np.minimum(np.searchsorted(most, x), len(most) - 1)] == x if len(most) else np.zeros(len(x), bool)
-        return x[np.argsort(often, kind="stable")][: len(x) - -(-a * len(x) // b) + 1] if len(x) else x
+        rarest = np.argsort(shares.value[_counter(x, len(shares.value))], kind="stable")  # sets are sorted: ties go by the hash
+        return _signed(x)[rarest][: len(x) - -(-a * len(x) // b) + 1] if len(x) else _signed(x)
 
     def of(hashes, sets):
         import xxhash
@@ -373,8 +392,15 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     linked = verified(stars, "stars")
     so_far = written(components(linked), "similar-so-far")
     placed = members.join(so_far.select(F.col("node").alias("u"), "component"), "u", "left").select("key", "u", F.coalesce("component", "u").alias("c"))
-    x, y = (placed.select("key", F.col("u").alias(n), F.col("c").alias(f"c{n}")) for n in "uv")
-    rest = x.join(y, "key").where("u > v and cu <> cv").select("u", "v")
+    # Keys whose members are not yet of one component. A busy key's are dealt to blocks, each held against all of them in a task
+    # of its own; pairs whose sizes alone keep them apart go no further.
+    torn = placed.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    torn = written(torn.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "similar-torn")
+    torn = F.broadcast(torn) if torn.count() <= BROADCAST_KEYS else torn
+    dealt = written(placed.join(torn, "key").join(reps.select(F.col("s").alias("u"), "n"), "u"), "similar-dealt")
+    x = dealt.select("key", F.col("u"), F.col("c").alias("cu"), F.col("n").alias("nu"), F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int").alias("block"))
+    y = dealt.select("key", F.col("u").alias("v"), F.col("c").alias("cv"), F.col("n").alias("nv"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    rest = x.join(y, ["key", "block"]).where((F.col("u") > F.col("v")) & (F.col("cu") != F.col("cv")) & (b * F.least("nu", "nv") >= a * F.greatest("nu", "nv"))).select("u", "v")
     linked = linked.unionByName(verified(rest, "rest"))
     groups = written(components(linked), "similar-groups")
     named = reps.join(groups.withColumnRenamed("node", "s"), "s", "left").select("s", F.coalesce("component", "s").alias("c"))

@@ -272,8 +272,10 @@ def test_simhash_on_odd_rows(spark, docs):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_near_copies_are_similar_sets(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "LOOK_EVERY", 1)
+@pytest.mark.parametrize("counters, block", [(1 << 20, 512), (2, 3)])
+def test_near_copies_are_similar_sets(spark, monkeypatch, counters, block):
+    monkeypatch.setattr(simhash, "COUNTERS", counters)
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(8)
     common = " ".join(f"c{i}" for i in range(30))
     texts = []
