@@ -15,6 +15,7 @@ from curvemill.operators import aggregate, aif, cohort, concentration, diffusion
 from curvemill.operators import deconvolution as _deconvolution  # noqa: F401  (registers its model)
 from curvemill.operators import transit as _transit  # noqa: F401  (registers its models)
 from curvemill.operators.fitting import MODELS, fit_model
+from curvemill.plans import sql_parts
 from curvemill.plans.queries import COORDS, INPUT, LONG, OTSU, REGION_SQL, _curves, _gradients, _long_out, _maps, _r, _region_map, _streamlines, query
 from curvemill.sources import curves as C
 from curvemill.sources import headers
@@ -106,8 +107,8 @@ _TAIL_SQL = """with {long}, {input}, {coords}, p as (select c.voxel_id, co.x, c.
 select voxel_id, round(regr_slope(y, x) * 6000, 6) as ki, round(regr_intercept(y, x) * 100, 6) as vb from p group by voxel_id"""
 _tail_query("k07_tail_fixed", "fixed", _TAIL_SQL.format(long=LONG, input=INPUT, coords=COORDS, frames="frame >= 21"))
 _tail_query("k07_tail_x_max_fraction", "x_max_fraction", _TAIL_SQL.format(long=LONG, input=INPUT, coords=COORDS, frames="frame >= (select min(frame) from co where x >= (select max(x) from co) / 3)"))
-for _mode in ("curvature", "peak_decay", "changepoint"):
-    _tail_query(f"k07_tail_{_mode}", _mode, None)
+for _mode, _start in sql_parts.TAIL_STARTS.items():
+    _tail_query(f"k07_tail_{_mode}", _mode, _TAIL_SQL.replace("with", "with recursive", 1).format(long=LONG, input=INPUT, coords=f"{COORDS}, {_start}", frames="frame >= (select i0 from st)"))
 
 
 def _tissue(spark, sf):
@@ -195,7 +196,7 @@ def k24p(spark, sf):
 # Preprocessing
 
 
-@query("b04_baseline_gradient")
+@query("b04_baseline_gradient", sql_parts.BASELINE_GRADIENT)
 def b04(spark, sf):
     return filters.baseline_gradient(_curves(spark, sf).select("voxel_id", "values")).select("voxel_id", "nbf")
 
@@ -205,7 +206,7 @@ def b05(spark, sf):
     return preprocess.baseline_frames(_curves(spark, sf), method="fixed", fallback=2).select("voxel_id", "nbf")
 
 
-@query("b08_onset_gradient")
+@query("b08_onset_gradient", sql_parts.ONSET_GRADIENT)
 def b08(spark, sf):
     return filters.onset_gradient(_curves(spark, sf).select("voxel_id", "values")).select("voxel_id", "onset")
 
@@ -215,7 +216,7 @@ def b12(spark, sf):
     return _long_out(preprocess.norm_identity(_curves(spark, sf)), "values")
 
 
-@query("b14_norm_legacy_shift")
+@query("b14_norm_legacy_shift", sql_parts.LEGACY_SHIFT)
 def b14(spark, sf):
     return _long_out(filters.norm_legacy_shift(_curves(spark, sf).select("voxel_id", "values")), "values")
 
@@ -253,8 +254,9 @@ def _detrend_query(mode: str, sql: str | None):
 _SLOPE = f"with {LONG}, {INPUT}, s as (select regr_slope(c_a, t) as k, avg(c_a) as late from ca where frame >= 44)"
 _detrend_query("aif", f"{_SLOPE} select voxel_id, frame, round(v - k * frame * 2.463, 6) as value from c, s")
 _detrend_query("auto", f"{_SLOPE} select voxel_id, frame, round(v - case when abs(k / late) >= 5e-4 then k else 0 end * frame * 2.463, 6) as value from c, s")
-_detrend_query("rigid", None)
-_detrend_query("rigid-auto", None)
+_RIGID = f"with {LONG}, {INPUT}, {sql_parts.RIGID}"
+_detrend_query("rigid", f"{_RIGID} select voxel_id, frame, round(v - k * frame * 2.463, 6) as value from c, s")
+_detrend_query("rigid-auto", f"{_RIGID} select voxel_id, frame, round(v - case when abs(k / late) >= 5e-4 then k else 0 end * frame * 2.463, 6) as value from c, s")
 
 
 # Conversion
@@ -510,7 +512,11 @@ def r08a(spark, sf):
     return labels.resample_linear(c, c, _affines(spark)).select("subject_id", "voxel_id", F.round("value", 6).alias("value"))
 
 
-@query("g05_region_fit")
+@query(
+    "g05_region_fit",
+    f"""with {LONG}, {REGION_SQL}, {INPUT}, {COORDS}, {sql_parts.REGION_CURVES}, q as (select region, n_slices, co.x, rc.v / co.c_a as y from rc join co using (frame) where co.x >= (select max(x) from co) / 3)
+select region, n_slices, round(regr_slope(y, x) * 6000, 6) as ki, round(regr_intercept(y, x) * 100, 6) as vb from q group by region, n_slices""",
+)
 def g05f(spark, sf):
     c = _curves(spark, sf)
     return aggregate.region_curve_fit(c, _region_map(spark), C.input_curve(c)).select("region", "n_slices", *_r("ki", "vb"))
@@ -656,7 +662,7 @@ def a16(spark, sf):
     return _vessels(spark, sf)[1].select("subject_id", "component", "n_voxels", "voxel_id", *_r("x", "y", "z"))
 
 
-@query("a17_label_vessels")
+@query("a17_label_vessels", f"with recursive {_CANDIDATES}, {sql_parts.ROLES}")
 def a17(spark, sf):
     v, found = _vessels(spark, sf)
     projection = aif.max_projection(v).select("subject_id", "voxel_id", "x", "y", "z", "projection")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from curvemill.functions.tables import shared_path
 from curvemill.operators import aggregate, aif, concentration, diffusion, filters, labels, preprocess, qc
+from curvemill.plans import sql_parts
 from curvemill.plans.queries import COORDS, INPUT, LONG, METRICS, _curves, _long_out, _maps, _r, _streamlines, query
 from curvemill.sources import curves as C
 from curvemill.sources import headers, sinks
@@ -251,22 +252,22 @@ def g10(spark, sf):
     return aggregate.unit_metadata(long, spark.createDataFrame([("mean_value", "mM")], "map string, unit string")).select("voxel_id", "map", "unit")
 
 
-@query("b06_lowpass")
+@query("b06_lowpass", sql_parts.LOWPASS)
 def b06(spark, sf):
     return _long_out(filters.lowpass(_curves(spark, sf).select("voxel_id", "values")), "values")
 
 
-@query("b11_baseline_shift")
+@query("b11_baseline_shift", sql_parts.BASELINE_SHIFT)
 def b11(spark, sf):
     shifted = filters.baseline_shift(_curves(spark, sf).select("voxel_id", "values"))
     return shifted.select("voxel_id", "onset", F.posexplode("values").alias("frame", "value")).select("voxel_id", "onset", "frame", *_r("value"))
 
 
-@query("b17_shift_curve")
+@query("b17_shift_curve", sql_parts.SHIFT_CURVE)
 def b17(spark, sf):
     return _long_out(filters.shift_curves(_curves(spark, sf).select("voxel_id", "values"), 3.0, dt=C.DT), "values")
 
 
-@query("b21_upsample")
+@query("b21_upsample", sql_parts.UPSAMPLE)
 def b21(spark, sf):
     return _long_out(filters.upsample(_curves(spark, sf).select("voxel_id", "values"), 3), "values")
