@@ -76,9 +76,9 @@ def first_index(a: Column, test: Callable[[Column], Column]) -> Column:
 def smooth3(a: Column) -> Column:
     """Centred mean of three with zeros beyond the ends."""
     zero = F.array(F.lit(0.0))
-    n = F.size(a)
-    before, after = F.concat(zero, F.slice(a, F.lit(1), n - 1)), F.concat(F.slice(a, F.lit(2), n - 1), zero)
-    return F.zip_with(F.zip_with(a, before, lambda v, b: v + b), after, lambda v, c: (v + c) / 3)
+    n = F.greatest(F.size(a) - 1, F.lit(0))
+    before, after = F.concat(zero, F.slice(a, F.lit(1), n)), F.concat(F.slice(a, F.lit(2), n), zero)
+    return F.when(F.size(a) == 0, a).otherwise(F.zip_with(F.zip_with(a, before, lambda v, b: v + b), after, lambda v, c: (v + c) / 3))
 
 
 def differences(a: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvemill.functions.arrays import finite
+from curvemill.functions.tables import FEW
 
 GROUP_ROWS = 1_000_000
 BINS = 4096
@@ -41,9 +42,10 @@ def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at:
 
     if not big.limit(1).count():
         return plain(values)
-    # At most one large group for every ``limit`` rows: what is broadcast from here on grows with their number alone.
+    # What is joined from here on has at most two rows for a large group and share.
     big = _kept(big)
-    inside = _meet(values.where("_v is not null"), big, by)
+    few = 2 * len(shares) * big.count() <= FEW
+    inside = _meet(values.where("_v is not null"), big, by, few)
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(q) * (F.col("_n") - 1)).alias("at")) for i, q in enumerate(shares)])
     ends = big.select(*by, "_n", "_lo", "_hi", F.explode(ranks).alias("_r"))
     ends = ends.select(*by, "_lo", "_hi", "_n", F.col("_r.i").alias("_i"), F.col("_r.at").alias("_at"), F.explode(F.array_distinct(F.array(F.floor("_r.at"), F.ceil("_r.at")))).alias("_k"))
@@ -51,33 +53,34 @@ def percentiles(df: DataFrame, *, by: Sequence[str], column: str = "value", at:
     for _ in range(MOST_ROUNDS):
         if not wanted.where((F.col("_m") > limit) & (F.col("_lo") < F.col("_hi"))).limit(1).count():
             break
-        wanted = _kept(_narrowed(inside.select(*by, "_v"), wanted, by, limit))
+        wanted = _kept(_narrowed(inside.select(*by, "_v"), wanted, by, limit, few))
     else:
         raise RuntimeError("ranks did not settle")
     open_ = wanted.where("_lo < _hi")
-    rows = _meet(inside.select(*by, "_v"), open_, by).where("_v between _lo and _hi")
+    rows = _meet(inside.select(*by, "_v"), open_, by, few).where("_v between _lo and _hi")
     found = rows.groupBy(*by, "_k", "_left").agg(F.sort_array(F.collect_list("_v")).alias("_s")).select(*by, "_k", F.get("_s", F.col("_left").cast("int")).alias("_x"))
     found = found.unionByName(wanted.where("_lo = _hi").select(*by, "_k", F.col("_lo").alias("_x")))
-    points = _meet(found, ends.select(*by, F.col("_k").alias("_kk"), "_i", "_at"), by).where("_k = _kk")
+    points = _meet(found, ends.select(*by, F.col("_k").alias("_kk"), "_i", "_at"), by, few).where("_k = _kk")
     each = points.groupBy(*by, "_i", "_at").agg(F.min(F.struct("_k", "_x")).alias("a"), F.max(F.struct("_k", "_x")).alias("b"))
     each = each.select(*by, "_i", (F.col("a._x") + (F.col("b._x") - F.col("a._x")) * (F.col("_at") - F.col("a._k"))).alias("_p"))
     large = each.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_p"))).alias(n) for i, n in enumerate(names)])
-    return plain(_meet(values, big, by, "left_anti")).unionByName(large) if by else large
+    return plain(_meet(values, big, by, few, "left_anti")).unionByName(large) if by else large
 
 
-def _meet(rows: DataFrame, few: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
-    """rows joined on by (nulls are equal) with a few rows a large group, or without those of large groups."""
+def _meet(rows: DataFrame, ranks: DataFrame, by: list[str], few: bool, how: str = "inner") -> DataFrame:
+    """rows joined on by (nulls are equal) with the rows of large groups, which are broadcast where they are few, or without those of large groups."""
     condition = F.lit(True)
     for c in by:
         condition = condition & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    both = rows.alias("a").join(F.broadcast(few.alias("b")), condition, how) if by else rows.alias("a").crossJoin(F.broadcast(few.alias("b")))
-    return both if how == "left_anti" else both.select("a.*", *[F.col(f"b.{c}") for c in few.columns if c not in by])
+    other = (F.broadcast(ranks) if few else ranks).alias("b")
+    both = rows.alias("a").join(other, condition, how) if by else rows.alias("a").crossJoin(other)  # without by, one group
+    return both if how == "left_anti" else both.select("a.*", *[F.col(f"b.{c}") for c in ranks.columns if c not in by])
 
 
-def _narrowed(values: DataFrame, wanted: DataFrame, by: list[str], limit: int) -> DataFrame:
+def _narrowed(values: DataFrame, wanted: DataFrame, by: list[str], limit: int, few: bool) -> DataFrame:
     """The wanted ranks with the ends, the remaining rank and the size of the bin that holds them."""
     done = (F.col("_m") <= limit) | (F.col("_lo") >= F.col("_hi"))
-    rows = _meet(values, wanted.where(~done), by).where("_v between _lo and _hi")
+    rows = _meet(values, wanted.where(~done), by, few).where("_v between _lo and _hi")
     # Half of each end, so that the width of the widest range is still a number.
     share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
     bins = rows.withColumn("_bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)))

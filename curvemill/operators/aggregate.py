@@ -50,7 +50,7 @@ def by_label(maps: DataFrame, *, keys: list[str], label: str = "label", labels:
     found = _summary(inside, [*keys, label]).unionByName(_summary(unlabelled.withColumn(label, F.lit(0).cast(whole.schema[label].dataType)), [*keys, label]))
     if labels is None:
         return found
-    every = inside.select(*keys).distinct().crossJoin(F.broadcast(labels.select(label).distinct()))
+    every = inside.select(*keys).distinct().crossJoin(small(labels.select(label).distinct()))
     missing = every.join(found.select(*keys, label), [*keys, label], "left_anti")
     return found.unionByName(missing.select(*keys, label, *[F.lit(None).cast("double").alias(c) for c in ("mean", "median", "sd")], F.lit(0).cast("long").alias("n")))
 
@@ -58,10 +58,10 @@ def by_label(maps: DataFrame, *, keys: list[str], label: str = "label", labels:
 def by_region(maps: DataFrame, region_map: DataFrame, *, label: str = "label", keys: list[str] | None = None) -> DataFrame:
     """The same over the union of a region's labels; a label may be in several regions, a region without voxels has n = 0."""
     keys = subjects(maps) if keys is None else keys
-    bridge = F.broadcast(region_map.select("region", F.col(label)))
+    bridge = region_map.select("region", F.col(label))
     if not keys:
         return _summary(bridge.join(maps.select(label, "value"), label, "left"), ["region"])
-    every = maps.select(*keys).distinct().crossJoin(F.broadcast(region_map.select("region").distinct()))
+    every = maps.select(*keys).distinct().crossJoin(small(region_map.select("region").distinct()))
     found = _summary(maps.select(*keys, label, "value").join(bridge, label), [*keys, "region"])
     return every.join(found, [*keys, "region"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
@@ -154,7 +154,7 @@ def label_slice_median_curve(curves: DataFrame, region_map: DataFrame, *, least:
     from curvemill.operators.preprocess import onset_walk, shift_to_zero
 
     subject = subjects(curves)
-    members = curves.where(F.exists("values", lambda v: v != 0) & F.forall("values", lambda v: ~F.isnan(v))).join(F.broadcast(region_map), "label")
+    members = curves.where(F.exists("values", lambda v: v != 0) & F.forall("values", lambda v: ~F.isnan(v))).join(region_map, "label")
     at = [*subject, "region", "z"]
     slices = members.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select(*at)
     per_slice = median(to_long(members.join(slices, at, "left_semi"), *at), by=[*at, "frame"], name="value")

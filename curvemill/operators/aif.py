@@ -577,7 +577,7 @@ def align_to_reference(pairs: DataFrame, *, dt: float, most: int = 2, radius: in
     Peaks of the smoothed, baseline-free curves are paired in order of time; the shift is minus the median offset, within bounds. With
     ``rescale`` the vein is raised by the median ratio of heights, never lowered.
     """
-    from curvemill.operators.filters import shift_rows
+    from curvemill.operators.filters import by_length, shift_rows
 
     n = F.least(F.size("vein"), F.size("artery"))
     cut = pairs.withColumns({c: F.slice(c, F.lit(1), n) for c in ("vein", "artery")})
@@ -605,11 +605,14 @@ def align_to_reference(pairs: DataFrame, *, dt: float, most: int = 2, radius: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for vein, shift, scale in zip(b.column(at).to_pylist(), b.column(names.index("shift_s")).to_pylist(), b.column(names.index("scale")).to_pylist()):
-                v = np.array(vein or [], float)
-                t = np.arange(len(v)) * dt
-                out.append((shift_rows(v[None, :], t, shift)[0] * scale if len(v) > 2 and shift else v * scale).tolist())
+            out: list = [[] for _ in range(b.num_rows)]
+            shift, scale = (b.column(names.index(c)).to_numpy(zero_copy_only=False) for c in ("shift_s", "scale"))
+            for rows, v in by_length(b.column(at)):
+                move = (shift[rows] != 0) & (v.shape[1] > 2)
+                if move.any():
+                    v[move] = shift_rows(v[move], np.arange(v.shape[1]) * dt, shift[rows[move]])
+                for r, x in zip(rows, v * scale[rows, None]):
+                    out[r] = x
             yield pa.record_batch([*b.columns, pa.array(out, pa.list_(pa.float64()))], [*names, "aligned"])
 
     return found.mapInArrow(run, StructType([*found.schema.fields, StructField("aligned", ArrayType(DoubleType()))]))

@@ -14,10 +14,10 @@ from curvemill.sources.curves import subjects, to_long
 
 
 def spherical_mean(curves: DataFrame, gradients: DataFrame, *, keys: list[str]) -> DataFrame:
-    """Mean signal of each voxel and shell (b rounded to 50); gradients (dir, bval) are few and broadcast."""
+    """Mean signal of each voxel and shell (b rounded to 50); gradients are (dir, bval)."""
     shells = gradients.select(F.col("dir").alias("frame"), (F.bround(F.col("bval") / 50) * 50).cast("int").alias("shell"))
     long = curves.select(*keys, F.posexplode("values").alias("frame", "value"))
-    return long.join(F.broadcast(shells), "frame").groupBy(*keys, "shell").agg(F.avg("value").alias("mean"))
+    return long.join(shells, "frame").groupBy(*keys, "shell").agg(F.avg("value").alias("mean"))
 
 
 def rsi_matrix(shells: list[int], diffusivities: tuple[float, ...] = (0.1e-3, 1e-3, 3e-3), ridge: float = 1e-3, weight: float = 100.0) -> np.ndarray:
@@ -75,7 +75,7 @@ def diffusion_foreground(curves: DataFrame, gradients: DataFrame, *, most_b: flo
     """The largest component of each subject's voxels whose mean signal without weighting exceeds a percentile of the positive ones."""
     by = subjects(curves)
     plain = gradients.where(F.col("bval") <= most_b).select(F.col("dir").alias("frame"))
-    long = to_long(curves, *by, "voxel_id", "x", "y", "z").join(F.broadcast(plain), "frame", "left_semi")
+    long = to_long(curves, *by, "voxel_id", "x", "y", "z").join(plain, "frame", "left_semi")
     means = long.groupBy(*by, "voxel_id", "x", "y", "z").agg(F.avg("value").alias("_b0"))
     limit = percentiles(means.where("_b0 > 0"), by=by, column="_b0", at={"_p": quantile})
     return largest_component(with_threshold(means, limit, by).where(F.col("_b0") > F.coalesce("_p", F.lit(0.0))))

@@ -46,7 +46,7 @@ def zero_phase_matrix(n: int, order: int = 3, cutoff: float = 4.0, rate: float =
     return run(run(long)[::-1])[::-1][pad : pad + n]
 
 
-def _by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, their curves as a matrix) for each length of curve in a list column; null curves are in none."""
     flat, starts, lengths = ragged(column)
     for n in np.unique(lengths[lengths >= 0]):
@@ -61,7 +61,7 @@ def over_batches(curves: DataFrame, kernel: Callable[[np.ndarray], np.ndarray],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list = [None] * b.num_rows
-            for rows, block in _by_length(b.column(at)):
+            for rows, block in by_length(b.column(at)):
                 for r, v in zip(rows, kernel(block) if block.shape[1] else block):
                     out[r] = v
             columns = [b.column(i) for i in range(len(names))]
@@ -78,7 +78,7 @@ def per_curve(curves: DataFrame, kernel: Callable[[np.ndarray], dict[str, np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = {o: np.full(b.num_rows, np.nan) for o in outputs}
-            for rows, block in _by_length(b.column(at)):
+            for rows, block in by_length(b.column(at)):
                 with np.errstate(all="ignore"):
                     for o, v in kernel(block).items():
                         out[o][rows] = v
@@ -120,8 +120,8 @@ def baseline_shift(curves: DataFrame, *, default: int = 10) -> DataFrame:
     return found.withColumn("values", shift_to_zero(F.col("values"), F.col("onset")))
 
 
-def pchip(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Shape-preserving cubic interpolation of y (rows) at increasing x; outside, the end pieces go on."""
+def pchip_slopes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slopes at x of the shape-preserving cubics through y (rows)."""
     h, d = np.diff(x), np.diff(y, axis=1) / np.diff(x)
     m = np.zeros_like(y)
     if y.shape[1] == 2:
@@ -135,15 +135,23 @@ def pchip(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
             e = ((2 * h0 + h1) * d0 - h0 * d1) / (h0 + h1)
             e = np.where(np.sign(e) != np.sign(d0), 0.0, e)
             m[:, end] = np.where((np.sign(d0) != np.sign(d1)) & (np.abs(e) > 3 * np.abs(d0)), 3 * d0, e)
+    return m
+
+
+def pchip(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Shape-preserving cubic interpolation of y (rows) at increasing x; outside, the end pieces go on. Rows share the places ``at``, or have one row of them each."""
+    h, m = np.diff(x), pchip_slopes(x, y)
     i = np.clip(np.searchsorted(x, at, side="right") - 1, 0, len(x) - 2)
     t, g = (at - x[i]) / h[i], h[i]
-    return (2 * t**3 - 3 * t**2 + 1) * y[:, i] + (t**3 - 2 * t**2 + t) * g * m[:, i] + (3 * t**2 - 2 * t**3) * y[:, i + 1] + (t**3 - t**2) * g * m[:, i + 1]
+    i = np.broadcast_to(i, (len(y), at.shape[-1]))
+    y0, y1, m0, m1 = (np.take_along_axis(a, k, axis=1) for a, k in ((y, i), (y, i + 1), (m, i), (m, i + 1)))
+    return (2 * t**3 - 3 * t**2 + 1) * y0 + (t**3 - 2 * t**2 + t) * g * m0 + (3 * t**2 - 2 * t**3) * y1 + (t**3 - t**2) * g * m1
 
 
-def shift_rows(v: np.ndarray, t: np.ndarray, seconds: float) -> np.ndarray:
-    """Rows delayed by ``seconds``: zeros before the start of delayed ones, the last value after the end of advanced ones."""
-    moved = pchip(t, v, np.clip(t - seconds, t[0], t[-1]))
-    return np.where((t - seconds < t[0])[None, :], 0.0, moved)
+def shift_rows(v: np.ndarray, t: np.ndarray, seconds: float | np.ndarray) -> np.ndarray:
+    """Rows delayed by ``seconds`` (one for all, or one each): zeros before the start of delayed ones, the last value after the end of advanced ones."""
+    places = t - np.atleast_1d(seconds)[:, None]
+    return np.where(places < t[0], 0.0, pchip(t, v, np.clip(places, t[0], t[-1])))
 
 
 def shift_curves(curves: DataFrame, seconds: float, *, dt: float) -> DataFrame:

@@ -55,7 +55,7 @@ def combine_masks(masks: DataFrame) -> DataFrame:
 
 
 def assign_region(parcellation: DataFrame, region_map: DataFrame) -> DataFrame:
-    return parcellation.join(F.broadcast(region_map), "label").select(*subjects(parcellation), "voxel_id", "label", "region")
+    return parcellation.join(region_map, "label").select(*subjects(parcellation), "voxel_id", "label", "region")
 
 
 def label_names(parcellation: DataFrame, labels: DataFrame) -> DataFrame:
@@ -379,7 +379,7 @@ def orientation_check(parcellation: DataFrame, region_map: DataFrame, affine: li
                 free.discard(hits[0])
                 break
     world = {f"w{a}": sum((F.col(c) * float(m) for c, m in zip("xyz", row)), F.lit(float(row[3]))) for a, row in zip("xyz", affine)}
-    bridge = F.broadcast(region_map.where(F.col("region").isin(list(claimed.values()))).select("label", "region").distinct())  # a small table
+    bridge = region_map.where(F.col("region").isin(list(claimed.values()))).select("label", "region").distinct()
     placed = parcellation.where("label > 0").join(bridge, "label", "left").withColumns(world)
     ends = [f(c).alias(f"{n}_{c}") for c in "xyz" for n, f in (("lo", F.min), ("hi", F.max))]
     centres = [F.avg(F.when(F.col("region") == r, F.col(f"w{a}"))).alias(f"_{s}_{a}") for s, r in claimed.items() for a in "yz"]

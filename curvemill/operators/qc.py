@@ -28,7 +28,7 @@ def cnr_summary(with_cnr: DataFrame, *, by: list[str], threshold: float = 2.0) -
 def range_check(maps: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each map's median against its range; a map without finite values warns, one without a range passes."""
     by = [*subjects(maps), "map"]
-    joined = median(maps, by=by).join(F.broadcast(ranges), "map", "left")
+    joined = median(maps, by=by).join(ranges, "map", "left")
     outside = (F.col("median") < F.col("lo")) | (F.col("median") > F.col("hi"))
     return joined.select(*by, "median", F.when(F.col("median").isNull(), "warn").when(F.coalesce(outside, F.lit(False)), "warn").otherwise("pass").alias("status"))
 

@@ -46,3 +46,31 @@ def test_one_map_for_all(spark):
     moved = {r.voxel_id: r.value for r in labels.resample_linear(wanted, source, [[0, 1, 0, 0.5], [1, 0, 0, 0], [0, 0, 1, 0]]).collect()}
     assert abs(moved[0] - (2.5 + 10 + 300)) < 1e-9 and abs(moved[1] - (6.5 + 660)) < 1e-9
     assert labels.resample_linear(wanted.limit(0), source, 2).count() == 0 and {r.value for r in labels.resample_linear(wanted, source.limit(0), 2).collect()} == {0.0}
+
+
+def test_rows_shift_by_their_own_seconds():
+    from curvemill.operators.filters import shift_rows
+
+    rng = np.random.default_rng(3)
+    v, t = rng.normal(size=(9, 21)), np.arange(21) * 1.5
+    seconds = np.array([0.0, 1.5, -1.5, 0.7, -0.7, 29.0, -29.0, 60.0, -60.0])
+    together = shift_rows(v, t, seconds)
+    for i, s in enumerate(seconds):
+        assert np.array_equal(together[i], shift_rows(v[i : i + 1], t, float(s))[0])
+    assert np.array_equal(together[0], v[0]) and np.array_equal(together[1][1:], v[1][:-1]) and together[1][0] == 0
+    assert not together[7].any() and (together[8] == v[8, -1]).all()
+
+
+def test_aligns_curves_of_mixed_lengths(spark):
+    """A batch with several lengths, curves that do not move and empty ones: as each curve alone."""
+    from curvemill.operators import aif
+
+    rng = np.random.default_rng(4)
+    bump = lambda n, at: np.exp(-0.5 * ((np.arange(n) - at) / 2.0) ** 2)
+    pairs = [(i, [float(x) for x in bump(n, 12 + i % 4) + 0.01 * rng.normal(size=n)], [float(x) for x in 2 * bump(n, 10)]) for i, n in enumerate([40, 30, 40, 2, 30, 0, 40])]
+    schema = "voxel_id long, vein array<double>, artery array<double>"
+    together = {r.voxel_id: r for r in aif.align_to_reference(spark.createDataFrame(pairs, schema).coalesce(1), dt=1.0, rescale=True).collect()}
+    for p in pairs:
+        alone = aif.align_to_reference(spark.createDataFrame([p], schema), dt=1.0, rescale=True).first()
+        assert together[p[0]] == alone and len(alone.aligned) == len(p[1])
+    assert abs(together[2].shift_s + 4) < 0.5
