@@ -121,8 +121,8 @@ def _tissue(spark, sf):
     return uptake.select("voxel_id", "label", F.zip_with("predicted", "values", lambda p, v: p + 0.01 * v).alias("values")), i
 
 
-def _model_query(name: str, model: str, digits: int = 6, pinned: bool = False, **options):
-    @query(name)
+def _model_query(name: str, model: str, digits: int = 6, pinned: bool = False, sql: str | None = None, **options):
+    @query(name, sql)
     def run(spark, sf):
         c, i = _tissue(spark, sf)
         fits = (kinetics.pin_flow if pinned else fit_model)(c, i, model, keys=["voxel_id"], **options)
@@ -135,7 +135,7 @@ _model_query("k12_deconvolve_exact", "deconvolve", preset="matlab")
 _model_query("k15_deconvolve_sd", "deconvolve", preset="bayes")
 _model_query("k15_deconvolve_sampled", "deconvolve", digits=4, preset="bayes", samples=200)
 _model_query("k19_gamma_transit", "gamma_transit", factor=10)
-_model_query("k20_mittag_leffler", "mittag_leffler", factor=10)
+_model_query("k20_mittag_leffler", "mittag_leffler", sql=sql_parts.MITTAG_LEFFLER, factor=10)
 _model_query("k21_inverse_gaussian", "inverse_gaussian", factor=10)
 _model_query("k22_rate_spectrum", "rate_spectrum", digits=4)
 _model_query("k23_transit_spectrum", "transit_spectrum", digits=4)

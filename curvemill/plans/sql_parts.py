@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from curvemill.plans.queries import LONG
+from curvemill.plans.queries import INPUT, LONG
 
 CURVES = "e as (select vec_id as voxel_id, embedding::double[] as l from embeddings)"
 
@@ -134,3 +134,31 @@ am as (select i, any_value(r) as r, any_value(ke) as ke, sum(e * y) / sum(e * e)
 ss as (select i, any_value(am.r) as r, any_value(am.ke) as ke, any_value(a) as a, sum(pow(y - a * e, 2)) as sse from re join am using (i) group by i having any_value(a) >= 0),
 bs as (select arg_min(r, (sse, i)) as r, arg_min(a * ke, (sse, i)) as wash from ss),
 s as (select case when r between 3e-3 and 5e-2 then ky - wash else ky end as k, my as late from bs, ym)"""
+
+#: Tissue curves as the queries of transit models make them: an uptake set by a curve's first values, plus a hundredth of the curve: y (voxel_id, l), input ca.
+TISSUE = f"""{LONG}, {INPUT.replace('ca as', 'ca0 as')}, ca as (select frame, t, c_a * pow(frame / 6, 3) * exp(3 * (1 - frame / 6)) as c_a from ca0),
+up as (select vec_id as voxel_id, (40 + 100 * abs(embedding[1]::double)) / 6000 as kt, 0.04 + 0.1 * abs(embedding[2]::double) as ve, 0.01 + 0.1 * abs(embedding[3]::double) as vp from embeddings),
+bu as (select voxel_id, 0 as frame, 0.0::double as b from up union all
+    select bu.voxel_id, bu.frame + 1, bu.b * exp(-kt / ve * (n.t - o.t)) + 0.5 * (n.t - o.t) * (o.c_a * exp(-kt / ve * (n.t - o.t)) + n.c_a) from bu join up using (voxel_id) join ca o on o.frame = bu.frame join ca n on n.frame = bu.frame + 1),
+y as (select voxel_id, list((kt * b + vp * c_a + 0.01 * v) order by frame) as l from bu join up using (voxel_id) join ca using (frame) join c using (voxel_id, frame) group by voxel_id)"""
+#: Fractional relaxations as a table of shapes, convolved with the input on a grid ten times as fine, and each curve's best shape.
+MITTAG_LEFFLER = f"""with recursive {TISSUE},
+al as (select i, 0.35 + i * 0.65 / 39 as alpha from (select unnest(range(40)) as i)), ta as (select unnest(range(44)) as j, 0.5 * pow(60.0, unnest(range(44)) / 43.0) as tau),
+s as (select k, case when k < 220 then k * 5 / 219.0 else (5 + 1e-6) * pow(5e3 / (5 + 1e-6), (k - 220) / 219.0) end as s from (select unnest(range(440)) as k)),
+un as (select -24 + u * 48 / 999.0 as u from (select unnest(range(1000)) as u)),
+wt as (select i, exp(u) as rate, exp(u * alpha) / (exp(2 * alpha * u) + 2 * exp(alpha * u) * cos(alpha * pi()) + 1) as w from al, un where alpha < 0.9995),
+rel as (select i, k, any_value(s) as s, sum(exp(-s * rate) * w) / sum(w) as g from wt, s group by i, k union all select i, k, s, exp(-s) from al, s where alpha >= 0.9995),
+seg as (select i, k, s, g, lead(s) over w as s1, lead(g) over w as g1 from rel window w as (partition by i order by k)),
+hf as (select i, any_value(s + (g - 0.5) / (g - g1) * (s1 - s)) as half from seg where g > 0.5 and g1 <= 0.5 group by i),
+fine as (select f, f * 0.2463 as t from (select unnest(range(631)) as f)),
+pl as (select j, tau, f, p.p, s.k from (select j, tau, f, t / tau as p from ta, fine) p asof join s on p.p >= s.s),
+sh as (select pl.i, pl.j, tau, list(r order by f) as r from (select seg.i, j, tau, f, least(greatest(g + (p - s) / (s1 - s) * (g1 - g), 0), 1) as r from pl join seg using (k)) pl group by pl.i, pl.j, tau),
+cf as (select f, o.c_a + (f % 10) / 10.0::double * (coalesce(n.c_a, o.c_a) - o.c_a) as c from fine join ca o on o.frame = f // 10 left join ca n on n.frame = f // 10 + 1),
+cg as (select list(c order by f) as c from (select f, case when f = 630 then lag(c) over (order by f) else c end as c from cf)),
+fr as (select frame, exp(ln(0.25) / 1800 * frame * 2.463) as w, list_reverse(c[1 : frame * 10 + 1]) as c from cg, (select unnest(range(64)) as frame)),
+b as materialized (select i, j, tau, list(w * 0.2463 * list_dot_product(r[1 : frame * 10 + 1], c) order by frame) as b, any_value((list_sum(r) - (r[1] + r[631]) / 2) * 0.2463) as area from sh, fr group by i, j, tau),
+wy as materialized (select voxel_id, (select list(w order by frame) from fr) as w, l from y), ww as (select voxel_id, list_transform(l, lambda v, k: v * w[k]) as l from wy),
+fit as (select voxel_id, i, j, tau, area, list_dot_product(l, b) as yb, greatest(list_dot_product(b, b), 1e-30) as bb from ww, b),
+best as (select voxel_id, arg_max((i, j, tau, area, yb / bb), yb * yb / bb) as r from fit group by voxel_id)
+select voxel_id, round(case when r[5] > 0 then r[5] end * 6000, 6) as cbf, round(case when r[5] > 0 then alpha end, 6) as alpha, round(case when r[5] > 0 then r[3] end, 6) as tau,
+    round(case when r[5] > 0 then r[3] * half end, 6) as tmed, round(case when r[5] > 0 then r[4] end, 6) as mtt_win from best join al on al.i = r[1] join hf on hf.i = r[1]"""
