@@ -237,7 +237,7 @@ def b18(spark, sf):
     return _curves(spark, sf).select("voxel_id", F.array_join(aif.find_top_peaks(F.col("values")).cast("array<string>"), ",").alias("frames"))
 
 
-@query("b20_align_to_reference")
+@query("b20_align_to_reference", sql_parts.ALIGNED)
 def b20(spark, sf):
     c = _curves(spark, sf)
     pairs = c.select("voxel_id", F.col("values").alias("vein")).join(c.select((F.col("voxel_id") + 1).alias("voxel_id"), F.col("values").alias("artery")), "voxel_id")

@@ -162,3 +162,18 @@ fit as (select voxel_id, i, j, tau, area, list_dot_product(l, b) as yb, greatest
 best as (select voxel_id, arg_max((i, j, tau, area, yb / bb), yb * yb / bb) as r from fit group by voxel_id)
 select voxel_id, round(case when r[5] > 0 then r[5] end * 6000, 6) as cbf, round(case when r[5] > 0 then alpha end, 6) as alpha, round(case when r[5] > 0 then r[3] end, 6) as tau,
     round(case when r[5] > 0 then r[3] * half end, 6) as tmed, round(case when r[5] > 0 then r[4] end, 6) as mtt_win from best join al on al.i = r[1] join hf on hf.i = r[1]"""
+
+#: Each curve (vein) moved so that the peaks of the curve before it (artery) are met, and raised to their height.
+ALIGNED = f"""with {PIECES}, lo as (select voxel_id, median(v) filter (frame < 8) as m from c group by voxel_id),
+sm as (select voxel_id, frame, (u + coalesce(lag(u) over w, 0) + coalesce(lead(u) over w, 0)) / 3 as v from (select voxel_id, frame, v - lo.m as u from c join lo using (voxel_id)) window w as (partition by voxel_id order by frame)),
+near as (select *, lag(v) over w as b, lead(v) over w as a from sm window w as (partition by voxel_id order by frame)),
+p0 as (select voxel_id, arg_max(frame, (v, -frame)) as f from sm where v > 0 group by voxel_id),
+p1 as (select voxel_id, arg_max(frame, (v, -frame)) as f from (select sm.* from sm join p0 using (voxel_id) where v > 0 and abs(frame - f) > 10) group by voxel_id),
+pk as (select voxel_id, row_number() over (partition by voxel_id order by frame) as n, v, (frame + case when b is not null and a is not null and b - 2 * v + a <> 0 then least(greatest(0.5 * (b - a) / (b - 2 * v + a), -1), 1) else 0 end) * 2.463 as t
+    from near join (select * from p0 union all select * from p1) q using (voxel_id) where frame = q.f),
+ids as (select e.vec_id as voxel_id from embeddings e semi join embeddings o on o.vec_id = e.vec_id - 1),
+mv as (select ids.voxel_id, coalesce(least(greatest(-median(x.t - o.t), -20), 20), 0) as shift, median(case when abs(x.v) > 1e-8 then o.v / x.v end) as ratio
+    from ids left join pk x using (voxel_id) left join pk o on o.voxel_id = ids.voxel_id - 1 and o.n = x.n group by ids.voxel_id),
+sc as (select voxel_id, shift, case when ratio >= 1 then ratio else 1 end as scale, f, f - shift / 2.463 as p from mv, (select unnest(range(64)) as f)),
+pt as (select *, least(greatest(p, 0), 63) - least(floor(least(greatest(p, 0), 63)), 62) as u, least(floor(least(greatest(p, 0), 63)), 62) as i from sc)
+select voxel_id, round(shift, 6) as shift_s, round(scale, 6) as scale, round(sum(case when p < 0 then 0 else {_CUBIC} end * scale), 6) as total from pt join h using (voxel_id, i) group by voxel_id, shift, scale"""
