@@ -177,9 +177,10 @@ def links(fps: DataFrame) -> DataFrame:
         at = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(at), pa.array(counts[at])], ["cell", "n"])
 
+    # As Arrow, in one job: rows cost the driver many times the numbers that they hold, and an iterator a job for each partition.
+    held = fps.select("fp").mapInArrow(block_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(4 << 16)
-    for r in fps.select("fp").mapInArrow(block_counts, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        table[r["cell"]] = r["n"]
+    table[held["cell"].to_numpy()] = held["n"].to_numpy()
     table = table.reshape(4, -1)
     every = np.arange(1 << 16)
     near = np.stack([sum(table[:, every ^ m] for m in masks) for masks in _flips(16, RADIUS)], axis=2)  # block, value, distance
@@ -290,7 +291,7 @@ def _frequent(keyed: DataFrame, shingle: int) -> np.ndarray:
     of = lambda hashes, sets: {"g": pa.array([_signed(x) for x in sets], pa.list_(pa.int64()))}
     counts = _sets_of(some, shingle, "", "g array<long>", of).select(F.explode("g").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     often = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "g").limit(MOST_FREQUENT)
-    return np.sort(np.array([r["g"] for r in often.select("g").collect()], np.int64))
+    return np.sort(often.select("g").toArrow()["g"].to_numpy())
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -363,6 +364,8 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         pairs = written(fit(pairs), f"similar-pairs-{name}")
+        if pairs.isEmpty():
+            return pairs
         able = pairs.select(F.explode(F.array("u", "v")).alias("s")).distinct()
         rows = reps.join(able, "s", "left_semi").select("s", "_sh_id", "_sh_row")
         rows = written(rows, "similar-rows")
@@ -375,8 +378,8 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     placed = members.join(so_far.select(F.col("node").alias("u"), "component"), "u", "left").select("key", "u", F.coalesce("component", "u").alias("c"))
     x, y = (placed.select("key", F.col("u").alias(n), F.col("c").alias(f"c{n}")) for n in "uv")
     rest = x.join(y, "key").where("u > v and cu <> cv").select("u", "v")
-    linked = linked.unionByName(verified(rest, "rest"))
-    groups = written(components(linked), "similar-groups")
+    linked = verified(rest, "rest")
+    groups = so_far if linked.isEmpty() else written(components(so_far.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(linked)), "similar-groups")
     named = reps.join(groups.withColumnRenamed("node", "s"), "s", "left").select("s", F.coalesce("component", "s").alias("c"))
     return own.select("doc_id", "_sh_id", "_sh_row", "s").join(named, "s").select("c", "doc_id", "_sh_id", "_sh_row")
 

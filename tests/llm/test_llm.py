@@ -411,6 +411,37 @@ def test_components_against_loops(spark):
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    from curvemill.llm import graph
+
+    names, write = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or write(df, name))
+    stars = [(1, 5), (7, 1), (2, 9), (2, 2), (None, 3)]
+    found = {tuple(r) for r in graph.components(spark.createDataFrame(stars, "u long, v long")).collect()}
+    assert found == {(1, 1), (5, 1), (7, 1), (2, 2), (9, 2)} and "cc-round" not in names
+    path = [(i, i + 1) for i in range(20)]
+    found = {tuple(r) for r in graph.components(spark.createDataFrame(path, "u long, v long")).collect()}
+    assert found == {(i, 0) for i in range(21)} and "cc-round" in names
+
+
+def test_links_run_few_jobs(spark):
+    """What goes to the driver comes in one job, however many partitions it has."""
+    from curvemill.llm import simhash
+
+    fps = spark.range(300).select((F.col("id") * 7919).alias("fp"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("links", "links")
+    try:
+        simhash.links(fps)
+        assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("links")) < 60
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext._jsc.clearJobGroup()
+
+
 def test_urls(spark, sf):
     def plain(url):
         rest = url.split("://", 1)[1] if url and "://" in url else ""
