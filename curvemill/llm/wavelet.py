@@ -98,7 +98,8 @@ class Encoder:
         for p in new:
             if self.model and (m := WORD.fullmatch(p)):
                 stem, mark = m.groups()
-                ids = known.get(stem) or now.get(stem) or before.get(stem)
+                # A piece without a mark was just looked up, and missing.
+                ids = known.get(stem) or (mark and (now.get(stem) or before.get(stem))) or None
                 if ids is None:
                     ids = known[stem] = self._word(stem)
                 if mark:

@@ -411,6 +411,24 @@ def test_components_against_loops(spark):
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_new_words_are_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    e = wavelet.Encoder(P.path("byte_bpe_50k.json"))
+    text = "Qwyzzle qwyzzles, qwyzzlet qwyzzled qwyzzled. qwyzzles"
+    e.memory._begin(Counted())
+    found = e.encode([text])[0]
+    assert found.tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    # Six pieces are new, and of the two with a mark the stem of one is known by then.
+    assert Counted.asked <= 7
+    e.memory._begin({})
+
+
 def test_components_of_stars_take_no_round(spark, monkeypatch):
     from curvemill.llm import graph
 
