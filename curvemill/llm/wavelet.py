@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from curvemill.llm.pieces import WORD, Memory, cut
+from curvemill.llm.pieces import LETTERS, OTHER_SPACE, Memory, cut_all
 from curvemill.llm.scratch import shared_dir, written
 
 END = 2
@@ -38,6 +39,9 @@ BLOCK_BITS = 1 << 18
 MAGIC = b"WVLT0001"
 #: Pieces of text whose tokens a worker remembers, at least.
 REMEMBER = 250_000
+#: Bytes of text that are cut at once.
+BLOCK_BYTES = 8_000_000
+
 
 def _byte_letters() -> str:
     """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
@@ -49,7 +53,8 @@ def _byte_letters() -> str:
 class Encoder:
     """Encodes texts with the tokenizers library; a piece that was met lately does not go through it again.
 
-    Single words go to the library's model, which does without the rest of its chain.
+    Texts are cut into pieces many at once and every distinct piece of them is looked up once. Single words go to the
+    library's model, which does without the rest of its chain.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -62,60 +67,61 @@ class Encoder:
             tokenizer.model._resize_cache(0)  # the memory has what was met before
             kept[tokenizer_file] = (tokenizer, Memory(REMEMBER))
         self.tokenizer, self.memory = kept[tokenizer_file]
-        #: Texts that hold one of these go to the library whole.
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts that hold one of these go to the library whole: special tokens, and white space that cutting leaves to it.
+        self.special = "|".join(map(re.escape, [*OTHER_SPACE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]))
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        alone = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_end = alone[0] if len(alone) == 1 else None
         chain = self.tokenizer.pre_tokenizer
         plain = isinstance(chain, tokenizers.pre_tokenizers.ByteLevel) and chain.use_regex and not chain.add_prefix_space
+        #: None if what goes before the model is not what texts are cut for.
         self.model = self.tokenizer.model if plain and self.tokenizer.normalizer is None else None
-        self.letters, self.marks = _byte_letters(), {}
+        self.letters = _byte_letters()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lines(self, pieces: list[str]) -> list[bytes]:
-        """Tokens of pieces without white space at their ends. They are encoded a line each, many at once: a line end is a token of its own."""
-        out: list[bytes] = []
-        for at in range(0, len(pieces), 2048):
-            part = pieces[at : at + 2048]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.dtype)
-            ends = [*np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
-            raw, size, start = ids.tobytes(), self.dtype.itemsize, 0
-            for e in ends:
-                out.append(raw[start * size : e * size])
-                start = e + 1
-        return out
-
     def _word(self, word: str) -> bytes:
         spelt = word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        now, before, known, words, rest = self.memory.now, self.memory.now.before, {}, [], []
+    def _learn(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+        rest = []
         for p in new:
-            if self.model and (m := WORD.fullmatch(p)):
-                stem, mark = m.groups()
-                # A piece without a mark was just looked up, and missing.
-                ids = known.get(stem) or (mark and (now.get(stem) or before.get(stem))) or None
-                if ids is None:
-                    ids = known[stem] = self._word(stem)
-                if mark:
-                    if mark not in self.marks:
-                        self.marks[mark] = self._word(mark)
-                    known[p] = ids + self.marks[mark]
+            if LETTERS.fullmatch(p):
+                yield p, self._word(p)
             else:
-                (rest if self.line_end is None or p[-1] in " \n" else words).append(p)
-        known.update(zip(words, self._lines(words)))
-        known.update(zip(rest, self._ids(rest)))
-        return known
+                rest.append(p)
+        for at in range(0, len(rest), 2048):
+            yield from zip(rest[at : at + 2048], self._ids(rest[at : at + 2048]), strict=True)
+
+    def _cut_and_encode(self, texts: pa.LargeStringArray) -> list[np.ndarray]:
+        pieces, before = cut_all(texts)
+        if not len(pieces):
+            return [np.zeros(0, self.dtype)] * len(texts)
+        pieces = pieces.dictionary_encode()
+        known = self.memory.each([pieces.dictionary.to_numpy(zero_copy_only=False).tolist()], self._learn)[0]
+        _, places, held = pa.array(known, pa.large_binary()).take(pieces.indices).buffers()
+        places = np.frombuffer(places, np.int64)[before] // self.dtype.itemsize
+        tokens = np.frombuffer(held, self.dtype, count=int(places[-1]))
+        return [tokens[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist())]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cuts = [None if any(s in t for s in self.special) else cut(t) for t in texts]
-        known = iter(self.memory.encode([c for c in cuts if c is not None], self._learn))
-        return [np.frombuffer(self._ids([t])[0] if c is None else next(known), self.dtype) for t, c in zip(texts, cuts)]
+        return list(self.encode_all(pa.array(texts, pa.large_string())))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The tokens of each text, none of them null; about ``BLOCK_BYTES`` of them are cut and looked up at once."""
+        texts = texts.cast(pa.large_string())
+        block = pc.binary_length(texts).to_numpy(zero_copy_only=False).cumsum() // BLOCK_BYTES
+        ends = [*(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)] if len(texts) else []
+        for start, end in zip([0, *ends], ends):
+            part = texts.slice(start, end - start)
+            if self.model is None:
+                whole = np.ones(len(part), bool)
+            else:
+                whole = pc.match_substring_regex(part, self.special).to_numpy(zero_copy_only=False)
+            cut = iter(self._cut_and_encode(part.filter(pa.array(~whole)) if whole.any() else part))
+            for i, apart in enumerate(whole.tolist()):
+                yield np.frombuffer(self._ids([part[i].as_py()])[0], self.dtype) if apart else next(cut)
 
 
 def _pack_plane(bits: np.ndarray) -> tuple[bytes, list[int], list[int]]:
@@ -292,14 +298,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_file: str, end: int = E
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                for doc, seq in zip(rows.column(0).to_pylist(), encoder.encode([t or "" for t in rows.column(1).to_pylist()])):
-                    ids.append(doc)
-                    seqs.append(np.append(seq, encoder.dtype.type(end)))
-                    held += len(seq) + 1
-                    if held >= SHARD_TOKENS:
-                        yield flush()
+            for doc, seq in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1).fill_null(""))):
+                ids.append(doc)
+                seqs.append(np.append(seq, encoder.dtype.type(end)))
+                held += len(seq) + 1
+                if held >= SHARD_TOKENS:
+                    yield flush()
         if ids:
             yield flush()
 

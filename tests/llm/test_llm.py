@@ -429,6 +429,62 @@ def test_new_words_are_looked_up_once():
     e.memory._begin({})
 
 
+def test_words_are_looked_up_once_a_block(monkeypatch):
+    class Counted(pieces._Now):
+        asked = 0
+
+        def __getitem__(self, piece):
+            Counted.asked += 1
+            return super().__getitem__(piece)
+
+    e = wavelet.Encoder(P.path("byte_bpe_50k.json"))
+    e.memory._begin({})
+    now = Counted(e.memory.now)
+    now.before, now.missing, e.memory.now = {}, [], now
+    text = "Qwyzzle qwyzzles, qwyzzles. Qwyzzle\nqwyzzles"
+    assert [x.tolist() for x in e.encode([text] * 100)] == [e.tokenizer.encode(text, add_special_tokens=False).ids] * 100
+    # Seven distinct pieces, each asked for once and, as it is new, once more for what was learnt.
+    assert Counted.asked <= 14
+    e.memory._begin({})
+
+
+def test_blocks_of_texts_equal_the_library(monkeypatch):
+    import pyarrow as pa
+
+    e, rng = wavelet.Encoder(P.path("byte_bpe_50k.json")), random.Random(12)
+    parts = [*" \n\ta.,é's1!?-Zß×÷\x85\0\x1c²漢<|>", " ", "\n", "  ", "\n\n", " The", "word.", "don't", "École,", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(24))) if rng.random() < 0.8 else "" for _ in range(3000)]
+    plain = [e.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    for size in (1, 100, 10**6):
+        monkeypatch.setattr(wavelet, "BLOCK_BYTES", size)
+        assert [x.tolist() for x in e.encode(texts)] == plain
+    assert [x.tolist() for x in e.encode_all(pa.array(texts).slice(1000, 500))] == plain[1000:1500]
+    assert e.encode([]) == [] and [x.tolist() for x in e.encode(["", ""])] == [[], []]
+
+
+def test_pieces_of_many_texts_end_where_matches_end():
+    import pyarrow as pa
+    import regex
+
+    pattern, rng = regex.compile(P.PATTERN), random.Random(13)
+    texts = ["".join(rng.choice(" \n\n  a.,é's1!?-Zß×\0漢") for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    found, before = pieces.cut_all(pa.array(texts, pa.large_string()))
+    found = found.to_pylist()
+    assert "" not in found and before[-1] == len(found)
+    for x, a, b in zip(texts, before[:-1], before[1:]):
+        assert "".join(found[a:b]) == x and [m for p in found[a:b] for m in pattern.findall(p)] == pattern.findall(x)
+
+
+def test_other_chains_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    t.save(str(tmp_path / "other.json"))
+    text = "one\ntwo three"
+    assert wavelet.Encoder(str(tmp_path / "other.json")).encode([text])[0].tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def test_components_of_stars_take_no_round(spark, monkeypatch):
     from curvemill.llm import graph
 
