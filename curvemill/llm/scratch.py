@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -25,6 +26,19 @@ def shared_dir(spark: SparkSession) -> str:
 #: Paths of the tables written inside a scope, by application and scope.
 _SCOPED: dict[tuple[str, str], list[str]] = {}
 _scope: ContextVar[str | None] = ContextVar("scope", default=None)
+#: After so many tables of a scope the driver's garbage is collected.
+TIDY_EVERY = 6
+_tables: dict[tuple[str, str], int] = {}
+
+
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage.
+
+    A row of short jobs leaves plans, broadcasts and shuffles that are done. The driver's heap grows with them and is given
+    back only by a full collection; Spark's cleaner waits for collections too.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 @contextmanager
@@ -59,7 +73,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if _scope.get():
-        _SCOPED.setdefault((spark.sparkContext.applicationId, _scope.get()), []).append(path)
+        mine = (spark.sparkContext.applicationId, _scope.get())
+        _SCOPED.setdefault(mine, []).append(path)
+        _tables[mine] = _tables.get(mine, 0) + 1
+        if _tables[mine] % TIDY_EVERY == 0:
+            tidy(spark)
     jvm = spark._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)

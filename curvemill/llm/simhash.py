@@ -339,9 +339,12 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     busy = met.where("n > 2").select("key", "v")
     members = keyed_sets.join(F.broadcast(busy) if busy.count() <= BROADCAST_KEYS else busy, "key").select("key", "v", F.col("s").alias("u")).distinct()
     members = written(members, "similar-members")
-    of_print = F.coalesce(F.concat(F.lit("d"), F.col("component_id").cast("string")), F.concat(F.lit("n"), F.col("fp").cast("string")))
-    prints = _with_components(own.select("doc_id", "fp", "s")).select(of_print.alias("p"), F.col("s").alias("u")).distinct()
-    stars = prints.join(prints.groupBy("p").agg(F.min("u").alias("v")), "p").select("u", "v")
+    # Sets of one fingerprint meet the least of them, and those least ones where fingerprints are linked, each with the least it is linked to.
+    prints = written(own.groupBy("fp").agg(F.min("s").alias("v"), F.max("s").alias("u")), "similar-prints")
+    least = links(prints.select("fp")).groupBy("u").agg(F.min("v").alias("v"))
+    of = {x: prints.select(F.col("fp").alias(x), F.col("v").alias(f"s{x}")) for x in "uv"}
+    linked_prints = least.join(of["u"], "u").join(of["v"], "v").select(F.col("su").alias("u"), F.col("sv").alias("v"))
+    stars = own.join(prints.where("u <> v").select("fp", "v"), "fp").select(F.col("s").alias("u"), "v").unionByName(linked_prints)
     stars = stars.unionByName(met.select("u", "v")).unionByName(members.select("u", "v"))
     # Keys that no other set has are shingles that no other set has: so many are missing from whatever it has in common.
     shared = met.where("n = 2").select(F.explode(F.array("u", "v")).alias("s")).unionByName(members.select(F.col("u").alias("s"))).groupBy("s").agg(F.count(F.lit(1)).alias("c"))

@@ -516,6 +516,33 @@ def test_links_run_few_jobs(spark):
         spark.sparkContext._jsc.clearJobGroup()
 
 
+def test_near_dedup_runs_few_jobs(spark):
+    """Fingerprints only give candidates there, for which no components of theirs are needed."""
+    texts = [" ".join(f"w{k * 40 + i}" for i in range(40)) + (" z" if again else "") for k in range(30) for again in (0, 1)]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").localCheckpoint()
+    spark.sparkContext.setJobGroup("near", "near")
+    try:
+        kept = simhash.drop_near_duplicates(given)
+        assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("near")) < 92
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 60, 2))
+
+
+def test_scoped_tables_collect_the_drivers_garbage(spark, monkeypatch):
+    from curvemill.llm import scratch
+
+    calls = []
+    monkeypatch.setattr(scratch, "tidy", calls.append)
+    for _ in range(scratch.TIDY_EVERY):
+        scratch.written(spark.range(1), "alone")
+    assert not calls
+    with scratch.scope("collects"):
+        for _ in range(2 * scratch.TIDY_EVERY):
+            scratch.written(spark.range(1), "scoped")
+    assert len(calls) == 2
+
+
 def test_urls(spark, sf):
     def plain(url):
         rest = url.split("://", 1)[1] if url and "://" in url else ""
