@@ -346,17 +346,19 @@ def similar_groups(keyed: DataFrame, shingle: int) -> DataFrame:
     linked_prints = least.join(of["u"], "u").join(of["v"], "v").select(F.col("su").alias("u"), F.col("sv").alias("v"))
     stars = own.join(prints.where("u <> v").select("fp", "v"), "fp").select(F.col("s").alias("u"), "v").unionByName(linked_prints)
     stars = stars.unionByName(met.select("u", "v")).unionByName(members.select("u", "v"))
-    # Keys that no other set has are shingles that no other set has: so many are missing from whatever it has in common.
+    # Up to the end of the keys that end first, sets have only keys in common; after it, at most what one has left. So a set's
+    # keys that others have as keys (c) and what it has besides its keys (r) bound what it has in common with any other.
     shared = met.where("n = 2").select(F.explode(F.array("u", "v")).alias("s")).unionByName(members.select(F.col("u").alias("s"))).groupBy("s").agg(F.count(F.lit(1)).alias("c"))
-    first_keys = F.when(F.col("n") > 0, F.col("n") - F.ceil(F.col("n") * a / b) + 1).otherwise(0)
-    common = written(reps.join(shared, "s", "left").select("s", "n", (F.col("n") - F.greatest(first_keys - F.coalesce("c", F.lit(0)), F.lit(0))).alias("o")), "similar-sizes")
+    left_over = F.when(F.col("n") > 0, F.ceil(F.col("n") * a / b) - 1).otherwise(0)
+    common = written(reps.join(shared, "s", "left").select("s", "n", F.coalesce("c", F.lit(0)).alias("c"), left_over.alias("r")), "similar-sizes")
 
     def fit(pairs: DataFrame) -> DataFrame:
         """The distinct pairs whose sizes allow them to be similar."""
-        n = [common.select(F.col("s").alias(x), F.col("n").alias(f"n{x}"), F.col("o").alias(f"o{x}")) for x in "uv"]
+        n = [common.select(F.col("s").alias(x), *[F.col(c).alias(f"{c}{x}") for c in "ncr"]) for x in "uv"]
         sized = pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().join(n[0], "u").join(n[1], "v")
-        sized = sized.where((b * F.least("nu", "nv") >= a * F.greatest("nu", "nv")) & ((a + b) * F.least("ou", "ov") >= a * (F.col("nu") + F.col("nv")))).drop("ou", "ov")
-        # Up to the end of the keys that end first, sets have only keys in common; after it, at most what one has left.
+        most = F.least("cu", "cv") + F.greatest("ru", "rv")
+        sized = sized.where((b * F.least("nu", "nv") >= a * F.greatest("nu", "nv")) & ((a + b) * most >= a * (F.col("nu") + F.col("nv")))).drop("cu", "cv", "ru", "rv")
+        # The same bound by the keys that two sets have in common.
         sized = written(sized, "similar-sized")
         able = sized.select(F.explode(F.array("u", "v")).alias("s")).distinct()
         held = written(own.select("s", "keys").join(able, "s", "left_semi").groupBy("s").agg(F.first("keys").alias("keys")), "similar-firsts")

@@ -296,6 +296,16 @@ def test_near_copies_are_similar_sets(spark, monkeypatch):
     assert kept == set(_components(near, list(n)).values())
 
 
+def test_a_text_and_its_longest_fitting_extension_are_similar(spark):
+    """A set that another one holds: most of its keys may lie behind the other one's keys."""
+    texts = []
+    for k in range(30):
+        w = [f"w{k}.{i}" for i in range(104)]
+        texts += [" ".join(w), " ".join(w[:84] if k % 2 else w[20:])]  # 80 of 100 shingles
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.drop_near_duplicates(given).collect()} == set(range(0, 60, 2))
+
+
 def test_lines_against_sql(spark, sf, duck):
     ours = registry.queries()["op5_deletion_neighbourhood"](spark, sf).toPandas()
     assert rows(ours) == rows(duck.sql(registry.oracle_sql()["op5_deletion_neighbourhood"]).df())
