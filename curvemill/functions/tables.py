@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a frame of a few numbers a row is broadcast.
 FEW = 100_000
+#: Estimated bytes from which an estimate says nothing; one that is not known is less by one.
+MOST_BYTES = 1 << 63
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -21,7 +23,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if not folder and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='curvemill-')}")
-    return df.checkpoint()
+    held = df.checkpoint()
+    # A checkpoint keeps the estimate of the plan that made it, and joins multiply estimates: over rounds the digits of the
+    # number would double until they fill the driver. Beyond what any table can have, the rows are taken without it.
+    plan = held._jdf.queryExecution().analyzed()
+    if plan.stats().sizeInBytes() < MOST_BYTES:
+        return held
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(plan.rdd(), plan.schema(), False), spark)
 
 
 def small(df: DataFrame) -> DataFrame:

@@ -163,38 +163,57 @@ def resample_linear(targets: DataFrame, source: DataFrame, affine: float | Affin
 _STEPS = [(1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)]
 
 
-def _neighbours(voxels: DataFrame, planar: bool = False) -> DataFrame:
-    """Each voxel's places one step along an axis, or an axis of its slice, as x, y, z."""
-    steps = F.array(*[F.struct(*[F.lit(d).alias(a) for a, d in zip("xyz", s)]) for s in (_STEPS[:4] if planar else _STEPS)])
+def _neighbours(voxels: DataFrame, planar: bool = False, *, steps: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """Each voxel's places one step along an axis, or an axis of its slice, or by ``steps``, as x, y, z."""
+    steps = F.array(*[F.struct(*[F.lit(d).alias(a) for a, d in zip("xyz", s)]) for s in (steps or (_STEPS[:4] if planar else _STEPS))])
     each = voxels.withColumn("_s", F.explode(steps))
     return each.withColumns({a: F.col(a) + F.col(f"_s.{a}") for a in "xyz"}).drop("_s")
 
 
-#: Rounds after which something must be wrong: they grow with the logarithm of the longest path.
+#: Rounds after which something must be wrong: they grow with the logarithm of a component's size.
 MAX_ROUNDS = 200
 
 
+def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Every node links its larger neighbours to the smallest node it knows."""
+    both = edges.unionByName(edges.select(*by, F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy(*by, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    return both.where("v > u").join(least, [*by, "u"]).select(*by, F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+
+
+def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Every node links itself and its smaller neighbours to the smallest of them; edges are u > v."""
+    least = edges.groupBy(*by, "u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, [*by, "u"]).where("v <> m").select(*by, F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select(*by, "u", F.col("m").alias("v"))).distinct()
+
+
+def _settled(edges: DataFrame, by: list[str]) -> bool:
+    """Whether no node of the edges (u > v) has two smaller neighbours, or smaller and larger ones: v is then u's component."""
+    ends = F.array(*[F.struct(F.col(x).alias("node"), F.lit(x == "u").cast("long").alias("down"), F.lit(x == "v").alias("up")) for x in "uv"])
+    nodes = edges.select(*by, F.inline(ends)).groupBy(*by, "node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not nodes.agg(F.count_if((F.col("down") > 1) | ((F.col("down") > 0) & F.col("up")))).first()[0]
+
+
 def connected_components(voxels: DataFrame) -> DataFrame:
     """(subject_id, voxel_id, component) of each subject's voxel set under 6-neighbourhood; component is the least voxel id.
 
-    Labels spread to neighbours and jump to the label of their label, so the rounds grow with the logarithm of a
-    component's length; each round is checkpointed.
+    Rounds of large and small stars, each checkpointed, until every voxel is linked to the least of its component alone. The
+    rounds grow with the logarithm of a component's size, however it winds and its voxels are numbered.
     """
     by = subjects(voxels)
-    here = voxels.select(*by, "voxel_id", "x", "y", "z")
-    edges = _neighbours(here).join(here.withColumnRenamed("voxel_id", "other"), [*by, "x", "y", "z"]).select(*by, "voxel_id", "other")
-    edges = checkpointed(edges)
-    labels = checkpointed(here.select(*by, "voxel_id", F.col("voxel_id").alias("component")))
+    here = checkpointed(voxels.select(*by, "voxel_id", "x", "y", "z"))
+    other = here.withColumnRenamed("voxel_id", "other")
+    pairs = _neighbours(here, steps=_STEPS[::2]).join(other, [*by, "x", "y", "z"]).where("voxel_id <> other")  # each pair from one side
+    edges = checkpointed(pairs.select(*by, F.greatest("voxel_id", "other").alias("u"), F.least("voxel_id", "other").alias("v")).distinct())
     for _ in range(MAX_ROUNDS):
-        low = edges.join(labels.select(*by, F.col("voxel_id").alias("other"), "component"), [*by, "other"]).groupBy(*by, "voxel_id").agg(F.min("component").alias("_l"))
-        spread = labels.join(low, [*by, "voxel_id"], "left").select(*by, "voxel_id", F.col("component").alias("_old"), F.least("component", F.coalesce("_l", "component")).alias("component"))
-        jump = spread.join(labels.select(*by, F.col("voxel_id").alias("component"), F.col("component").alias("_j")), [*by, "component"], "left")
-        new = checkpointed(jump.select(*by, "voxel_id", "_old", F.least("component", F.coalesce("_j", "component")).alias("component")))
-        moved = new.where("component <> _old").limit(1).count()
-        labels = new.select(*by, "voxel_id", "component")
-        if not moved:
-            return labels
-    raise RuntimeError("components did not settle")
+        if _settled(edges, by):
+            break
+        edges = checkpointed(_small_star(_large_star(edges, by), by))
+    else:
+        raise RuntimeError("components did not settle")
+    found = edges.select(*by, F.col("u").alias("voxel_id"), F.col("v").alias("component"))
+    return here.select(*by, "voxel_id").join(found, [*by, "voxel_id"], "left").withColumn("component", F.coalesce("component", "voxel_id"))
 
 
 def largest_component(voxels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from curvemill.functions import tables
 from curvemill.operators import aif, labels
 
 
@@ -55,3 +56,25 @@ def test_a_grown_vessel_has_no_holes(spark):
     assert found(smooth=False) == set(ring)
     whole = found()
     assert set(ring) <= whole and whole == {(x, y, z) for x in range(3, 10) for y in range(3, 10) for z in (4, 5)}
+
+
+def winding(n):
+    """(voxel_id, x, y, z) of a row of voxels, numbered so that the least is at one end and the next least at the other."""
+    return [(0 if i == 0 else n - i, i, 0, 0) for i in range(n)]
+
+
+def test_components_take_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(labels, "MAX_ROUNDS", 12)
+    rows = [("a", *r) for r in winding(60)] + [("b", 7, 0, 0, 0), ("b", 9, 1, 0, 0), ("b", 3, 5, 0, 0), ("b", 4, 1, 1, 1)]
+    found = labels.connected_components(spark.createDataFrame(rows, "subject_id string, voxel_id long, x int, y int, z int"))
+    expected = {("a", i): 0 for i in range(60)} | {("b", 7): 7, ("b", 9): 7, ("b", 3): 3, ("b", 4): 4}
+    assert found.count() == len(expected) and {(r.subject_id, r.voxel_id): r.component for r in found.collect()} == expected
+
+
+def test_checkpoints_do_not_gather_estimates(spark):
+    """Estimated bytes are multiplied by every join; a driver cannot hold what fifty rounds make of them."""
+    found = tables.checkpointed(spark.range(3))
+    for _ in range(8):
+        found = tables.checkpointed(found.alias("a").join(found.alias("b"), "id").join(found.alias("c"), "id"))
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64
+    assert sorted(r.id for r in found.collect()) == [0, 1, 2]
