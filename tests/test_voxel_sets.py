@@ -78,3 +78,15 @@ def test_checkpoints_do_not_gather_estimates(spark):
         found = tables.checkpointed(found.alias("a").join(found.alias("b"), "id").join(found.alias("c"), "id"))
     assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 64
     assert sorted(r.id for r in found.collect()) == [0, 1, 2]
+
+
+def vessel_of_a_winding_row(spark):
+    rows = [(*r, [0.0] * 5 + [4.0, 3.0, 2.0, 1.0, 1.0], 1.0) for r in winding(60)]
+    curves = spark.createDataFrame(rows, "voxel_id long, x int, y int, z int, values array<double>, vesselness double")
+    return curves, aif.vessel_candidates(curves, percent=0.3, least=3)
+
+
+def test_a_winding_vessel_is_one_candidate(spark, monkeypatch):
+    monkeypatch.setattr(labels, "MAX_ROUNDS", 12)
+    _, found = vessel_of_a_winding_row(spark)
+    assert [(r.component, r.n_voxels, r.x, r.voxel_id) for r in found.collect()] == [(0, 60, 29.5, 0)]
