@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from curvemill.functions import tables
 from curvemill.operators import aif, labels
@@ -90,3 +91,10 @@ def test_a_winding_vessel_is_one_candidate(spark, monkeypatch):
     monkeypatch.setattr(labels, "MAX_ROUNDS", 12)
     _, found = vessel_of_a_winding_row(spark)
     assert [(r.component, r.n_voxels, r.x, r.voxel_id) for r in found.collect()] == [(0, 60, 29.5, 0)]
+
+
+def test_a_winding_vessel_has_its_roles(spark, monkeypatch):
+    monkeypatch.setattr(labels, "MAX_ROUNDS", 12)
+    curves, found = vessel_of_a_winding_row(spark)
+    roles = aif.label_vessels(found.withColumn("kind", F.lit("vessel")), curves.select("voxel_id", "x", "y", "z", F.col("x").cast("double").alias("projection")), n_slices=4)
+    assert sorted((r.component, r.role, r.n_voxels) for r in roles.collect()) == [(0, "artery", 60), (0, "vein", 60)]
