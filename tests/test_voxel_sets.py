@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from curvemill.functions import tables
-from curvemill.operators import aif, labels
+from curvemill.operators import aif, diffusion, labels
 
 
 def plain_close(v, times, steps):
@@ -98,3 +98,11 @@ def test_a_winding_vessel_has_its_roles(spark, monkeypatch):
     curves, found = vessel_of_a_winding_row(spark)
     roles = aif.label_vessels(found.withColumn("kind", F.lit("vessel")), curves.select("voxel_id", "x", "y", "z", F.col("x").cast("double").alias("projection")), n_slices=4)
     assert sorted((r.component, r.role, r.n_voxels) for r in roles.collect()) == [(0, "artery", 60), (0, "vein", 60)]
+
+
+def test_a_winding_foreground_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(labels, "MAX_ROUNDS", 12)
+    rows = [(*r, [2.0, 9.0]) for r in winding(60)] + [(100 + i, 2 * i, 5, 0, [1.0, 9.0]) for i in range(120)]
+    curves = spark.createDataFrame(rows, "voxel_id long, x int, y int, z int, values array<double>")
+    gradients = spark.createDataFrame([(0, 0.0), (1, 1000.0)], "dir int, bval double")
+    assert {r.voxel_id for r in diffusion.diffusion_foreground(curves, gradients).collect()} == set(range(60))
