@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +70,24 @@ class GradientFiles(NamedTuple):
 GRADIENT_FILE = r"([^/]+)\.(bval|bvec)s?$"
 
 
+#: What opening a file counts as, in bytes, where files hold a few numbers each; Spark's 4 MB make tasks of a few files.
+OPEN_BYTES = 1 << 16
+
+
+@contextmanager
+def _small_files(spark: SparkSession) -> Iterator[None]:
+    """Folders listed and scans planned inside take many of them a task."""
+    conf = {"spark.sql.files.openCostInBytes": OPEN_BYTES, "spark.sql.sources.parallelPartitionDiscovery.parallelism": 4 * spark.sparkContext.defaultParallelism}
+    kept = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def read_gradient_files(spark: SparkSession, path: str | list[str], *, pattern: str = GRADIENT_FILE, frames: DataFrame | None = None) -> GradientFiles:
     """Gradients (subject_id, dir, bval, gx, gy, gz) of pairs of text files of b-values and directions, and (path, subject_id, reason) of rejected ones.
 
@@ -75,15 +95,20 @@ def read_gradient_files(spark: SparkSession, path: str | list[str], *, pattern:
     commas; b-values are one row or one column, directions 3 x N or N x 3 (3 x 3 is read by rows as x, y, z). A file is rejected that
     is named otherwise, is empty, has something that is no number or rows of unequal length, has no partner or more than one, or
     differs in length from its partner or from the series' ``frames`` (subject_id, n). Other subjects are read all the same.
+    A folder is listed with all folders below it, by the executors where there are many; a pattern like ``*/*.bval`` is resolved
+    by the driver, one folder after another.
     """
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    with _small_files(spark):
+        read = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    texts = read.select(F.col("_metadata.file_path").alias("path"), "value")
     lines = F.filter(F.transform(F.split("value", r"\r\n|\r|\n"), lambda x: F.btrim(x)), lambda x: x != "")
     rows = F.transform(lines, lambda x: F.transform(F.split(x, r"[\s,]+"), lambda y: y.try_cast("double")))
     files = texts.select("path", F.regexp_extract("path", pattern, 1).alias("subject_id"), F.regexp_extract("path", pattern, 2).alias("kind"), rows.alias("rows"))
     flat = F.flatten("rows")
     ragged = F.exists("rows", lambda r: F.size(r) != F.size(F.get("rows", F.lit(0))))
     wrong = F.when(F.col("kind") == "", "not a gradient file's name").when(F.size("rows") == 0, "empty").when(F.exists(flat, lambda v: v.isNull() | F.isnan(v)), "not a number").when(ragged, "rows of unequal length")
-    files = checkpointed(files.withColumn("reason", wrong))
+    with _small_files(spark):
+        files = checkpointed(files.withColumn("reason", wrong))
     good = files.where("reason is null")
     # Few files a subject: partners are counted before they are joined.
     pairs = good.groupBy("subject_id").agg(

@@ -384,3 +384,27 @@ def test_gradient_files(spark, tmp_path):
         ("c.bval", "not a number"), ("c.bvec", "no partner"), ("d.bval", "no partner"), ("e.bval", "lengths differ"), ("e.bvec", "lengths differ"), ("f.bval", "no partner"), ("f.bvec", "rows of unequal length"), ("g.bval", "empty"), ("g.bvec", "no partner"),
         ("h.bval", "more than one partner"), ("h.bvals", "more than one partner"), ("h.bvec", "more than one partner"), ("i.bval", "not as long as the series"), ("i.bvec", "not as long as the series"), ("j.bval", "not a number"), ("j.bvec", "no partner"), ("notes.txt", "not a gradient file's name"),
     }
+
+
+def test_many_gradient_files_are_few_tasks(spark, tmp_path):
+    for i in range(60):
+        at = tmp_path / f"group{i % 3}" / f"s{i}"
+        at.mkdir(parents=True)
+        (at / f"s{i}.bval").write_text("0 1000")
+        (at / f"s{i}.bvec").write_text("0 3\n0 0\n0 4")
+    confs = {"spark.sql.files.maxPartitionBytes": "4m", "spark.sql.files.openCostInBytes": "4m"}
+    kept = {k: spark.conf.get(k) for k in confs}
+    context = spark.sparkContext
+    context.setJobGroup("gradients", "gradients")
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        found = headers.read_gradient_files(spark, f"file://{tmp_path}")
+        assert spark.conf.get("spark.sql.files.openCostInBytes") == "4m"
+        stages = [s for j in context.statusTracker().getJobIdsForGroup("gradients") for s in context.statusTracker().getJobInfo(j).stageIds]
+        assert 0 < max(context.statusTracker().getStageInfo(s).numTasks for s in stages) < 20
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        context._jsc.clearJobGroup()
+    assert found.gradients.count() == 120 and found.rejects.count() == 0
